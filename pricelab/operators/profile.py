@@ -108,7 +108,7 @@ def column_kind(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             "kind",
             F.when((F.col("n_distinct") == 1) & full, F.lit("constant"))
             .when((F.col("n_distinct") == 2) & full, F.lit("binary"))
-            .otherwise(F.get(F.array(kinds[F.col("column")]), F.lit(0))),
+            .otherwise(kinds[F.col("column")]),
         )
     )
 

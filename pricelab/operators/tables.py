@@ -106,13 +106,21 @@ def history_at(results: DataFrame, histories: str, metrics: Sequence[str], epoch
     epoch = F.bround(F.col(epochs)).cast("int")
     out = {"epoch": epoch}
     for m in metrics:
-        at = F.transform(F.col(histories), lambda h, m=m: F.element_at(F.element_at(h, F.lit(m)), epoch))
-        mean = array_mean(at)
-        out[f"mean_{m}"] = mean
-        out[f"std_{m}"] = F.sqrt(array_mean(F.transform(at, lambda v, mean=mean: (v - mean) * (v - mean))))
+        at = _at_epoch(histories, m, epoch)
+        out[f"mean_{m}"] = array_mean(at)
+        out[f"std_{m}"] = F.sqrt(array_mean(_squared_deviations(at)))
     return results.withColumns(out)
 
 
+def _at_epoch(histories: str, metric: str, epoch: Column) -> Column:
+    return F.transform(F.col(histories), lambda h: F.element_at(F.element_at(h, F.lit(metric)), epoch))
+
+
+def _squared_deviations(values: Column) -> Column:
+    mean = array_mean(values)
+    return F.transform(values, lambda v: (v - mean) * (v - mean))
+
+
 def array_mean(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v, lambda a: a / F.size(values))
 
