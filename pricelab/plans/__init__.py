@@ -1,2 +1,2 @@
-from pricelab.plans import scans, features, measures, ranking, profiles, tables, fitted
+from pricelab.plans import scans, features, measures, ranking, profiles, tables, fitted, blends
 from pricelab.plans.registry import oracle_sql, queries
