@@ -7,14 +7,17 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricelab.functions.errors import abs_percent_error, smooth_hit, smooth_hit_slope
+from pricelab.blend.candidates import blend_inputs, evaluate
 from pricelab.functions.rows import row_dot, row_mean
-from pricelab.operators.metrics import CANDIDATES_PER_PASS, hit_score, mape, score_weight_grid
+from pricelab.operators.metrics import hit_score, score_weight_grid
 from pricelab.operators.tables import top_results
 
 # Fixed value: grid steps per unit of weight.
 GRID_STEPS = 5
 
+# Random moves scored together.
+MOVES_PER_PASS = 40
+
 # Step lengths tried along a search direction, all in one pass.
 STEP_LENGTHS = (2.0, 1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
 
@@ -40,12 +43,6 @@ def simplex_grid_blend(
     return score_weight_grid(df, y_true, preds, simplex_grid(len(preds), steps), metric, log)
 
 
-def _score_vectors(df, y_true, preds, vectors, metric, log) -> list[float]:
-    rows = score_weight_grid(df, y_true, preds, vectors, metric, log).select("weight_id", metric).collect()
-    by_id = {r["weight_id"]: r[metric] for r in rows}
-    return [by_id[i] for i in range(len(vectors))]
-
-
 def random_refine_blend(
     df: DataFrame,
     y_true: str,
@@ -53,7 +50,7 @@ def random_refine_blend(
     start: Sequence[float] | None = None,
     sigma: float = 0.5 / GRID_STEPS,
     moves: int = 200,
-    batch: int = CANDIDATES_PER_PASS,
+    batch: int = MOVES_PER_PASS,
     metric: str = "score",
     log: bool = False,
     seed: int = 42,
@@ -65,21 +62,25 @@ def random_refine_blend(
     """
     rng = np.random.default_rng(seed)
     n = len(preds)
-    lower_better = metric not in ("score",)
+    lower_better = metric != "score"
+    loss = metric if lower_better else "mape"
+    data = blend_inputs(df, y_true, preds, log=log).persist()
+    look = lambda vectors: [e["loss"] if lower_better else e["score"] for e in evaluate(data, vectors, loss, log)]
     best = np.array(start if start is not None else np.full(n, 1.0 / n), dtype=float)
-    best_score = _score_vectors(df, y_true, preds, [best], metric, log)[0]
+    best_score = look([best])[0]
     found = [(0, [float(x) for x in best], float(best_score))]
     done = 0
     while done < moves:
         size = min(batch, moves - done)
         vectors = [_simplex_move(best, sigma, rng) for _ in range(size)]
-        scores = _score_vectors(df, y_true, preds, vectors, metric, log)
+        scores = look(vectors)
         order = np.argsort(scores) if lower_better else np.argsort(scores)[::-1]
         top = int(order[0])
         done += size
         if scores[top] < best_score if lower_better else scores[top] > best_score:
             best, best_score = vectors[top], scores[top]
             found.append((done, [float(x) for x in best], float(best_score)))
+    data.unpersist()
     return df.sparkSession.createDataFrame(found, f"move int, weights array<double>, {metric} double")
 
 
@@ -93,21 +94,6 @@ def _simplex_move(weights: np.ndarray, sigma: float, rng: np.random.Generator) -
             return moved
 
 
-def _loss_and_slope(loss: str, y: Column, p: Column) -> tuple[Column, Column]:
-    """Row loss and its derivative by the prediction."""
-    side = F.signum(p - y)
-    if loss == "mape":
-        return abs_percent_error(y, p), side / y
-    if loss == "mse":
-        return (p - y) * (p - y), F.lit(2.0) * (p - y)
-    if loss == "mae":
-        return F.abs(p - y), side
-    if loss == "smooth":
-        pe = abs_percent_error(y, p)
-        return F.lit(100.0) * smooth_hit(pe), F.lit(100.0) * smooth_hit_slope(pe) * side / y
-    raise ValueError(f"unknown loss {loss}")
-
-
 class WeightSearch:
     """Multi-start minimisation of a loss over log-scale blend weights.
 
@@ -149,47 +135,14 @@ class WeightSearch:
     def _clip(self, w: np.ndarray) -> np.ndarray:
         return np.clip(w, self.low, self.high)
 
-    def _inputs(self, df: DataFrame) -> DataFrame:
-        base = [F.col(self.y_true).cast("double").alias("y")]
-        area = F.lit(1.0) if self.area is None else F.col(self.area).cast("double")
-        xs = [F.log1p(F.try_divide(F.col(p), area)) for p in self.preds]
-        return df.select(*base, area.alias("a"), *[x.alias(f"x{i}") for i, x in enumerate(xs)])
-
-    def _x(self) -> list[Column]:
-        return [F.col(f"x{i}") for i in range(len(self.preds))] + ([F.lit(1.0)] if self.intercept else [])
-
     def _evaluate(self, data: DataFrame, points: list[np.ndarray], slopes: bool) -> list[dict]:
-        out: list[dict] = []
-        per_pass = max(1, 3 * CANDIDATES_PER_PASS // ((self.dim if slopes else 0) + 3))
-        for i in range(0, len(points), per_pass):
-            out += self._evaluate_pass(data, points[i : i + per_pass], slopes)
-        return out
-
-    def _evaluate_pass(self, data, points, slopes):
-        xs, y = self._x(), F.col("y")
-        scored = data.withColumns({f"z{k}": row_dot(xs, w) for k, w in enumerate(points)})
-        scored = scored.withColumns({f"p{k}": F.expm1(f"z{k}") * F.col("a") for k in range(len(points))})
-        aggs = []
-        for k in range(len(points)):
-            value, slope = _loss_and_slope(self.loss, y, F.col(f"p{k}"))
-            aggs += [F.avg(value).alias(f"l{k}"), hit_score(y, f"p{k}").alias(f"s{k}"), mape(y, f"p{k}").alias(f"m{k}")]
-            if slopes:
-                chain = slope * F.exp(f"z{k}") * F.col("a")
-                aggs += [F.avg(chain * x).alias(f"g{k}_{j}") for j, x in enumerate(xs)]
-        row = scored.agg(*aggs).first()
-        return [
-            {
-                "w": w, "loss": row[f"l{k}"], "score": row[f"s{k}"], "mape": row[f"m{k}"],
-                "grad": np.array([row[f"g{k}_{j}"] for j in range(self.dim)], dtype=float) if slopes else None,
-            }
-            for k, w in enumerate(points)
-        ]
+        return self._remember(evaluate(data, points, self.loss, log=True, slopes=slopes)) if points else []
 
     def fit(self, df: DataFrame) -> "WeightSearch":
-        """Search on the rows of ``df``; persist it first when it is costly to derive."""
-        data = self._inputs(df)
+        """Search on the rows of ``df``; its narrow inputs are kept for the passes."""
+        data = blend_inputs(df, self.y_true, self.preds, self.area).persist()
         self.seen_best: dict | None = None
-        points = self._remember(self._evaluate(data, self.starts(), slopes=True))
+        points = self._evaluate(data, self.starts(), slopes=True)
         live = [{**p, "h": np.eye(self.dim), "new": True} for p in points if self._usable(p)]
         for _ in range(self.max_iter):
             if not live:
@@ -204,7 +157,7 @@ class WeightSearch:
                 for step in STEP_LENGTHS:
                     trials.append(self._clip(p["w"] + step * direction))
                     owner.append(k)
-            tried = self._remember(self._evaluate(data, trials, slopes=False))
+            tried = self._evaluate(data, trials, slopes=False)
             moved = []
             for k, p in enumerate(live):
                 mine = [t for t, o in zip(tried, owner) if o == k and t["loss"] is not None and np.isfinite(t["loss"])]
@@ -215,8 +168,9 @@ class WeightSearch:
                     # The curvature estimate led nowhere: try the plain slope once more.
                     p.update(h=np.eye(self.dim), new=True)
                     moved.append((p, p["w"]))
-            after = self._remember(self._evaluate(data, [w for _, w in moved], slopes=True)) if moved else []
+            after = self._evaluate(data, [w for _, w in moved], slopes=True)
             live = [self._curved(p, new) for (p, _), new in zip(moved, after) if self._usable(new)]
+        data.unpersist()
         self.weights = [float(x) for x in self.seen_best["w"]]
         self.score, self.mape = float(self.seen_best["score"]), float(self.seen_best["mape"])
         return self
