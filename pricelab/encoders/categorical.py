@@ -118,7 +118,8 @@ class TargetMeanEncoder:
         extra = df.sparkSession.createDataFrame(
             [(c, MEAN_LEVEL, float(overall["m"])) for c in cols], "col string, value string, mean double"
         )
-        ranked = within_group_rank(means.unionByName(extra), ["col"], ["mean", "value"], "r")
+        entries = sum(per_col.values()) + len(self.cols)
+        ranked = within_group_rank(means.unionByName(extra), ["col"], ["mean", "value"], "r", entries)
         self.tables = _ColumnTables(ranked.select("col", "value", "mean", (F.col("r") + 1).alias("rank")))
         fixed = self.tables.state.where(F.col("value").isin(MISSING, MEAN_LEVEL)).collect()
         self.unknown_rank = {r["col"]: r["rank"] for r in fixed if r["value"] == MEAN_LEVEL}
@@ -174,7 +175,8 @@ class MultiLabelEncoder:
         ways = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(self.n_cols[c]))])[F.col("col")]
         drawn = values.withColumn("i", F.explode(F.sequence(F.lit(0), ways - 1)))
         order = [seeded_text(self.seed, "i", "value"), "value"]
-        coded = within_group_rank(drawn, ["col", "i"], order, "code")
+        drawn_rows = sum(labels[c] * self.n_cols[c] for c in cols)
+        coded = within_group_rank(drawn, ["col", "i"], order, "code", drawn_rows)
         # At most n codes per value.
         table = coded.groupBy("col", "value").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("i", "code"))), lambda s: s["code"]).alias("codes")

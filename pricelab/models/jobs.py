@@ -17,7 +17,7 @@ from pricelab.functions.rows import row_dot, row_mean, row_vote
 from pricelab.functions.targets import target_inverse
 from pricelab.operators import metrics as M
 from pricelab.operators.tables import union_rows
-from pricelab.session import materialize
+from pricelab.session import stored
 
 FEATURES = "__features"
 IS_VAL = "__is_val"
@@ -126,7 +126,7 @@ def cross_predict(
         if steps is not None:
             fitted = steps().fit(train)
             # A learner reads its input many times: write the transformed fold once.
-            train, val = materialize(fitted.transform(train, is_train=True)), materialize(fitted.transform(val))
+            train, val = stored(fitted.transform(train, is_train=True)), stored(fitted.transform(val))
             other = None if test is None else fitted.transform(test)
             cols = fitted.features()
         train, val = assemble(train, cols), assemble(val, cols)
@@ -271,6 +271,7 @@ def stack_linear(
 
     The penalty with the best mean held-out score is refitted on all rows. All
     penalties of a fold are scored in one pass, since a fitted line is a column.
+    The normal solver reads the rows once per fit, penalised or not.
     """
     factor = F.lit(1.0) if area is None else F.col(area).cast("double")
     logs = {f"__x{i}": x for i, x in enumerate(_log_inputs(preds, area))}
@@ -280,7 +281,7 @@ def stack_linear(
     def fit(rows: DataFrame, alpha: float):
         est = LinearRegression(
             featuresCol=FEATURES, labelCol="__y", regParam=alpha, elasticNetParam=1.0 if alpha else 0.0,
-            standardization=False, maxIter=200, tol=1e-8, solver="auto" if alpha else "normal",
+            standardization=False, maxIter=200, tol=1e-8, solver="normal",
         )
         return est.fit(rows)
 

@@ -35,6 +35,10 @@ def _quantiles(df, cols, probs):
     for i in range(len(cols)):
         aggs += [F.count(f"c{i}").alias(f"n{i}"), F.percentile_approx(f"c{i}", marks, _ACCURACY).alias(f"m{i}")]
     sketch = plain.agg(*aggs).first()
+    if max(sketch[f"n{i}"] for i in range(len(cols))) <= _SMALL_INPUT:
+        # Counted small: the exact aggregate's value map stays small too.
+        exact = plain.agg(*[F.percentile(f"c{i}", probs).alias(f"q{i}") for i in range(len(cols))]).first()
+        return {c: list(exact[f"q{i}"] or [None] * len(probs)) for i, c in enumerate(cols)}
 
     # Positions wanted per column, and the value span that must hold them.
     wanted, spans = {}, {}
@@ -44,11 +48,8 @@ def _quantiles(df, cols, probs):
             continue
         places = [(n - 1) * p for p in probs]
         wanted[i] = sorted({math.floor(h) for h in places} | {math.ceil(h) for h in places})
-        if n <= _SMALL_INPUT:
-            spans[i] = [(-math.inf, math.inf)]
-        else:
-            at = dict(zip(marks, sketch[f"m{i}"]))
-            spans[i] = _merged([(at[max(0.0, p - margin)], at[min(1.0, p + margin)]) for p in probs])
+        at = dict(zip(marks, sketch[f"m{i}"]))
+        spans[i] = _merged([(at[max(0.0, p - margin)], at[min(1.0, p + margin)]) for p in probs])
     values = _values_at(plain, wanted, spans)
     if values is None:
         values = _values_at(plain, wanted, {i: [(-math.inf, math.inf)] for i in wanted})

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricelab.functions.keys import seeded_text
 from pricelab.functions.targets import col
@@ -230,14 +230,20 @@ def shuffle_column(df: DataFrame, key: str, column: str, seed: int = 42) -> Data
 
 
 def within_group_rank(
-    distinct: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str
+    table: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str, rows: int | None = None
 ) -> DataFrame:
-    """0-based rank inside each group, for grouped tables with few groups (one per encoded column).
+    """0-based rank inside each group of a written table of distinct values.
 
-    A global rank less the group's first rank; the groups are columns of a frame,
-    so their sizes fit on the driver while their members need not.
+    Up to a counted small size one sorted task per group ranks it. A larger
+    table takes its global rank less the group's first rank, so a group may
+    hold most of it. Groups are columns of a frame, so there are few.
     """
-    ranked = global_rank(distinct, [*group, *order], "__r")
+    if rows is None:
+        rows = table.count()
+    if rows <= _SMALL_INPUT:
+        w = Window.partitionBy(*group).orderBy(*[col(c) for c in order])
+        return table.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+    ranked = global_rank(table, [*group, *order], "__r")
     firsts = ranked.groupBy(*group).agg(F.min("__r").alias("__first"))
     return ranked.join(F.broadcast(firsts), list(group)).withColumn(
         name, F.col("__r") - F.col("__first")
@@ -251,4 +257,5 @@ def category_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cols])
         ).alias("p")
     ).select("p.*")
-    return within_group_rank(pairs.where("value is not null").distinct(), ["col"], ["value"], "code")
+    values = materialize(pairs.where("value is not null").distinct())
+    return within_group_rank(values, ["col"], ["value"], "code")

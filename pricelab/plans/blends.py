@@ -10,7 +10,7 @@ from pricelab.functions.targets import target_transform
 from pricelab.operators.metrics import hit_score
 from pricelab.plans.fixtures import MODELS, fold_of, hit_sql, predictions_wide, rounded, transactions, with_preds, with_txn
 from pricelab.plans.registry import query
-from pricelab.session import materialize
+from pricelab.session import stored
 
 ID, PRICE, AREA = "building_id", "total_price", "building_area"
 PREDS = [f"pred_{m}" for m in MODELS]
@@ -107,14 +107,14 @@ def _subsets_cte() -> str:
     ),
 )
 def q_backward_subset_mean(spark, sf_dir):
-    df = materialize(predictions_wide(spark, sf_dir).withColumns({p: F.col(p) * F.lit(1.003) for p in PREDS}))
+    df = stored(predictions_wide(spark, sf_dir).withColumns({p: F.col(p) * F.lit(1.003) for p in PREDS}))
     return rounded(B.backward_subset_mean(df, PRICE, PREDS), 6)
 
 
 def _blend_frame(spark, sf_dir):
     """Predictions, area and fold, written once for the many passes of a search."""
     df = predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(3))
-    return materialize(df.select(ID, PRICE, AREA, "fold", *PREDS))
+    return stored(df.select(ID, PRICE, AREA, "fold", *PREDS))
 
 
 @query("random_refine_blend")

@@ -20,13 +20,14 @@ from pricelab.operators.filters import (
     error_within, fill_constants, finite_only, keep_scored_features, null_rare_categories, null_slice, segment_filter,
     value_slice,
 )
+from pricelab.operators.joins import lookup_join
 from pricelab.operators.ranks import rank_level, stratified_folds
 from pricelab.operators.tables import rename_drop, select_features
 from pricelab.plans.fixtures import (
     fold_of, fold_sql, hit_sql, predictions_long, predictions_wide, rounded, transactions, with_preds, with_txn,
 )
 from pricelab.plans.registry import query
-from pricelab.session import materialize
+from pricelab.session import materialize, stored
 from pricelab.sources.results import importance_table
 
 ID, PRICE, AREA = "building_id", "total_price", "building_area"
@@ -417,30 +418,35 @@ def q_keep_scored_features(spark, sf_dir):
 
 def flagship(spark, sf_dir):
     """Transactions to features, stratified folds, out-of-fold group mean, score per fold."""
-    base = transactions(spark, sf_dir, [AREA, "land_area", "txn_dt", "building_complete_dt", "town", "is_test"])
-    base = base.where(~F.col("is_test"))
+    # Folds need id and price only, so the wide rows are never sorted.
+    sales = transactions(spark, sf_dir, [ID, "is_test"]).where(~F.col("is_test")).select(ID, PRICE)
+    folds = stratified_folds(rank_level(sales, PRICE, ID, 5), "level", ID, 5).select(ID, "fold")
+    cols = [AREA, "land_area", "txn_dt", "building_complete_dt", "town", "is_test"]
+    base = transactions(spark, sf_dir, cols).where(~F.col("is_test")).join(folds, ID)
     df = calendar_features(target_transform(base), "txn_dt").withColumns(
         {
-            "dt_diff": day_diff("txn_dt", "building_complete_dt"),
+            "dt_diff": day_diff("txn_dt", "building_complete_dt").cast("bigint"),
             "building_per_land_area": area_ratio(AREA, "land_area"),
         }
     )
-    folds = stratified_folds(rank_level(df, PRICE, ID, 5), "level", ID, 5)
-    target = F.col("log_per_area_total_price")
+    target, by = "log_per_area_total_price", ["town", "quarter_txn_dt"]
+    table = stored(df.select("fold", PRICE, AREA, *by, target, "dt_diff", "building_per_land_area"))
     # Leave-fold-out sums: overall less own fold, both pre-aggregated per (town, quarter).
-    by = ["town", "quarter_txn_dt"]
-    cells = folds.groupBy(*by, "fold").agg(F.sum(target).alias("s"), F.count(target).alias("n"))
+    cells = table.groupBy(*by, "fold").agg(F.sum(target).alias("s"), F.count(target).alias("n"))
     totals = cells.groupBy(*by).agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
     state = cells.join(totals, by).select(
         *by, "fold", F.try_divide(F.col("ts") - F.col("s"), F.col("tn") - F.col("n")).alias("pred")
     )
-    scored = folds.join(state, [*by, "fold"], "left").withColumn("y_pred", target_inverse("pred", AREA))
-    out = M.score_by_group(scored, ["fold"], PRICE, "y_pred", ["score", "mape"])
-    counts = scored.groupBy("fold").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("dt_diff").cast("bigint")).alias("dt_diff"),
-        F.round(F.avg("building_per_land_area"), 6).alias("ratio"),
+    scored = lookup_join(table, state, {c: c for c in [*by, "fold"]}).withColumn("y_pred", target_inverse("pred", AREA))
+    return rounded(
+        scored.groupBy("fold").agg(
+            M.hit_score(PRICE, "y_pred").alias("score"),
+            M.mape(PRICE, "y_pred").alias("mape"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum("dt_diff").alias("dt_diff"),
+            F.avg("building_per_land_area").alias("ratio"),
+        )
     )
-    return rounded(out, 6, ["score", "mape"]).join(counts, "fold")
 
 
 FLAGSHIP_SQL = with_txn(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricelab.functions.calendar import days_since
 from pricelab.functions.keys import seeded_bucket
+from pricelab.session import stored
 
 # Modulus of the relative error of each stand-in model.
 MODEL_MODULI = {1: 41, 2: 17, 3: 29}
@@ -95,6 +96,11 @@ def transactions(spark: SparkSession, sf_dir: str, cols: Sequence[str] | None =
     return df.select(*want)
 
 
+def stored_transactions(spark: SparkSession, sf_dir: str, cols: Sequence[str] | None = None) -> DataFrame:
+    """:func:`transactions` written once, for operators that read their input several times."""
+    return stored(transactions(spark, sf_dir, cols))
+
+
 TXN_SQL = """
 li AS (
   SELECT l_orderkey, SUM(l_quantity) AS qty, MIN(l_linenumber) AS lo,

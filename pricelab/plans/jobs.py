@@ -12,7 +12,7 @@ from pricelab.models import search as S
 from pricelab.operators.ranks import split_by
 from pricelab.plans.fixtures import MODELS, fold_of, predictions_wide, rounded, transactions, with_preds
 from pricelab.plans.registry import query
-from pricelab.session import materialize
+from pricelab.session import stored
 
 ID, PRICE, AREA = "building_id", "total_price", "building_area"
 TARGET = "log_per_area_total_price"
@@ -29,7 +29,7 @@ def _inverse():
 def _frame(spark, sf_dir, *more):
     """Feature table with folds, written once because every fold reads it again."""
     df = target_transform(transactions(spark, sf_dir, [*FEATURES, *more, "is_test"]))
-    return materialize(df.withColumn("fold", fold_of(3)))
+    return stored(df.withColumn("fold", fold_of(3)))
 
 
 def _trees(rounds=4, depth=3, **more):
@@ -118,7 +118,7 @@ def q_group_classifier(spark, sf_dir):
 )
 def q_stack_linear_fit(spark, sf_dir):
     """Unpenalised stack on one model: its line is ordinary least squares."""
-    df = materialize(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(3)))
+    df = stored(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(3)))
     fit = J.stack_linear(df, PRICE, ["pred_1"], alphas=[0.0], folds=FOLDS)
     one = df.agg(F.count(F.lit(1)).alias("n"))
     return one.select(F.round(F.lit(fit.coefficients[0]), 6).alias("slope"), F.round(F.lit(fit.intercept), 6).alias("intercept"))
@@ -126,14 +126,14 @@ def q_stack_linear_fit(spark, sf_dir):
 
 @query("stack_linear")
 def q_stack_linear(spark, sf_dir):
-    df = materialize(predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(3)))
+    df = stored(predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(3)))
     fit = J.stack_linear(df, PRICE, PREDS, alphas=(0.0, 1e-4, 1e-2), area=AREA, folds=FOLDS)
     return df.select(ID, PRICE, fit.prediction().alias("y_pred"))
 
 
 @query("stack_boosted")
 def q_stack_boosted(spark, sf_dir):
-    df = materialize(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(3)))
+    df = stored(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(3)))
     make = lambda target: J.boosted_trees(target, max_iter=4, depth=4, step=0.5)
     return J.stack_boosted(df, PRICE, PREDS, make, folds=FOLDS).oof.select(ID, PRICE, "y_pred")
 

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricelab.functions.errors import error_columns
-from pricelab.functions.targets import target_transform, threshold_flag
+from pricelab.functions.targets import target_transform
 from pricelab.operators import profile as P
-from pricelab.operators.ranks import trim_tails
-from pricelab.operators.tables import columns_matching
 from pricelab.plans.fixtures import (
-    fold_of, fold_sql, predictions_long, predictions_wide, rounded, table, transactions, with_preds, with_txn,
+    fold_of, fold_sql, predictions_long, predictions_wide, rounded, stored_transactions, transactions, with_preds, with_txn,
 )
 from pricelab.plans.registry import query
 from pricelab.session import materialize
@@ -42,7 +40,7 @@ _COUNTED = ["town", "village", "building_type", "txn_dt", "land_area"]
     ),
 )
 def q_distinct_counts(spark, sf_dir):
-    df = transactions(spark, sf_dir, [*_COUNTED, "is_test"])
+    df = stored_transactions(spark, sf_dir, [*_COUNTED, "is_test"])
     return P.distinct_counts(df.where(~F.col("is_test")), df.where("is_test"), _COUNTED)
 
 
@@ -78,7 +76,7 @@ _KINDS = [("total_price", "float"), ("txn_dt", "int"), ("town", "categorical"),
     ),
 )
 def q_column_kind(spark, sf_dir):
-    df = transactions(spark, sf_dir, [c for c, _ in _KINDS if c != "one"]).withColumn("one", F.lit(1))
+    df = stored_transactions(spark, sf_dir, [c for c, _ in _KINDS if c != "one"]).withColumn("one", F.lit(1))
     return P.column_kind(df, [c for c, _ in _KINDS])
 
 
@@ -89,7 +87,7 @@ def _moments_sql(c: str, *more: str) -> str:
 
 @query("summary_stats", with_txn(_union_sql([_moments_sql(c, f"round(median({c}), 4) AS median") for c in NUMERIC])))
 def q_summary_stats(spark, sf_dir):
-    return rounded(P.summary_stats(transactions(spark, sf_dir, NUMERIC), NUMERIC), 4)
+    return rounded(P.summary_stats(stored_transactions(spark, sf_dir, NUMERIC), NUMERIC), 4)
 
 
 @query(
@@ -101,7 +99,7 @@ def q_summary_stats(spark, sf_dir):
     ),
 )
 def q_describe(spark, sf_dir):
-    return rounded(P.describe(transactions(spark, sf_dir, NUMERIC), NUMERIC), 4)
+    return rounded(P.describe(stored_transactions(spark, sf_dir, NUMERIC), NUMERIC), 4)
 
 
 @query(
@@ -164,8 +162,8 @@ def _iv_sql(c: str) -> str:
     ),
 )
 def q_woe_iv(spark, sf_dir):
-    df = target_transform(transactions(spark, sf_dir, [AREA, "town", "village", "building_material"]))
-    flagged = materialize(P.above_median(df, "per_area_total_price").select("town", "village", "building_material", "event"))
+    df = target_transform(stored_transactions(spark, sf_dir, [AREA, "town", "village", "building_material"]))
+    flagged = P.above_median(df, "per_area_total_price")
     return rounded(P.woe_iv(flagged, ["town", "village", "building_material"], "event"), 8)
 
 

@@ -12,7 +12,7 @@ from pricelab.operators.ranks import (
 from pricelab.functions.keys import seeded_text
 from pricelab.functions.targets import target_transform
 from pricelab.plans.fixtures import (
-    fold_of, fold_sql, hit_sql, predictions_wide, rounded, table, transactions, with_preds, with_txn,
+    fold_of, fold_sql, hit_sql, predictions_wide, rounded, stored_transactions, table, transactions, with_preds, with_txn,
 )
 from pricelab.plans.registry import query
 
@@ -70,7 +70,7 @@ def q_trim_tails(spark, sf_dir):
     ),
 )
 def q_rank_split(spark, sf_dir):
-    df = target_transform(transactions(spark, sf_dir, [AREA]))
+    df = target_transform(stored_transactions(spark, sf_dir, [AREA]))
     n = table(spark, sf_dir, "orders").count()
     return rank_split(df, "per_area_total_price", [n // 3, n // 3 * 2]).select(ID, "grp")
 

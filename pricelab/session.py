@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 # A lookup table is broadcast only when its counted rows stay below this.
 BROADCAST_ROWS = 500_000
 
+# A pass over fewer rows than this gains nothing from another task.
+ROWS_PER_TASK = 5_000
+
 
 def build_session(app: str = "pricelab", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -52,5 +55,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """:func:`materialize` for input of many passes.
+
+    A table that came out in fewer parts than its rows and the cores allow (one
+    small file, say) is spread evenly first; large inputs keep their layout.
+    """
+    out = materialize(df)
+    parts = out.rdd.getNumPartitions()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if parts >= cores:
+        return out
+    target = min(cores, -(-out.count() // ROWS_PER_TASK))
+    return materialize(out.repartition(target)) if parts < target else out
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
