@@ -34,15 +34,16 @@ def q_kfold_test_mean(spark, sf_dir):
 @query(
     "log_mean_blend",
     with_preds(
-        """SELECT building_id, round(exp((ln(1 + pred_1) + ln(1 + pred_2) + ln(1 + pred_3)) / 3) - 1, 3) AS log1p_mean,
-        round(exp((ln(pred_1) + ln(pred_2) + ln(pred_3)) / 3), 3) AS log_mean FROM preds"""
+        """SELECT building_id, round(ln(1 + exp((ln(1 + pred_1) + ln(1 + pred_2) + ln(1 + pred_3)) / 3) - 1), 8) AS log_of_log1p_mean,
+        round((ln(pred_1) + ln(pred_2) + ln(pred_3)) / 3, 8) AS log_of_log_mean FROM preds"""
     ),
 )
 def q_log_mean_blend(spark, sf_dir):
+    # Compared on the log scale, where no value is an exact decimal.
     df = predictions_wide(spark, sf_dir)
     return df.select(
-        ID, F.round(B.log_mean_blend(PREDS), 3).alias("log1p_mean"),
-        F.round(B.log_mean_blend(PREDS, plus_one=False), 3).alias("log_mean"),
+        ID, F.round(F.log1p(B.log_mean_blend(PREDS)), 8).alias("log_of_log1p_mean"),
+        F.round(F.log(B.log_mean_blend(PREDS, plus_one=False)), 8).alias("log_of_log_mean"),
     )
 
 
@@ -55,22 +56,23 @@ def q_mean_blend(spark, sf_dir):
     "weighted_blend",
     with_preds(
         """SELECT building_id, round(0.5e0 * pred_1 + 0.3e0 * pred_2 + 0.2e0 * pred_3, 6) AS plain,
-        round(greatest(exp(0.5e0 * ln(1 + pred_1) + 0.3e0 * ln(1 + pred_2) + 0.2e0 * ln(1 + pred_3)) - 1, 0), 3) AS logged FROM preds"""
+        round(ln(1 + greatest(exp(0.5e0 * ln(1 + pred_1) + 0.3e0 * ln(1 + pred_2) + 0.2e0 * ln(1 + pred_3)) - 1, 0)), 8) AS log_of_logged FROM preds"""
     ),
 )
 def q_weighted_blend(spark, sf_dir):
     df, w = predictions_wide(spark, sf_dir), [0.5, 0.3, 0.2]
     return df.select(
-        ID, F.round(B.weighted_blend(PREDS, w), 6).alias("plain"), F.round(B.weighted_blend(PREDS, w, log=True), 3).alias("logged")
+        ID, F.round(B.weighted_blend(PREDS, w), 6).alias("plain"),
+        F.round(F.log1p(B.weighted_blend(PREDS, w, log=True)), 8).alias("log_of_logged"),
     )
 
 
 @query(
     "ratio_blend",
-    with_preds("SELECT building_id, round(exp(0.25e0 * ln(pred_1) + 0.75e0 * ln(pred_2) + 0e0 * ln(pred_3)), 3) AS total_price FROM preds"),
+    with_preds("SELECT building_id, round(0.25e0 * ln(pred_1) + 0.75e0 * ln(pred_2) + 0e0 * ln(pred_3), 8) AS log_total_price FROM preds"),
 )
 def q_ratio_blend(spark, sf_dir):
-    return predictions_wide(spark, sf_dir).select(ID, F.round(B.ratio_blend(PREDS, [0.25, 0.75, 0.0]), 3).alias(PRICE))
+    return predictions_wide(spark, sf_dir).select(ID, F.round(F.log(B.ratio_blend(PREDS, [0.25, 0.75, 0.0])), 8).alias("log_total_price"))
 
 
 @query(

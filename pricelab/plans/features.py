@@ -36,14 +36,15 @@ ID, PRICE, AREA = "building_id", "total_price", "building_area"
 @query(
     "target_transform",
     with_txn(
-        """SELECT building_id, round(ln(1 + total_price), 6) AS log_total_price,
-        round(total_price / nullif(building_area, 0), 6) AS per_area_total_price,
-        round(ln(1 + total_price / nullif(building_area, 0)), 6) AS log_per_area_total_price FROM txn"""
+        """SELECT building_id, round(ln(1 + total_price), 8) AS log_total_price,
+        total_price / nullif(building_area, 0) AS per_area_total_price,
+        round(ln(1 + total_price / nullif(building_area, 0)), 8) AS log_per_area_total_price FROM txn"""
     ),
 )
 def q_target_transform(spark, sf_dir):
     df = target_transform(transactions(spark, sf_dir, [AREA]))
-    return rounded(df.select(ID, *[target_column(lg, pa) for lg, pa in ((True, False), (False, True), (True, True))]))
+    names = [target_column(log, per_area) for log, per_area in ((True, False), (False, True), (True, True))]
+    return rounded(df.select(ID, *names), 8, [n for n in names if n.startswith("log")])
 
 
 @query(
