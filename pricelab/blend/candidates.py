@@ -71,6 +71,32 @@ def evaluate(
     return out
 
 
+def second_moments(data: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean products of the inputs, and of the inputs with the log truth, in one pass."""
+    n_x = sum(1 for c in data.columns if c.startswith("x"))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros((dim + 1, dim)), 0
+        for b in batches:
+            cols = {c: b.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(b.schema.names)}
+            x = np.column_stack([cols[f"x{i}"] for i in range(n_x)] + [np.ones(b.num_rows)] * (dim - n_x))
+            with np.errstate(all="ignore"):
+                t = np.log1p(cols["y"] / cols["a"])
+            ok = np.isfinite(x).all(axis=1) & np.isfinite(t)
+            total += np.column_stack([x[ok], t[ok]]).T @ x[ok]
+            n += int(ok.sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(dim + 1), pa.int32()), pa.array([n] * (dim + 1), pa.int64())] + [pa.array(c) for c in total.T],
+            names=["i", "n", *[f"v{j}" for j in range(dim)]],
+        )
+
+    schema = "i int, n bigint, " + ", ".join(f"v{j} double" for j in range(dim))
+    sums = data.mapInArrow(partial, schema).groupBy("i").agg(F.sum("n").alias("n"), *[F.sum(f"v{j}").alias(f"v{j}") for j in range(dim)])
+    rows = sorted(sums.collect(), key=lambda r: r["i"])
+    mean = np.array([[r[f"v{j}"] for j in range(dim)] for r in rows]) / max(rows[0]["n"], 1)
+    return mean[:dim], mean[dim]
+
+
 def _sums(weights, x, y, a, loss, log, slopes):
     with np.errstate(all="ignore"):
         z = x @ weights.T

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricelab.blend.candidates import blend_inputs, evaluate
+from pricelab.blend.candidates import blend_inputs, evaluate, second_moments
 from pricelab.functions.rows import row_dot, row_mean
 from pricelab.operators.metrics import hit_score, score_weight_grid
 from pricelab.operators.tables import top_results
@@ -19,7 +19,10 @@ GRID_STEPS = 5
 MOVES_PER_PASS = 40
 
 # Step lengths tried along a search direction, all in one pass.
-STEP_LENGTHS = (2.0, 1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
+STEP_LENGTHS = (4.0, 2.0, 1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
+
+# Root mean square change of the log prediction in the first step of a start.
+FIRST_MOVE = 0.05
 
 
 def simplex_grid(n: int, steps: int = GRID_STEPS) -> list[tuple[float, ...]]:
@@ -99,8 +102,10 @@ class WeightSearch:
 
     The prediction is ``expm1(w . x)`` times the optional area, with x the log
     predictions and a constant. One pass returns loss, slope and packed score
-    for all starts; a second tries several step lengths for all of them. The
-    driver holds weight vectors only.
+    for all starts; a second tries several step lengths for all of them. Model
+    outputs are nearly collinear, so steps are measured by the mean products of
+    the inputs, taken once. The least-squares weights join the fixed and random
+    starts. The driver holds weight vectors and one matrix of their size.
 
     ``select="score"`` returns the weights with the best packed score seen in
     any evaluation, ``select="loss"`` those with the lowest mape seen.
@@ -142,8 +147,12 @@ class WeightSearch:
         """Search on the rows of ``df``; its narrow inputs are kept for the passes."""
         data = blend_inputs(df, self.y_true, self.preds, self.area).persist()
         self.seen_best: dict | None = None
-        points = self._evaluate(data, self.starts(), slopes=True)
-        live = [{**p, "h": np.eye(self.dim), "new": True} for p in points if self._usable(p)]
+        self.metric, target = second_moments(data, self.dim)
+        self.metric = self.metric + np.eye(self.dim) * (1e-10 * np.trace(self.metric) / self.dim)
+        self.inverse_metric = np.linalg.inv(self.metric)
+        fitted = self._clip(self.inverse_metric @ target)
+        points = self._evaluate(data, [fitted, *self.starts()], slopes=True)
+        live = [{**p, "h": self.inverse_metric, "new": True} for p in points if self._usable(p)]
         for _ in range(self.max_iter):
             if not live:
                 break
@@ -151,9 +160,12 @@ class WeightSearch:
             for k, p in enumerate(live):
                 direction = -p["h"] @ p["grad"]
                 if direction @ p["grad"] >= 0:
-                    p["h"], direction = np.eye(self.dim), -p["grad"]
+                    p["h"], p["new"] = self.inverse_metric, True
+                    direction = -p["h"] @ p["grad"]
                 if p["new"]:
-                    direction = direction * (0.1 / max(np.linalg.norm(direction), 1e-300))
+                    # First step of a start: move the log prediction by a few percent.
+                    size = np.sqrt(max(direction @ self.metric @ direction, 1e-300))
+                    direction = direction * (FIRST_MOVE / size)
                 for step in STEP_LENGTHS:
                     trials.append(self._clip(p["w"] + step * direction))
                     owner.append(k)
@@ -164,9 +176,8 @@ class WeightSearch:
                 best = min(mine, key=lambda t: t["loss"], default=None)
                 if best is not None and best["loss"] < p["loss"] - self.tol * abs(p["loss"]) * 1e-2:
                     moved.append((p, best["w"]))
-                elif not p["new"] and not np.array_equal(p["h"], np.eye(self.dim)):
-                    # The curvature estimate led nowhere: try the plain slope once more.
-                    p.update(h=np.eye(self.dim), new=True)
+                elif not p["new"]:
+                    # The curvature estimate led nowhere: start it afresh from here.
                     moved.append((p, p["w"]))
             after = self._evaluate(data, [w for _, w in moved], slopes=True)
             live = [self._curved(p, new) for (p, _), new in zip(moved, after) if self._usable(new)]
@@ -185,11 +196,11 @@ class WeightSearch:
         h, sd = old["h"], s @ d
         if sd > 1e-12 * np.linalg.norm(s) * max(np.linalg.norm(d), 1e-300) and sd > 0:
             if old["new"]:
-                h = np.eye(self.dim) * (sd / (d @ d))
+                h = self.inverse_metric * (sd / (d @ self.inverse_metric @ d))
             left = np.eye(self.dim) - np.outer(s, d) / sd
             h = left @ h @ left.T + np.outer(s, s) / sd
             return {**new, "h": h, "new": False}
-        return {**new, "h": np.eye(self.dim), "new": True}
+        return {**new, "h": self.inverse_metric, "new": True}
 
     def _remember(self, points: list[dict]) -> list[dict]:
         for p in points:

@@ -17,6 +17,8 @@ LOG_SHIFT = 0.1
 
 
 def _moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    if not cols:
+        return {}
     aggs = []
     for i, c in enumerate(cols):
         aggs += [
@@ -144,7 +146,7 @@ class SkewLog:
             table = skewness_table(df, cols, self.limit)
             skewed = [r["column"] for r in table.where("right_skewed").collect()]
         self.cols = [c for c in cols if c in set(skewed)]
-        m = _moments(df, self.cols) if self.cols else {}
+        m = _moments(df, self.cols)
         self.mins = {c: min(m[c]["min"], 0) for c in self.cols}
         return self
 
