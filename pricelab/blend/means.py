@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricelab.blend.candidates import blend_inputs, evaluate
 from pricelab.functions.rows import row_dot, row_mean
 from pricelab.functions.targets import target_inverse
-from pricelab.operators.metrics import CANDIDATES_PER_PASS, METRICS, blended
+from pricelab.operators.metrics import blended
 
 # Fixed value: weights further from one than this draw a warning.
 WEIGHT_SUM_TOLERANCE = 1e-4
@@ -61,28 +63,30 @@ def subset_mean(preds: Sequence[str], area: str | None = None, log: bool = True)
 
 
 def backward_subset_mean(
-    df: DataFrame, y_true: str, preds: Sequence[str], area: str | None = None, log: bool = True, metric: str = "score"
+    df: DataFrame, y_true: str, preds: Sequence[str], area: str | None = None, log: bool = True
 ) -> DataFrame:
     """Start with all models, drop the one whose removal scores best, until one is left.
 
-    Every trial is kept: rows (step, models, score). The candidates of a step
-    are aggregate columns of one scan.
+    Every trial is kept: rows (step, models, score). A subset mean is a weight
+    vector of equal shares, so the candidates of a step share one scan.
     """
-    def score(subsets: list[list[str]]) -> list[float]:
-        out: list[float] = []
-        for i in range(0, len(subsets), CANDIDATES_PER_PASS):
-            chunk = subsets[i : i + CANDIDATES_PER_PASS]
-            aggs = [METRICS[metric](y_true, subset_mean(s, area, log)).alias(f"s{j}") for j, s in enumerate(chunk)]
-            out += list(df.agg(*aggs).first())
-        return out
-
-    current = list(preds)
-    trials = [(0, ",".join(current), float(score([current])[0]))]
+    if not log and area is not None:
+        raise ValueError("per-area means are taken on the log scale")
+    data = blend_inputs(df, y_true, preds, area, log).persist()
+
+    def score(subsets: list[list[int]]) -> list[float]:
+        shares = [np.array([1.0 / len(s) if i in s else 0.0 for i in range(len(preds))]) for s in subsets]
+        return [float(e["score"]) for e in evaluate(data, shares, log=log)]
+
+    named = lambda s: ",".join(preds[i] for i in s)
+    current = list(range(len(preds)))
+    trials = [(0, named(current), score([current])[0])]
     step = 0
     while len(current) > 1:
         step += 1
         subsets = [[p for p in current if p != gone] for gone in current]
         scores = score(subsets)
-        trials += [(step, ",".join(s), float(v)) for s, v in zip(subsets, scores)]
-        current = subsets[max(range(len(scores)), key=lambda j: scores[j])]
-    return df.sparkSession.createDataFrame(trials, f"step int, models string, {metric} double")
+        trials += [(step, named(s), v) for s, v in zip(subsets, scores)]
+        current = subsets[int(np.argmax(scores))]
+    data.unpersist()
+    return df.sparkSession.createDataFrame(trials, "step int, models string, score double")

@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.blend.candidates import blend_inputs, evaluate, second_moments
 from pricelab.functions.rows import row_dot, row_mean
-from pricelab.operators.metrics import hit_score, score_weight_grid
+from pricelab.operators.metrics import CANDIDATES_PER_PASS, hit_score, score_weight_grid
 from pricelab.operators.tables import top_results
 
 # Fixed value: grid steps per unit of weight.
 GRID_STEPS = 5
 
+# Grid vectors scored together by the candidate matrix.
+GRID_PER_PASS = 400
+
 # Random moves scored together.
 MOVES_PER_PASS = 40
 
@@ -42,8 +45,23 @@ def simplex_grid(n: int, steps: int = GRID_STEPS) -> list[tuple[float, ...]]:
 def simplex_grid_blend(
     df: DataFrame, y_true: str, preds: Sequence[str], steps: int = GRID_STEPS, metric: str = "score", log: bool = False
 ) -> DataFrame:
-    """Score of every grid vector: rows (weight_id, w1.., metric)."""
-    return score_weight_grid(df, y_true, preds, simplex_grid(len(preds), steps), metric, log)
+    """Score of every grid vector: rows (weight_id, w1.., metric).
+
+    A small grid is one pass of aggregate columns, a large one goes through the
+    candidate matrix, several hundred vectors per pass.
+    """
+    grid = simplex_grid(len(preds), steps)
+    if len(grid) <= CANDIDATES_PER_PASS:
+        return score_weight_grid(df, y_true, preds, grid, metric, log)
+    data = blend_inputs(df, y_true, preds, log=log).persist()
+    rows = []
+    for i in range(0, len(grid), GRID_PER_PASS):
+        chunk = grid[i : i + GRID_PER_PASS]
+        scored = evaluate(data, [np.array(w) for w in chunk], "mape" if metric == "score" else metric, log)
+        rows += [(i + j, *w, float(e["score"] if metric == "score" else e["loss"])) for j, (w, e) in enumerate(zip(chunk, scored))]
+    data.unpersist()
+    columns = ", ".join(f"w{k + 1} double" for k in range(len(preds)))
+    return df.sparkSession.createDataFrame(rows, f"weight_id int, {columns}, {metric} double")
 
 
 def random_refine_blend(

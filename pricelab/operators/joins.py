@@ -8,29 +8,49 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricelab.functions.targets import col
 from pricelab.operators.ranks import layout_partition, ordered_layout, per_partition_literal
-from pricelab.session import BROADCAST_ROWS
+from pricelab.session import BROADCAST_ROWS, materialize, shuffle_width
 
-_SALTS = 32
+# A key is hot when it holds more than this part of one shuffle partition's fair share.
+_HOT_SHARE = 0.25
 
 
 def lookup_join(df: DataFrame, state: DataFrame, on: dict[str, str], rows: int | None = None) -> DataFrame:
     """Left join of a table with one row per key, safe for hot keys.
 
     The state is counted (pass ``rows`` when known). Small: broadcast, no
-    shuffle. Larger: both sides are salted so one hot key spreads over many
-    tasks; the state is repeated per salt, the data rows are not.
+    shuffle. Larger: a shuffle join in which the rows of hot keys take their
+    state from a broadcast of those few keys and are dealt evenly to all tasks.
     """
     keys = {left: f"__k{i}" for i, left in enumerate(on)}
     side = state.withColumnsRenamed({right: keys[left] for left, right in on.items()})
     if rows is None:
-        rows = side.limit(BROADCAST_ROWS + 1).count()
+        rows = side.count()
     cond = [F.col(left) == F.col(k) for left, k in keys.items()]
     if rows <= BROADCAST_ROWS:
         return df.join(F.broadcast(side), cond, "left").drop(*keys.values())
-    salted = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    spread = df.withColumn("__row_salt", F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)).cast("int"))
-    joined = spread.join(salted, [*cond, F.col("__row_salt") == F.col("__salt")], "left")
-    return joined.drop(*keys.values(), "__salt", "__row_salt")
+    return _shuffled_lookup(df, side, keys, cond)
+
+
+def _shuffled_lookup(df: DataFrame, side: DataFrame, keys: dict[str, str], cond: list[Column]) -> DataFrame:
+    width = shuffle_width(df.sparkSession)
+    counts = materialize(df.groupBy(*[F.col(left).alias(k) for left, k in keys.items()]).agg(F.count(F.lit(1)).alias("__n")))
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    # Fewer than width / share keys can exceed the limit, whatever the data.
+    hot_keys = counts.where(F.col("__n") > _HOT_SHARE * total / width).drop("__n")
+    hot_keys = materialize(hot_keys.dropna())
+    fields = [c for c in side.columns if c not in keys.values()]
+    names = list(keys.values())
+    cold = side.join(F.broadcast(hot_keys), names, "left_anti").withColumn("__deal", F.lit(0))
+    hot = hot_keys.join(side, names, "left").select(*names, F.struct(*fields).alias("__hot"))
+    flagged = df.join(F.broadcast(hot), cond, "left").drop(*names)
+    # Hot and unknown keys meet no cold row, so any task may take them.
+    free = F.col("__hot").isNotNull()
+    for left in keys:
+        free = free | F.col(left).isNull()
+    deal = F.when(free, F.pmod(F.xxhash64(*df.columns), F.lit(width)).cast("int") + 1).otherwise(F.lit(0))
+    joined = flagged.withColumn("__d", deal).join(cold, [*cond, F.col("__d") == F.col("__deal")], "left")
+    picked = {f: F.when(F.col("__hot").isNotNull(), F.col("__hot")[f]).otherwise(F.col(f)) for f in fields}
+    return joined.withColumns(picked).drop(*names, "__hot", "__d", "__deal")
 
 
 def lookup_encode(df: DataFrame, column: str, state: DataFrame, code: str, out: str, default: object) -> DataFrame:

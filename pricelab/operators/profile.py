@@ -198,13 +198,18 @@ def above_median(df: DataFrame, target: str, name: str = "event") -> DataFrame:
     return df.withColumn(name, F.col(target) > F.lit(exact_median(df, [target])[target]))
 
 
-def woe(df: DataFrame, feature: str, event: str) -> DataFrame:
-    """Weight of evidence (non-events over events) and count-share difference per value."""
+def woe(df: DataFrame, features: Sequence[str], event: str) -> DataFrame:
+    """Weight of evidence (non-events over events) and count-share difference: rows (feature, value, ...).
+
+    One grouped pass covers all features.
+    """
     totals = df.agg(F.count_if(event).alias("t"), F.count_if(~F.col(event)).alias("f")).first()
     n_t, n_f = F.lit(float(totals["t"])), F.lit(float(totals["f"]))
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in features])
     counted = (
-        df.where(F.col(feature).isNotNull())
-        .groupBy(F.col(feature).alias("value"))
+        df.select(event, F.inline(entries))
+        .where(F.col("value").isNotNull())
+        .groupBy("feature", "value")
         .agg(F.count_if(event).alias("events"), F.count_if(~F.col(event)).alias("nonevents"))
     )
     prior = F.lit(WOE_PRIOR)
@@ -218,11 +223,7 @@ def woe(df: DataFrame, feature: str, event: str) -> DataFrame:
 
 def woe_iv(df: DataFrame, features: Sequence[str], event: str) -> DataFrame:
     """Information value per feature."""
-    out = None
-    for f in features:
-        part = woe(df, f, event).agg(F.sum(F.col("woe") * F.col("diff")).alias("iv")).select(F.lit(f).alias("feature"), "iv")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return woe(df, features, event).groupBy("feature").agg(F.sum(F.col("woe") * F.col("diff")).alias("iv"))
 
 
 def group_stats(df: DataFrame, by: str, area: str, target: str) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricelab.functions.targets import col
 from pricelab.operators.ranks import layout_partition, offsets, ordered_layout
 
 _ACCURACY = 10_000
@@ -27,6 +28,37 @@ def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     return {c: q[0] for c, q in exact_quantiles(df, cols, [0.5]).items()}
 
 
+def values_at_positions(df: DataFrame, column: str, positions: Sequence[int]) -> dict[int, float]:
+    """Known values at 0-based sorted positions; rows that share a value count as one entry."""
+    wanted = sorted({int(p) for p in positions})
+    plain = df.select(F.nanvl(F.col(column).cast("double"), F.lit(None)).alias("c0"))
+    n = plain.agg(F.count("c0")).first()[0]
+    if not wanted or wanted[0] < 0 or wanted[-1] >= n:
+        raise ValueError(f"positions {wanted} outside 0..{n - 1}")
+    margin = 2.0 / _ACCURACY
+    marks = [m for p in wanted for m in (max(0.0, p / n - margin), min(1.0, (p + 1) / n + margin))]
+    at = plain.agg(F.percentile_approx("c0", marks, _ACCURACY)).first()[0]
+    spans = _merged(list(zip(at[0::2], at[1::2])))
+    found = _values_at(plain, {0: wanted}, {0: spans}) or _values_at(plain, {0: wanted}, {0: [(-math.inf, math.inf)]})
+    return found[0]
+
+
+def rank_split(df: DataFrame, value: str, positions: Sequence[int], name: str = "grp") -> DataFrame:
+    """Group 0, 1, 2, ... by the values found at the given sorted positions (strictly below = lower group)."""
+    cuts = values_at_positions(df, value, positions)
+    thresholds = [cuts[int(p)] for p in sorted(positions)]
+    return df.withColumn(name, split_by(value, thresholds))
+
+
+def split_by(value: Column | str, thresholds: Sequence[float]) -> Column:
+    """Number of thresholds at or below the value (unknown values land in the top group)."""
+    v = col(value)
+    group = F.lit(len(thresholds))
+    for i in reversed(range(len(thresholds))):
+        group = F.when(v < F.lit(thresholds[i]), F.lit(i)).otherwise(group)
+    return group
+
+
 def _quantiles(df, cols, probs):
     plain = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"c{i}") for i, c in enumerate(cols)])
     margin = 3.0 / _ACCURACY

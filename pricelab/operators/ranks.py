@@ -77,13 +77,15 @@ def global_rank(
 
 
 def order_stats(
-    df: DataFrame, value: str, positions: Sequence[int], tie: Sequence[Column | str] = (), total: int | None = None
+    df: DataFrame, value: str, positions: Sequence[int], tie: Sequence[Column | str], total: int | None = None
 ) -> dict[int, dict]:
     """Rows at the given 0-based positions of ``df`` sorted by value, then ``tie``.
 
     A quantile sketch brackets each position; only rows inside the brackets are
     ranked, so the table itself is scanned but not shuffled. Counts taken below
     each bracket make the answer exact, and a bracket that misses widens to all.
+    The tie must make the order total (end it with the id); for values alone use
+    ``values_at_positions``.
     """
     wanted = sorted(set(int(p) for p in positions))
     if not wanted:
@@ -170,22 +172,6 @@ def rank_level(df: DataFrame, value: str, tie: str, k: int, name: str = "level")
     return df.withColumn(name, F.when(F.col(value).isNotNull(), level))
 
 
-def rank_split(df: DataFrame, value: str, positions: Sequence[int], name: str = "grp") -> DataFrame:
-    """Group 0, 1, 2, ... by the values found at the given sorted positions (strictly below = lower group)."""
-    cuts = order_stats(df.select(value), value, positions)
-    thresholds = [cuts[int(p)][value] for p in sorted(positions)]
-    return df.withColumn(name, split_by(value, thresholds))
-
-
-def split_by(value: Column | str, thresholds: Sequence[float]) -> Column:
-    """Number of thresholds at or below the value (unknown values land in the top group)."""
-    v = col(value)
-    group = F.lit(len(thresholds))
-    for i in reversed(range(len(thresholds))):
-        group = F.when(v < F.lit(thresholds[i]), F.lit(i)).otherwise(group)
-    return group
-
-
 def trim_tails(df: DataFrame, value: str, tie: str, pct: float) -> DataFrame:
     """Drop ``int(n * pct / 100 / 2)`` rows at each end of the value order."""
     narrow = df.select(value, tie).where(F.col(value).isNotNull())

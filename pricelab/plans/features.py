@@ -438,7 +438,7 @@ def flagship(spark, sf_dir):
     state = cells.join(totals, by).select(
         *by, "fold", F.try_divide(F.col("ts") - F.col("s"), F.col("tn") - F.col("n")).alias("pred")
     )
-    scored = lookup_join(table, state, {c: c for c in [*by, "fold"]}).withColumn("y_pred", target_inverse("pred", AREA))
+    scored = lookup_join(table, materialize(state), {c: c for c in [*by, "fold"]}).withColumn("y_pred", target_inverse("pred", AREA))
     return rounded(
         scored.groupBy("fold").agg(
             M.hit_score(PRICE, "y_pred").alias("score"),

@@ -9,7 +9,7 @@ from pricelab.encoders.stages import FeatureSteps
 from pricelab.models import importance as I
 from pricelab.models import jobs as J
 from pricelab.models import search as S
-from pricelab.operators.ranks import split_by
+from pricelab.operators.quantiles import split_by
 from pricelab.plans.fixtures import MODELS, fold_of, predictions_wide, rounded, transactions, with_preds
 from pricelab.plans.registry import query
 from pricelab.session import stored

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from pricelab.operators.joins import nearest_value_join
 from pricelab.operators.metrics import hit_score
+from pricelab.operators.quantiles import rank_split
 from pricelab.operators.ranks import (
-    category_codes, global_rank, rank_level, rank_split, shuffle_column, stratified_folds, trim_tails, within_group_rank,
+    category_codes, global_rank, rank_level, shuffle_column, stratified_folds, trim_tails, within_group_rank,
 )
 from pricelab.functions.keys import seeded_text
 from pricelab.functions.targets import target_transform

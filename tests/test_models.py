@@ -136,6 +136,15 @@ def test_simplex_grid():
     assert all(sum(w) == pytest.approx(1.0) for w in grid)
 
 
+def test_small_and_large_grids_agree(spark, blend, monkeypatch):
+    small = sorted(map(tuple, W.simplex_grid_blend(blend, "total_price", PREDS, steps=3, metric="mape", log=True).collect()))
+    monkeypatch.setattr(W, "CANDIDATES_PER_PASS", 1)
+    monkeypatch.setattr(W, "GRID_PER_PASS", 4)
+    large = sorted(map(tuple, W.simplex_grid_blend(blend, "total_price", PREDS, steps=3, metric="mape", log=True).collect()))
+    assert [r[:4] for r in small] == [r[:4] for r in large]
+    assert [r[4] for r in small] == pytest.approx([r[4] for r in large])
+
+
 def test_candidate_scores_match_the_aggregates(spark, blend):
     points = [np.array([0.5, 0.3, 0.2]), np.array([1.0, 0.0, 0.0])]
     for log in (True, False):

@@ -108,7 +108,7 @@ def test_kinds_and_nulls(spark):
 
 def test_woe_by_hand(spark):
     df = spark.createDataFrame([("a", True), ("a", True), ("a", False), ("b", False)], "c string, e boolean")
-    got = {r["value"]: r["woe"] for r in P.woe(df, "c", "e").collect()}
+    got = {r["value"]: r["woe"] for r in P.woe(df, ["c"], "e").collect()}
     assert got["a"] == pytest.approx(math.log((1.5 / 2) / (2.5 / 2)))
     assert got["b"] == pytest.approx(math.log((1.5 / 2) / (0.5 / 2)))
 

@@ -48,9 +48,14 @@ def test_order_stats_are_exact(spark, large_paths):
     assert {p: (r["v"], r["id"]) for p, r in got.items()} == {p: expected[p] for p in (0, 999, 1500, 2999)}
 
 
+def test_values_at_positions_with_a_hot_value(spark):
+    expected = sorted(r["v"] for r in skewed(spark).collect())
+    assert Q.values_at_positions(skewed(spark), "v", [0, 1000, 2999]) == {p: expected[p] for p in (0, 1000, 2999)}
+
+
 def test_order_stats_reject_positions_outside(spark):
     with pytest.raises(ValueError):
-        R.order_stats(skewed(spark), "v", [3000])
+        R.order_stats(skewed(spark), "v", [3000], tie=["id"])
 
 
 def test_exact_quantiles_against_sorting(spark, large_paths):
@@ -88,7 +93,7 @@ def test_trim_tails_size(spark, pct, kept):
 
 def test_rank_split_uses_strictly_below(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 2, 3, 4, 5)], "v double")
-    got = sorted((r["v"], r["grp"]) for r in R.rank_split(df, "v", [2, 4]).collect())
+    got = sorted((r["v"], r["grp"]) for r in Q.rank_split(df, "v", [2, 4]).collect())
     assert got == [(1.0, 0), (2.0, 1), (2.0, 1), (3.0, 1), (4.0, 2), (5.0, 2)]
 
 
@@ -179,6 +184,7 @@ def test_lookup_join_beyond_the_broadcast_bound(spark, monkeypatch):
     import pricelab.operators.joins as J
 
     df = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 90).cast("string")).alias("k"))
+    df = df.withColumn("k", F.when(F.col("id") % 50 != 1, F.col("k")))
     state = spark.range(80).select(F.col("id").cast("string").alias("value"), F.col("id").alias("code")).union(
         spark.createDataFrame([("hot", -5)], "value string, code bigint")
     )
