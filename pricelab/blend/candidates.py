@@ -9,15 +9,20 @@ grouped aggregate keyed by candidate; no data rows move.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.functions.errors import HIT_LIMIT, SMOOTH_SLOPE, SMOOTH_STEEPNESS
 from pricelab.operators.metrics import HIT_SCALE
 
+# Ship this module's task functions by value: workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LOSSES = ("mape", "mse", "mae", "smooth")
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricelab.functions.keys import seeded_text
+from pricelab.operators.joins import count_compare, lookup_join
+from pricelab.session import BROADCAST_ROWS, materialize
+
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5, tail: bool = False) -> DataFrame:
     """First or last n rows of an order, as a top-k without a full sort."""
@@ -15,8 +20,6 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 5, tail: bool = False)
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """n rows in seeded hash order: a reproducible sample."""
-    from pricelab.functions.keys import seeded_text
-
     return df.orderBy(seeded_text(seed, key), key).limit(n)
 
 
@@ -34,8 +37,6 @@ def select_features(
 
 def columns_matching(df: DataFrame, pattern: str) -> list[str]:
     """Columns of a naming block, such as ``^XIV_\\d+$``."""
-    import re
-
     return [c for c in df.columns if re.search(pattern, c)]
 
 
@@ -44,10 +45,20 @@ def rename_drop(df: DataFrame, rename: dict[str, str], drop: Sequence[str] = ())
 
 
 def last_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Latest row per key as a partial aggregate: no window, no sort per key."""
+    """Latest row per key under the order columns, without a window or a sort per key.
+
+    With few keys the latest first order value per key (a plain hash aggregate)
+    is broadcast and filters the rows, so only ties reach the row-valued
+    aggregate.
+    """
+    peaks = materialize(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order[0]).alias("__peak")))
+    n = peaks.count()
+    rows = df.where(F.col(key).isNotNull())
+    if n <= BROADCAST_ROWS:
+        rows = lookup_join(rows, peaks, {key: key}, n).where(F.col(order[0]).eqNullSafe(F.col("__peak"))).drop("__peak")
     rest = [c for c in df.columns if c != key]
     latest = F.max_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(key).agg(latest.alias("r")).select(key, "r.*")
+    return rows.groupBy(key).agg(latest.alias("r")).select(key, "r.*")
 
 
 def first_distinct(df: DataFrame, *cols: str) -> DataFrame:
@@ -68,8 +79,6 @@ def union_rows(*frames: DataFrame) -> DataFrame:
 
 def category_diff(train: DataFrame, test: DataFrame, column: str) -> DataFrame:
     """Values with their row counts, marked train_only, test_only or shared."""
-    from pricelab.operators.joins import count_compare
-
     t, s = F.col("train"), F.col("test")
     side = F.when(s.isNull(), F.lit("train_only")).when(t.isNull(), F.lit("test_only")).otherwise(F.lit("shared"))
     return count_compare(train, test, column, "full").select(
