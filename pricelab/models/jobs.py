@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricelab.encoders.stages import FeatureSteps
 from pricelab.functions.rows import row_dot, row_mean, row_vote
@@ -67,6 +70,15 @@ def random_forest(
     )
 
 
+def run_all(tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
+    """Run independent fits from a few driver threads, so that one job's tail overlaps the next."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [task() for task in tasks]
+    in_session = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return [f.result() for f in [pool.submit(in_session(t)) for t in tasks]]
+
+
 def uses_validation(est: Estimator) -> bool:
     return est.hasParam("validationIndicatorCol") and est.isSet("validationIndicatorCol")
 
@@ -113,14 +125,14 @@ def cross_predict(
     folds: Sequence[int] = range(5),
     test: DataFrame | None = None,
     steps: Callable[[], FeatureSteps] | None = None,
+    parallelism: int = 2,
 ) -> CrossResult:
     """Fit on all folds but one, predict that one and the test set.
 
     Feature steps are fitted per fold on its train rows only. Give a frame that
     is cheap to read again (a written table): each fold scans it once.
     """
-    held, tests, models = [], [], []
-    for f in folds:
+    def one_fold(f: int) -> tuple[DataFrame, DataFrame | None, Model]:
         train, val, other = df.where(F.col(fold) != f), df.where(F.col(fold) == f), test
         cols = list(features)
         if steps is not None:
@@ -129,20 +141,21 @@ def cross_predict(
             train, val = stored(fitted.transform(train, is_train=True)), stored(fitted.transform(val))
             other = None if test is None else fitted.transform(test)
             cols = fitted.features()
-        train, val = assemble(train, cols), assemble(val, cols)
-        model = fit_on(make(), train, val)
-        models.append(model)
-        held.append(model.transform(val).drop(FEATURES))
+        val = assemble(val, cols)
+        model = fit_on(make(), assemble(train, cols), val)
+        raw = None
         if other is not None:
             raw = model.transform(assemble(other, cols)).select(key, F.col("y_raw").alias(f"target_{f}"))
-            tests.append(raw)
+        return model.transform(val).drop(FEATURES), raw, model
+
+    done = run_all([partial(one_fold, f) for f in folds], parallelism)
     out_test = None
     if test is not None:
         # All folds predict the same ids: one grouped pass in place of a join per fold.
         names = [f"target_{f}" for f in folds]
-        stacked = union_rows(*tests)
+        stacked = union_rows(*[raw for _, raw, _ in done])
         out_test = stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in names])
-    return CrossResult(union_rows(*held), out_test, models)
+    return CrossResult(union_rows(*[held for held, _, _ in done]), out_test, [model for _, _, model in done])
 
 
 def kfold_test(result: CrossResult, folds: Sequence[int], log: bool = True) -> DataFrame:
@@ -169,26 +182,26 @@ def segment_models(
     fold: str = "fold",
     folds: Sequence[int] = range(5),
     duplicate: bool = False,
+    parallelism: int = 2,
 ) -> DataFrame:
     """One model per segment and fold; each predicts its own segment.
 
     ``duplicate`` trains on all rows and counts the segment twice, through a
     row weight in place of copied rows.
     """
-    held = []
     ready = assemble(df, features)
-    for f in folds:
+
+    def one(f: int, s: object) -> DataFrame:
         train, val = ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
-        for s in segments:
-            mine = F.col(segment) == F.lit(s)
-            if duplicate:
-                rows = train.withColumn(WEIGHT, F.when(mine, F.lit(2.0)).otherwise(F.lit(1.0)))
-            else:
-                rows = train.where(mine).withColumn(WEIGHT, F.lit(1.0))
-            target_rows = val.where(mine).withColumn(WEIGHT, F.lit(1.0))
-            model = fit_on(make(), rows, target_rows)
-            held.append(model.transform(target_rows).drop(FEATURES, WEIGHT))
-    return union_rows(*held)
+        mine = F.col(segment) == F.lit(s)
+        if duplicate:
+            rows = train.withColumn(WEIGHT, F.when(mine, F.lit(2.0)).otherwise(F.lit(1.0)))
+        else:
+            rows = train.where(mine).withColumn(WEIGHT, F.lit(1.0))
+        target_rows = val.where(mine).withColumn(WEIGHT, F.lit(1.0))
+        return fit_on(make(), rows, target_rows).transform(target_rows).drop(FEATURES, WEIGHT)
+
+    return union_rows(*run_all([partial(one, f, s) for f in folds for s in segments], parallelism))
 
 
 def group_classifier(
@@ -266,6 +279,7 @@ def stack_linear(
     area: str | None = None,
     fold: str = "fold",
     folds: Sequence[int] = range(3),
+    parallelism: int = 4,
 ) -> LinearStack:
     """Least squares or Lasso of the log price on log predictions.
 
@@ -285,10 +299,12 @@ def stack_linear(
         )
         return est.fit(rows)
 
+    pairs = [(f, a) for f in folds for a in alphas]
+    fits = run_all([partial(fit, ready.where(F.col(fold) != f), a) for f, a in pairs], parallelism)
     rows = []
     for f in folds:
-        train, val = ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
-        models = [fit(train, a) for a in alphas]
+        val = ready.where(F.col(fold) == f)
+        models = [m for m, (g, _) in zip(fits, pairs) if g == f]
         scored = val.agg(
             *[
                 M.hit_score(y_true, linear_price(preds, m.coefficients, m.intercept, area)).alias(f"s{i}")
