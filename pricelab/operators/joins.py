@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pricelab.functions.targets import col
 from pricelab.operators.ranks import layout_partition, ordered_layout, per_partition_literal
 from pricelab.session import BROADCAST_ROWS, materialize, shuffle_width
 

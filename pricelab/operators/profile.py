@@ -7,8 +7,6 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricelab.functions.errors import percent_error
-from pricelab.functions.targets import col
 from pricelab.operators.quantiles import exact_median, exact_quantiles
 
 # Aggregate expressions per pass, so that very wide frames stay plannable.

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pricelab.blend import means as B
 from pricelab.blend import weights as W
 from pricelab.functions.targets import target_transform
-from pricelab.operators.metrics import hit_score
 from pricelab.plans.fixtures import MODELS, fold_of, hit_sql, predictions_wide, rounded, transactions, with_preds, with_txn
 from pricelab.plans.registry import query
 from pricelab.session import stored

@@ -14,7 +14,7 @@ from pricelab.functions.targets import (
     area_ratio, building_age_years, height_ratio, target_column, target_inverse, target_transform, threshold_flag,
     top_floor,
 )
-from pricelab.encoders.numeric import SkewLog, shift_log10
+from pricelab.encoders.numeric import SkewLog
 from pricelab.operators import metrics as M
 from pricelab.operators.filters import (
     error_within, fill_constants, finite_only, keep_scored_features, null_rare_categories, null_slice, segment_filter,

@@ -10,7 +10,7 @@ from pricelab.models import importance as I
 from pricelab.models import jobs as J
 from pricelab.models import search as S
 from pricelab.operators.quantiles import split_by
-from pricelab.plans.fixtures import MODELS, fold_of, predictions_wide, rounded, transactions, with_preds
+from pricelab.plans.fixtures import MODELS, fold_of, predictions_wide, transactions, with_preds
 from pricelab.plans.registry import query
 from pricelab.session import stored
 
@@ -62,7 +62,7 @@ def q_boosted_trees(spark, sf_dir):
     df = _frame(spark, sf_dir)
     ready = J.assemble(df, FEATURES)
     model = J.fit_on(_trees(6), ready.where("fold <> 0"), ready.where("fold = 0"))
-    return _prices(model.transform(ready.where("fold = 0")))
+    return _prices(model.transform(ready))
 
 
 @query("random_forest")
@@ -89,14 +89,14 @@ def _grouped(spark, sf_dir):
 @query("segment_models")
 def q_segment_models(spark, sf_dir):
     df = _grouped(spark, sf_dir)
-    return _prices(J.segment_models(df, "price_group_pred", [0, 1, 2], _trees, FEATURES, folds=range(2)))
+    return _prices(J.segment_models(df, "price_group_pred", [0, 1, 2], _trees, FEATURES, folds=FOLDS))
 
 
 @query("segment_models_duplicated")
 def q_segment_models_duplicated(spark, sf_dir):
     df = _grouped(spark, sf_dir)
     make = lambda: _trees(3, weighted=True)
-    return _prices(J.segment_models(df, "price_group_pred", [0, 1, 2], make, FEATURES, folds=range(1), duplicate=True))
+    return _prices(J.segment_models(df, "price_group_pred", [0, 1, 2], make, FEATURES, folds=FOLDS, duplicate=True))
 
 
 @query("group_classifier")
@@ -151,30 +151,30 @@ def q_random_search(spark, sf_dir):
     make = lambda p: J.boosted_trees(TARGET, max_iter=3, depth=p["depth"], step=p["step"])
     ranked = ["lon", "lat", "txn_dt"]
     features_of = lambda p: [c for c in FEATURES if c not in ranked[: p["n_feats_rm"]]]
-    return S.random_search(_frame(spark, sf_dir), make, params, features_of, TARGET, _inverse(), folds=range(2), floor=0.0)
+    return S.random_search(_frame(spark, sf_dir), make, params, features_of, TARGET, _inverse(), folds=FOLDS, floor=0.0)
 
 
 @query("iteration_curve")
 def q_iteration_curve(spark, sf_dir):
-    curve = I.iteration_curve(_frame(spark, sf_dir), lambda: _trees(5, early_stop=False), FEATURES, folds=range(2))
+    curve = I.iteration_curve(_frame(spark, sf_dir), lambda: _trees(5, early_stop=False), FEATURES, folds=FOLDS)
     return I.mean_curve(curve)
 
 
 @query("permutation_importance")
 def q_permutation_importance(spark, sf_dir):
-    return I.permutation_importance(_frame(spark, sf_dir), _trees, FEATURES, _inverse(), folds=range(2))
+    return I.permutation_importance(_frame(spark, sf_dir), _trees, FEATURES, _inverse(), folds=FOLDS)
 
 
 @query("step_removal")
 def q_step_removal(spark, sf_dir):
     ranked = ["lon", "lat", "txn_dt", "parking_price"]
-    return S.step_removal(_frame(spark, sf_dir), lambda: _trees(3), ranked, FEATURES, [0, 2, 4], TARGET, _inverse(), folds=range(2))
+    return S.step_removal(_frame(spark, sf_dir), lambda: _trees(3), ranked, FEATURES, [0, 2, 4], TARGET, _inverse(), folds=FOLDS)
 
 
 @query("single_addition")
 def q_single_addition(spark, sf_dir):
     base = ["lat", "lon", "txn_dt"]
-    return S.single_addition(_frame(spark, sf_dir), lambda: _trees(3), base, [AREA, "land_area"], TARGET, _inverse(), folds=range(2))
+    return S.single_addition(_frame(spark, sf_dir), lambda: _trees(3), base, [AREA, "land_area"], TARGET, _inverse(), folds=FOLDS)
 
 
 @query("tree_importance")

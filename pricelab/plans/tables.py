@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricelab.operators import tables as T
-from pricelab.plans.fixtures import rounded, table, transactions, with_txn
+from pricelab.plans.fixtures import table, transactions, with_txn
 from pricelab.plans.registry import query
 
 ID, PRICE = "building_id", "total_price"

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
-import glob
 import math
 import os
 import sys
