@@ -20,16 +20,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelab.llm.frames import chunks, whole_text
+from pricelab.llm.frames import chunks, once_per_worker, ship, whole_text
 
-#: Pieces whose encoding a task remembers.
+ship(__name__)
+
+#: Pieces whose encoding a task remembers in each of two generations; the older one is dropped when the younger is full.
 CACHE_PIECES = 300_000
+#: Token pairs whose compatibility is remembered.
+CACHE_PAIRS = 300_000
 #: Longest piece, in bytes, that is remembered.
 CACHE_BYTES = 64
 
@@ -88,7 +91,7 @@ class Bpe:
     def compatible(self, a: int, b: int) -> bool:
         known = self.memo.get((a, b))
         if known is None:
-            if len(self.memo) > 2_000_000:
+            if len(self.memo) >= CACHE_PAIRS:
                 self.memo.clear()
             known = self.memo[a, b] = self._compatible(a, b)
         return known
@@ -123,30 +126,40 @@ class Bpe:
         return out
 
 
-@lru_cache(maxsize=2)
 def _load(path: str) -> Bpe:
-    return Bpe(read_ranks(path))
+    return once_per_worker(("bpe", path), lambda: Bpe(read_ranks(path)))
 
 
 def _encoder(path: str, pattern: str):
+    return once_per_worker(("encoder", path, pattern), lambda: _new_encoder(path, pattern))
+
+
+def _new_encoder(path: str, pattern: str):
     """A function from text to ids, with the encodings of short pieces remembered."""
     import regex
 
-    bpe, split, seen = _load(path), regex.compile(pattern).findall, {}
+    bpe, split = _load(path), regex.compile(pattern).findall
+    young: dict[str, tuple] = {}
+    old: dict[str, tuple] = {}
+
+    def look_up(piece: str) -> tuple:
+        nonlocal young, old
+        got = old.get(piece)
+        if got is None:
+            raw = piece.encode("utf-8")
+            got = tuple(bpe.encode_piece(raw))
+            if len(raw) > CACHE_BYTES:
+                return got
+        if len(young) >= CACHE_PIECES:
+            young, old = {}, young
+        young[piece] = got
+        return got
 
     def ids(text: str) -> list[int]:
         out: list[int] = []
         extend = out.extend
         for piece in split(text):
-            got = seen.get(piece)
-            if got is None:
-                raw = piece.encode("utf-8")
-                got = tuple(bpe.encode_piece(raw))
-                if len(raw) <= CACHE_BYTES:
-                    if len(seen) >= CACHE_PIECES:
-                        seen.clear()
-                    seen[piece] = got
-            extend(got)
+            extend(young.get(piece) or look_up(piece))
         return out
 
     return ids

@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelab.llm.frames import chunks, whole_text, written
+from pricelab.llm.frames import chunks, ship, whole_text, written
+
+ship(__name__)
 
 #: Bytes of strings that a trie holds before it spills or flushes a part.
 TRIE_BYTES = 48 << 20
@@ -243,17 +245,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     the same identifier and text is marked as its twin is.
     """
     found = written(owners(docs, id_col, text_col, keep), "owners")
-    twice = found.groupBy("sha", "size").count().where("count > 1")
-    checked = found.join(twice.select("sha", "size", F.lit(True).alias("clash")), ["sha", "size"], "left").select(
-        "sha", "size", "owner",
-        F.when(F.col("clash"), F.raise_error(F.lit("two texts share one digest")).cast("long")).otherwise(F.col("n")).alias("n"),
-    )
+    if not found.groupBy("sha", "size").count().where("count > 1").isEmpty():
+        raise ValueError("two texts share one digest")
     text = whole_text(text_col)
     rows = docs.select(
         F.col(id_col).cast("long").alias(id_col), F.octet_length(text).cast("long").alias("size"),
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("sha"),
     )
-    return rows.join(checked, ["sha", "size"]).select(
+    return rows.join(found, ["sha", "size"]).select(
         id_col, F.col("owner").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("owner").eqNullSafe(F.col(id_col))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )

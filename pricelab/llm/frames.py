@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,22 @@ from pricelab.session import shared_dir
 CHUNK_BYTES = 4 << 20
 
 
+def ship(module: str) -> None:
+    """Let task functions of ``module`` travel by value, so workers need not have the package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+ship(__name__)
+
+
+def once_per_worker(key, make):
+    """``make()``, kept by the worker process for its later tasks under ``key``."""
+    kept = sys.modules.setdefault("pricelab_worker_cache", types.ModuleType("pricelab_worker_cache")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricelab.llm import bpe, exact_dedup, quality_rules, url_filter
+from pricelab.llm import balanced_mix, bpe, exact_dedup, quality_rules, url_filter
 from pricelab.llm.frames import table
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -96,4 +96,14 @@ SELECT page_id, host, path, string_split(hit, ' ')[2] AS rule, CASE WHEN hit IS
 @query("op10_url_filter", _OP10_SQL)
 def op10(spark, sf_dir):
     listed = spark.createDataFrame([(k,) for k in _LISTED], "key string")
-    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, listed)
+    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, listed).drop("url")
+
+
+#: Weights of the query's sources in turn, the share of all words that is mixed, and the most repeats.
+MIX_WEIGHTS, MIX_SHARE, MIX_CAP = (3, 1, 2), 1.5, 2.0
+
+
+@query("op9_balanced_mix")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return balanced_mix.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_CAP)

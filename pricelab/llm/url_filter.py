@@ -27,7 +27,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelab.llm.frames import written
+from pricelab.llm.frames import ship, written
+
+ship(__name__)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Broadcast bound of all levels together.
@@ -176,7 +178,7 @@ def with_listed(pages: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES)
         return keyed.join(hosts.withColumn("__on", F.lit(True)), "host", "left").withColumn(
             "listed", F.coalesce("__on", F.lit(False))
         ).drop("__on", "__keys")
-    shared = pages.sparkSession.sparkContext.broadcast(levels)
+    shared = pages.sparkSession.sparkContext.broadcast([(x.seed, x.probes, x.words) for x in levels])
 
     @F.pandas_udf("boolean")
     def any_listed(hashes: pd.Series) -> pd.Series:
@@ -185,7 +187,7 @@ def with_listed(pages: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES)
         sizes = hashes.map(len).to_numpy()
         flat = np.concatenate(hashes.to_list()).astype(np.int64).view(np.uint64)
         starts = np.cumsum(sizes) - sizes
-        return pd.Series(np.logical_or.reduceat(listed_in(shared.value, flat), starts))
+        return pd.Series(np.logical_or.reduceat(listed_in([Level(*x) for x in shared.value], flat), starts))
 
     return keyed.withColumn("listed", any_listed(F.transform("__keys", lambda k: F.xxhash64(k)))).drop("__keys")
 
