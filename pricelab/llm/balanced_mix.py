@@ -11,9 +11,10 @@ balancing constraints (one unit per document, its words, so that the expected
 document and word totals stay exact) until each document but a few is at 0 or 1.
 It runs in cells of bounded size: documents are dealt by a hash of identifier and
 content, each cell leaves at most two undecided documents, and the undecided ones
-of all cells fly again, until one cell holds all of a source. What is left there
-(two documents at most) is the landing: the rounding whose word total is nearest
-the target. Coins come from a hash of seed, source and cell, so reruns agree.
+of all cells fly again, until one cell holds all of a source. There the document
+constraint is dropped for the shortest documents, which even out the words; the
+landing problem is one document at most, rounded to the word total nearest the
+target. Coins come from a hash of seed, source and cell, so reruns agree.
 
 Null texts have size 0 and a null source is a source of its own, weighed last.
 Documents without words take nothing. A source without words has target 0. Ties
@@ -96,6 +97,28 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndar
     return p
 
 
+def settle(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """The flight with the document constraint dropped: two units at a time, only the words are kept; one is left open."""
+    p = p.copy()
+    for i in np.flatnonzero((size == 0) & (p > 0) & (p < 1)):
+        p[i] = float(rng.random() < p[i])
+    open_ = [i for i in range(len(p)) if 0 < p[i] < 1]
+    a = open_.pop() if open_ else None
+    while open_:
+        b = open_.pop()
+        up = min((1 - p[a]) * size[a], p[b] * size[b])
+        down = min(p[a] * size[a], (1 - p[b]) * size[b])
+        words = up if rng.random() * (up + down) < down else -down
+        for i, x in ((a, words), (b, -words)):
+            p[i] = min(1.0, max(0.0, p[i] + x / size[i]))
+            if p[i] < EPS or p[i] > 1 - EPS:
+                p[i] = round(p[i])
+        left = [i for i in (a, b) if 0 < p[i] < 1]
+        a = left[0] if left else (open_.pop() if open_ else None)
+        open_ += left[1:]
+    return p
+
+
 def landing(p: np.ndarray, size: np.ndarray, short: float) -> np.ndarray:
     """Rounds the open entries so that their words come nearest ``short``, the words still missing."""
     p = p.copy()
@@ -113,8 +136,12 @@ def _flyer(seed: int, level: int, last: bool):
         size = pdf["size"].to_numpy(float)
         source = None if pd.isna(pdf["source"].iloc[0]) else pdf["source"].iloc[0]
         before = pdf["p"].to_numpy(float)
-        p = flight(before, size, _coin(seed, level, source, int(pdf["cell"].iloc[0])))
+        rng = _coin(seed, level, source, int(pdf["cell"].iloc[0]))
+        # In the last cell the shortest quarter waits, to even out the words of what the others leave.
+        wait = len(pdf) // 4 if last else 0
+        p = np.concatenate([before[:wait], flight(before[wait:], size[wait:], rng)])
         if last:
+            p = settle(p, size, rng)
             p = landing(p, size, float(before @ size - size[p == 1].sum()))
         pdf["p"] = p
         return pdf
