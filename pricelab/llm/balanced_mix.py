@@ -13,8 +13,8 @@ It runs in cells of bounded size: documents are dealt by a hash of identifier an
 content, each cell leaves at most two undecided documents, and the undecided ones
 of all cells fly again, until one cell holds all of a source. There the document
 constraint is dropped for the shortest documents, which even out the words; the
-landing problem is one document at most, rounded to the word total nearest the
-target. Coins come from a hash of seed, source and cell, so reruns agree.
+landing rounds the one document that may be left and flips a few of the shortest
+where that brings the words nearer the target. Coins come from a hash of seed, source and cell, so reruns agree.
 
 Null texts have size 0 and a null source is a source of its own, weighed last.
 Documents without words take nothing. A source without words has target 0. Ties
@@ -119,13 +119,17 @@ def settle(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndar
     return p
 
 
-def landing(p: np.ndarray, size: np.ndarray, short: float) -> np.ndarray:
-    """Rounds the open entries so that their words come nearest ``short``, the words still missing."""
+def landing(p: np.ndarray, size: np.ndarray, short: float, free: int) -> np.ndarray:
+    """Rounds what is open; then each of the first ``free`` documents, long ones first, is
+    taken or left instead where that brings the words nearer ``short``, the words still missing."""
     p = p.copy()
-    open_ = [i for i in range(len(p)) if 0 < p[i] < 1]
-    best = min(range(1 << len(open_)), key=lambda m: (abs(short - sum(size[i] for k, i in enumerate(open_) if m >> k & 1)), m))
-    for k, i in enumerate(open_):
-        p[i] = float(best >> k & 1)
+    for i in np.flatnonzero((p > 0) & (p < 1))[::-1]:
+        p[i] = float(abs(short - size[i]) < abs(short))
+        short -= size[i] * p[i]
+    for i in range(free - 1, -1, -1):
+        change = size[i] * (1 - 2 * p[i])
+        if abs(short - change) < abs(short):
+            p[i], short = 1 - p[i], short - change
     return p
 
 
@@ -142,7 +146,7 @@ def _flyer(seed: int, level: int, last: bool):
         p = np.concatenate([before[:wait], flight(before[wait:], size[wait:], rng)])
         if last:
             p = settle(p, size, rng)
-            p = landing(p, size, float(before @ size - size[p == 1].sum()))
+            p = landing(p, size, float(before @ size - size[p == 1].sum()), wait if before[:1].any() else 0)
         pdf["p"] = p
         return pdf
 
