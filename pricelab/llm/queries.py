@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricelab.llm import balanced_mix, bpe, exact_dedup, quality_rules, url_filter
+from pricelab.llm import balanced_mix, bpe, exact_dedup, ngram_join, quality_rules, url_filter
 from pricelab.llm.frames import table
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -107,3 +107,8 @@ MIX_WEIGHTS, MIX_SHARE, MIX_CAP = (3, 1, 2), 1.5, 2.0
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return balanced_mix.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_CAP)
+
+
+@query("op5_ngram_join")
+def op5(spark, sf_dir):
+    return ngram_join.link(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, num=90, den=100)
