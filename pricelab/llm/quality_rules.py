@@ -106,7 +106,10 @@ RULES: tuple[Rule, ...] = (
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text", rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
     """Rejected share and seconds of each rule on a written sample of at most ``rows`` rows."""
-    sample = with_base(docs.select(F.col(text_col).alias("text")).limit(rows)).withColumn("__text", whole_text())
+    total = docs.count()
+    share = min(1.0, 1.5 * rows / total) if total else 1.0
+    picked = docs.select(F.col(text_col).alias("text")).sample(False, share, 17).limit(rows)
+    sample = with_base(picked).withColumn("__text", whole_text())
     sample = written(sample.drop("text"), "rule-sample").cache()
     n = sample.count()
     out = {}
