@@ -14,10 +14,11 @@ gives each text's difference to the pivot. Two texts near the pivot are linked
 through it. A text that is not linked with a pivot (a stray) may still link with
 another text y of that pivot's family. Differences to the pivot are sets too, and
 ``|x ^ y| = |dx ^ dy|``: since ``|dx|`` is above the bound, x and y must share at
-least ``(|dx| + |dy| - bound) / 2`` elements of their differences, so one of the
-first ``|dx|`` minus that many plus one elements of dx, new shingles first, is in
-dy. A join on those elements finds every such y, and the pairs are verified in
-turn. So no link between different texts is lost at any bucket size.
+least ``(|dx| + |dy| - bound) / 2`` = m elements of their differences. With all
+differences to a pivot in one order (shingles that the pivot lacks first), one
+of the first ``|dx| - m + 1`` elements of dx is among the first ``|dy| - m + 1``
+of dy. A join on those elements finds every such y; pairs whose sketches of the
+differences are too far apart drop out, the others are verified in turn. So no link between different texts is lost at any bucket size.
 
 Equal sets (told by size and 128 bits of hash) are linked to one representative
 and verified once. Bucket keys travel as packed arrays: a task sends each distinct
@@ -201,6 +202,12 @@ def _paired(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p_out)), pa.array(np.concatenate(x_out))], ["p", "x"])
 
 
+def parity_words(grams: np.ndarray, words: int) -> np.ndarray:
+    """A sketch of ``words`` 64-bit words: each hash flips one bit."""
+    place = ((mix(grams) >> np.uint64(32)) * np.uint64(64 * words) >> np.uint64(32)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=64 * words) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _verifier(k: int, num: int, den: int, deltas: bool):
     def run(batches):
         for batch in batches:
@@ -211,17 +218,21 @@ def _verifier(k: int, num: int, den: int, deltas: bool):
                 sets_p = []
                 for at in range(0, len(first), 64):  # pivots may be long and many
                     sets_p += shingle_sets(words_of(part.column("tp").take(pa.array(first[at:at + 64]))), k)
-                rows = {"p": p, "x": x, "np": [], "nx": [], "linked": [], "dn": [], "delta": []}
+                rows = {"p": p, "x": x, "np": [], "nx": [], "linked": [], "dn": [], "delta": [], "sketch": []}
                 for a, b in zip((sets_p[i] for i in back), sets_x):
                     only_b, only_a = np.setdiff1d(b, a, assume_unique=True), np.setdiff1d(a, b, assume_unique=True)
                     dn = len(only_a) + len(only_b)
                     rows["np"].append(len(a)), rows["nx"].append(len(b)), rows["dn"].append(dn)
                     rows["linked"].append(dn * (den + num) <= (den - num) * (len(a) + len(b)))
-                    rows["delta"].append(np.concatenate([only_b, only_a]).view(np.int64) if deltas else None)
+                    delta = np.concatenate([only_b, only_a])
+                    rows["delta"].append(delta.view(np.int64) if deltas else None)
+                    # One width per pivot, four bits or more for each difference that a link allows.
+                    width = 8 + 8 * len(a) * (den - num) // (64 * (den + num))
+                    rows["sketch"].append(parity_words(delta, width) if deltas else None)
                 yield pa.RecordBatch.from_pydict(
                     rows,
                     pa.schema([("p", pa.int64()), ("x", pa.int64()), ("np", pa.int32()), ("nx", pa.int32()),
-                               ("linked", pa.bool_()), ("dn", pa.int32()), ("delta", pa.list_(pa.int64()))]),
+                               ("linked", pa.bool_()), ("dn", pa.int32()), ("delta", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]),
                 )
 
     return run
@@ -232,23 +243,37 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, delta
     left = texts.select(F.col("uid").alias("p"), F.col("text").alias("tp"))
     right = texts.select(F.col("uid").alias("x"), F.col("text").alias("tx"))
     both = pairs.join(right, "x").join(left, "p").select("p", "x", "tp", "tx")
-    return both.mapInArrow(_verifier(k, num, den, deltas), "p long, x long, np int, nx int, linked boolean, dn int, delta array<long>")
-
-
-def _family_pairs(checked: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of a stray and another text of the pivot's family that share enough of their differences."""
-    strays = checked.where(~F.col("linked"))
-    members = checked.join(strays.select("p").distinct(), "p", "left_semi")
+    return both.mapInArrow(_verifier(k, num, den, deltas), "p long, x long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>")
+
+
+def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of a stray and another text of the pivot's family that share enough of their
+    differences and that the links so far (``labels``) do not join already."""
+    to_x = labels.select(F.col("node").alias("x"), F.col("label").alias("cx"))
+    known = checked.join(to_x, "x", "left").withColumn("cx", F.coalesce("cx", "x"))
+    # A family with one component left has nothing to find.
+    split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b").select("p")
+    members = written(known.join(split, "p", "left_semi"), "families")
+    strays = members.where(~F.col("linked"))
     bound = f"({den - num} * ({{}}) DIV {den + num})"
     head = f"least(dn, (dn + {bound.format('nx + np')}) DIV 2 + 2)"
     probes = strays.select(
-        "p", "x", "nx", F.col("dn").alias("dx"), F.posexplode(F.expr(f"slice(delta, 1, cast({head} AS int))")).alias("pos", "gram")
+        "p", "x", "cx", "nx", F.col("dn").alias("dx"), F.col("sketch").alias("sx"), F.posexplode(F.expr(f"slice(delta, 1, cast({head} AS int))")).alias("pos", "gram")
+    )
+    # A stray differs from p by more than the bound, so dx >= r (nx + np) limits the places of y that can matter.
+    half = f"least(dn, (dn + {bound.format('greatest(0, nx - np)')}) DIV 2 + 2)"
+    index = members.select(
+        "p", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("nx").alias("ny"), F.col("dn").alias("dy"), F.col("sketch").alias("sy"),
+        F.posexplode(F.expr(f"slice(delta, 1, cast({half} AS int))")).alias("at", "gram"),
     )
-    index = members.select("p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("dn").alias("dy"), F.explode("delta").alias("gram"))
     limit = bound.format("nx + ny")
+    # Eight words alone bound the distance from below too, and are compiled.
+    head_bits = " + ".join(f"bit_count(sx[{i}] ^ sy[{i}])" for i in range(8))
     fits = F.expr(
-        f"x <> y AND least(nx, ny) * {den} >= greatest(nx, ny) * {num} AND dy >= dx - {limit} "
-        f"AND pos <= floor((dx - dy + {limit}) / 2)"
+        f"cx <> cy AND least(nx, ny) * {den} >= greatest(nx, ny) * {num} AND dy >= dx - {limit} "
+        f"AND pos <= floor((dx - dy + {limit}) / 2) AND at <= floor((dy - dx + {limit}) / 2) "
+        f"AND {head_bits} <= {limit} "
+        f"AND (size(sx) = 8 OR aggregate(zip_with(sx, sy, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b) <= {limit})"
     )
     met = probes.join(index, ["p", "gram"]).where(fits)
     return met.select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x")).distinct()
@@ -293,11 +318,15 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         rows.select("row1", "row2", "text").join(wanted, ["row1", "row2"]).select("uid", "text").dropDuplicates(["uid"]), "texts"
     )
     checked = written(verify(pairs, texts, k, num, den, True), "checked")
-    more = verify(_family_pairs(checked, num, den), texts, k, num, den, False)
-    edges = checked.where("linked").select(F.col("p").alias("u"), F.col("x").alias("v"))
-    edges = edges.unionAll(more.where("linked").select(F.col("p").alias("u"), F.col("x").alias("v")))
-    edges = edges.unionAll(reps.where("rep <> uid").select(F.col("rep").alias("u"), F.col("uid").alias("v")))
-    labels = components(edges).withColumnRenamed("node", "uid")
+    same = reps.where("rep <> uid").select(F.col("rep").alias("u"), F.col("uid").alias("v"))
+    near = checked.where("linked").select(F.col("p").alias("u"), F.col("x").alias("v"))
+    labels = components(near.unionAll(same))
+    more = written(verify(_family_pairs(checked, labels, num, den), texts, k, num, den, False).where("linked").select("p", "x"), "found")
+    if not more.isEmpty():
+        # The components so far stand for their edges.
+        so_far = labels.where("node <> label").select(F.col("label").alias("u"), F.col("node").alias("v"))
+        labels = components(so_far.unionAll(more.select(F.col("p").alias("u"), F.col("x").alias("v"))))
+    labels = labels.withColumnRenamed("node", "uid")
     named = reps.join(labels, "uid", "left").withColumnRenamed("label", "group")
     smallest = labels.join(reps.select("uid", "id"), "uid").groupBy(F.col("label").alias("group")).agg(F.min("id").alias("least_id"))
     return named.join(smallest, "group", "left").select(
