@@ -9,7 +9,8 @@ places there, so of D + 1 blocks of the sketch one is equal: texts meet in
 buckets keyed by band, block and block content.
 
 Buckets are never expanded into pairs. The smallest text of a bucket is its
-pivot and only (pivot, text) pairs are verified on the whole texts, which also
+pivot; pivots that meet in buckets of their own hand their texts to the smallest
+of them. Only (pivot, text) pairs are verified on the whole texts, which also
 gives each text's difference to the pivot. Two texts near the pivot are linked
 through it. A text that is not linked with a pivot (a stray) may still link with
 another text y of that pivot's family. Differences to the pivot are sets too, and
@@ -246,6 +247,17 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, delta
     return both.mapInArrow(_verifier(k, num, den, deltas), "p long, x long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>")
 
 
+def _merged_families(pairs: DataFrame) -> DataFrame:
+    """The (pivot, text) pairs with pivots that meet in buckets themselves replaced by the smallest of them.
+
+    Texts of one bucket stay in one family, and a text has few families to be compared in.
+    """
+    pivots = pairs.select(F.col("p").alias("x")).distinct()
+    roots = components(pairs.join(pivots, "x", "left_semi").select(F.col("p").alias("u"), F.col("x").alias("v")))
+    moved = pairs.join(roots, pairs["p"] == roots["node"], "left").select(F.coalesce("label", "p").alias("p"), "x")
+    return moved.unionAll(roots.select(F.col("label").alias("p"), F.col("node").alias("x"))).where("p <> x").distinct()
+
+
 def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of a stray and another text of the pivot's family that share enough of their
     differences and that the links so far (``labels``) do not join already."""
@@ -312,6 +324,7 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         pairs.join(to_p, "p").join(to_x, "x").where("rp <> rx").select(F.col("rp").alias("p"), F.col("rx").alias("x")).distinct(),
         "pairs",
     )
+    pairs = written(_merged_families(pairs), "families")
     wanted = pairs.select(F.col("p").alias("uid")).unionAll(pairs.select(F.col("x").alias("uid"))).distinct()
     wanted = reps.join(wanted, "uid", "left_semi").select("uid", "row1", "row2")
     texts = written(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricelab.llm import balanced_mix, bpe, exact_dedup, ngram_join, quality_rules, url_filter
+from pricelab.llm import balanced_mix, bpe, exact_dedup, ngram_join, ngram_lm, quality_rules, url_filter
 from pricelab.llm.frames import table
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -112,3 +112,12 @@ def op9(spark, sf_dir):
 @query("op5_ngram_join")
 def op5(spark, sf_dir):
     return ngram_join.link(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, num=90, den=100)
+
+
+def _remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+@query("op6_ngram_lm")
+def op6(spark, sf_dir):
+    return ngram_lm.score(table(spark, sf_dir, "documents", "doc_id", "text"), _remainder(7) == 2)
