@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricelab.llm import balanced_mix, bpe, exact_dedup, ngram_join, ngram_lm, quality_rules, url_filter
+from pricelab.llm import balanced_mix, bpe, exact_dedup, ngram_join, ngram_lm, quality_rules, toxicity, url_filter
 from pricelab.llm.frames import table
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -121,3 +121,16 @@ def _remainder(n: int):
 @query("op6_ngram_lm")
 def op6(spark, sf_dir):
     return ngram_lm.score(table(spark, sf_dir, "documents", "doc_id", "text"), _remainder(7) == 2)
+
+
+#: Scores from here on count as toxic.
+TOXIC_FROM = 0.3
+
+
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held = _remainder(4) == 2
+    fitted = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held)
+    scored = toxicity.score(docs, fitted, [F.col("doc_id"), F.coalesce(held, F.lit(False)).alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))

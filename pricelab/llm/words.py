@@ -69,12 +69,31 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def words_of(column: pa.Array, lower: bool = True) -> Words:
+def letters_in(raw: np.ndarray) -> np.ndarray:
+    """Lower-case ASCII letters and every byte of other characters."""
+    return ((raw >= 97) & (raw <= 122)) | (raw >= 128)
+
+
+def span_hashes(raw: np.ndarray):
+    """A function of starts and ends that hashes the bytes of each span."""
+    n = len(raw)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(byte_codes()[raw] * powers(n, BASE), out=sums[1:])
+    back = powers(n + 1, pow(BASE, -1, 1 << 64))
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    return hashes
+
+
+def words_of(column: pa.Array, lower: bool = True, letters: bool = False) -> Words:
+    """Runs of anything but blanks, or of letters only."""
     raw, offsets = text_bytes(column)
     if lower:
         raw = lower_bytes(raw)
     n = len(raw)
-    inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    inside = letters_in(raw) if letters else ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     before = np.empty(n, bool)
@@ -85,13 +104,9 @@ def words_of(column: pa.Array, lower: bool = True) -> Words:
     after[-1:] = False
     after[:-1] = inside[1:]
     ends = np.flatnonzero(inside & (~after | first[1:])) + 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(byte_codes()[raw] * powers(n, BASE), out=sums[1:])
-    back = powers(n + 1, pow(BASE, -1, 1 << 64))
-    hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     bounds = np.searchsorted(starts, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-    return Words(raw, doc, starts, ends, hashes, bounds)
+    return Words(raw, doc, starts, ends, span_hashes(raw)(starts, ends), bounds)
 
 
 def fold(hashes: list[np.ndarray], seed: int) -> np.ndarray:
