@@ -14,12 +14,15 @@ of them. Only (pivot, text) pairs are verified on the whole texts, which also
 gives each text's difference to the pivot. Two texts near the pivot are linked
 through it. A text that is not linked with a pivot (a stray) may still link with
 another text y of that pivot's family. Differences to the pivot are sets too, and
-``|x ^ y| = |dx ^ dy|``: since ``|dx|`` is above the bound, x and y must share at
-least ``(|dx| + |dy| - bound) / 2`` = m elements of their differences. With all
-differences to a pivot in one order (shingles that the pivot lacks first), one
-of the first ``|dx| - m + 1`` elements of dx is among the first ``|dy| - m + 1``
-of dy. A join on those elements finds every such y; pairs whose sketches of the
-differences are too far apart drop out, the others are verified in turn. So no link between different texts is lost at any bucket size.
+``|x ^ y| = |dx ^ dy|`` is at most D. If the sketch of dx has bits in more than D
+blocks, some of D + 1 of these blocks is the same in dy. If not, dx is small:
+``|dx|`` is above the bound, so x and y share at least ``(|dx| + |dy| - D) / 2``
+= m elements of their differences, and with all differences to a pivot in one
+order (shingles that the pivot lacks first), one of the first ``|dx| - m + 1``
+elements of dx is among the first ``|dy| - m + 1`` of dy. Joins on these keys
+find every such y; pairs of large families whose sketches are too far apart drop
+out, the others are verified in turn. So no link between different texts is lost
+at any bucket size.
 
 Equal sets (told by size and 128 bits of hash) are linked to one representative
 and verified once. Bucket keys travel as packed arrays: a task sends each distinct
@@ -73,8 +76,8 @@ def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int,
     return out
 
 
-def block_keys(grams: np.ndarray, band: int, blocks: int) -> np.ndarray:
-    """One 64-bit key per block of the sketch of the sorted hashes ``grams``."""
+def block_keys(grams: np.ndarray, band: int, blocks: int, filled: bool = False) -> np.ndarray:
+    """One 64-bit key per block of the sketch of the sorted hashes ``grams``; per block with a bit set if ``filled``."""
     width = blocks * BLOCK_BITS
     # The upper 32 bits pick the place; their order is that of the sorted hashes.
     place = ((grams >> np.uint64(32)) * np.uint64(width)) >> np.uint64(32)
@@ -85,7 +88,8 @@ def block_keys(grams: np.ndarray, band: int, blocks: int) -> np.ndarray:
     cut = np.searchsorted(odd, np.arange(blocks + 1, dtype=np.uint64) * np.uint64(BLOCK_BITS))
     content = sums[cut[1:]] - sums[cut[:-1]]
     tag = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
-    return mix(mix(content + np.uint64(BASE)) + tag * np.uint64(0xD6E8FEB86659FD93))
+    keys = mix(mix(content + np.uint64(BASE)) + tag * np.uint64(0xD6E8FEB86659FD93))
+    return keys[cut[1:] > cut[:-1]] if filled else keys
 
 
 _SKETCHED = (
@@ -258,36 +262,85 @@ def _merged_families(pairs: DataFrame) -> DataFrame:
     return moved.unionAll(roots.select(F.col("label").alias("p"), F.col("node").alias("x"))).where("p <> x").distinct()
 
 
+def _family_keys(num: int, den: int):
+    """Adds the block keys of each difference (``index``) and those that it is looked up by (``probe``).
+
+    Linked x and y agree on all but D of the 2 D + 2 blocks here. If more than D
+    blocks of dx have a bit set, one of any D + 1 of these is the same in dy. A
+    difference too small for that has no ``probe`` and is looked up by its shingles.
+    """
+
+    def run(batches):
+        edges = band_edges(1 << 20)
+        for batch in batches:
+            index, probe = [], []
+            for delta, n, linked in zip(batch.column("delta"), batch.column("nx").to_pylist(), batch.column("linked").to_pylist()):
+                grams = np.sort(delta.values.to_numpy().view(np.uint64))
+                if n >= edges[-2]:
+                    edges = band_edges(2 * n)
+                keys, asked = [], []
+                for band, blocks in join_bands(n, edges, num, den):
+                    made = block_keys(grams, band, 2 * blocks, True)
+                    keys.append(made)
+                    if asked is not None:
+                        asked = asked + [made[:blocks]] if len(made) >= blocks else None
+                index.append(np.concatenate(keys).view(np.int64))
+                probe.append(None if linked or asked is None else np.concatenate(asked).view(np.int64))
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(index, longs), pa.array(probe, longs)], [*batch.schema.names, "index", "probe"]
+            )
+
+    return run
+
+
+#: Families of this many texts carry sketches through the join, which drop pairs before they are verified.
+SKETCHED_FAMILY = 64
+
+
 def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of a stray and another text of the pivot's family that share enough of their
+    """Pairs of a stray and another text of the pivot's family that agree on enough of their
     differences and that the links so far (``labels``) do not join already."""
     to_x = labels.select(F.col("node").alias("x"), F.col("label").alias("cx"))
     known = checked.join(to_x, "x", "left").withColumn("cx", F.coalesce("cx", "x"))
     # A family with one component left has nothing to find.
-    split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b").select("p")
-    members = written(known.join(split, "p", "left_semi"), "families")
-    strays = members.where(~F.col("linked"))
+    split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b"), F.count(F.lit(1)).alias("texts")).where("a <> b")
+    members = known.join(split.select("p", "texts"), "p").withColumn("sketch", F.when(F.col("texts") >= SKETCHED_FAMILY, F.col("sketch")))
+    members = members.select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch")
+    keyed = members.mapInArrow(
+        _family_keys(num, den),
+        "p long, x long, cx long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>, "
+        "index array<long>, probe array<long>",
+    )
+    members = written(keyed, "families")
     bound = f"({den - num} * ({{}}) DIV {den + num})"
-    head = f"least(dn, (dn + {bound.format('nx + np')}) DIV 2 + 2)"
-    probes = strays.select(
-        "p", "x", "cx", "nx", F.col("dn").alias("dx"), F.col("sketch").alias("sx"), F.posexplode(F.expr(f"slice(delta, 1, cast({head} AS int))")).alias("pos", "gram")
+    limit = bound.format("nx + ny")
+    # Eight words of a sketch alone bound the distance from below too, and are compiled.
+    head_bits = " + ".join(f"bit_count(sx[{i}] ^ sy[{i}])" for i in range(8))
+    fits = (
+        f"cx <> cy AND least(nx, ny) * {den} >= greatest(nx, ny) * {num} AND abs(dx - dy) <= {limit} AND (sx IS NULL OR ({head_bits} <= {limit} "
+        f"AND (size(sx) = 8 OR aggregate(zip_with(sx, sy, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b) <= {limit})))"
     )
+    x_side = ["p", "x", "cx", "nx", F.col("dn").alias("dx"), F.col("sketch").alias("sx")]
+    y_side = ["p", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("nx").alias("ny"), F.col("dn").alias("dy"), F.col("sketch").alias("sy")]
+    wide = members.where("probe IS NOT NULL").select(*x_side, F.explode("probe").alias("gram"))
+    blocks = members.select(*y_side, F.explode("index").alias("gram"))
+    by_block = wide.join(blocks, ["p", "gram"]).where(F.expr(fits))
+
+    small = members.where("NOT linked AND probe IS NULL")
+    head = f"least(dn, (dn + {bound.format('nx + np')}) DIV 2 + 2)"
+    probes = small.select(*x_side, F.posexplode(F.expr(f"slice(delta, 1, cast({head} AS int))")).alias("pos", "gram"))
+    # y differs from p by the stray's difference and the bound at most.
+    most = small.groupBy("p").agg(F.max(F.expr(f"dn + {bound.format('nx + nx * ' + str(den) + ' DIV ' + str(num) + ' + 1')}")).alias("most"))
     # A stray differs from p by more than the bound, so dx >= r (nx + np) limits the places of y that can matter.
     half = f"least(dn, (dn + {bound.format('greatest(0, nx - np)')}) DIV 2 + 2)"
-    index = members.select(
-        "p", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("nx").alias("ny"), F.col("dn").alias("dy"), F.col("sketch").alias("sy"),
-        F.posexplode(F.expr(f"slice(delta, 1, cast({half} AS int))")).alias("at", "gram"),
+    index = members.join(most, "p").where("dn <= most").select(
+        *y_side, F.posexplode(F.expr(f"slice(delta, 1, cast({half} AS int))")).alias("at", "gram")
     )
-    limit = bound.format("nx + ny")
-    # Eight words alone bound the distance from below too, and are compiled.
-    head_bits = " + ".join(f"bit_count(sx[{i}] ^ sy[{i}])" for i in range(8))
-    fits = F.expr(
-        f"cx <> cy AND least(nx, ny) * {den} >= greatest(nx, ny) * {num} AND dy >= dx - {limit} "
-        f"AND pos <= floor((dx - dy + {limit}) / 2) AND at <= floor((dy - dx + {limit}) / 2) "
-        f"AND {head_bits} <= {limit} "
-        f"AND (size(sx) = 8 OR aggregate(zip_with(sx, sy, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b) <= {limit})"
+    by_gram = probes.join(index, ["p", "gram"]).where(
+        F.expr(f"pos <= floor((dx - dy + {limit}) / 2) AND at <= floor((dy - dx + {limit}) / 2) AND {fits}")
     )
-    met = probes.join(index, ["p", "gram"]).where(fits)
+    met = by_block.select("x", "y").unionAll(by_gram.select("x", "y"))
     return met.select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x")).distinct()
 
 
