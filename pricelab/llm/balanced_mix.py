@@ -169,12 +169,12 @@ def with_targets(sized: DataFrame, weights: Sequence[float], share: float, cap:
 
 def mix(docs: DataFrame, weights: Sequence[float], share: float, cap: float = 2.0, seed: int = 17,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, times and taken (``times * size``)."""
+    """One row per document: id, source, size, source_size, target, times, taken (``times * size``) and the row's hash ``deal``."""
     text = whole_text(text_col)
     sized = written(
         docs.select(
             F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
-            word_count(text).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), text).alias("deal"),
+            word_count(text).alias("size"), _deal(seed, id_col, text_col).alias("deal"),
         ),
         "sizes",
     )
@@ -205,5 +205,22 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float, cap: float = 2.
     times = F.col("base") + F.col("p").cast("long")
     return out.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-        times.alias("times"), (times * F.col("size")).alias("taken"),
+        times.alias("times"), (times * F.col("size")).alias("taken"), "deal",
     )
+
+
+def _deal(seed: int, id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), whole_text(text_col))
+
+
+def mixture(docs: DataFrame, weights: Sequence[float], share: float, cap: float = 2.0, seed: int = 17,
+            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows that the mix takes, each as often as it is taken, with the columns of ``docs``.
+
+    Rows of one identifier and text are interchangeable: one of them is repeated for all.
+    """
+    taken = mix(docs, weights, share, cap, seed, id_col, text_col, source_col)
+    times = taken.groupBy("deal").agg(F.sum("times").cast("int").alias("__times")).where("__times > 0")
+    keyed = docs.withColumn("__deal", _deal(seed, id_col, text_col)).dropDuplicates(["__deal"])
+    rows = keyed.join(times, keyed["__deal"] == times["deal"])
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)

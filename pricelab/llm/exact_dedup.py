@@ -258,12 +258,57 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     )
 
 
-def distinct_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
-    """The rows of ``docs`` that own their text, all columns kept; of repeated owner rows one stays."""
-    found = owners(docs, id_col, text_col, keep).select(F.col("owner").alias("__owner"), F.col("sha").alias("__sha"))
-    text = whole_text(text_col)
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__key": F.unhex(F.sha2(text.cast("binary"), 256))})
-    own = keyed.join(
-        found, F.col("__id").eqNullSafe(F.col("__owner")) & (F.col("__key") == F.col("__sha")), "left_semi"
-    )
-    return own.dropDuplicates(["__id", "__key"]).select(*docs.columns)
+def _older(keep: str):
+    sign = {"max": 1, "min": -1}[keep]
+
+    def better(a, b):
+        # Owners are (identifier, other values); any identifier is better than none.
+        known = [x for x in (a, b) if x[0] is not None]
+        return max(known, key=lambda x: sign * x[0]) if known else a
+
+    return better
+
+
+def _own_rows(text_col: str, id_col: str, keep: str, limit: int, spill: bool):
+    """The row that owns each text, by a trie whose terminals hold the other columns."""
+
+    def run(batches):
+        better = _older(keep)
+        with tempfile.TemporaryDirectory(prefix="trie-") as folder:
+            fresh = lambda: RadixTrie(better, limit, folder if spill else None)
+            trie, schema = fresh(), None
+
+            def flush():
+                for keys, owners, _ in _rows(trie.items()):
+                    columns = {c: [o[1][c] for o in owners] for c in schema.names if c != "__key"}
+                    yield pa.RecordBatch.from_pydict({**columns, "__key": keys}, schema)
+
+            for part in chunks(batches, "__key"):
+                schema = part.schema
+                rest = part.drop_columns(["__key"]).to_pylist()
+                for key, values in zip(part.column("__key"), rest):
+                    trie.insert(key.as_buffer().to_pybytes(), (values[id_col], values))
+                if not spill and trie.held > limit:
+                    yield from flush()
+                    trie = fresh()
+            if schema is not None:
+                yield from flush()
+
+    return run
+
+
+def distinct_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
+                   limit: int = TRIE_BYTES) -> DataFrame:
+    """The rows of ``docs`` that own their text, all columns kept; of repeated owner rows one stays.
+
+    The rows travel once: tries on both sides of the shuffle hold them whole. A
+    null text that owns its group comes back null.
+    """
+    text = F.col(text_col).cast("string")
+    # The text moves into the trie's key; whether it was null stays with the row.
+    slim = docs.withColumns({"__null": text.isNull(), "__key": whole_text(text_col).cast("binary")}).drop(text_col)
+    folded = slim.mapInArrow(_own_rows(text_col, id_col, keep, limit, False), slim.schema)
+    dealt = folded.repartition(F.octet_length("__key"), F.xxhash64("__key"))
+    owned = dealt.mapInArrow(_own_rows(text_col, id_col, keep, limit, True), slim.schema)
+    back = owned.withColumn(text_col, F.when(~F.col("__null"), F.col("__key").cast("string")))
+    return back.select(*docs.columns)

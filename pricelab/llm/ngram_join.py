@@ -409,9 +409,14 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps its smallest identifier; rows without words all stay."""
-    found = linked_rows(docs, k, num, den, id_col, text_col)
-    stays = found.where("n_shingles = 0 OR id <=> component_id").select("row1", "row2").distinct()
+    found = written(linked_rows(docs, k, num, den, id_col, text_col), "linked")
+    goes = found.where("n_shingles > 0 AND NOT id <=> component_id").select("row1", "row2").distinct()
     ident, text = F.col(id_col).cast("long"), whole_text(text_col)
     keyed = docs.withColumns({"__row1": F.xxhash64(ident, text), "__row2": F.xxhash64(F.lit("row"), text, ident)})
-    out = keyed.join(stays, (F.col("__row1") == F.col("row1")) & (F.col("__row2") == F.col("row2")), "left_semi")
-    return out.dropDuplicates(["__row1", "__row2"]).select(*docs.columns)
+    out = keyed.join(goes, (F.col("__row1") == F.col("row1")) & (F.col("__row2") == F.col("row2")), "left_anti")
+    twins = found.where("n_shingles > 0").groupBy("row1", "row2").count().where("count > 1")
+    if not twins.isEmpty():
+        # Only repeated rows need the second shuffle; rows without words are no group.
+        worded = F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]"))
+        out = out.where(worded).dropDuplicates(["__row1", "__row2"]).unionByName(out.where(~worded))
+    return out.select(*docs.columns)

@@ -106,7 +106,7 @@ MIX_WEIGHTS, MIX_SHARE, MIX_CAP = (3, 1, 2), 1.5, 2.0
 @query("op9_balanced_mix")
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return balanced_mix.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_CAP)
+    return balanced_mix.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_CAP).drop("deal")
 
 
 @query("op5_ngram_join")
@@ -134,3 +134,10 @@ def op3(spark, sf_dir):
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held)
     scored = toxicity.score(docs, fitted, [F.col("doc_id"), F.coalesce(held, F.lit(False)).alias("held_out")])
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
