@@ -6,7 +6,8 @@ at most the size of the sets' symmetric difference. Sizes are cut into bands; th
 texts of a band and those just above it that may still link with it share one
 sketch width. A pair of similarity ``num / den`` or more differs in at most D
 places there, so of D + 1 blocks of the sketch one is equal: texts meet in
-buckets keyed by band, block and block content.
+buckets keyed by band, block and block content. Empty blocks are no keys as long
+as D + 1 others are left.
 
 Buckets are never expanded into pairs. The smallest text of a bucket is its
 pivot; pivots that meet in buckets of their own hand their texts to the smallest
@@ -36,6 +37,8 @@ gives no rows. Only the identifier and the text are read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -63,8 +66,12 @@ def band_edges(top: int) -> list[int]:
     return edges
 
 
-def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int, int]]:
-    """(band, blocks) in which a set of size ``n`` takes part."""
+def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int, int, int]]:
+    """(band, D + 1, blocks) in which a set of size ``n`` takes part.
+
+    There are a few more blocks than D + 1, as many as the smallest sets of the
+    band are likely to leave empty.
+    """
     own = int(np.searchsorted(edges, n, side="right")) - 1
     out = []
     for band in range(own, -1, -1):
@@ -72,7 +79,8 @@ def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int,
         if n * num > most * den:
             break
         # |x ^ y| <= (|x| + |y|) (den - num) / (den + num), with |x| <= most and |y| <= most den / num.
-        out.append((band, most * (den - num) // num + 1))
+        need = most * (den - num) // num + 1
+        out.append((band, need, need + 3 + int(1.8 * need * math.exp(-edges[band] / need))))
     return out
 
 
@@ -124,8 +132,11 @@ def _sketcher(k: int, num: int, den: int, shards: int):
                 if len(grams):
                     if len(grams) >= edges[-2]:
                         edges = band_edges(2 * len(grams))
-                    for band, blocks in join_bands(len(grams), edges, num, den):
-                        made = block_keys(grams, band, blocks)
+                    for band, need, blocks in join_bands(len(grams), edges, num, den):
+                        # Of D + 1 blocks with a bit set one is equal; else the empty ones count too.
+                        made = block_keys(grams, band, blocks, True)
+                        if len(made) < need:
+                            made = block_keys(grams, band, blocks)
                         keys.append(made)
                         docs.append(np.full(len(made), i, np.uint16))
             if not keys:
@@ -279,11 +290,11 @@ def _family_keys(num: int, den: int):
                 if n >= edges[-2]:
                     edges = band_edges(2 * n)
                 keys, asked = [], []
-                for band, blocks in join_bands(n, edges, num, den):
-                    made = block_keys(grams, band, 2 * blocks, True)
+                for band, need, _ in join_bands(n, edges, num, den):
+                    made = block_keys(grams, band, 2 * need, True)
                     keys.append(made)
                     if asked is not None:
-                        asked = asked + [made[:blocks]] if len(made) >= blocks else None
+                        asked = asked + [made[:need]] if len(made) >= need else None
                 index.append(np.concatenate(keys).view(np.int64))
                 probe.append(None if linked or asked is None else np.concatenate(asked).view(np.int64))
             longs = pa.list_(pa.int64())

@@ -139,3 +139,10 @@ def judge(docs: DataFrame, rules: Sequence[Rule] | None = None, text_col: str =
     rows = with_base(docs.select(*rest), text_col).withColumn("__text", whole_text(text_col))
     cases = "CASE WHEN base_failed THEN 'base' " + "".join(f"WHEN {r.rejects} THEN '{r.name}' " for r in chain) + "END"
     return rows.withColumn("rejected_by", F.expr(cases)).withColumn("kept", F.col("rejected_by").isNull()).select(*rest, *base)
+
+
+def kept_rows(docs: DataFrame, rules: Sequence[Rule] | None = None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their columns only."""
+    # Without the row mark in it the optimizer would move the filter below the counts and repeat them in it.
+    judged = judge(docs, rules, text_col).withColumn("__mark", F.monotonically_increasing_id())
+    return judged.where("kept AND __mark >= 0").select(*docs.columns)
