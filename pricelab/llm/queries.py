@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricelab.llm import balanced_mix, bpe, exact_dedup, ngram_join, ngram_lm, quality_rules, toxicity, url_filter
+from pricelab.llm import balanced_mix, bpe, exact_dedup, line_dedup, ngram_join, ngram_lm, quality_rules, tool_calls, toxicity, url_filter
 from pricelab.llm.frames import table
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -141,3 +141,34 @@ def pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op2_line_dedup")
+def op2(spark, sf_dir):
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select(
+        "doc_id", "n_lines", "n_removed_lines", F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+#: Tools of the query; a system turn must not be longer than a reply's fields allow.
+TOOLS = {"reply": tool_calls.Tool({"chars": "int", "text": "string"}, ("chars", "text")), "setup": tool_calls.Tool({"text": "string"}, ("text",))}
+
+_OP7_SQL = """
+WITH RECURSIVE a AS (SELECT conv_id, conv_id || '-' || turn AS call_id, conv_id || '-' || (turn - 2) AS after,
+  CASE WHEN role = 'user' THEN 'reply' ELSE 'setup' END AS name, turn, length(text) AS chars, text
+  FROM conversations WHERE role IN ('user', 'system')),
+r AS (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, text AS content FROM conversations WHERE role = 'assistant'),
+d AS (SELECT conv_id, call_id, 0::BIGINT AS depth FROM a WHERE (conv_id, after) NOT IN (SELECT (conv_id, call_id) FROM a)
+  UNION ALL SELECT a.conv_id, a.call_id, d.depth + 1 FROM a JOIN d ON a.conv_id = d.conv_id AND a.after = d.call_id)
+SELECT conv_id, call_id, name, depth, a.call_id IS NOT NULL AND r.call_id IS NOT NULL AS linked, coalesce(name = 'reply', false) AS valid,
+  '{' || concat_ws(',', '"arguments":' || to_json('{"chars":' || chars || ',"text":' || to_json(text)::VARCHAR || '}')::VARCHAR,
+  '"call_id":' || to_json(call_id)::VARCHAR, '"content":' || to_json(content)::VARCHAR, '"conv_id":' || conv_id, '"depth":' || depth,
+  '"name":' || to_json(name)::VARCHAR) || '}' AS json
+FROM a JOIN d USING (conv_id, call_id) FULL JOIN r USING (conv_id, call_id)"""
+
+
+@query("op7_tool_calls", _OP7_SQL)
+def op7(spark, sf_dir):
+    calls, results = tool_calls.from_turns(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, TOOLS).select("conv_id", "call_id", "name", "depth", "linked", "valid", "json")
