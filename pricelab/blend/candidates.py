@@ -105,7 +105,7 @@ def second_moments(data: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
 def _sums(weights, x, y, a, loss, log, slopes):
     with np.errstate(all="ignore"):
         z = x @ weights.T
-        p = np.expm1(z) * a if log else z
+        p = np.maximum(np.expm1(z) * a, 0.0) if log else z
         gap = p - y
         ape = np.abs(gap) / y
         ok = np.isfinite(y) & (y != 0) & ~np.isnan(p)

@@ -9,15 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.blend.candidates import blend_inputs, evaluate, second_moments
 from pricelab.functions.rows import row_dot, row_mean
-from pricelab.operators.metrics import CANDIDATES_PER_PASS, hit_score, score_weight_grid
+from pricelab.operators.metrics import hit_score, score_weight_grid
 from pricelab.operators.tables import top_results
 
 # Fixed value: grid steps per unit of weight.
 GRID_STEPS = 5
 
-# Grid vectors scored together by the candidate matrix.
-GRID_PER_PASS = 400
-
 # Random moves scored together.
 MOVES_PER_PASS = 40
 
@@ -45,32 +42,17 @@ def simplex_grid(n: int, steps: int = GRID_STEPS) -> list[tuple[float, ...]]:
 def simplex_grid_blend(
     df: DataFrame, y_true: str, preds: Sequence[str], steps: int = GRID_STEPS, metric: str = "score", log: bool = False
 ) -> DataFrame:
-    """Score of every grid vector: rows (weight_id, w1.., metric).
-
-    A small grid is one pass of aggregate columns, a large one goes through the
-    candidate matrix, several hundred vectors per pass.
-    """
-    grid = simplex_grid(len(preds), steps)
-    if len(grid) <= CANDIDATES_PER_PASS:
-        return score_weight_grid(df, y_true, preds, grid, metric, log)
-    data = blend_inputs(df, y_true, preds, log=log).persist()
-    rows = []
-    for i in range(0, len(grid), GRID_PER_PASS):
-        chunk = grid[i : i + GRID_PER_PASS]
-        scored = evaluate(data, [np.array(w) for w in chunk], "mape" if metric == "score" else metric, log)
-        rows += [(i + j, *w, float(e["score"] if metric == "score" else e["loss"])) for j, (w, e) in enumerate(zip(chunk, scored))]
-    data.unpersist()
-    columns = ", ".join(f"w{k + 1} double" for k in range(len(preds)))
-    return df.sparkSession.createDataFrame(rows, f"weight_id int, {columns}, {metric} double")
+    """Score of every grid vector: rows (weight_id, w1.., metric), the same way at any grid size."""
+    return score_weight_grid(df, y_true, preds, simplex_grid(len(preds), steps), metric, log)
 
 
 def random_refine_blend(
     df: DataFrame,
     y_true: str,
     preds: Sequence[str],
-    start: Sequence[float] | None = None,
+    start: Sequence[float] | str | None = None,
     sigma: float = 0.5 / GRID_STEPS,
-    moves: int = 200,
+    moves: int = 1000,
     batch: int = MOVES_PER_PASS,
     metric: str = "score",
     log: bool = False,
@@ -79,7 +61,9 @@ def random_refine_blend(
     """Random moves on the simplex from the best vector so far; every improvement is kept.
 
     Each move adds positive Gaussian steps to all weights but one, which takes
-    the rest. A batch of moves is scored in one pass.
+    the rest. A batch of moves is drawn around one vector and scored in one
+    pass, so an improvement is followed from the next batch on. The start is the
+    mean, the vector given, or a random point of the simplex for ``"random"``.
     """
     rng = np.random.default_rng(seed)
     n = len(preds)
@@ -87,6 +71,10 @@ def random_refine_blend(
     loss = metric if lower_better else "mape"
     data = blend_inputs(df, y_true, preds, log=log).persist()
     look = lambda vectors: [e["loss"] if lower_better else e["score"] for e in evaluate(data, vectors, loss, log)]
+    if isinstance(start, str) and start != "random":
+        raise ValueError("start must be a vector, None or 'random'")
+    if isinstance(start, str):
+        start = rng.dirichlet(np.ones(n))
     best = np.array(start if start is not None else np.full(n, 1.0 / n), dtype=float)
     best_score = look([best])[0]
     found = [(0, [float(x) for x in best], float(best_score))]

@@ -36,7 +36,9 @@ REFIT_GROWTH = 1.2
 GAP_VALUE = -1.0
 
 # Penalties tried by the linear stack.
-STACK_ALPHAS = (0.0, 1e-5, 1e-4, 1e-3, 1e-2)
+STACK_ALPHAS = (
+    0, 0.00001, 0.00002, 0.00005, 0.00008, 0.0001, 0.0002, 0.0005, 0.0008, 0.001, 0.002, 0.005, 0.008, 0.01, 0.02,
+)
 
 
 def assemble(df: DataFrame, features: Sequence[str], gap: float = GAP_VALUE) -> DataFrame:
@@ -116,13 +118,24 @@ def _without_validation(est: Estimator) -> Estimator:
     return out
 
 
+def fold_values(df: DataFrame, fold: str, folds: Sequence[int] | None = None) -> list[int]:
+    """The folds of the data. A row without a fold, or in one that is not listed, would never be predicted: an error."""
+    found = [r[0] for r in df.select(fold).distinct().collect()]
+    if None in found:
+        raise ValueError(f"some rows have no {fold}")
+    lost = sorted(set(found) - set(folds)) if folds is not None else []
+    if lost:
+        raise ValueError(f"nobody predicts the rows of {fold} {lost}")
+    return sorted(found) if folds is None else list(folds)
+
+
 def cross_predict(
     df: DataFrame,
     make: Callable[[], Estimator],
     features: Sequence[str],
     key: str = "building_id",
     fold: str = "fold",
-    folds: Sequence[int] = range(5),
+    folds: Sequence[int] | None = None,
     test: DataFrame | None = None,
     steps: Callable[[], FeatureSteps] | None = None,
     parallelism: int = 2,
@@ -130,8 +143,11 @@ def cross_predict(
     """Fit on all folds but one, predict that one and the test set.
 
     Feature steps are fitted per fold on its train rows only. Give a frame that
-    is cheap to read again (a written table): each fold scans it once.
+    is cheap to read again (a written table): each fold scans it once. Folds are
+    those of the data unless listed.
     """
+    folds = fold_values(df, fold, folds)
+
     def one_fold(f: int) -> tuple[DataFrame, DataFrame | None, Model]:
         train, val, other = df.where(F.col(fold) != f), df.where(F.col(fold) == f), test
         cols = list(features)
@@ -180,15 +196,17 @@ def segment_models(
     make: Callable[[], Estimator],
     features: Sequence[str],
     fold: str = "fold",
-    folds: Sequence[int] = range(5),
+    folds: Sequence[int] | None = None,
     duplicate: bool = False,
     parallelism: int = 2,
 ) -> DataFrame:
     """One model per segment and fold; each predicts its own segment.
 
     ``duplicate`` trains on all rows and counts the segment twice, through a
-    row weight in place of copied rows.
+    row weight in place of copied rows. Every segment of the data must be listed.
     """
+    folds = fold_values(df, fold, folds)
+    fold_values(df, segment, segments)
     ready = assemble(df, features)
 
     def one(f: int, s: object) -> DataFrame:
@@ -211,12 +229,13 @@ def group_classifier(
     test: DataFrame | None = None,
     key: str = "building_id",
     fold: str = "fold",
-    folds: Sequence[int] = range(5),
+    folds: Sequence[int] | None = None,
     max_iter: int = 10,
     depth: int = 4,
     seed: int = 555,
 ) -> tuple[DataFrame, DataFrame | None, list[dict]]:
     """Binary classifier per fold: held-out groups, test votes, and fold metrics."""
+    folds = fold_values(df, fold, folds)
     held, votes, scores = [], [], []
     ready = assemble(df, features)
     other = None if test is None else assemble(test, features)
@@ -278,7 +297,7 @@ def stack_linear(
     alphas: Sequence[float] = STACK_ALPHAS,
     area: str | None = None,
     fold: str = "fold",
-    folds: Sequence[int] = range(3),
+    folds: Sequence[int] | None = None,
     parallelism: int = 4,
 ) -> LinearStack:
     """Least squares or Lasso of the log price on log predictions.
@@ -287,6 +306,7 @@ def stack_linear(
     penalties of a fold are scored in one pass, since a fitted line is a column.
     The normal solver reads the rows once per fit, penalised or not.
     """
+    folds = fold_values(df, fold, folds)
     factor = F.lit(1.0) if area is None else F.col(area).cast("double")
     logs = {f"__x{i}": x for i, x in enumerate(_log_inputs(preds, area))}
     ready = df.withColumns({**logs, "__y": F.log1p(F.try_divide(F.col(y_true), factor))})
@@ -321,7 +341,7 @@ def stack_linear(
 
 def stack_boosted(
     df: DataFrame, y_true: str, preds: Sequence[str], make: Callable[[str], Estimator], fold: str = "fold",
-    folds: Sequence[int] = range(5), extra: Sequence[str] = (),
+    folds: Sequence[int] | None = None, extra: Sequence[str] = (),
 ) -> CrossResult:
     """Boosted trees over the log predictions of many models."""
     logs = {f"log_{p}": F.log1p(F.col(p)) for p in preds}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -75,6 +76,7 @@ METRICS = {
     "mae": mae,
     "msle": msle,
     "smooth": smooth_score,
+    "log_loss": log_loss,
 }
 
 
@@ -144,6 +146,13 @@ def gini_normalized(df: DataFrame, y_true: str, y_pred: str, key: str) -> DataFr
     return ordered_gini("p").select((F.col("g") / F.lit(perfect)).alias("gini"))
 
 
+# Metrics of the order of all rows; ``gini`` breaks ties by the key.
+RANKED_METRICS = {
+    "auc": lambda df, y_true, y_pred, key: auc(df, y_true, y_pred),
+    "gini": gini_normalized,
+}
+
+
 def score_weight_grid(
     df: DataFrame,
     y_true: str,
@@ -151,13 +160,22 @@ def score_weight_grid(
     weights: Sequence[Sequence[float]],
     metric: str = "score",
     log: bool = False,
+    key: str = "building_id",
 ) -> DataFrame:
     """Score every weight vector: rows (weight_id, w1.., metric).
 
+    ``auc`` and ``gini`` order the rows by each blend, so they take jobs of their own.
+
     All candidates of a pass are aggregate columns over the same scan, so rows
     are neither copied per candidate nor shuffled.
     """
     scored = []
+    if metric in RANKED_METRICS:
+        for i, w in enumerate(weights):
+            named = [F.lit(float(x)).alias(f"w{k + 1}") for k, x in enumerate(w)]
+            value = RANKED_METRICS[metric](df.withColumn("__blend", blended(preds, w, log)), y_true, "__blend", key)
+            scored.append(value.select(F.lit(i).alias("weight_id"), *named, F.col(metric)))
+        return reduce(DataFrame.unionByName, scored)
     for i in range(0, len(weights), CANDIDATES_PER_PASS):
         chunk = weights[i : i + CANDIDATES_PER_PASS]
         structs = []

@@ -64,7 +64,14 @@ def distinct_counts(train: DataFrame, test: DataFrame | None, cols: Sequence[str
         .groupBy("column", "v")
         .agg(F.max("__t").alias("train"), F.max(~F.col("__t")).alias("test"))
     )
-    return seen.groupBy("column").agg(F.count_if("train").alias("train"), F.count_if("test").alias("test"))
+    found = seen.groupBy("column").agg(F.count_if("train").alias("train"), F.count_if("test").alias("test"))
+    return _with_every(found, "column", cols).fillna(0, ["train", "test"])
+
+
+def _with_every(found: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
+    """One row per listed column, those without a known value included."""
+    listed = found.sparkSession.createDataFrame([(c,) for c in cols], f"{name} string")
+    return listed.join(found, name, "left")
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -221,7 +228,8 @@ def woe(df: DataFrame, features: Sequence[str], event: str) -> DataFrame:
 
 def woe_iv(df: DataFrame, features: Sequence[str], event: str) -> DataFrame:
     """Information value per feature."""
-    return woe(df, features, event).groupBy("feature").agg(F.sum(F.col("woe") * F.col("diff")).alias("iv"))
+    found = woe(df, features, event).groupBy("feature").agg(F.sum(F.col("woe") * F.col("diff")).alias("iv"))
+    return _with_every(found, "feature", features).fillna(0.0, ["iv"])
 
 
 def group_stats(df: DataFrame, by: str, area: str, target: str) -> DataFrame:

@@ -120,7 +120,7 @@ def _blend_frame(spark, sf_dir):
 
 @query("random_refine_blend")
 def q_random_refine_blend(spark, sf_dir):
-    return W.random_refine_blend(_blend_frame(spark, sf_dir), PRICE, PREDS, moves=80)
+    return W.random_refine_blend(_blend_frame(spark, sf_dir), PRICE, PREDS)
 
 
 @query("optimize_weights")

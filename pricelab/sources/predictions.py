@@ -9,11 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # Kinds of prediction artifacts.
 KINDS = ("cv", "test-kfold", "test-one")
 
+# Files of a model and kind, at most.
+FILES_PER_FOLDER = 8
+
 SCHEMA = "building_id bigint, y_true double, y_pred double, model_id int, kind string"
 
 
 def write_predictions(df: DataFrame, path: str, model_id: int | None = None, kind: str | None = None) -> None:
-    """Append predictions, laid out by model and kind so that reads prune folders."""
+    """Write predictions by model and kind, so that reads prune folders; what a (model, kind) held before is replaced.
+
+    Rows are dealt by model, kind and a few slices of the id, so a folder gets a few files and no task a whole model.
+    """
     out = df
     if model_id is not None:
         out = out.withColumn("model_id", F.lit(model_id))
@@ -21,7 +27,9 @@ def write_predictions(df: DataFrame, path: str, model_id: int | None = None, kin
         if kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}")
         out = out.withColumn("kind", F.lit(kind))
-    out.write.mode("append").partitionBy("model_id", "kind").parquet(path)
+    slices = F.pmod(F.xxhash64("building_id"), F.lit(FILES_PER_FOLDER))
+    dealt = out.repartition("model_id", "kind", slices)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_id", "kind").parquet(path)
 
 
 def read_predictions(spark: SparkSession, path: str, models: Sequence[int], kind: str, schema: str = SCHEMA) -> DataFrame:

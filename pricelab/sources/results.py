@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 LOG_LINE_MARK = "(("
 PARAM_PATTERN = r"\('([^']+)', ([^()]+?)\)"
 FOLD_LIST_PATTERN = r"\[([^\[\]]*)\]"
-MEANS_PATTERN = r"\)\)[,\s]+([^\[]*)"
+MEANS_PATTERN = r"^[,\s]*([^\[]*)"
+RECORD_PATTERN = r"(?=\(\()"
+HEAD_PATTERN = r"(?s)^(.*?\)\))"
+TAIL_PATTERN = r"(?s)^.*?\)\)(.*)$"
 
 
 def write_results(results: DataFrame, path: str) -> None:
@@ -54,19 +57,24 @@ def parse_search_log(lines: DataFrame, text: str = "value", means: Sequence[str]
 
     Plain text matching, nothing is evaluated; numbers that do not parse are null.
     """
-    line = F.col(text)
+    # A line may hold several records; each begins where a parameter list opens.
+    records = lines.where(F.col(text).contains(LOG_LINE_MARK)).select(
+        F.explode(F.filter(F.split(F.col(text), RECORD_PATTERN), lambda r: r.contains(LOG_LINE_MARK))).alias("__record")
+    )
+    line = F.regexp_extract(F.col("__record"), HEAD_PATTERN, 1)
+    tail = F.regexp_extract(F.col("__record"), TAIL_PATTERN, 1)
     pairs = F.transform(
         F.regexp_extract_all(line, F.lit(PARAM_PATTERN), 1),
         lambda k, i: F.struct(
             k.alias("k"), F.trim(F.get(F.regexp_extract_all(line, F.lit(PARAM_PATTERN), 2), i), F.lit("' ")).alias("v")
         ),
     )
-    numbers = F.filter(F.split(F.trim(F.regexp_extract(line, MEANS_PATTERN, 1)), r"[,\s]+"), lambda x: x != "")
+    numbers = F.filter(F.split(F.trim(F.regexp_extract(tail, MEANS_PATTERN, 1)), r"[,\s]+"), lambda x: x != "")
     lists = F.transform(
-        F.regexp_extract_all(line, F.lit(FOLD_LIST_PATTERN), 1),
+        F.regexp_extract_all(tail, F.lit(FOLD_LIST_PATTERN), 1),
         lambda body: F.transform(F.filter(F.split(F.trim(body), r"[,\s]+"), lambda x: x != ""), lambda x: x.try_cast("double")),
     )
-    return lines.where(line.contains(LOG_LINE_MARK)).select(
+    return records.select(
         F.map_from_entries(pairs).alias("params"),
         *[F.get(numbers, F.lit(i)).try_cast("double").alias(m) for i, m in enumerate(means)],
         lists.alias("fold_lists"),

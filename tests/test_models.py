@@ -138,8 +138,7 @@ def test_simplex_grid():
 
 def test_small_and_large_grids_agree(spark, blend, monkeypatch):
     small = sorted(map(tuple, W.simplex_grid_blend(blend, "total_price", PREDS, steps=3, metric="mape", log=True).collect()))
-    monkeypatch.setattr(W, "CANDIDATES_PER_PASS", 1)
-    monkeypatch.setattr(W, "GRID_PER_PASS", 4)
+    monkeypatch.setattr(M, "CANDIDATES_PER_PASS", 4)
     large = sorted(map(tuple, W.simplex_grid_blend(blend, "total_price", PREDS, steps=3, metric="mape", log=True).collect()))
     assert [r[:4] for r in small] == [r[:4] for r in large]
     assert [r[4] for r in small] == pytest.approx([r[4] for r in large])
