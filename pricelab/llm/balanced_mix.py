@@ -220,7 +220,7 @@ def mixture(docs: DataFrame, weights: Sequence[float], share: float, cap: float
     Rows of one identifier and text are interchangeable: one of them is repeated for all.
     """
     taken = mix(docs, weights, share, cap, seed, id_col, text_col, source_col)
-    times = taken.groupBy("deal").agg(F.sum("times").cast("int").alias("__times")).where("__times > 0")
+    times = taken.groupBy(F.col("deal").alias("__taken")).agg(F.sum("times").cast("int").alias("__times")).where("__times > 0")
     keyed = docs.withColumn("__deal", _deal(seed, id_col, text_col)).dropDuplicates(["__deal"])
-    rows = keyed.join(times, keyed["__deal"] == times["deal"])
+    rows = keyed.join(times, F.col("__deal") == F.col("__taken"))
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
