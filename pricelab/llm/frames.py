@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
@@ -33,6 +34,18 @@ def once_per_worker(key, make):
     return kept[key]
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Arrow batches of ``rows`` rows in the jobs that start inside, for rows that hold several texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelab.llm.components import components
-from pricelab.llm.frames import chunks, ship, whole_text, written
+from pricelab.llm.frames import chunks, ship, small_batches, whole_text, written
 from pricelab.llm.words import BASE, mix, shingle_sets, words_of
 from pricelab.session import shuffle_width
 
@@ -54,6 +54,8 @@ ship(__name__)
 
 #: Largest over smallest size of a band.
 BAND = 1.5
+#: Pairs of whole texts, or differences, that a task takes at a time.
+PAIRS_PER_BATCH = 64
 #: Bits of a block of the sketch.
 BLOCK_BITS = 1 << 12
 
@@ -323,7 +325,8 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
         "p long, x long, cx long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>, "
         "index array<long>, probe array<long>",
     )
-    members = written(keyed, "families")
+    with small_batches(checked.sparkSession, PAIRS_PER_BATCH):
+        members = written(keyed, "families")
     bound = f"({den - num} * ({{}}) DIV {den + num})"
     limit = bound.format("nx + ny")
     # Eight words of a sketch alone bound the distance from below too, and are compiled.
@@ -394,11 +397,14 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     texts = written(
         rows.select("row1", "row2", "text").join(wanted, ["row1", "row2"]).select("uid", "text").dropDuplicates(["uid"]), "texts"
     )
-    checked = written(verify(pairs, texts, k, num, den, True), "checked")
+    with small_batches(spark, PAIRS_PER_BATCH):
+        checked = written(verify(pairs, texts, k, num, den, True), "checked")
     same = reps.where("rep <> uid").select(F.col("rep").alias("u"), F.col("uid").alias("v"))
     near = checked.where("linked").select(F.col("p").alias("u"), F.col("x").alias("v"))
     labels = components(near.unionAll(same))
-    more = written(verify(_family_pairs(checked, labels, num, den), texts, k, num, den, False).where("linked").select("p", "x"), "found")
+    candidates = _family_pairs(checked, labels, num, den)
+    with small_batches(spark, PAIRS_PER_BATCH):
+        more = written(verify(candidates, texts, k, num, den, False).where("linked").select("p", "x"), "found")
     if not more.isEmpty():
         # The components so far stand for their edges.
         so_far = labels.where("node <> label").select(F.col("label").alias("u"), F.col("node").alias("v"))
