@@ -119,16 +119,20 @@ def _without_validation(est: Estimator) -> Estimator:
 
 
 def fold_values(df: DataFrame, fold: str, folds: Sequence[int] | None = None) -> list[int]:
-    """The folds of the data. A row without a fold, or in one that is not listed, would never be predicted: an error."""
+    """The folds listed, or those of the data. A row without a fold would never be predicted: an error."""
     found = [r[0] for r in df.select(fold).distinct().collect()]
     if None in found:
         raise ValueError(f"some rows have no {fold}")
-    lost = sorted(set(found) - set(folds)) if folds is not None else []
-    if lost:
-        raise ValueError(f"nobody predicts the rows of {fold} {lost}")
     return sorted(found) if folds is None else list(folds)
 
 
+def check_segments(df: DataFrame, segment: str, segments: Sequence[object]) -> None:
+    """Every segment of the data must be listed, or nobody predicts its rows."""
+    lost = [r[0] for r in df.select(segment).distinct().collect() if r[0] not in set(segments)]
+    if lost:
+        raise ValueError(f"no model for {segment} {lost}")
+
+
 def cross_predict(
     df: DataFrame,
     make: Callable[[], Estimator],
@@ -206,7 +210,7 @@ def segment_models(
     row weight in place of copied rows. Every segment of the data must be listed.
     """
     folds = fold_values(df, fold, folds)
-    fold_values(df, segment, segments)
+    check_segments(df, segment, segments)
     ready = assemble(df, features)
 
     def one(f: int, s: object) -> DataFrame:
