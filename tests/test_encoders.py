@@ -203,3 +203,15 @@ def test_pca_is_centered_and_ordered(spark):
     assert means[0] == pytest.approx(0, abs=1e-6) and means[1] == pytest.approx(0, abs=1e-6)
     assert means[2] > means[3]
     assert sum(fitted.explained()) == pytest.approx(1.0)
+
+
+def test_rows_with_gaps_stay(spark):
+    from pricelab.encoders.geometry import GeoCluster, PcaReduce
+
+    rows = [(i, float(i % 7), float(i % 5)) for i in range(40)] + [(40, None, 1.0), (41, float("nan"), 2.0)]
+    df = spark.createDataFrame(rows, "id int, lat double, lon double")
+    out = GeoCluster(3, seeds=(1,)).fit(df).transform(df)
+    assert out.count() == 42 and out.where("encoded_latlon IS NULL").count() == 2
+    full = df.where("id < 40")
+    parts = PcaReduce(2).fit(full, None, ["lat", "lon"]).transform(df)
+    assert parts.count() == 42 and parts.where("pca_0 IS NULL").count() == 2

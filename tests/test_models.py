@@ -208,3 +208,12 @@ def test_blend_guards(spark, blend, capsys):
     B.weighted_blend(PREDS, [0.5, 0.2, 0.2])
     assert "weights sum" in capsys.readouterr().out
     assert B.no_zeros(blend, PREDS) and not B.no_zeros(blend.withColumn("p1", F.lit(0.0)), PREDS)
+
+
+def test_rows_without_a_fold_or_segment_are_errors(spark, sales):
+    from pyspark.sql import functions as F
+
+    with pytest.raises(ValueError, match="no fold"):
+        J.cross_predict(sales.withColumn("fold", F.when(F.col("fold") > 0, F.col("fold"))), lambda: None, ["x"])
+    with pytest.raises(ValueError, match="no model"):
+        J.segment_models(sales, "grp", [0], lambda: None, ["x"])

@@ -171,3 +171,20 @@ def test_no_single_task_exchange_in_large_plans(spark):
     df = spark.range(30_000).select("id", (F.col("id") % 977).cast("double").alias("v"))
     for out in (R.global_rank(df, ["v", "id"]), R.stratified_folds(R.rank_level(df, "v", "id", 5), "level", "id", 5)):
         assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_columns_without_a_value_are_counted(spark):
+    from pricelab.operators.profile import distinct_counts
+
+    df = spark.createDataFrame([("a", None), ("b", None)], "x string, y string")
+    assert sorted(map(tuple, distinct_counts(df, df, ["x", "y"]).collect())) == [("x", 2, 2), ("y", 0, 0)]
+
+
+def test_log_lines_with_several_records_and_lists(spark):
+    from pricelab.sources.results import parse_search_log
+
+    one = "(('metric', ['mse', 'mape']), ('rate', -0.5), ('depth', None)) 12.5 0.04 0.13 0.008 [12.0, 13.0] [0.1, 0.2]"
+    df = spark.createDataFrame([(f"[[{one}, {one.replace('12.5', '7.5')}",), ("nothing",)], "value string")
+    got = parse_search_log(df).orderBy("score").collect()
+    assert [r["score"] for r in got] == [7.5, 12.5]
+    assert all(r["fold_lists"] == [[12.0, 13.0], [0.1, 0.2]] and r["params"]["rate"] == "-0.5" for r in got)
