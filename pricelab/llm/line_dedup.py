@@ -1,15 +1,17 @@
-"""Repeated passages by content-defined chunks of lines.
-
-The lines of a text are hashed and a hash rolls over each two neighbouring lines;
-a chunk ends where it falls into one of ``SPREAD`` classes, so an insertion moves
-only the borders next to it. A line of ``LONG_WORDS`` words or more is a chunk of
-its own. Chunks of two lines or more with words, and those long lines, are looked
-up in the whole corpus by hash and length; the ones found more than once are cut
-from the texts and compared byte by byte (rows are grouped by the bytes). Each
-passage stays at its first place, by smallest identifier, row hash and offset, and
-goes everywhere else, within one text too.
-
-Null and empty texts have no lines. Text without a repeated chunk comes back
+"""Repeated passages of lines, found at every line.
+
+A passage is two lines with words or more, or one line of ``LONG_WORDS`` words or
+more; blank lines between its lines belong to it, those around it don't. Every two
+neighbouring lines with words and every long line are looked up in the whole corpus
+by hash and size; the ones found more than once are cut from the texts and compared
+byte by byte (rows are grouped by the bytes). A longer passage is found through its
+pairs, so its ends need no border of their own. A pair stays at its first place, by
+smallest identifier, row hash and offset, and goes everywhere else, within one text
+too unless it shares a line with its first place. Pairs that overlap may have
+different first places: each line of a removed passage stays somewhere, but not
+always beside the same neighbour.
+
+Null and empty texts have no lines. Text without a repeated passage comes back
 unchanged. Repeated rows (same identifier and text) are the same place and treated
 alike; null identifiers come after all others. An empty table gives no rows. Names
 of other columns don't matter, since only the identifier and the text are read.
@@ -23,20 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelab.llm.frames import chunks, ship, whole_text, written
-from pricelab.llm.words import BASE, mix, span_hashes, text_bytes
+from pricelab.llm.words import span_hashes, text_bytes
 
 ship(__name__)
 
-#: One window in so many ends a chunk.
-SPREAD = 4
-#: Lines of a chunk at most, should no window end it.
-MOST_LINES = 64
-#: Words that make a single line a chunk.
+#: Words that make a single line a passage.
 LONG_WORDS = 50
 
 
-def line_chunks(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Text, start, end, hash, lines and words of every chunk; starts and ends are places in ``raw``."""
+def line_pairs(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Text, start, end and hash of every two neighbouring worded lines and every long line; places in ``raw``."""
     n = len(raw)
     breaks = raw == 10
     first = np.zeros(n + 1, bool)
@@ -44,68 +42,77 @@ def line_chunks(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     starts = np.unique(np.concatenate([offsets[:-1][np.diff(offsets) > 0], np.flatnonzero(breaks) + 1]))
     starts = starts[starts < n]
     if not len(starts):
-        return [np.zeros(0, np.int64)] * 6
+        return [np.zeros(0, np.int64)] * 4
     doc = np.searchsorted(offsets, starts, side="right") - 1
     ends = np.append(starts[1:], n)
     bare = ends - (breaks[ends - 1])
-    hashes = span_hashes(raw)(starts, bare)
     blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
     opens = ~blank & (first[:n] | np.concatenate([[True], blank[:-1]]))
     upto = np.concatenate([[0], np.cumsum(opens)])
     words = upto[ends] - upto[starts]
-    same = doc[1:] == doc[:-1]
-    long = words >= LONG_WORDS
-    ended = np.ones(len(starts), bool)
-    ended[1:] = mix(hashes[:-1] * np.uint64(BASE) + hashes[1:]) % np.uint64(SPREAD) == 0
-    ended[0] = False
-    ended[1:] &= same
-    ended[:-1] |= ~same | long[1:]
-    ended |= long
-    ended[-1] = True
-    # A run without a border is cut at whole multiples of the largest size.
-    place = np.arange(len(starts))
-    begin = np.concatenate([[0], np.flatnonzero(ended)[:-1] + 1])
-    since = place - np.repeat(begin, np.diff(np.append(begin, len(starts))))
-    ended |= since % MOST_LINES == MOST_LINES - 1
-    last = np.flatnonzero(ended)
-    begin = np.concatenate([[0], last[:-1] + 1])
-    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes + np.uint64(1)) * (place - begin[np.searchsorted(last, place)] + 1).astype(np.uint64))])
-    worded = np.concatenate([[0], np.cumsum(words > 0)])
-    count = np.concatenate([[0], np.cumsum(words)])
-    a, b = begin, last + 1
-    return [doc[a], starts[a], bare[last], mix(total[b] - total[a]), worded[b] - worded[a], count[b] - count[a]]
-
-
-_CHUNK = "id long, row1 long, row2 long, start int, size int, hash long"
+    worded = np.flatnonzero(words > 0)
+    a, b = worded[:-1], worded[1:]
+    both = doc[a] == doc[b]
+    long = np.flatnonzero(words >= LONG_WORDS)
+    a, b = np.concatenate([a[both], long]), np.concatenate([b[both], long])
+    return [doc[a], starts[a], bare[b], span_hashes(raw)(starts[a], bare[b])]
+
+
+_PAIR = "id long, row1 long, row2 long, start int, size int, hash long"
 
 
 def _find(batches):
     for part in chunks(batches, "text"):
         raw, offsets = text_bytes(part.column("text"))
-        doc, start, end, hashes, lines, words = line_chunks(raw, offsets)
-        use = np.flatnonzero((lines >= 2) | (words >= LONG_WORDS))
-        at = pa.array(doc[use])
+        doc, start, end, hashes = line_pairs(raw, offsets)
+        at = pa.array(doc)
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("id").take(at), part.column("row1").take(at), part.column("row2").take(at),
-                pa.array((start[use] - offsets[doc[use]]).astype(np.int32)), pa.array((end[use] - start[use]).astype(np.int32)),
-                pa.array(hashes[use].astype(np.uint64).view(np.int64)),
+                pa.array((start - offsets[doc]).astype(np.int32)), pa.array((end - start).astype(np.int32)),
+                pa.array(hashes.astype(np.uint64).view(np.int64)),
             ],
             ["id", "row1", "row2", "start", "size", "hash"],
         )
 
 
+def _bytes(batches):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            part = batch.slice(k, 1)
+            raw = part.column("text")[0].as_buffer().to_pybytes()
+            spans = part.column("spans")[0].as_py()
+            for i in range(0, len(spans), 1024):
+                some = spans[i:i + 1024]
+                same = pa.array(np.zeros(len(some), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id").take(same), part.column("row1").take(same), part.column("row2").take(same),
+                        pa.array([s["start"] for s in some], pa.int32()), pa.array([s["size"] for s in some], pa.int32()),
+                        pa.array([raw[s["start"]:s["start"] + s["size"]] for s in some], pa.binary()),
+                    ],
+                    ["id", "row1", "row2", "start", "size", "bytes"],
+                )
+
+
 def _cut(batches):
     for part in batches:
         texts, lines, gone = [], [], []
         for text, spans in zip(part.column("text"), part.column("spans").to_pylist()):
             raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+            # Pairs of one passage overlap: cut their union.
+            runs = []
+            for start, size in sorted((s["start"], s["size"]) for s in spans or ()):
+                if runs and start <= runs[-1][1]:
+                    runs[-1][1] = max(runs[-1][1], start + size)
+                else:
+                    runs.append([start, start + size])
             kept, at = [], 0
             lost = 0
-            for start, size in sorted((s["start"], s["size"]) for s in spans or ()):
+            for start, end in runs:
                 kept.append(raw[at:start])
-                lost += raw.count(b"\n", start, start + size) + 1
-                at = start + size + (raw[start + size:start + size + 1] == b"\n")
+                lost += raw.count(b"\n", start, end) + 1
+                at = end + (raw[end:end + 1] == b"\n")
             texts.append(b"".join([*kept, raw[at:]]).decode())
             lines.append(raw.count(b"\n") + 1 if raw else 0), gone.append(lost)
         yield pa.RecordBatch.from_arrays(
@@ -120,20 +127,22 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(
         ident.alias("id"), F.xxhash64(ident, text).alias("row1"), F.xxhash64(F.lit("row"), text, ident).alias("row2"), text.alias("text")
     )
-    found = written(rows.mapInArrow(_find, _CHUNK), "line-chunks")
+    found = written(rows.mapInArrow(_find, _PAIR), "line-pairs")
     often = found.groupBy("hash", "size").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "size")
-    candidates = found.join(often, ["hash", "size"], "left_semi").distinct()
-    # The bytes of candidates: whole texts meet the places of their candidates once.
-    bytes_ = rows.select("row1", "row2", "text").join(candidates, ["row1", "row2"]).select(
-        "id", "row1", "row2", "start", "size", "hash",
-        F.expr("substring(cast(text AS binary), start + 1, size)").alias("bytes"),
+    candidates = found.join(often, ["hash", "size"], "left_semi").groupBy("row1", "row2").agg(
+        F.collect_set(F.struct("start", "size")).alias("spans")
+    )
+    # The bytes of candidates: a text meets all its candidates once.
+    bytes_ = rows.join(candidates, ["row1", "row2"]).select("id", "row1", "row2", "text", "spans").mapInArrow(
+        _bytes, "id long, row1 long, row2 long, start int, size int, bytes binary"
     )
-    placed = written(bytes_.distinct(), "passages")
+    placed = written(bytes_, "passages")
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "row1", "row2", "start")
     first = placed.groupBy("bytes").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     kinds = first.select(F.sha2("bytes", 256).alias("sha"), "first")
+    # A pair of equal lines may overlap its own first place, which is no second copy.
     gone = placed.select(F.sha2("bytes", 256).alias("sha"), "row1", "row2", "start", "size", place.alias("place")).join(kinds, "sha").where(
-        "place <> first"
+        "place <> first AND NOT (row1 = first.row1 AND row2 = first.row2 AND place.id <=> first.id AND start < first.start + size)"
     )
     spans = gone.groupBy("row1", "row2").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
     return rows.join(spans, ["row1", "row2"], "left").select("id", "text", "spans").mapInArrow(

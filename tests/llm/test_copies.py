@@ -151,3 +151,49 @@ def test_line_dedup(make_docs, odd_rows):
     texts = {(r["doc_id"], r["text"]) for r in odd.collect()}
     assert odd.count() == len(odd_rows) and (3, "") in texts and (4, "") in texts
     assert L.dedup_lines(make_docs([])).count() == 0
+
+
+def brute_lines(docs, long_words=50):
+    """Lines that lie in a run of two worded lines or more, or in one long line, that has an earlier copy elsewhere."""
+    lines = {i: text.split("\n") for i, text in docs}
+    places = sorted((i, k) for i, ls in lines.items() for k in range(len(ls)))
+    gone = set()
+    for p in places:
+        for q in places:
+            if q >= p:
+                break
+            (d, i), (e, j), n = p, q, 0
+            while i + n < len(lines[d]) and j + n < len(lines[e]) and lines[d][i + n] == lines[e][j + n] and not (d == e and j + n >= i):
+                n += 1
+            run = lines[d][i:i + n]
+            while run and not run[-1].split():
+                run.pop()
+            if run and run[0].split() and (sum(1 for x in run if x.split()) > 1 or len(run[0].split()) >= long_words):
+                gone |= {(d, i + k) for k in range(len(run))}
+    return {i: "\n".join(x for k, x in enumerate(ls) if (i, k) not in gone) for i, ls in lines.items()}, gone
+
+
+def test_line_dedup_finds_every_repeated_run(make_docs):
+    """Runs of 2 to 8 lines between unique neighbours, with blank lines inside, and parts of other runs."""
+    rng = random.Random(5)
+    source = [f"common line {i} " + " ".join(f"w{rng.randrange(900)}" for _ in range(rng.randrange(3, 30))) for i in range(40)]
+    docs = []
+    for d in range(60):
+        parts = []
+        for u in range(rng.randrange(1, 4)):
+            start, size = rng.randrange(32), rng.randrange(1, 9)
+            parts += [f"unique {d} {u}"] + source[start:start + size] + ([""] if rng.random() < 0.3 else [])
+        parts.insert(rng.randrange(len(parts)), "" if rng.random() < 0.2 else f"mid {d}")
+        docs.append((d, "\n".join([*parts, f"end {d}"])))
+    want, gone = brute_lines(docs)
+    got = {r["doc_id"]: r for r in L.dedup_lines(make_docs([(i, t, "a") for i, t in docs])).collect()}
+    assert {i: r["text"] for i, r in got.items()} == want
+    assert {i: r["n_removed_lines"] for i, r in got.items()} == {i: sum(1 for d, _ in gone if d == i) for i in got}
+    kept = {x for t in want.values() for x in t.split("\n")}
+    assert kept >= {x for _, t in docs for x in t.split("\n") if x.split()}
+
+
+def test_line_dedup_of_equal_neighbours(make_docs):
+    rows = [(1, "x y\nx y\nx y", "a"), (2, "a\nx y\nx y\nx y\nb", "a"), (3, "p q\nr s\np q\nr s", "a")]
+    got = {r["doc_id"]: r["text"] for r in L.dedup_lines(make_docs(rows)).collect()}
+    assert got == {1: "x y\nx y\nx y", 2: "a\nb", 3: "p q\nr s\n"}
