@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Sequence
+from functools import partial
 from itertools import product
 
 from pyspark.ml import Estimator
@@ -11,7 +12,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricelab.models.jobs import FEATURES, assemble, best_iteration, fit_on
+from pricelab.models.jobs import FEATURES, assemble, best_iteration, fit_on, run_all
 from pricelab.operators import metrics as M
 
 # The metrics kept per fold of a search.
@@ -76,6 +77,7 @@ def random_search(
     folds: Sequence[int] = range(3),
     floor: float | None = None,
     floor_on: str = "every",
+    parallelism: int = 4,
 ) -> DataFrame:
     """Score parameter sets fold by fold; a set below the floor drops out.
 
@@ -86,8 +88,8 @@ def random_search(
     runs: dict[int, tuple[dict, list[dict]]] = {}
     for i, f in enumerate(folds):
         kept = []
-        for n, p in enumerate(alive):
-            scored = fold_scores(df, make(p), features_of(p), target, inverse, price, fold, f)
+        tasks = [partial(fold_scores, df, make(p), features_of(p), target, inverse, price, fold, f) for p in alive]
+        for p, scored in zip(alive, run_all(tasks, parallelism)):
             tested = floor is not None and (floor_on == "every" or i == 0)
             if tested and scored["score"] < floor:
                 continue
@@ -158,23 +160,26 @@ def grid_around_numeric(best: Sequence[dict]) -> list[dict]:
 def step_removal(
     df: DataFrame, make: Callable[[], Estimator], ranked: Sequence[str], features: Sequence[str], counts: Sequence[int],
     target: str, inverse: Column, price: str = "total_price", fold: str = "fold", folds: Sequence[int] = range(3),
+    parallelism: int = 4,
 ) -> DataFrame:
     """Score after dropping the n least useful features, for each n."""
     runs = []
     for n in counts:
         gone = set(ranked[:n])
         left = [c for c in features if c not in gone]
-        runs.append(({"n_feats_rm": n}, [fold_scores(df, make(), left, target, inverse, price, fold, f) for f in folds]))
+        tasks = [partial(fold_scores, df, make(), left, target, inverse, price, fold, f) for f in folds]
+        runs.append(({"n_feats_rm": n}, run_all(tasks, parallelism)))
     return results_table(df.sparkSession, runs)
 
 
 def single_addition(
     df: DataFrame, make: Callable[[], Estimator], base: Sequence[str], extra: Sequence[str], target: str, inverse: Column,
-    price: str = "total_price", fold: str = "fold", folds: Sequence[int] = range(3),
+    price: str = "total_price", fold: str = "fold", folds: Sequence[int] = range(3), parallelism: int = 4,
 ) -> DataFrame:
     """Score of the base features plus one more at a time (``none`` is the base itself)."""
     runs = []
     for name in ["none", *extra]:
         cols = list(base) if name == "none" else [*base, name]
-        runs.append(({"added": name}, [fold_scores(df, make(), cols, target, inverse, price, fold, f) for f in folds]))
+        tasks = [partial(fold_scores, df, make(), cols, target, inverse, price, fold, f) for f in folds]
+        runs.append(({"added": name}, run_all(tasks, parallelism)))
     return results_table(df.sparkSession, runs)

@@ -14,6 +14,9 @@ from pricelab.session import stored
 ID, PRICE, AREA = "building_id", "total_price", "building_area"
 PREDS = [f"pred_{m}" for m in MODELS]
 
+# Fixed value: bound on search steps that starts reach only if they never converge.
+MOST_STEPS = 200
+
 
 @query(
     "kfold_test_mean",
@@ -114,7 +117,7 @@ def q_backward_subset_mean(spark, sf_dir):
 
 def _blend_frame(spark, sf_dir):
     """Predictions, area and fold, written once for the many passes of a search."""
-    df = predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(3))
+    df = predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of())
     return stored(df.select(ID, PRICE, AREA, "fold", *PREDS))
 
 
@@ -126,12 +129,12 @@ def q_random_refine_blend(spark, sf_dir):
 @query("optimize_weights")
 def q_optimize_weights(spark, sf_dir):
     df = _blend_frame(spark, sf_dir)
-    search = W.optimize_weights(df, PRICE, PREDS, area=AREA, loss="smooth", max_iter=6)
+    search = W.optimize_weights(df, PRICE, PREDS, area=AREA, loss="smooth", max_iter=MOST_STEPS)
     return df.select(ID, PRICE, search.prediction().alias("y_pred"))
 
 
 @query("fold_weight_ensemble")
 def q_fold_weight_ensemble(spark, sf_dir):
     df = _blend_frame(spark, sf_dir)
-    _, _, _, blend = W.fold_weight_ensemble(df, PRICE, PREDS, folds=range(3), loss="mape", max_iter=4)
+    _, _, _, blend = W.fold_weight_ensemble(df, PRICE, PREDS, folds=range(5), loss="mape", max_iter=MOST_STEPS)
     return df.select(ID, PRICE, blend.alias("y_pred"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pricelab.functions.rows import row_mean
 from pricelab.functions.targets import target_inverse, target_transform, threshold_flag
 from pricelab.encoders.stages import FeatureSteps
 from pricelab.models import importance as I
@@ -18,22 +19,23 @@ ID, PRICE, AREA = "building_id", "total_price", "building_area"
 TARGET = "log_per_area_total_price"
 FEATURES = [AREA, "land_area", "txn_floor", "total_floor", "txn_dt", "lat", "lon", "parking_price"]
 PREDS = [f"pred_{m}" for m in MODELS]
-FOLDS = range(3)
+FOLDS = range(5)
+# Fixed value: share of the known set's first score below which a searched set drops out.
+FLOOR_SHARE = 0.99
 
 
 def _inverse():
     return target_inverse("y_raw", AREA)
 
 
-
 def _frame(spark, sf_dir, *more):
     """Feature table with folds, written once because every fold reads it again."""
     df = target_transform(transactions(spark, sf_dir, [*FEATURES, *more, "is_test"]))
-    return stored(df.withColumn("fold", fold_of(3)))
+    return stored(df.withColumn("fold", fold_of(len(FOLDS))))
 
 
-def _trees(rounds=4, depth=3, **more):
-    return J.boosted_trees(TARGET, max_iter=rounds, depth=depth, step=0.3, **more)
+def _trees(rounds=20, **more):
+    return J.boosted_trees(TARGET, max_iter=rounds, **more)
 
 
 def _prices(oof):
@@ -50,7 +52,7 @@ def q_cross_predict(spark, sf_dir):
     )
     result = J.cross_predict(train, _trees, FEATURES, folds=FOLDS, test=test, steps=steps)
     oof = _prices(result.oof).select(ID, F.lit("cv").alias("kind"), "y_pred")
-    mean = F.expr("(target_0 + target_1 + target_2) / 3")
+    mean = row_mean([f"target_{f}" for f in FOLDS])
     tests = result.test.join(test.select(ID, AREA), ID).select(
         ID, F.lit("test-kfold").alias("kind"), target_inverse(mean, AREA).alias("y_pred")
     )
@@ -61,14 +63,14 @@ def q_cross_predict(spark, sf_dir):
 def q_boosted_trees(spark, sf_dir):
     df = _frame(spark, sf_dir)
     ready = J.assemble(df, FEATURES)
-    model = J.fit_on(_trees(6), ready.where("fold <> 0"), ready.where("fold = 0"))
+    model = J.fit_on(_trees(), ready.where("fold <> 0"), ready.where("fold = 0"))
     return _prices(model.transform(ready))
 
 
 @query("random_forest")
 def q_random_forest(spark, sf_dir):
     df = _frame(spark, sf_dir)
-    result = J.cross_predict(df, lambda: J.random_forest(TARGET, trees=6, depth=5), FEATURES, folds=FOLDS)
+    result = J.cross_predict(df, lambda: J.random_forest(TARGET), FEATURES, folds=FOLDS)
     return _prices(result.oof)
 
 
@@ -95,7 +97,7 @@ def q_segment_models(spark, sf_dir):
 @query("segment_models_duplicated")
 def q_segment_models_duplicated(spark, sf_dir):
     df = _grouped(spark, sf_dir)
-    make = lambda: _trees(3, weighted=True)
+    make = lambda: _trees(weighted=True)
     return _prices(J.segment_models(df, "price_group_pred", [0, 1, 2], make, FEATURES, folds=FOLDS, duplicate=True))
 
 
@@ -103,7 +105,7 @@ def q_segment_models_duplicated(spark, sf_dir):
 def q_group_classifier(spark, sf_dir):
     df = _frame(spark, sf_dir).withColumn("price_group", threshold_flag(TARGET, 7.5))
     train, test = df.where(~F.col("is_test")), df.where("is_test")
-    held, votes, _ = J.group_classifier(train, "price_group", FEATURES, test, folds=FOLDS, max_iter=3, depth=3)
+    held, votes, _ = J.group_classifier(train, "price_group", FEATURES, test, folds=FOLDS)
     return held.select(ID, F.lit("cv").alias("kind"), "price_group_pred").unionByName(
         votes.select(ID, F.lit("test-kfold").alias("kind"), "price_group_pred")
     )
@@ -118,7 +120,7 @@ def q_group_classifier(spark, sf_dir):
 )
 def q_stack_linear_fit(spark, sf_dir):
     """Unpenalised stack on one model: its line is ordinary least squares."""
-    df = stored(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(3)))
+    df = stored(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(len(FOLDS))))
     fit = J.stack_linear(df, PRICE, ["pred_1"], alphas=[0.0], folds=FOLDS)
     one = df.agg(F.count(F.lit(1)).alias("n"))
     return one.select(F.round(F.lit(fit.coefficients[0]), 6).alias("slope"), F.round(F.lit(fit.intercept), 6).alias("intercept"))
@@ -126,37 +128,43 @@ def q_stack_linear_fit(spark, sf_dir):
 
 @query("stack_linear")
 def q_stack_linear(spark, sf_dir):
-    df = stored(predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(3)))
-    fit = J.stack_linear(df, PRICE, PREDS, alphas=(0.0, 1e-4, 1e-2), area=AREA, folds=FOLDS)
+    df = stored(predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(len(FOLDS))))
+    fit = J.stack_linear(df, PRICE, PREDS, area=AREA, folds=FOLDS)
     return df.select(ID, PRICE, fit.prediction().alias("y_pred"))
 
 
 @query("stack_boosted")
 def q_stack_boosted(spark, sf_dir):
-    df = stored(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(3)))
-    make = lambda target: J.boosted_trees(target, max_iter=4, depth=4, step=0.5)
+    df = stored(predictions_wide(spark, sf_dir).withColumn("fold", fold_of(len(FOLDS))))
+    make = lambda target: J.boosted_trees(target)
     return J.stack_boosted(df, PRICE, PREDS, make, folds=FOLDS).oof.select(ID, PRICE, "y_pred")
 
 
 @query("param_grid")
 def q_param_grid(spark, sf_dir):
-    est = _trees(3, early_stop=False)
-    return S.param_grid(_frame(spark, sf_dir), est, {"maxDepth": [2, 3], "stepSize": [0.3]}, FEATURES, TARGET, top=1, parallelism=4)
+    est = _trees(early_stop=False)
+    space = {"maxDepth": [3, 4, 5], "stepSize": [0.1, 0.2]}
+    return S.param_grid(_frame(spark, sf_dir), est, space, FEATURES, TARGET, folds=len(FOLDS), parallelism=4)
 
 
 @query("random_search")
 def q_random_search(spark, sf_dir):
     space = {"depth": [2, 3, 4], "step": [0.2, 0.4], "n_feats_rm": [0, 1, 2]}
-    params = S.draw_params(space, 3, seed=7, seeds=[{"depth": 3, "step": 0.4, "n_feats_rm": 0}])
-    make = lambda p: J.boosted_trees(TARGET, max_iter=3, depth=p["depth"], step=p["step"])
+    known = {"depth": 3, "step": 0.4, "n_feats_rm": 0}
+    params = S.draw_params(space, 18, seed=7, seeds=[known])
+    make = lambda p: J.boosted_trees(TARGET, depth=p["depth"], step=p["step"])
     ranked = ["lon", "lat", "txn_dt"]
     features_of = lambda p: [c for c in FEATURES if c not in ranked[: p["n_feats_rm"]]]
-    return S.random_search(_frame(spark, sf_dir), make, params, features_of, TARGET, _inverse(), folds=FOLDS, floor=0.0)
+    df = _frame(spark, sf_dir)
+    # A set must come near the known one's score on the first fold.
+    first = S.fold_scores(df, make(known), features_of(known), TARGET, _inverse(), PRICE, "fold", FOLDS[0])
+    floor = FLOOR_SHARE * first["score"]
+    return S.random_search(df, make, params, features_of, TARGET, _inverse(), folds=FOLDS, floor=floor)
 
 
 @query("iteration_curve")
 def q_iteration_curve(spark, sf_dir):
-    curve = I.iteration_curve(_frame(spark, sf_dir), lambda: _trees(5, early_stop=False), FEATURES, folds=FOLDS)
+    curve = I.iteration_curve(_frame(spark, sf_dir), lambda: _trees(early_stop=False), FEATURES, folds=FOLDS)
     return I.mean_curve(curve)
 
 
@@ -168,17 +176,18 @@ def q_permutation_importance(spark, sf_dir):
 @query("step_removal")
 def q_step_removal(spark, sf_dir):
     ranked = ["lon", "lat", "txn_dt", "parking_price"]
-    return S.step_removal(_frame(spark, sf_dir), lambda: _trees(3), ranked, FEATURES, [0, 2, 4], TARGET, _inverse(), folds=FOLDS)
+    return S.step_removal(_frame(spark, sf_dir), _trees, ranked, FEATURES, range(len(ranked) + 1), TARGET, _inverse(), folds=FOLDS)
 
 
 @query("single_addition")
 def q_single_addition(spark, sf_dir):
     base = ["lat", "lon", "txn_dt"]
-    return S.single_addition(_frame(spark, sf_dir), lambda: _trees(3), base, [AREA, "land_area"], TARGET, _inverse(), folds=FOLDS)
+    extra = [c for c in FEATURES if c not in base]
+    return S.single_addition(_frame(spark, sf_dir), _trees, base, extra, TARGET, _inverse(), folds=FOLDS)
 
 
 @query("tree_importance")
 def q_tree_importance(spark, sf_dir):
     df = _frame(spark, sf_dir)
-    model = J.fit_on(_trees(4, early_stop=False), J.assemble(df, FEATURES))
+    model = J.fit_on(_trees(early_stop=False), J.assemble(df, FEATURES))
     return I.tree_importance(model, FEATURES, df)

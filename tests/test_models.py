@@ -217,3 +217,33 @@ def test_rows_without_a_fold_or_segment_are_errors(spark, sales):
         J.cross_predict(sales.withColumn("fold", F.when(F.col("fold") > 0, F.col("fold"))), lambda: None, ["x"])
     with pytest.raises(ValueError, match="no model"):
         J.segment_models(sales, "grp", [0], lambda: None, ["x"])
+
+
+def test_registered_jobs_run_whole(spark, monkeypatch):
+    """Registered model queries use every penalty, five folds, all sets, a floor that can prune and the top three."""
+    from pricelab.plans import blends, jobs
+
+    seen = {}
+
+    def note(name):
+        def run(df, *args, **kw):
+            seen[name] = (args, kw)
+            raise StopIteration
+
+        return run
+
+    sf = "/root/testdata/sf0.001"
+    for module, name, query in (
+        (J, "stack_linear", jobs.q_stack_linear), (S, "param_grid", jobs.q_param_grid), (S, "random_search", jobs.q_random_search),
+        (S, "step_removal", jobs.q_step_removal), (W, "fold_weight_ensemble", blends.q_fold_weight_ensemble),
+    ):
+        monkeypatch.setattr(module, name, note(name))
+        monkeypatch.setattr(S, "fold_scores", lambda *a: {"score": 4000.0})
+        with pytest.raises(StopIteration):
+            query(spark, sf)
+    assert "alphas" not in seen["stack_linear"][1] and list(seen["stack_linear"][1]["folds"]) == list(range(5))
+    assert len(seen["random_search"][0][1]) == 18 and 3000 < seen["random_search"][1]["floor"] < 4000
+    assert "top" not in seen["param_grid"][1] and seen["param_grid"][1]["folds"] == 5
+    assert list(seen["step_removal"][0][3]) == [0, 1, 2, 3, 4]
+    assert list(seen["fold_weight_ensemble"][1]["folds"]) == list(range(5)) and seen["fold_weight_ensemble"][1]["max_iter"] >= 100
+    assert jobs._trees().getMaxIter() >= 20
