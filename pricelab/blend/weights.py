@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.blend.candidates import blend_inputs, evaluate, second_moments
 from pricelab.functions.rows import row_dot, row_mean
+from pricelab.models.jobs import fold_values
 from pricelab.operators.metrics import hit_score, score_weight_grid
 from pricelab.operators.tables import top_results
 
@@ -237,14 +238,14 @@ def optimize_weights(df: DataFrame, y_true: str, preds: Sequence[str], **options
 
 
 def fold_weight_ensemble(
-    df: DataFrame, y_true: str, preds: Sequence[str], fold: str = "fold", folds: Sequence[int] = range(5), **options: object
+    df: DataFrame, y_true: str, preds: Sequence[str], fold: str = "fold", folds: Sequence[int] | None = None, **options: object
 ) -> tuple[list[WeightSearch], list[float], list[float], Column]:
     """Weights per fold, their held-out scores, the mean vector and the mean-of-folds prediction.
 
     Each fold's weights come from the other folds' rows and are scored on its own.
     """
     fits, scores = [], []
-    for f in folds:
+    for f in fold_values(df, fold, folds):
         search = WeightSearch(preds, y_true, **options).fit(df.where(F.col(fold) != f))
         held = df.where(F.col(fold) == f)
         scores.append(float(held.agg(hit_score(y_true, search.prediction())).first()[0]))

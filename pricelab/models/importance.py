@@ -8,7 +8,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.functions.keys import seeded_text
-from pricelab.models.jobs import assemble, fit_on
+from pricelab.models.jobs import assemble, fit_on, fold_values
 from pricelab.operators import metrics as M
 from pricelab.operators.ranks import global_rank
 from pricelab.session import materialize
@@ -33,12 +33,12 @@ def permutation_importance(
     price: str = "total_price",
     key: str = "building_id",
     fold: str = "fold",
-    folds: Sequence[int] = range(3),
+    folds: Sequence[int] | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Rows (feat, fold, score): held-out score after shuffling each feature, and unshuffled (``none``)."""
     rows = []
-    for f in folds:
+    for f in fold_values(df, fold, folds, whole=False):
         train, val = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
         model = fit_on(make(), assemble(train, features), assemble(val, features))
         donors = materialize(with_donors(val, features, key, seed + f))
@@ -56,11 +56,11 @@ def tree_importance(model: Model, features: Sequence[str], df: DataFrame) -> Dat
 
 
 def iteration_curve(
-    df: DataFrame, make: Callable[[], Estimator], features: Sequence[str], fold: str = "fold", folds: Sequence[int] = range(3)
+    df: DataFrame, make: Callable[[], Estimator], features: Sequence[str], fold: str = "fold", folds: Sequence[int] | None = None
 ) -> DataFrame:
     """Squared error after each round, train and validation, per fold: rows (fold, iteration, train_mse, val_mse)."""
     rows = []
-    for f in folds:
+    for f in fold_values(df, fold, folds, whole=False):
         ready = assemble(df, features)
         train, val = ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
         model = fit_on(make(), train)

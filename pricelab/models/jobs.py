@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -118,12 +119,22 @@ def _without_validation(est: Estimator) -> Estimator:
     return out
 
 
-def fold_values(df: DataFrame, fold: str, folds: Sequence[int] | None = None) -> list[int]:
-    """The folds listed, or those of the data. A row without a fold would never be predicted: an error."""
+def fold_values(df: DataFrame, fold: str, folds: Sequence[int] | None = None, whole: bool = True) -> list[int]:
+    """The folds listed, or those of the data. A row that no fold predicts is an error.
+
+    With ``whole=False`` a list may leave folds out on purpose, which warns.
+    """
     found = [r[0] for r in df.select(fold).distinct().collect()]
     if None in found:
         raise ValueError(f"some rows have no {fold}")
-    return sorted(found) if folds is None else list(folds)
+    if folds is None:
+        return sorted(found)
+    lost = sorted(set(found) - set(folds))
+    if lost and whole:
+        raise ValueError(f"listed folds leave out {fold} {lost}")
+    if lost:
+        warnings.warn(f"rows of {fold} {lost} are not validated", stacklevel=3)
+    return list(folds)
 
 
 def check_segments(df: DataFrame, segment: str, segments: Sequence[object]) -> None:
@@ -209,7 +220,7 @@ def segment_models(
     ``duplicate`` trains on all rows and counts the segment twice, through a
     row weight in place of copied rows. Every segment of the data must be listed.
     """
-    folds = fold_values(df, fold, folds)
+    folds = fold_values(df, fold, folds, whole=False)
     check_segments(df, segment, segments)
     ready = assemble(df, features)
 

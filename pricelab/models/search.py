@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricelab.models.jobs import FEATURES, assemble, best_iteration, fit_on, run_all
+from pricelab.models.jobs import FEATURES, assemble, best_iteration, fit_on, fold_values, run_all
 from pricelab.operators import metrics as M
 
 # The metrics kept per fold of a search.
@@ -74,7 +74,7 @@ def random_search(
     inverse: Column,
     price: str = "total_price",
     fold: str = "fold",
-    folds: Sequence[int] = range(3),
+    folds: Sequence[int] | None = None,
     floor: float | None = None,
     floor_on: str = "every",
     parallelism: int = 4,
@@ -84,6 +84,7 @@ def random_search(
     ``floor_on`` tests the floor after every fold or after the first only. The
     fold that failed is not recorded.
     """
+    folds = fold_values(df, fold, folds, whole=False)
     alive = [dict(p) for p in params]
     runs: dict[int, tuple[dict, list[dict]]] = {}
     for i, f in enumerate(folds):
@@ -120,10 +121,11 @@ def full_grid(space: dict[str, Sequence]) -> list[dict]:
 
 
 def param_grid(
-    df: DataFrame, est: Estimator, space: dict[str, Sequence], features: Sequence[str], target: str, folds: int = 3,
+    df: DataFrame, est: Estimator, space: dict[str, Sequence], features: Sequence[str], target: str, folds: int | None = None,
     fold: str = "fold", parallelism: int = 2, top: int = 3,
 ) -> DataFrame:
     """Grid over the Cartesian product, then a finer grid around the top sets: rows (search_round, params, rmse)."""
+    folds = len(fold_values(df, fold)) if folds is None else folds
     ready = assemble(df, features)
     evaluator = RegressionEvaluator(labelCol=target, predictionCol="y_raw", metricName="rmse")
 
@@ -159,10 +161,11 @@ def grid_around_numeric(best: Sequence[dict]) -> list[dict]:
 
 def step_removal(
     df: DataFrame, make: Callable[[], Estimator], ranked: Sequence[str], features: Sequence[str], counts: Sequence[int],
-    target: str, inverse: Column, price: str = "total_price", fold: str = "fold", folds: Sequence[int] = range(3),
+    target: str, inverse: Column, price: str = "total_price", fold: str = "fold", folds: Sequence[int] | None = None,
     parallelism: int = 4,
 ) -> DataFrame:
     """Score after dropping the n least useful features, for each n."""
+    folds = fold_values(df, fold, folds, whole=False)
     runs = []
     for n in counts:
         gone = set(ranked[:n])
@@ -174,9 +177,10 @@ def step_removal(
 
 def single_addition(
     df: DataFrame, make: Callable[[], Estimator], base: Sequence[str], extra: Sequence[str], target: str, inverse: Column,
-    price: str = "total_price", fold: str = "fold", folds: Sequence[int] = range(3), parallelism: int = 4,
+    price: str = "total_price", fold: str = "fold", folds: Sequence[int] | None = None, parallelism: int = 4,
 ) -> DataFrame:
     """Score of the base features plus one more at a time (``none`` is the base itself)."""
+    folds = fold_values(df, fold, folds, whole=False)
     runs = []
     for name in ["none", *extra]:
         cols = list(base) if name == "none" else [*base, name]

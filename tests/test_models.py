@@ -247,3 +247,24 @@ def test_registered_jobs_run_whole(spark, monkeypatch):
     assert list(seen["step_removal"][0][3]) == [0, 1, 2, 3, 4]
     assert list(seen["fold_weight_ensemble"][1]["folds"]) == list(range(5)) and seen["fold_weight_ensemble"][1]["max_iter"] >= 100
     assert jobs._trees().getMaxIter() >= 20
+
+
+def test_unlisted_folds_come_from_the_data(spark, sales, blend):
+    five = stored(sales.withColumn("fold", F.col("building_id") % 5))
+    small = lambda: trees(1, early_stop=False)
+    lengths = lambda out: {len(r["scores"]) for r in out.collect()}
+    assert lengths(S.random_search(five, lambda p: small(), [{"a": 1}], lambda p: ["x"], "lp", inverse())) == {5}
+    assert lengths(S.step_removal(five, small, ["z"], ["x", "z"], [1], "lp", inverse())) == {5}
+    assert lengths(S.single_addition(five, small, ["x"], [], "lp", inverse())) == {5}
+    assert {r["fold"] for r in I.iteration_curve(five, small, ["x"]).collect()} == set(range(5))
+    assert {r["fold"] for r in I.permutation_importance(five, small, ["x"], inverse()).collect()} == set(range(5))
+    assert len(W.fold_weight_ensemble(blend, "total_price", PREDS, loss="mape", max_iter=1)[0]) == 3
+
+
+def test_listed_folds_must_cover_the_data(spark, sales, blend):
+    with pytest.raises(ValueError, match="leave out"):
+        J.cross_predict(sales, trees, ["x"], folds=[0, 1])
+    with pytest.raises(ValueError, match="leave out"):
+        W.fold_weight_ensemble(blend, "total_price", PREDS, folds=[0])
+    with pytest.warns(UserWarning, match="not validated"):
+        J.fold_values(sales, "fold", [0], whole=False)
