@@ -157,7 +157,8 @@ def cross_predict(
 ) -> CrossResult:
     """Fit on all folds but one, predict that one and the test set.
 
-    Feature steps are fitted per fold on its train rows only. Give a frame that
+    Feature steps are fitted per fold on its train rows only; a rare value that
+    the test set holds too is kept. Give a frame that
     is cheap to read again (a written table): each fold scans it once. Folds are
     those of the data unless listed.
     """
@@ -167,7 +168,7 @@ def cross_predict(
         train, val, other = df.where(F.col(fold) != f), df.where(F.col(fold) == f), test
         cols = list(features)
         if steps is not None:
-            fitted = steps().fit(train)
+            fitted = steps().fit(train, test)
             # A learner reads its input many times: write the transformed fold once.
             train, val = stored(fitted.transform(train, is_train=True)), stored(fitted.transform(val))
             other = None if test is None else fitted.transform(test)
@@ -197,11 +198,19 @@ def kfold_test(result: CrossResult, folds: Sequence[int], log: bool = True) -> D
 
 def refit_full(
     df: DataFrame, make: Callable[[int], Estimator], features: Sequence[str], best_iterations: Sequence[int],
-    growth: float = REFIT_GROWTH,
-) -> Model:
-    """One model on all rows, with the mean best iteration grown by a factor."""
+    growth: float = REFIT_GROWTH, steps: Callable[[], FeatureSteps] | None = None, test: DataFrame | None = None,
+) -> Model | tuple[Model, FeatureSteps]:
+    """One model on all rows, with the mean best iteration grown by a factor.
+
+    With feature steps, fitted on all rows (rare values of ``test`` are kept), the
+    result is the model and the fitted steps that rows to predict must pass first.
+    """
     rounds = max(1, int(sum(best_iterations) / len(best_iterations) * growth))
-    return fit_on(make(rounds), assemble(df, features))
+    if steps is None:
+        return fit_on(make(rounds), assemble(df, features))
+    fitted = steps().fit(df, test)
+    ready = stored(fitted.transform(df, is_train=True))
+    return fit_on(make(rounds), assemble(ready, fitted.features())), fitted
 
 
 def segment_models(
@@ -214,18 +223,32 @@ def segment_models(
     folds: Sequence[int] | None = None,
     duplicate: bool = False,
     parallelism: int = 2,
+    steps: Callable[[], FeatureSteps] | None = None,
+    test: DataFrame | None = None,
 ) -> DataFrame:
     """One model per segment and fold; each predicts its own segment.
 
     ``duplicate`` trains on all rows and counts the segment twice, through a
     row weight in place of copied rows. Every segment of the data must be listed.
+    Feature steps are fitted per fold on its train rows of all segments; a rare
+    value that ``test`` holds too is kept.
     """
     folds = fold_values(df, fold, folds, whole=False)
     check_segments(df, segment, segments)
-    ready = assemble(df, features)
+    ready = assemble(df, features) if steps is None else None
+
+    def halves(f: int) -> tuple[DataFrame, DataFrame]:
+        if steps is None:
+            return ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
+        train, val = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
+        fitted = steps().fit(train, test)
+        train, val = stored(fitted.transform(train, is_train=True)), stored(fitted.transform(val))
+        return assemble(train, fitted.features()), assemble(val, fitted.features())
+
+    parts = dict(zip(folds, run_all([partial(halves, f) for f in folds], parallelism)))
 
     def one(f: int, s: object) -> DataFrame:
-        train, val = ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
+        train, val = parts[f]
         mine = F.col(segment) == F.lit(s)
         if duplicate:
             rows = train.withColumn(WEIGHT, F.when(mine, F.lit(2.0)).otherwise(F.lit(1.0)))

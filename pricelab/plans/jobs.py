@@ -38,6 +38,13 @@ def _trees(rounds=20, **more):
     return J.boosted_trees(TARGET, max_iter=rounds, **more)
 
 
+def _steps():
+    return FeatureSteps(
+        FEATURES, ["town"], TARGET, fill={"land_area": "median", "parking_price": -1.0, "txn_floor": 0.0, "total_floor": 0.0},
+        rare=["town"], scale=False, codes=None,
+    )
+
+
 def _prices(oof):
     return oof.select(ID, "fold", PRICE, _inverse().alias("y_pred"))
 
@@ -46,11 +53,7 @@ def _prices(oof):
 def q_cross_predict(spark, sf_dir):
     df = _frame(spark, sf_dir, "town", "village", "city")
     train, test = df.where(~F.col("is_test")), df.where("is_test")
-    steps = lambda: FeatureSteps(
-        FEATURES, ["town"], TARGET, fill={"land_area": "median", "parking_price": -1.0, "txn_floor": 0.0, "total_floor": 0.0},
-        rare=["town"], scale=False, codes=None,
-    )
-    result = J.cross_predict(train, _trees, FEATURES, folds=FOLDS, test=test, steps=steps)
+    result = J.cross_predict(train, _trees, FEATURES, folds=FOLDS, test=test, steps=_steps)
     oof = _prices(result.oof).select(ID, F.lit("cv").alias("kind"), "y_pred")
     mean = row_mean([f"target_{f}" for f in FOLDS])
     tests = result.test.join(test.select(ID, AREA), ID).select(
@@ -76,22 +79,23 @@ def q_random_forest(spark, sf_dir):
 
 @query("refit_full")
 def q_refit_full(spark, sf_dir):
-    df = _frame(spark, sf_dir)
+    df = _frame(spark, sf_dir, "town")
     train, test = df.where(~F.col("is_test")), df.where("is_test")
-    cv = J.cross_predict(train, _trees, FEATURES, folds=FOLDS)
+    cv = J.cross_predict(train, _trees, FEATURES, folds=FOLDS, test=test, steps=_steps)
     make = lambda rounds: _trees(rounds, early_stop=False)
-    model = J.refit_full(train, make, FEATURES, cv.best_iterations)
-    return model.transform(J.assemble(test, FEATURES)).select(ID, _inverse().alias(PRICE))
+    model, fitted = J.refit_full(train, make, FEATURES, cv.best_iterations, steps=_steps, test=test)
+    return model.transform(J.assemble(fitted.transform(test), fitted.features())).select(ID, _inverse().alias(PRICE))
 
 
-def _grouped(spark, sf_dir):
-    return _frame(spark, sf_dir).withColumn("price_group_pred", split_by(AREA, [60.0, 140.0]))
+def _grouped(spark, sf_dir, *more):
+    return _frame(spark, sf_dir, *more).withColumn("price_group_pred", split_by(AREA, [60.0, 140.0]))
 
 
 @query("segment_models")
 def q_segment_models(spark, sf_dir):
-    df = _grouped(spark, sf_dir)
-    return _prices(J.segment_models(df, "price_group_pred", [0, 1, 2], _trees, FEATURES, folds=FOLDS))
+    df = _grouped(spark, sf_dir, "town")
+    test = df.where("is_test")
+    return _prices(J.segment_models(df, "price_group_pred", [0, 1, 2], _trees, FEATURES, folds=FOLDS, steps=_steps, test=test))
 
 
 @query("segment_models_duplicated")

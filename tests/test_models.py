@@ -268,3 +268,29 @@ def test_listed_folds_must_cover_the_data(spark, sales, blend):
         W.fold_weight_ensemble(blend, "total_price", PREDS, folds=[0])
     with pytest.warns(UserWarning, match="not validated"):
         J.fold_values(sales, "fold", [0], whole=False)
+
+
+def test_towns_rare_in_train_but_in_test_are_kept(spark, sales, monkeypatch):
+    from pricelab.encoders.stages import FeatureSteps
+
+    town = F.when(F.col("building_id") == 7, "rare_both").when(F.col("building_id") == 8, "rare_train").otherwise("big")
+    df = stored(sales.withColumn("town", town))
+    test = stored(spark.createDataFrame([("rare_both",)], "town string").crossJoin(df.drop("town").limit(1)))
+    made = []
+
+    def steps():
+        made.append(FeatureSteps(["x"], ["town"], "lp", rare=["town"], scale=False, codes=None))
+        return made[-1]
+
+    def nulled():
+        return {r["value"] for s in made for r in s.rare_nuller.rare["town"].collect()}
+
+    small = lambda *a: trees(1, early_stop=False)
+    J.cross_predict(df, small, ["x"], folds=range(3), test=test, steps=steps)
+    assert nulled() == {"rare_train"}
+    made.clear()
+    model, fitted = J.refit_full(df, small, ["x"], [1], steps=steps, test=test)
+    assert nulled() == {"rare_train"} and fitted.features() == ["x", "encoded_town"] and model.numFeatures == 2
+    made.clear()
+    out = J.segment_models(df, "grp", [0, 1], small, ["x"], steps=steps, test=test)
+    assert out.count() == 1500 and nulled() == {"rare_train"}
