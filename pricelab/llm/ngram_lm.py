@@ -18,7 +18,8 @@ which is also the context of the first word. With counts from training documents
     P(w | v) = c(v, w) / (c(v) + BACK)                          if c(v, w) > 0
              = BACK / (c(v) + BACK) * (c(w) + 1) / (N + V + 1)  otherwise
 
-which sums to at most 1. Words are told apart by 64-bit hashes, successors of one
+which sums to at most 1 for exact counts. c(v, w) is rounded to its byte code, so a
+pair of a frequent context can come out a little over 1. Words are told apart by 64-bit hashes, successors of one
 context by 32 bits; a clash would add two counts.
 
 Null and empty texts consist of the end. Repeated rows are documents of their own.
