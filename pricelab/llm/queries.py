@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricelab.llm import balanced_mix, bpe, exact_dedup, line_dedup, ngram_join, ngram_lm, quality_rules, tool_calls, toxicity, url_filter
+from pricelab.llm import (
+    balanced_mix, bpe, conversation_repair, exact_dedup, line_dedup, ngram_join, ngram_lm, quality_rules, spelling, token_counts, tool_calls, toxicity,
+    url_filter,
+)
 from pricelab.llm.frames import table
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -172,3 +175,28 @@ FROM a JOIN d USING (conv_id, call_id) FULL JOIN r USING (conv_id, call_id)"""
 def op7(spark, sf_dir):
     calls, results = tool_calls.from_turns(table(spark, sf_dir, "conversations"))
     return tool_calls.link(calls, results, TOOLS).select("conv_id", "call_id", "name", "depth", "linked", "valid", "json")
+
+
+@query("op11_conversation_repair")
+def op11(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversation_repair.repair_conversations(conversation_repair.damaged(turns))
+
+
+#: Texts of more tokens are over the query's limit.
+TOKEN_LIMIT = 1024
+
+
+@query("op12_token_counts")
+def op12(spark, sf_dir):
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts.prefix_counts(docs, path, public_tokenizers.PATTERN, budgets=[TOKEN_LIMIT], store=False)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), f"fit_{TOKEN_LIMIT}")
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
