@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelab.llm.frames import written
+from pricelab.llm.frames import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,6 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if now == total:
+            discard(both)
             return labels
         total = now
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
@@ -28,4 +29,5 @@ def components(edges: DataFrame) -> DataFrame:
         offers = step.select("node", "new").unionAll(step.where("new < label").select(F.col("label").alias("node"), "new"))
         best = offers.groupBy("node").agg(F.min("new").alias("label"))
         up = best.select(F.col("node").alias("at"), F.col("label").alias("above"))
-        labels = written(best.join(up, best["label"] == up["at"]).select("node", F.col("above").alias("label")), "labels")
+        before, labels = labels, written(best.join(up, best["label"] == up["at"]).select("node", F.col("above").alias("label")), "labels")
+        discard(before)

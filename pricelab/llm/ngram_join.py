@@ -9,21 +9,26 @@ places there, so of D + 1 blocks of the sketch one is equal: texts meet in
 buckets keyed by band, block and block content. Empty blocks are no keys as long
 as D + 1 others are left.
 
-Buckets are never expanded into pairs. The smallest text of a bucket is its
-pivot; pivots that meet in buckets of their own hand their texts to the smallest
-of them. Only (pivot, text) pairs are verified on the whole texts, which also
-gives each text's difference to the pivot. Two texts near the pivot are linked
-through it. A text that is not linked with a pivot (a stray) may still link with
-another text y of that pivot's family. Differences to the pivot are sets too, and
+Every text also keeps one whole sketch, whose width follows its size; the wider of
+two folds onto the narrower. A pair whose sizes or whose sketches' Hamming distance
+rule out the similarity is dropped before any text is read.
+
+Buckets are not expanded into pairs. The smallest text of a bucket is its pivot, and
+the texts that meet a pivot are its family. Each text is held against its pivots.
+Two texts near a pivot are linked through it, and a family whose texts all are in one
+component is done. In what is left of a family of up to ``FAMILY`` texts, those of
+different components are paired, filtered by sketches and verified. Larger families
+are verified with each text's difference to the pivot. A text that is not linked with
+a pivot (a stray) may still link with another text y of that pivot's family.
+Differences to the pivot are sets too, and
 ``|x ^ y| = |dx ^ dy|`` is at most D. If the sketch of dx has bits in more than D
 blocks, some of D + 1 of these blocks is the same in dy. If not, dx is small:
 ``|dx|`` is above the bound, so x and y share at least ``(|dx| + |dy| - D) / 2``
 = m elements of their differences, and with all differences to a pivot in one
 order (shingles that the pivot lacks first), one of the first ``|dx| - m + 1``
 elements of dx is among the first ``|dy| - m + 1`` of dy. Joins on these keys
-find every such y; pairs of large families whose sketches are too far apart drop
-out, the others are verified in turn. So no link between different texts is lost
-at any bucket size.
+find every such y; pairs whose sketches are too far apart drop out, the others are
+verified in turn. So no link between different texts is lost at any bucket size.
 
 Equal sets (told by size and 128 bits of hash) are linked to one representative
 and verified once. Bucket keys travel as packed arrays: a task sends each distinct
@@ -46,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelab.llm.components import components
-from pricelab.llm.frames import chunks, ship, small_batches, whole_text, written
+from pricelab.llm.frames import chunks, discard, ship, small_batches, whole_text, written
 from pricelab.llm.words import BASE, mix, shingle_sets, words_of
 from pricelab.session import shuffle_width
 
@@ -58,6 +63,8 @@ BAND = 1.5
 PAIRS_PER_BATCH = 64
 #: Bits of a block of the sketch.
 BLOCK_BITS = 1 << 12
+#: Families of up to this many texts are paired by their sketches, larger ones by their differences to the pivot.
+FAMILY = 64
 
 
 def band_edges(top: int) -> list[int]:
@@ -103,7 +110,7 @@ def block_keys(grams: np.ndarray, band: int, blocks: int, filled: bool = False)
 
 
 _SKETCHED = (
-    "uid long, id long, row1 long, row2 long, n int, set1 long, set2 long, "
+    "uid long, id long, row1 long, row2 long, n int, set1 long, set2 long, sketch binary, "
     "chunk long, shard int, keys binary, firsts binary, more binary"
 )
 
@@ -125,7 +132,7 @@ def _sketcher(k: int, num: int, den: int, shards: int):
                 {
                     "uid": uid, "id": part.column("id"), "row1": part.column("row1"), "row2": part.column("row2"),
                     "n": sizes, "set1": both[:, 0].view(np.int64) if len(sets) else [], "set2": np.ascontiguousarray(both[:, 1]).view(np.int64),
-                    "chunk": none, "shard": none, "keys": none, "firsts": none, "more": none,
+                    "sketch": [whole_sketch(s) for s in sets], "chunk": none, "shard": none, "keys": none, "firsts": none, "more": none,
                 },
                 _schema(),
             )
@@ -162,7 +169,7 @@ def _sketcher(k: int, num: int, den: int, shards: int):
                 rows["more"].append(place[~new].astype(np.uint32).tobytes() + who[~new].tobytes())
             blank = [None] * len(rows["chunk"])
             yield pa.RecordBatch.from_pydict(
-                {**{c: blank for c in ("uid", "id", "row1", "row2", "n", "set1", "set2")}, **rows}, _schema()
+                {**{c: blank for c in ("uid", "id", "row1", "row2", "n", "set1", "set2", "sketch")}, **rows}, _schema()
             )
 
     return run
@@ -220,6 +227,44 @@ def _paired(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p_out)), pa.array(np.concatenate(x_out))], ["p", "x"])
 
 
+def whole_sketch(grams: np.ndarray) -> bytes:
+    """The parity sketch of a whole set: a power of two of bits, two to four per shingle and 512 at least."""
+    bits = 1 << max(9, (2 * len(grams) - 1).bit_length())
+    place = (mix(grams) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Hamming distance of two sketches, the wider folded onto the narrower; never above the symmetric difference."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _sketch_filter(num: int, den: int):
+    def run(batches):
+        for batch in batches:
+            np_, nx = batch.column("np").to_pylist(), batch.column("nx").to_pylist()
+            fits = []
+            for n, m, a, b in zip(np_, nx, batch.column("sp"), batch.column("sx")):
+                near = min(n, m) * den >= max(n, m) * num
+                fits.append(near and sketch_distance(a.as_buffer(), b.as_buffer()) * (den + num) <= (den - num) * (n + m))
+            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("x"), pa.array(fits, pa.bool_())], ["p", "x", "fits"])
+
+    return run
+
+
+def by_sketch(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """(p, x, fits): whether sizes and sketches allow the pairs to link."""
+    left = reps.select(F.col("uid").alias("p"), F.col("n").alias("np"), F.col("sketch").alias("sp"))
+    right = reps.select(F.col("uid").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
+    both = pairs.join(right, "x").join(left, "p")
+    return both.select("p", "x", "np", "nx", "sp", "sx").mapInArrow(_sketch_filter(num, den), "p long, x long, fits boolean")
+
+
 def parity_words(grams: np.ndarray, words: int) -> np.ndarray:
     """A sketch of ``words`` 64-bit words: each hash flips one bit."""
     place = ((mix(grams) >> np.uint64(32)) * np.uint64(64 * words) >> np.uint64(32)).astype(np.int64)
@@ -264,15 +309,13 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, delta
     return both.mapInArrow(_verifier(k, num, den, deltas), "p long, x long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>")
 
 
-def _merged_families(pairs: DataFrame) -> DataFrame:
-    """The (pivot, text) pairs with pivots that meet in buckets themselves replaced by the smallest of them.
-
-    Texts of one bucket stay in one family, and a text has few families to be compared in.
-    """
-    pivots = pairs.select(F.col("p").alias("x")).distinct()
-    roots = components(pairs.join(pivots, "x", "left_semi").select(F.col("p").alias("u"), F.col("x").alias("v")))
-    moved = pairs.join(roots, pairs["p"] == roots["node"], "left").select(F.coalesce("label", "p").alias("p"), "x")
-    return moved.unionAll(roots.select(F.col("label").alias("p"), F.col("node").alias("x"))).where("p <> x").distinct()
+def _small_family_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts of one small family that the links so far (``labels``) do not join, as pairs; at most ``FAMILY`` for each text."""
+    known = pairs.join(labels.select(F.col("node").alias("x"), F.col("label").alias("cx")), "x", "left").withColumn("cx", F.coalesce("cx", "x"))
+    split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b").select("p")
+    known = known.join(split, "p", "left_semi")
+    other = known.select("p", F.col("x").alias("y"), F.col("cx").alias("cy"))
+    return known.join(other, "p").where("x < y AND cx <> cy").select(F.col("x").alias("p"), F.col("y").alias("x")).distinct()
 
 
 def _family_keys(num: int, den: int):
@@ -307,19 +350,14 @@ def _family_keys(num: int, den: int):
     return run
 
 
-#: Families of this many texts carry sketches through the join, which drop pairs before they are verified.
-SKETCHED_FAMILY = 64
-
-
 def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of a stray and another text of the pivot's family that agree on enough of their
     differences and that the links so far (``labels``) do not join already."""
     to_x = labels.select(F.col("node").alias("x"), F.col("label").alias("cx"))
     known = checked.join(to_x, "x", "left").withColumn("cx", F.coalesce("cx", "x"))
     # A family with one component left has nothing to find.
-    split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b"), F.count(F.lit(1)).alias("texts")).where("a <> b")
-    members = known.join(split.select("p", "texts"), "p").withColumn("sketch", F.when(F.col("texts") >= SKETCHED_FAMILY, F.col("sketch")))
-    members = members.select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch")
+    split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b")
+    members = known.join(split.select("p"), "p").select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch")
     keyed = members.mapInArrow(
         _family_keys(num, den),
         "p long, x long, cx long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>, "
@@ -332,8 +370,8 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     # Eight words of a sketch alone bound the distance from below too, and are compiled.
     head_bits = " + ".join(f"bit_count(sx[{i}] ^ sy[{i}])" for i in range(8))
     fits = (
-        f"cx <> cy AND least(nx, ny) * {den} >= greatest(nx, ny) * {num} AND abs(dx - dy) <= {limit} AND (sx IS NULL OR ({head_bits} <= {limit} "
-        f"AND (size(sx) = 8 OR aggregate(zip_with(sx, sy, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b) <= {limit})))"
+        f"cx <> cy AND least(nx, ny) * {den} >= greatest(nx, ny) * {num} AND abs(dx - dy) <= {limit} AND {head_bits} <= {limit} "
+        f"AND (size(sx) = 8 OR aggregate(zip_with(sx, sy, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b) <= {limit})"
     )
     x_side = ["p", "x", "cx", "nx", F.col("dn").alias("dx"), F.col("sketch").alias("sx")]
     y_side = ["p", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("nx").alias("ny"), F.col("dn").alias("dy"), F.col("sketch").alias("sy")]
@@ -358,6 +396,13 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     return met.select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x")).distinct()
 
 
+def _texts_of(rows: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``uid`` and text of every text in ``pairs`` (p, x)."""
+    wanted = pairs.select(F.col("p").alias("uid")).unionAll(pairs.select(F.col("x").alias("uid"))).distinct()
+    wanted = reps.join(wanted, "uid", "left_semi").select("uid", "row1", "row2")
+    return rows.select("row1", "row2", "text").join(wanted, ["row1", "row2"]).select("uid", "text").dropDuplicates(["uid"])
+
+
 def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per document: uid, id, row1, row2, n_shingles and component_id (smallest id reachable)."""
@@ -368,7 +413,7 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     )
     shards = shuffle_width(spark)
     made = written(rows.mapInArrow(_sketcher(k, num, den, shards), _SKETCHED), "sketches")
-    docs_of = made.where("uid IS NOT NULL").select("uid", "id", "row1", "row2", "n", "set1", "set2")
+    docs_of = made.where("uid IS NOT NULL").select("uid", "id", "row1", "row2", "n", "set1", "set2", "sketch")
     sent = made.where("uid IS NULL").select("chunk", "shard", "keys", "firsts", "more")
     answers = sent.select("chunk", "shard", "keys", "firsts").groupBy("shard").applyInPandas(
         _pivots, "chunk long, shard int, places binary, pivots binary"
@@ -381,9 +426,9 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     sets = docs_of.where("n > 0").groupBy("n", "set1", "set2").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = written(
         docs_of.join(sets.where("copies > 1"), ["n", "set1", "set2"], "left").select(
-            "uid", "id", "row1", "row2", "n", F.coalesce("rep", "uid").alias("rep")
+            "uid", "id", "row1", "row2", "n", F.coalesce("rep", "uid").alias("rep"), F.expr("if(rep IS NULL OR rep = uid, sketch, NULL)").alias("sketch")
         ),
-        "texts",
+        "sets",
     )
     to_p = reps.select(F.col("uid").alias("p"), F.col("rep").alias("rp"))
     to_x = reps.select(F.col("uid").alias("x"), F.col("rep").alias("rx"))
@@ -391,24 +436,32 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         pairs.join(to_p, "p").join(to_x, "x").where("rp <> rx").select(F.col("rp").alias("p"), F.col("rx").alias("x")).distinct(),
         "pairs",
     )
-    pairs = written(_merged_families(pairs), "families")
-    wanted = pairs.select(F.col("p").alias("uid")).unionAll(pairs.select(F.col("x").alias("uid"))).distinct()
-    wanted = reps.join(wanted, "uid", "left_semi").select("uid", "row1", "row2")
-    texts = written(
-        rows.select("row1", "row2", "text").join(wanted, ["row1", "row2"]).select("uid", "text").dropDuplicates(["uid"]), "texts"
-    )
+    discard(made)
+    large = pairs.groupBy("p").count().where(F.col("count") > FAMILY).select("p", F.lit(True).alias("large"))
+    met = written(by_sketch(pairs, reps, num, den).join(large, "p", "left").withColumn("large", F.coalesce("large", F.lit(False))), "met")
+    discard(pairs)
+    small, large = met.where("NOT large").select("p", "x"), met.where("large").select("p", "x")
+    read = met.where("large OR fits")
+    texts = written(_texts_of(rows, reps, read), "texts")
     with small_batches(spark, PAIRS_PER_BATCH):
-        checked = written(verify(pairs, texts, k, num, den, True), "checked")
+        near = written(verify(met.where("NOT large AND fits").select("p", "x"), texts, k, num, den, False).where("linked").select("p", "x"), "near")
+        checked = written(verify(large, texts, k, num, den, True), "checked")
+    discard(texts)
     same = reps.where("rep <> uid").select(F.col("rep").alias("u"), F.col("uid").alias("v"))
-    near = checked.where("linked").select(F.col("p").alias("u"), F.col("x").alias("v"))
-    labels = components(near.unionAll(same))
-    candidates = _family_pairs(checked, labels, num, den)
-    with small_batches(spark, PAIRS_PER_BATCH):
-        more = written(verify(candidates, texts, k, num, den, False).where("linked").select("p", "x"), "found")
-    if not more.isEmpty():
+    linked = near.unionAll(checked.where("linked").select("p", "x"))
+    labels = components(linked.select(F.col("p").alias("u"), F.col("x").alias("v")).unionAll(same))
+    candidates = _small_family_pairs(small, labels).unionAll(_family_pairs(checked, labels, num, den))
+    candidates = written(by_sketch(candidates.distinct(), reps, num, den).where("fits").select("p", "x"), "candidates")
+    if not candidates.isEmpty():
+        texts = written(_texts_of(rows, reps, candidates), "texts")
+        with small_batches(spark, PAIRS_PER_BATCH):
+            more = written(verify(candidates, texts, k, num, den, False).where("linked").select("p", "x"), "found")
+        discard(texts)
         # The components so far stand for their edges.
         so_far = labels.where("node <> label").select(F.col("label").alias("u"), F.col("node").alias("v"))
         labels = components(so_far.unionAll(more.select(F.col("p").alias("u"), F.col("x").alias("v"))))
+        discard(more)
+    discard(met, near, checked, candidates)
     labels = labels.withColumnRenamed("node", "uid")
     named = reps.join(labels, "uid", "left").withColumnRenamed("label", "group")
     smallest = labels.join(reps.select("uid", "id"), "uid").groupBy(F.col("label").alias("group")).agg(F.min("id").alias("least_id"))

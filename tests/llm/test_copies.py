@@ -98,6 +98,44 @@ def test_ngram_join_against_brute_force(make_docs, k, num, seed):
     assert len(set(want)) < len(rows)
 
 
+def passage_rows(seed, texts=90):
+    """Otherwise different texts of which a third hold one passage, with a few near copies among them."""
+    rng = random.Random(seed)
+    passage = [f"common{i}" for i in range(60)]
+    rows = []
+    for i in range(texts):
+        own = [f"own{i}n{rng.randint(0, 500)}" for _ in range(rng.randint(30, 200))]
+        at = rng.randrange(len(own))
+        words = own[:at] + passage + own[at:] if i % 3 == 0 else own
+        rows.append((len(rows), " ".join(words), "s"))
+        if i % 6 == 0:
+            words[rng.randrange(len(words))] = "changed"
+            rows.append((len(rows), " ".join(words), "s"))
+    return rows
+
+
+@pytest.mark.parametrize("family", [2, N.FAMILY])
+@pytest.mark.parametrize("make,k,num,seed", [(near_rows, 5, 80, 6), (passage_rows, 5, 80, 7)])
+def test_ngram_join_by_differences_and_by_sketches(make_docs, monkeypatch, family, make, k, num, seed):
+    monkeypatch.setattr(N, "FAMILY", family)
+    rows = make(seed)
+    want = brute_components([shingles(t, k) for _, t, _ in rows], [i for i, _, _ in rows], num, 100)
+    got = {r["doc_id"]: r["component_id"] for r in N.link(make_docs(rows), k, num, 100).collect()}
+    assert [got[i] for i, _, _ in rows] == want and len(set(want)) < len(rows)
+
+
+def test_sketches_bound_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 2**64, int(rng.integers(1, 4000)), dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: int(rng.integers(0, len(x) + 1))], rng.integers(0, 2**64, int(rng.integers(0, 300)), dtype=np.uint64)]))
+        assert N.sketch_distance(N.whole_sketch(x), N.whole_sketch(y)) <= len(np.setxor1d(x, y))
+    strangers = [N.whole_sketch(rng.integers(0, 2**64, 500, dtype=np.uint64)) for _ in range(2)]
+    assert N.sketch_distance(*strangers) > 300
+
+
 def test_ngram_join_odd_rows(make_docs, odd_rows):
     docs = make_docs(odd_rows).withColumn("uid", F.lit("x"))
     got = N.link(docs, 3, 90, 100).collect()
