@@ -217,10 +217,11 @@ def mixture(docs: DataFrame, weights: Sequence[float], share: float, cap: float
             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows that the mix takes, each as often as it is taken, with the columns of ``docs``.
 
-    Rows of one identifier and text are interchangeable: one of them is repeated for all.
+    Rows of one identifier, text and source are interchangeable: one of them is repeated for all.
     """
     taken = mix(docs, weights, share, cap, seed, id_col, text_col, source_col)
-    times = taken.groupBy(F.col("deal").alias("__taken")).agg(F.sum("times").cast("int").alias("__times")).where("__times > 0")
-    keyed = docs.withColumn("__deal", _deal(seed, id_col, text_col)).dropDuplicates(["__deal"])
-    rows = keyed.join(times, F.col("__deal") == F.col("__taken"))
+    times = taken.groupBy(F.col("deal").alias("__taken"), F.col(source_col).cast("string").alias("__of")).agg(F.sum("times").cast("int").alias("__times"))
+    keyed = docs.withColumn("__deal", _deal(seed, id_col, text_col)).withColumn("__source", F.col(source_col).cast("string"))
+    keyed = keyed.dropDuplicates(["__deal", "__source"])
+    rows = keyed.join(times.where("__times > 0"), (F.col("__deal") == F.col("__taken")) & F.col("__source").eqNullSafe(F.col("__of")))
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)

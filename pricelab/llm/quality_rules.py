@@ -92,13 +92,14 @@ class Rule:
     rejects: str
 
 
-#: The rules beyond the base. Thresholds are shares of words or lines, so they hold at any length.
+#: The rules beyond the base. Thresholds are shares of words or lines, or (distinct words, which grow
+#: with the root of a text's length) a power of them, so they hold at any length.
 RULES: tuple[Rule, ...] = (
     Rule("symbols", "10 * n_symbols > n_words"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("repeated_lines", "n_dup_lines * 2 > size(split(__text, '\n'))"),
     Rule("stutter", "size(filter(transform(__words, (w, i) -> w = get(__words, i - 1)), x -> x)) * 3 > n_words"),
-    Rule("few_distinct", "size(array_distinct(__words)) * 10 < n_words AND n_words < 1000"),
+    Rule("few_distinct", "pow(size(array_distinct(__words)), 2) < n_words"),
     Rule("capitals", "n_words >= 20 AND length(translate(__text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) * 2 < length(__text)"),
     Rule("marks", "length(__text) - length(translate(__text, '!?', '')) > n_words"),
 )

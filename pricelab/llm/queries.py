@@ -51,7 +51,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
   OR n_dup_lines * 2 > len(string_split(x, chr(10)))
   OR len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) * 3 > n_words
-  OR (len(list_distinct(w)) * 10 < n_words AND n_words < 1000)
+  OR len(list_distinct(w)) * len(list_distinct(w)) < n_words
   OR (n_words >= 20 AND length(regexp_replace(x, '[A-Z]', '', 'g')) * 2 < length(x))
   OR length(x) - length(regexp_replace(x, '[!?]', '', 'g')) > n_words) AS kept
 FROM f"""

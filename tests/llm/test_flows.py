@@ -20,6 +20,16 @@ def test_fill_targets():
     assert B.fill_targets([0, 10], [1, 1], 15, 2.0) == [0.0, 15.0]
 
 
+def test_mixture_tells_sources_apart(make_docs):
+    """One identifier and text in two sources: each source's rows are its own share of the mix."""
+    rows = [(i, " ".join(["w"] * (5 + i % 7)), s) for i in range(60) for s in ("a", "b")] + [(99, "w w", None)]
+    docs = make_docs(rows)
+    share = {r["source"]: r["n"] for r in B.mix(docs, (3, 1, 2), 1.5, 2.0).groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    words = F.size(F.split("text", " "))
+    mixed = {r["source"]: r["n"] for r in B.mixture(docs, (3, 1, 2), 1.5, 2.0).groupBy("source").agg(F.sum(words).alias("n")).collect()}
+    assert mixed == {s: n for s, n in share.items() if n} and share["a"] != share["b"]
+
+
 def test_flight_keeps_totals():
     rng = np.random.default_rng(1)
     size = rng.integers(1, 900, 3000).astype(float)

@@ -165,3 +165,14 @@ def test_bpe_round_trip(make_docs, odd_rows, ranks):
         text = {3: "", 8: "Été où l'île"}[r["doc_id"]]
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert bpe.encode(make_docs([]), path, pattern).count() == 0
+
+
+@pytest.mark.parametrize("n", [30, 400, 5000])
+def test_few_distinct_words_at_any_length(spark, make_docs, n):
+    """A few words in ever new orders go, whatever the length; running prose of that length stays."""
+    rng = random.Random(n)
+    few = " ".join(rng.choice(["sun", "moon", "star", "sky", "sea"][: 2 if n < 100 else 5]) for _ in range(n))
+    prose = " ".join(f"word{rng.randrange(n)}" for _ in range(n))
+    rules = [r for r in Q.RULES if r.name == "few_distinct"]
+    got = {r["doc_id"]: r for r in Q.judge(make_docs([(1, few, "a"), (2, prose, "a")]), rules).collect()}
+    assert got[1]["rejected_by"] in ("base", "few_distinct") and not got[1]["kept"] and got[2]["rejected_by"] != "few_distinct"
