@@ -62,11 +62,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete tables of :func:`written` that nothing reads any more."""
+    """Delete tables of :func:`written` that nothing reads any more, and let Spark's cleaner drop the shuffles behind them."""
     for df in frames:
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    # Shuffle files go only when the driver collects the plans that made them.
+    spark._jvm.System.gc()
 
 
 def whole_text(name: str = "text") -> F.Column:

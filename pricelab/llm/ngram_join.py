@@ -6,8 +6,10 @@ at most the size of the sets' symmetric difference. Sizes are cut into bands; th
 texts of a band and those just above it that may still link with it share one
 sketch width. A pair of similarity ``num / den`` or more differs in at most D
 places there, so of D + 1 blocks of the sketch one is equal: texts meet in
-buckets keyed by band, block and block content. Empty blocks are no keys as long
-as D + 1 others are left.
+buckets keyed by band, block and block content. There are more blocks than D + 1,
+and each text keeps the D + 1 of its keys that fewest texts hold (empty blocks last):
+of the keys that two texts have in common the rarest is kept by both, so a passage
+that many texts share brings them together only if it fills most of their blocks.
 
 Every text also keeps one whole sketch, whose width follows its size; the wider of
 two folds onto the narrower. A pair whose sizes or whose sketches' Hamming distance
@@ -78,8 +80,8 @@ def band_edges(top: int) -> list[int]:
 def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int, int, int]]:
     """(band, D + 1, blocks) in which a set of size ``n`` takes part.
 
-    There are a few more blocks than D + 1, as many as the smallest sets of the
-    band are likely to leave empty.
+    There are a quarter more blocks than D + 1, which are the most common ones of a text
+    and are left out, and as many as the smallest sets of the band are likely to leave empty.
     """
     own = int(np.searchsorted(edges, n, side="right")) - 1
     out = []
@@ -89,12 +91,18 @@ def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int,
             break
         # |x ^ y| <= (|x| + |y|) (den - num) / (den + num), with |x| <= most and |y| <= most den / num.
         need = most * (den - num) // num + 1
-        out.append((band, need, need + 3 + int(1.8 * need * math.exp(-edges[band] / need))))
+        out.append((band, need, need + max(3, need // 4) + int(1.8 * need * math.exp(-edges[band] / need))))
     return out
 
 
 def block_keys(grams: np.ndarray, band: int, blocks: int, filled: bool = False) -> np.ndarray:
     """One 64-bit key per block of the sketch of the sorted hashes ``grams``; per block with a bit set if ``filled``."""
+    keys, some = _blocks(grams, band, blocks)
+    return keys[some] if filled else keys
+
+
+def _blocks(grams: np.ndarray, band: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """The key of each block, and whether it has a bit set."""
     width = blocks * BLOCK_BITS
     # The upper 32 bits pick the place; their order is that of the sorted hashes.
     place = ((grams >> np.uint64(32)) * np.uint64(width)) >> np.uint64(32)
@@ -106,7 +114,12 @@ def block_keys(grams: np.ndarray, band: int, blocks: int, filled: bool = False)
     content = sums[cut[1:]] - sums[cut[:-1]]
     tag = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
     keys = mix(mix(content + np.uint64(BASE)) + tag * np.uint64(0xD6E8FEB86659FD93))
-    return keys[cut[1:] > cut[:-1]] if filled else keys
+    return keys, cut[1:] > cut[:-1]
+
+
+def _slots(num: int, den: int) -> int:
+    """Most bands in which a set takes part."""
+    return 2 + int(math.log(den / num) / math.log(BAND))
 
 
 _SKETCHED = (
@@ -116,12 +129,16 @@ _SKETCHED = (
 
 
 def _sketcher(k: int, num: int, den: int, shards: int):
+    slots = _slots(num, den)
+    # A holder of a key is a text of the chunk, its band in turn, and whether the block is empty, in 16 bits.
+    most = (1 << 16) // (2 * slots)
+
     def run(batches):
         from pyspark import TaskContext
 
         edges = band_edges(1 << 20)
         part_of = TaskContext.get().partitionId()
-        for ordinal, part in enumerate(chunks(batches, "text")):
+        for ordinal, part in enumerate(chunks((b.slice(i, most) for b in batches for i in range(0, b.num_rows, most)), "text")):
             chunk = (part_of << 24) | ordinal
             sets = shingle_sets(words_of(part.column("text")), k)
             uid = (np.int64(chunk) << np.int64(16)) + np.arange(len(sets), dtype=np.int64)
@@ -136,18 +153,19 @@ def _sketcher(k: int, num: int, den: int, shards: int):
                 },
                 _schema(),
             )
-            keys, docs = [], []
+            keys, docs, needs = [], [], np.zeros(len(sets) * slots, np.int32)
             for i, grams in enumerate(sets):
                 if len(grams):
                     if len(grams) >= edges[-2]:
                         edges = band_edges(2 * len(grams))
-                    for band, need, blocks in join_bands(len(grams), edges, num, den):
+                    for slot, (band, need, blocks) in enumerate(join_bands(len(grams), edges, num, den)):
                         # Of D + 1 blocks with a bit set one is equal; else the empty ones count too.
-                        made = block_keys(grams, band, blocks, True)
-                        if len(made) < need:
-                            made = block_keys(grams, band, blocks)
+                        made, some = _blocks(grams, band, blocks)
+                        if some.sum() >= need:
+                            made, some = made[some], some[some]
+                        needs[i * slots + slot] = need
                         keys.append(made)
-                        docs.append(np.full(len(made), i, np.uint16))
+                        docs.append(((i * slots + slot) * 2 + ~some).astype(np.uint16))
             if not keys:
                 continue
             key, doc = np.concatenate(keys), np.concatenate(docs)
@@ -156,7 +174,7 @@ def _sketcher(k: int, num: int, den: int, shards: int):
             order = np.lexsort((doc, short, shard))
             shard, short, doc = shard[order], short[order], doc[order]
             cut = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-            rows = {"chunk": [], "shard": [], "keys": [], "firsts": [], "more": []}
+            rows = {"chunk": [chunk], "shard": [-1], "keys": [needs.tobytes()], "firsts": [b""], "more": [b""]}
             for s in range(shards):
                 a, b = cut[s], cut[s + 1]
                 if a == b:
@@ -180,51 +198,82 @@ def _schema() -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split(" ") for c in _SKETCHED.split(", "))])
 
 
-def _pivots(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For one shard: per chunk the places of keys that other chunks hold too, and their pivots."""
-    keys = [np.frombuffer(x, np.uint32) for x in pdf["keys"]]
-    firsts = [np.frombuffer(x, np.uint16) for x in pdf["firsts"]]
-    sizes = np.array([len(x) for x in keys])
-    key = np.concatenate(keys)
-    uid = np.concatenate([(np.int64(c) << np.int64(16)) + f.astype(np.int64) for c, f in zip(pdf["chunk"], firsts)])
-    order = np.lexsort((uid, key))
-    sorted_keys = key[order]
-    new = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
-    start = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    many = np.diff(np.append(start, len(key))) > 1
-    pivot = np.empty(len(key), np.int64)
-    shared = np.empty(len(key), bool)
-    pivot[order], shared[order] = uid[order][start][group], many[group]
-    out = {"chunk": [], "shard": [], "places": [], "pivots": []}
-    for c, s, a, n in zip(pdf["chunk"], pdf["shard"], np.cumsum(sizes) - sizes, sizes):
-        hit = np.flatnonzero(shared[a:a + n])
-        if len(hit):
-            out["chunk"].append(c), out["shard"].append(s)
-            out["places"].append(hit.astype(np.uint32).tobytes()), out["pivots"].append(pivot[a:a + n][hit].tobytes())
-    return pd.DataFrame(out)
-
-
-def _paired(batches):
-    """(pivot, text) pairs of each chunk and shard, without repeats inside a row."""
-    for batch in batches:
-        p_out, x_out = [], []
-        for row in batch.to_pylist():
-            firsts = (np.int64(row["chunk"]) << np.int64(16)) + np.frombuffer(row["firsts"], np.uint16).astype(np.int64)
-            pivot, seen = firsts.copy(), np.zeros(len(firsts), bool)
-            if row["places"] is not None:
-                at = np.frombuffer(row["places"], np.uint32)
-                pivot[at], seen[at] = np.frombuffer(row["pivots"], np.int64), True
-            extra = len(row["more"]) // 6
-            place = np.frombuffer(row["more"], np.uint32, extra)
-            who = (np.int64(row["chunk"]) << np.int64(16)) + np.frombuffer(row["more"], np.uint16, extra, 4 * extra).astype(np.int64)
-            p = np.concatenate([pivot[seen], pivot[place]])
-            x = np.concatenate([firsts[seen], who])
-            if len(p):
-                pair = np.unique(np.stack([p[p != x], x[p != x]], 1), axis=0)
-                p_out.append(pair[:, 0]), x_out.append(pair[:, 1])
-        if p_out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p_out)), pa.array(np.concatenate(x_out))], ["p", "x"])
+def _pivots(slots: int):
+    """For one shard: per chunk the places of keys that other chunks hold too, their pivots and numbers of holders."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.frombuffer(x, np.uint32) for x in pdf["keys"]]
+        sizes = np.array([len(x) for x in keys])
+        key = np.concatenate(keys)
+        uid = np.concatenate([_uids(c, np.frombuffer(f, np.uint16), slots) for c, f in zip(pdf["chunk"], pdf["firsts"])])
+        held = np.concatenate([1 + np.bincount(_more(m)[0], minlength=n) for m, n in zip(pdf["more"], sizes)])
+        order = np.lexsort((uid, key))
+        sorted_keys = key[order]
+        new = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
+        start = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        many = np.diff(np.append(start, len(key))) > 1
+        pivot, holders, shared = np.empty(len(key), np.int64), np.empty(len(key), np.int64), np.empty(len(key), bool)
+        pivot[order], shared[order], holders[order] = uid[order][start][group], many[group], np.add.reduceat(held[order], start)[group]
+        out = {"chunk": [], "shard": [], "places": [], "pivots": [], "holders": []}
+        for c, s, a, n in zip(pdf["chunk"], pdf["shard"], np.cumsum(sizes) - sizes, sizes):
+            hit = np.flatnonzero(shared[a:a + n])
+            if len(hit):
+                out["chunk"].append(c), out["shard"].append(s), out["places"].append(hit.astype(np.uint32).tobytes())
+                out["pivots"].append(pivot[a:a + n][hit].tobytes()), out["holders"].append(holders[a:a + n][hit].tobytes())
+        return pd.DataFrame(out)
+
+    return run
+
+
+def _uids(chunk: int, holders: np.ndarray, slots: int) -> np.ndarray:
+    return (np.int64(chunk) << np.int64(16)) + (holders // (2 * slots)).astype(np.int64)
+
+
+def _more(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys that a chunk holds more than once, and their further holders."""
+    n = len(raw) // 6
+    return np.frombuffer(raw, np.uint32, n), np.frombuffer(raw, np.uint16, n, 4 * n)
+
+
+def _paired(slots: int):
+    """(pivot, text) pairs of one chunk over the keys that each text keeps."""
+
+    def run(sent: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        found = {s: row for s, *row in zip(answers["shard"], answers["places"], answers["pivots"], answers["holders"])}
+        needs = np.zeros(0, np.int32)
+        who, pivot, count, key = [], [], [], []
+        for chunk, shard, keys, firsts, more in zip(sent["chunk"], sent["shard"], sent["keys"], sent["firsts"], sent["more"]):
+            if shard < 0:
+                needs = np.frombuffer(keys, np.int32)
+                continue
+            first, own = np.frombuffer(firsts, np.uint16), np.frombuffer(keys, np.uint32)
+            place, further = _more(more)
+            pivots, held = _uids(chunk, first, slots), 1 + np.bincount(place, minlength=len(first))
+            if shard in found:
+                places, theirs, holders = found[shard]
+                at = np.frombuffer(places, np.uint32)
+                pivots[at], held[at] = np.frombuffer(theirs, np.int64), np.frombuffer(holders, np.int64)
+            whole = (np.uint64(shard) << np.uint64(32)) + own.astype(np.uint64)
+            who += [first, further]
+            pivot += [pivots, pivots[place]]
+            count += [held, held[place]]
+            key += [whole, whole[place]]
+        if not who:
+            return pd.DataFrame({"p": np.zeros(0, np.int64), "x": np.zeros(0, np.int64)})
+        who, pivot, count, key = (np.concatenate(a) for a in (who, pivot, count, key))
+        # The rarest keys of each text and band first, empty blocks last; equal counts by key, alike in every task.
+        order = np.lexsort((key, count, who))
+        order = order[np.argsort(who[order] >> 1, kind="stable")]
+        line = who[order] >> 1
+        begins = np.concatenate([[True], line[1:] != line[:-1]])
+        rank = np.arange(len(line)) - np.maximum.accumulate(np.where(begins, np.arange(len(line)), 0))
+        order = order[rank < needs[line]]
+        p, x = pivot[order], _uids(sent["chunk"].iloc[0], who[order], slots)
+        pair = np.unique(np.stack([p, x], 1)[(count[order] > 1) & (p != x)], axis=0)
+        return pd.DataFrame({"p": pair[:, 0], "x": pair[:, 1]})
+
+    return run
 
 
 def whole_sketch(grams: np.ndarray) -> bytes:
@@ -247,22 +296,23 @@ def sketch_distance(a: bytes, b: bytes) -> int:
 def _sketch_filter(num: int, den: int):
     def run(batches):
         for batch in batches:
-            np_, nx = batch.column("np").to_pylist(), batch.column("nx").to_pylist()
-            fits = []
-            for n, m, a, b in zip(np_, nx, batch.column("sp"), batch.column("sx")):
-                near = min(n, m) * den >= max(n, m) * num
-                fits.append(near and sketch_distance(a.as_buffer(), b.as_buffer()) * (den + num) <= (den - num) * (n + m))
-            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("x"), pa.array(fits, pa.bool_())], ["p", "x", "fits"])
+            sizes = zip(batch.column("np").to_pylist(), batch.column("nx").to_pylist())
+            sketches = zip(batch.column("sp"), batch.column("sx"))
+            fits = [
+                sketch_distance(a.as_buffer(), b.as_buffer()) * (den + num) <= (den - num) * (n + m) for (n, m), (a, b) in zip(sizes, sketches)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("x")], ["p", "x"]).filter(pa.array(fits, pa.bool_()))
 
     return run
 
 
 def by_sketch(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
-    """(p, x, fits): whether sizes and sketches allow the pairs to link."""
-    left = reps.select(F.col("uid").alias("p"), F.col("n").alias("np"), F.col("sketch").alias("sp"))
-    right = reps.select(F.col("uid").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
-    both = pairs.join(right, "x").join(left, "p")
-    return both.select("p", "x", "np", "nx", "sp", "sx").mapInArrow(_sketch_filter(num, den), "p long, x long, fits boolean")
+    """The pairs (p, x, np, nx) whose sizes and sketches let them link."""
+    sized = pairs.where(f"least(np, nx) * {den} >= greatest(np, nx) * {num}").select("p", "x", "np", "nx")
+    left = reps.select(F.col("uid").alias("p"), F.col("sketch").alias("sp"))
+    right = reps.select(F.col("uid").alias("x"), F.col("sketch").alias("sx"))
+    both = sized.join(right, "x").join(left, "p")
+    return both.select("p", "x", "np", "nx", "sp", "sx").mapInArrow(_sketch_filter(num, den), "p long, x long")
 
 
 def parity_words(grams: np.ndarray, words: int) -> np.ndarray:
@@ -314,8 +364,9 @@ def _small_family_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     known = pairs.join(labels.select(F.col("node").alias("x"), F.col("label").alias("cx")), "x", "left").withColumn("cx", F.coalesce("cx", "x"))
     split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b").select("p")
     known = known.join(split, "p", "left_semi")
-    other = known.select("p", F.col("x").alias("y"), F.col("cx").alias("cy"))
-    return known.join(other, "p").where("x < y AND cx <> cy").select(F.col("x").alias("p"), F.col("y").alias("x")).distinct()
+    other = known.select("p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("cx").alias("cy"))
+    met = known.join(other, "p").where("x < y AND cx <> cy")
+    return met.select(F.col("x").alias("p"), F.col("y").alias("x"), F.col("nx").alias("np"), F.col("ny").alias("nx"))
 
 
 def _family_keys(num: int, den: int):
@@ -392,8 +443,12 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     by_gram = probes.join(index, ["p", "gram"]).where(
         F.expr(f"pos <= floor((dx - dy + {limit}) / 2) AND at <= floor((dy - dx + {limit}) / 2) AND {fits}")
     )
-    met = by_block.select("x", "y").unionAll(by_gram.select("x", "y"))
-    return met.select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x")).distinct()
+    met = by_block.select("x", "y", "nx", "ny").unionAll(by_gram.select("x", "y", "nx", "ny"))
+    turned = F.col("x") > F.col("y")
+    return met.select(
+        F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x"),
+        F.when(turned, F.col("ny")).otherwise(F.col("nx")).alias("np"), F.when(turned, F.col("nx")).otherwise(F.col("ny")).alias("nx"),
+    )
 
 
 def _texts_of(rows: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -415,13 +470,11 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     made = written(rows.mapInArrow(_sketcher(k, num, den, shards), _SKETCHED), "sketches")
     docs_of = made.where("uid IS NOT NULL").select("uid", "id", "row1", "row2", "n", "set1", "set2", "sketch")
     sent = made.where("uid IS NULL").select("chunk", "shard", "keys", "firsts", "more")
-    answers = sent.select("chunk", "shard", "keys", "firsts").groupBy("shard").applyInPandas(
-        _pivots, "chunk long, shard int, places binary, pivots binary"
+    slots = _slots(num, den)
+    answers = sent.where("shard >= 0").groupBy("shard").applyInPandas(
+        _pivots(slots), "chunk long, shard int, places binary, pivots binary, holders binary"
     )
-    met = sent.select("chunk", "shard", "firsts", "more").join(answers, ["chunk", "shard"], "left").where(
-        "places IS NOT NULL OR length(more) > 0"
-    )
-    pairs = met.mapInArrow(_paired, "p long, x long").distinct()
+    pairs = sent.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_paired(slots), "p long, x long").distinct()
 
     sets = docs_of.where("n > 0").groupBy("n", "set1", "set2").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = written(
@@ -430,28 +483,25 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         ),
         "sets",
     )
-    to_p = reps.select(F.col("uid").alias("p"), F.col("rep").alias("rp"))
-    to_x = reps.select(F.col("uid").alias("x"), F.col("rep").alias("rx"))
-    pairs = written(
-        pairs.join(to_p, "p").join(to_x, "x").where("rp <> rx").select(F.col("rp").alias("p"), F.col("rx").alias("x")).distinct(),
-        "pairs",
-    )
+    to_p = reps.select(F.col("uid").alias("p"), F.col("rep").alias("rp"), F.col("n").alias("np"))
+    to_x = reps.select(F.col("uid").alias("x"), F.col("rep").alias("rx"), F.col("n").alias("nx"))
+    pairs = pairs.join(to_p, "p").join(to_x, "x").where("rp <> rx").select(F.col("rp").alias("p"), F.col("rx").alias("x"), "np", "nx")
+    pairs = written(pairs.distinct(), "pairs")
     discard(made)
-    large = pairs.groupBy("p").count().where(F.col("count") > FAMILY).select("p", F.lit(True).alias("large"))
-    met = written(by_sketch(pairs, reps, num, den).join(large, "p", "left").withColumn("large", F.coalesce("large", F.lit(False))), "met")
-    discard(pairs)
-    small, large = met.where("NOT large").select("p", "x"), met.where("large").select("p", "x")
-    read = met.where("large OR fits")
-    texts = written(_texts_of(rows, reps, read), "texts")
+    fit = written(by_sketch(pairs, reps, num, den), "fit")
+    hubs = written(pairs.groupBy("p").count().where(F.col("count") > FAMILY).select("p"), "hubs")
+    small, large = pairs.join(hubs, "p", "left_anti"), pairs.join(hubs, "p", "left_semi").select("p", "x")
+    fit_small = fit.join(hubs, "p", "left_anti")
+    texts = written(_texts_of(rows, reps, fit_small.unionAll(large)), "texts")
     with small_batches(spark, PAIRS_PER_BATCH):
-        near = written(verify(met.where("NOT large AND fits").select("p", "x"), texts, k, num, den, False).where("linked").select("p", "x"), "near")
+        near = written(verify(fit_small, texts, k, num, den, False).where("linked").select("p", "x"), "near")
         checked = written(verify(large, texts, k, num, den, True), "checked")
-    discard(texts)
+    discard(texts, fit)
     same = reps.where("rep <> uid").select(F.col("rep").alias("u"), F.col("uid").alias("v"))
     linked = near.unionAll(checked.where("linked").select("p", "x"))
     labels = components(linked.select(F.col("p").alias("u"), F.col("x").alias("v")).unionAll(same))
-    candidates = _small_family_pairs(small, labels).unionAll(_family_pairs(checked, labels, num, den))
-    candidates = written(by_sketch(candidates.distinct(), reps, num, den).where("fits").select("p", "x"), "candidates")
+    candidates = _small_family_pairs(small, labels).unionByName(_family_pairs(checked, labels, num, den))
+    candidates = written(by_sketch(candidates.distinct(), reps, num, den), "candidates")
     if not candidates.isEmpty():
         texts = written(_texts_of(rows, reps, candidates), "texts")
         with small_batches(spark, PAIRS_PER_BATCH):
@@ -461,7 +511,7 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         so_far = labels.where("node <> label").select(F.col("label").alias("u"), F.col("node").alias("v"))
         labels = components(so_far.unionAll(more.select(F.col("p").alias("u"), F.col("x").alias("v"))))
         discard(more)
-    discard(met, near, checked, candidates)
+    discard(pairs, hubs, near, checked, candidates)
     labels = labels.withColumnRenamed("node", "uid")
     named = reps.join(labels, "uid", "left").withColumnRenamed("label", "group")
     smallest = labels.join(reps.select("uid", "id"), "uid").groupBy(F.col("label").alias("group")).agg(F.min("id").alias("least_id"))
