@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.blend.candidates import blend_inputs, evaluate, second_moments
+from pricelab.blend.grid import GRID_METRICS, score_grid
 from pricelab.functions.rows import row_dot, row_mean
 from pricelab.models.jobs import fold_values
 from pricelab.operators.metrics import hit_score, score_weight_grid
@@ -41,10 +42,14 @@ def simplex_grid(n: int, steps: int = GRID_STEPS) -> list[tuple[float, ...]]:
 
 
 def simplex_grid_blend(
-    df: DataFrame, y_true: str, preds: Sequence[str], steps: int = GRID_STEPS, metric: str = "score", log: bool = False
+    df: DataFrame, y_true: str, preds: Sequence[str], steps: int = GRID_STEPS, metric: str = "score", log: bool = False, best: int | None = None
 ) -> DataFrame:
-    """Score of every grid vector: rows (weight_id, w1.., metric), the same way at any grid size."""
-    return score_weight_grid(df, y_true, preds, simplex_grid(len(preds), steps), metric, log)
+    """Score of every grid vector, or of the ``best``: rows (weight_id, w1.., metric), the same way at any grid size."""
+    if metric in GRID_METRICS:
+        return score_grid(df, y_true, preds, steps, metric, log, best)
+    scored = score_weight_grid(df, y_true, preds, simplex_grid(len(preds), steps), metric, log)
+    worst_first = metric == "log_loss"
+    return scored if best is None else scored.orderBy(F.asc(metric) if worst_first else F.desc(metric), "weight_id").limit(best)
 
 
 def random_refine_blend(

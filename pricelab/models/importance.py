@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.functions.keys import seeded_text
-from pricelab.models.jobs import assemble, fit_on, fold_values
+from pricelab.models.jobs import FEATURES, assemble, fit_on, fold_values, run_all
+from pricelab.models.nodes import round_scores, split_importance, trees_of
 from pricelab.operators import metrics as M
 from pricelab.operators.ranks import global_rank
 from pricelab.session import materialize
@@ -50,9 +52,8 @@ def permutation_importance(
 
 
 def tree_importance(model: Model, features: Sequence[str], df: DataFrame) -> DataFrame:
-    """Gain share per feature."""
-    rows = [(c, float(v)) for c, v in zip(features, model.featureImportances.toArray())]
-    return df.sparkSession.createDataFrame(rows, "feat string, gain double").orderBy(F.desc("gain"), "feat")
+    """Gain share and number of splits per feature, from the model's node table."""
+    return split_importance(model, features, df)
 
 
 def iteration_curve(
@@ -69,6 +70,29 @@ def iteration_curve(
     return df.sparkSession.createDataFrame(rows, "fold int, iteration int, train_mse double, val_mse double")
 
 
+def price_curve(
+    df: DataFrame, make: Callable[[], Estimator], features: Sequence[str], target: str, price: str, area: str | None = None, log: bool = True,
+    fold: str = "fold", folds: Sequence[int] | None = None, parallelism: int = 4,
+) -> DataFrame:
+    """Metrics of the inverted price after each round: rows (fold, part, iteration, score, mape, msle, mse).
+
+    ``part`` is ``train`` or ``val``; ``mse`` is of the raw target. The folds' models
+    are fitted side by side; one scan scores all their rounds on all rows.
+    """
+    folds = fold_values(df, fold, folds, whole=False)
+    ready = assemble(df, features)
+    models = run_all([partial(fit_on, make(), ready.where(F.col(fold) != f)) for f in folds], parallelism)
+    trees = {int(f): trees_of(m, df) for f, m in zip(folds, models)}
+    return round_scores(ready, trees, target, price, area, log, fold, FEATURES)
+
+
+def mean_price_curve(curve: DataFrame) -> DataFrame:
+    """Fold means of :func:`price_curve` per part and round; rounds that some fold did not reach say so in ``folds``."""
+    return curve.groupBy("part", "iteration").agg(
+        F.count(F.lit(1)).alias("folds"), *[F.avg(m).alias(m) for m in ("score", "mape", "msle", "mse")]
+    )
+
+
 def mean_curve(curve: DataFrame) -> DataFrame:
     """Fold mean of an iteration curve."""
     return curve.groupBy("iteration").agg(F.avg("train_mse").alias("train_mse"), F.avg("val_mse").alias("val_mse"))

@@ -6,19 +6,20 @@ import warnings
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricelab.encoders.stages import FeatureSteps
 from pricelab.functions.rows import row_dot, row_mean, row_vote
 from pricelab.functions.targets import target_inverse
+from pricelab.models.lasso import Moments, fold_moments, held_out_scores, lines_of
 from pricelab.operators import metrics as M
 from pricelab.operators.tables import union_rows
 from pricelab.session import stored
@@ -336,45 +337,32 @@ def stack_linear(
     area: str | None = None,
     fold: str = "fold",
     folds: Sequence[int] | None = None,
-    parallelism: int = 4,
 ) -> LinearStack:
     """Least squares or Lasso of the log price on log predictions.
 
-    The penalty with the best mean held-out score is refitted on all rows. All
-    penalties of a fold are scored in one pass, since a fitted line is a column.
-    The normal solver reads the rows once per fit, penalised or not.
+    The penalty with the best mean held-out score is refitted on all rows. Two scans
+    serve all folds and penalties (see ``models.lasso``): one for the moments of each
+    fold, one for the held-out scores. Rows with gaps are an error.
     """
+    ready, inputs = stack_inputs(df, y_true, preds, area)
     folds = fold_values(df, fold, folds)
-    factor = F.lit(1.0) if area is None else F.col(area).cast("double")
-    logs = {f"__x{i}": x for i, x in enumerate(_log_inputs(preds, area))}
-    ready = df.withColumns({**logs, "__y": F.log1p(F.try_divide(F.col(y_true), factor))})
-    ready = VectorAssembler(inputCols=list(logs), outputCol=FEATURES).transform(ready)
-
-    def fit(rows: DataFrame, alpha: float):
-        est = LinearRegression(
-            featuresCol=FEATURES, labelCol="__y", regParam=alpha, elasticNetParam=1.0 if alpha else 0.0,
-            standardization=False, maxIter=200, tol=1e-8, solver="normal",
-        )
-        return est.fit(rows)
-
-    pairs = [(f, a) for f in folds for a in alphas]
-    fits = run_all([partial(fit, ready.where(F.col(fold) != f), a) for f, a in pairs], parallelism)
-    rows = []
-    for f in folds:
-        val = ready.where(F.col(fold) == f)
-        models = [m for m, (g, _) in zip(fits, pairs) if g == f]
-        scored = val.agg(
-            *[
-                M.hit_score(y_true, linear_price(preds, m.coefficients, m.intercept, area)).alias(f"s{i}")
-                for i, m in enumerate(models)
-            ]
-        ).first()
-        rows += [(float(a), int(f), float(scored[i])) for i, a in enumerate(alphas)]
+    moments = fold_moments(ready, inputs, "__y", fold)
+    whole = reduce(Moments.__add__, moments.values())
+    lines = {int(f): lines_of(whole - moments[int(f)], alphas) for f in folds}
+    scored = held_out_scores(ready, y_true, inputs, area, fold, {f: [ls[float(a)] for a in alphas] for f, ls in lines.items()})
+    rows = [(float(a), int(f), scored[int(f)][i]) for f in folds for i, a in enumerate(alphas)]
     means = {a: sum(s for b, _, s in rows if b == a) / len(list(folds)) for a in alphas}
     best = max(alphas, key=lambda a: means[a])
-    final = fit(ready, best)
+    final = lines_of(whole, alphas)[float(best)]
     table = df.sparkSession.createDataFrame(rows, "alpha double, fold int, score double")
-    return LinearStack(list(preds), [float(c) for c in final.coefficients], float(final.intercept), float(best), table, area)
+    return LinearStack(list(preds), [float(c) for c in final.coefficients], final.intercept, float(best), table, area)
+
+
+def stack_inputs(df: DataFrame, y_true: str, preds: Sequence[str], area: str | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` with log predictions ``__x<i>`` and the log price ``__y``, per area if one is named."""
+    factor = F.lit(1.0) if area is None else F.col(area).cast("double")
+    logs = {f"__x{i}": x for i, x in enumerate(_log_inputs(preds, area))}
+    return df.withColumns({**logs, "__y": F.log1p(F.try_divide(F.col(y_true), factor))}), list(logs)
 
 
 def stack_boosted(

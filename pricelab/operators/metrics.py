@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -147,10 +146,49 @@ def gini_normalized(df: DataFrame, y_true: str, y_pred: str, key: str) -> DataFr
 
 
 # Metrics of the order of all rows; ``gini`` breaks ties by the key.
-RANKED_METRICS = {
-    "auc": lambda df, y_true, y_pred, key: auc(df, y_true, y_pred),
-    "gini": gini_normalized,
-}
+RANKED_METRICS = ("auc", "gini")
+
+
+def ranked_grid(
+    df: DataFrame, y_true: str, preds: Sequence[str], weights: Sequence[Sequence[float]], metric: str, log: bool = False, key: str = "building_id"
+) -> DataFrame:
+    """``auc`` or ``gini`` of every weight vector in one range layout: rows (weight_id, w1.., metric).
+
+    Every blend is a value of its own order, so each row stands once per vector, with
+    the vector's number as the first key of the layout. A vector's ranks and prefix
+    sums are those of the whole layout less the ones at its first row.
+    """
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in w]) for w in weights])
+    inputs = F.array(*[F.log1p(F.col(p)) if log else F.col(p).cast("double") for p in preds])
+    dot = lambda w: F.aggregate(F.zip_with(w, inputs, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    price = (lambda w: clipped(F.expm1(dot(w)))) if log else dot
+    rows = df.select(F.col(key).alias("key"), F.col(y_true).cast("double").alias("y"), F.posexplode(F.transform(table, price)).alias("c", "o"))
+    scored = _keyed_auc(rows) if metric == "auc" else _keyed_gini(rows)
+    vector = F.get(table, F.col("c"))
+    return scored.select(F.col("c").alias("weight_id"), *[F.get(vector, F.lit(k)).alias(f"w{k + 1}") for k in range(len(weights[0]))], metric)
+
+
+def _keyed_auc(rows: DataFrame) -> DataFrame:
+    grouped = (
+        rows.where("y IS NOT NULL AND o IS NOT NULL")
+        .groupBy("c", "o")
+        .agg(F.sum(F.col("y").cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n"))
+        .withColumn("neg", F.col("n") - F.col("pos"))
+    )
+    below = prefix_sum(grouped, ["c", "o"], "neg", "below")
+    won = F.sum(F.col("pos").cast("double") * (F.col("below") + F.col("neg") / F.lit(2.0))) - F.min("below") * F.sum("pos")
+    return below.groupBy("c").agg(F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
+
+
+def _keyed_gini(rows: DataFrame) -> DataFrame:
+    # The perfect order is one more vector, ordered by the truth.
+    perfect = rows.where("c = 0").select("key", "y", F.lit(-1).alias("c"), F.col("y").alias("o"))
+    ranked = global_rank(rows.unionByName(perfect), ["c", F.desc("o"), "key"], "r")
+    n, total = F.count(F.lit(1)), F.sum("y")
+    cumulative = n * total - (F.sum(F.col("y") * F.col("r")) - total * F.min("r"))
+    ginis = ranked.groupBy("c").agg(((F.try_divide(cumulative, total) - (n + 1) / F.lit(2.0)) / n).alias("g"))
+    best = ginis.where("c = -1").select(F.col("g").alias("best"))
+    return ginis.where("c >= 0").join(F.broadcast(best)).select("c", F.try_divide("g", "best").alias("gini"))
 
 
 def score_weight_grid(
@@ -164,18 +202,14 @@ def score_weight_grid(
 ) -> DataFrame:
     """Score every weight vector: rows (weight_id, w1.., metric).
 
-    ``auc`` and ``gini`` order the rows by each blend, so they take jobs of their own.
+    ``auc`` and ``gini`` order the rows by each blend, all in one layout (:func:`ranked_grid`).
 
     All candidates of a pass are aggregate columns over the same scan, so rows
     are neither copied per candidate nor shuffled.
     """
     scored = []
     if metric in RANKED_METRICS:
-        for i, w in enumerate(weights):
-            named = [F.lit(float(x)).alias(f"w{k + 1}") for k, x in enumerate(w)]
-            value = RANKED_METRICS[metric](df.withColumn("__blend", blended(preds, w, log)), y_true, "__blend", key)
-            scored.append(value.select(F.lit(i).alias("weight_id"), *named, F.col(metric)))
-        return reduce(DataFrame.unionByName, scored)
+        return ranked_grid(df, y_true, preds, weights, metric, log, key)
     for i in range(0, len(weights), CANDIDATES_PER_PASS):
         chunk = weights[i : i + CANDIDATES_PER_PASS]
         structs = []
@@ -191,7 +225,12 @@ def score_weight_grid(
 
 
 def blended(preds: Sequence[str], weights: Sequence[float], log: bool) -> Column:
-    """Weighted blend of predictions, on the plain or the log1p scale."""
+    """Weighted blend of predictions, on the plain or the log1p scale; null when any prediction is."""
     if not log:
         return row_dot(preds, weights)
-    return F.greatest(F.expm1(row_dot([F.log1p(F.col(p)) for p in preds], weights)), F.lit(0.0))
+    return clipped(F.expm1(row_dot([F.log1p(F.col(p)) for p in preds], weights)))
+
+
+def clipped(price: Column) -> Column:
+    """The price, at least zero; ``greatest`` alone would make zero of an unknown one."""
+    return F.when(price.isNotNull(), F.greatest(price, F.lit(0.0)))

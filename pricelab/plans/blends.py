@@ -91,6 +91,48 @@ def q_simplex_grid_blend(spark, sf_dir):
     return rounded(W.simplex_grid_blend(df, PRICE, PREDS).drop("weight_id"), 6)
 
 
+#: Stand-ins for eight models: an error that repeats with these numbers.
+GRID_MODULI = (3, 5, 7, 11, 13, 17, 19, 23)
+_EIGHT_SQL = ", ".join(f"total_price * (1e0 + ((building_id % {m}) - {m // 2}) / 1e2) AS q{i + 1}" for i, m in enumerate(GRID_MODULI))
+_UNITS = " + ".join(f"g{i}" for i in range(1, 8))
+
+
+@query(
+    "simplex_grid_blend_eight",
+    with_txn(
+        f"""SELECT {", ".join(f"u{i} / 5e0 AS w{i}" for i in range(1, 9))}, round(avg(abs(({
+            " + ".join(f"u{i} / 5e0 * q{i}" for i in range(1, 9))}) - total_price) / total_price), 6) AS mape
+        FROM q, u GROUP BY {", ".join(f"u{i}" for i in range(1, 9))}""",
+        f"q AS (SELECT total_price, {_EIGHT_SQL} FROM txn)",
+        f"""u AS (SELECT {", ".join(f"g{i} AS u{i}" for i in range(1, 8))}, 5 - ({_UNITS}) AS u8
+        FROM {", ".join(f"(SELECT unnest(range(0, 6)) AS g{i})" for i in range(1, 8))} WHERE {_UNITS} <= 5)""",
+    ),
+)
+def q_simplex_grid_blend_eight(spark, sf_dir):
+    """All 792 vectors of eight models in steps of a fifth, in one plan."""
+    df = transactions(spark, sf_dir, [ID, PRICE])
+    names = [f"q{i + 1}" for i in range(len(GRID_MODULI))]
+    error = lambda m: F.col(PRICE) * (F.lit(1.0) + (F.col(ID) % m - F.lit(m // 2)) / F.lit(100.0))
+    df = df.withColumns({c: error(m) for c, m in zip(names, GRID_MODULI)})
+    return rounded(W.simplex_grid_blend(df, PRICE, names, metric="mape").drop("weight_id"), 6)
+
+
+@query(
+    "simplex_grid_best",
+    with_preds(
+        """SELECT w1, w2, w3, round(avg(abs(b - total_price) / total_price), 6) AS mape FROM (
+        SELECT a / 20e0 AS w1, c / 20e0 AS w2, (20 - a - c) / 20e0 AS w3, total_price,
+               a / 20e0 * pred_1 + c / 20e0 * pred_2 + (20 - a - c) / 20e0 * pred_3 AS b
+        FROM preds, (SELECT unnest(range(0, 21)) AS a), (SELECT unnest(range(0, 21)) AS c) WHERE a + c <= 20)
+        GROUP BY w1, w2, w3 ORDER BY avg(abs(b - total_price) / total_price) LIMIT 5"""
+    ),
+)
+def q_simplex_grid_best(spark, sf_dir):
+    """The best five of the 231 vectors in steps of a twentieth."""
+    best = W.simplex_grid_blend(predictions_wide(spark, sf_dir), PRICE, PREDS, steps=20, metric="mape", best=5)
+    return rounded(best.drop("weight_id"), 6)
+
+
 def _mean_sql(models: list[int]) -> str:
     terms = " + ".join(f"ln(1 + 1.003e0 * pred_{m})" for m in models)
     return hit_sql("total_price", f"(exp(({terms}) / {len(models)}) - 1)")

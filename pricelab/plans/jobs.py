@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from pricelab.functions.rows import row_mean
@@ -9,9 +11,12 @@ from pricelab.functions.targets import target_inverse, target_transform, thresho
 from pricelab.encoders.stages import FeatureSteps
 from pricelab.models import importance as I
 from pricelab.models import jobs as J
+from pricelab.models import lasso as L
 from pricelab.models import search as S
+from pricelab.operators import metrics as M
 from pricelab.operators.quantiles import split_by
-from pricelab.plans.fixtures import MODELS, fold_of, predictions_wide, transactions, with_preds
+from pricelab.operators.tables import union_rows
+from pricelab.plans.fixtures import MODELS, fold_of, fold_sql, predictions_wide, transactions, with_preds, with_txn
 from pricelab.plans.registry import query
 from pricelab.session import stored
 
@@ -130,6 +135,40 @@ def q_stack_linear_fit(spark, sf_dir):
     return one.select(F.round(F.lit(fit.coefficients[0]), 6).alias("slope"), F.round(F.lit(fit.intercept), 6).alias("intercept"))
 
 
+@query(
+    "stack_linear_two",
+    with_preds(
+        """SELECT round(b1, 6) AS w1, round(b2, 6) AS w2, round(my - b1 * m1 - b2 * m2, 5) AS intercept FROM (
+          SELECT (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS b1, (c2 * v1 - c1 * v12) / (v1 * v2 - v12 * v12) AS b2, my, m1, m2 FROM (
+            SELECT covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2, covar_pop(x1, x2) AS v12, var_pop(x1) AS v1, var_pop(x2) AS v2,
+                   avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2
+            FROM (SELECT ln(1 + total_price) AS y, ln(1 + pred_1) AS x1, ln(1 + pred_2) AS x2 FROM preds)))"""
+    ),
+)
+def q_stack_linear_two(spark, sf_dir):
+    """Unpenalised stack on two models, against the normal equations."""
+    df = predictions_wide(spark, sf_dir).withColumn("fold", fold_of(len(FOLDS)))
+    fit = J.stack_linear(df, PRICE, ["pred_1", "pred_2"], alphas=[0.0], folds=FOLDS)
+    weights = [F.round(F.lit(w), 6).alias(f"w{i + 1}") for i, w in enumerate(fit.coefficients)]
+    return df.agg(F.count(F.lit(1)).alias("n")).select(*weights, F.round(F.lit(fit.intercept), 5).alias("intercept"))
+
+
+@query(
+    "stack_linear_path",
+    with_preds(
+        f"""SELECT alpha, input, TRUE AS optimal, n FROM (SELECT unnest([{", ".join(f"{float(a)!r}::DOUBLE" for a in J.STACK_ALPHAS)}]) AS alpha),
+        (SELECT unnest([{", ".join(f"'__x{i}'" for i in range(len(MODELS)))}]) AS input), (SELECT count(*) AS n FROM preds)"""
+    ),
+)
+def q_stack_linear_path(spark, sf_dir):
+    """Every penalty's line meets the Lasso's optimality conditions over all rows."""
+    df = stored(predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(len(FOLDS))))
+    ready, inputs = J.stack_inputs(df, PRICE, PREDS, AREA)
+    moments = reduce(L.Moments.__add__, L.fold_moments(ready, inputs, "__y", "fold").values())
+    found = L.path_conditions(ready, inputs, "__y", L.lines_of(moments, J.STACK_ALPHAS))
+    return found.select("alpha", "input", "optimal").join(F.broadcast(df.agg(F.count(F.lit(1)).alias("n"))))
+
+
 @query("stack_linear")
 def q_stack_linear(spark, sf_dir):
     df = stored(predictions_wide(spark, sf_dir, [AREA]).withColumn("fold", fold_of(len(FOLDS))))
@@ -168,8 +207,36 @@ def q_random_search(spark, sf_dir):
 
 @query("iteration_curve")
 def q_iteration_curve(spark, sf_dir):
-    curve = I.iteration_curve(_frame(spark, sf_dir), lambda: _trees(early_stop=False), FEATURES, folds=FOLDS)
-    return I.mean_curve(curve)
+    curve = I.price_curve(_frame(spark, sf_dir), lambda: _trees(early_stop=False), FEATURES, TARGET, PRICE, AREA, folds=FOLDS)
+    return I.mean_price_curve(curve)
+
+
+@query(
+    "iteration_curve_last",
+    with_txn(
+        f"""SELECT fold, part, TRUE AS same, CASE part WHEN 'val' THEN held ELSE n - held END AS n FROM (
+          SELECT {fold_sql(5)} AS fold, count(*) AS held, sum(count(*)) OVER ()::BIGINT AS n FROM txn GROUP BY 1),
+        (SELECT unnest(['train', 'val']) AS part)"""
+    ),
+)
+def q_iteration_curve_last(spark, sf_dir):
+    """The curve's last round against the models' own predictions, per fold and part, scored by the aggregates."""
+    df, rounds = _frame(spark, sf_dir), 8
+    make = lambda: _trees(rounds, early_stop=False)
+    curve = I.price_curve(df, make, FEATURES, TARGET, PRICE, AREA, folds=FOLDS).where(F.col("iteration") == rounds)
+    ready = J.assemble(df, FEATURES)
+    scored = []
+    for f in FOLDS:
+        priced = J.fit_on(make(), ready.where(F.col("fold") != f)).transform(ready).withColumn("y_pred", F.expm1("y_raw") * F.col(AREA))
+        part = F.when(F.col("fold") == f, "val").otherwise("train")
+        scored.append(
+            priced.groupBy(part.alias("part")).agg(
+                F.count(F.lit(1)).alias("n"), M.hit_score(PRICE, "y_pred").alias("s"), M.msle(PRICE, "y_pred").alias("l"), M.mse(TARGET, "y_raw").alias("m")
+            ).withColumn("fold", F.lit(f))
+        )
+    both = curve.join(union_rows(*scored), ["fold", "part"])
+    same = reduce(lambda a, b: a & b, [F.abs(F.col(a) - F.col(b)) < 1e-6 for a, b in (("score", "s"), ("msle", "l"), ("mse", "m"))])
+    return both.select("fold", "part", same.alias("same"), "n")
 
 
 @query("permutation_importance")
@@ -195,3 +262,23 @@ def q_tree_importance(spark, sf_dir):
     df = _frame(spark, sf_dir)
     model = J.fit_on(_trees(early_stop=False), J.assemble(df, FEATURES))
     return I.tree_importance(model, FEATURES, df)
+
+
+@query(
+    "tree_importance_nodes",
+    with_txn(
+        f"""SELECT feat, TRUE AS same_gain, TRUE AS same_splits, n
+        FROM (SELECT unnest([{", ".join(repr(c) for c in FEATURES)}]) AS feat), (SELECT count(*) AS n FROM txn)"""
+    ),
+)
+def q_tree_importance_nodes(spark, sf_dir):
+    """Gain shares from the node table against the model's own, and split counts against its inner nodes."""
+    df = _frame(spark, sf_dir)
+    model = J.fit_on(_trees(8, early_stop=False), J.assemble(df, FEATURES))
+    own = spark.createDataFrame([(c, float(v)) for c, v in zip(FEATURES, model.featureImportances.toArray())], "feat string, own double")
+    # A binary tree has one leaf more than inner nodes.
+    inner = sum((t.numNodes - 1) // 2 for t in model.trees)
+    found = I.tree_importance(model, FEATURES, df).join(own, "feat")
+    total = found.agg((F.sum("splits") == inner).alias("same_splits"))
+    rows = df.agg(F.count(F.lit(1)).alias("n"))
+    return found.join(F.broadcast(total)).join(F.broadcast(rows)).select("feat", (F.abs(F.col("gain") - F.col("own")) < 1e-9).alias("same_gain"), "same_splits", "n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pricelab.blend.weights import simplex_grid
 from pricelab.operators import metrics as M
 from pricelab.operators.joins import (
     align_check, attach_left, count_compare, fold_train, fold_val, join_predictions, lookup_encode, paste_columns,
@@ -124,6 +125,46 @@ def q_score_weight_grid(spark, sf_dir):
     return rounded(M.score_weight_grid(df, PRICE, [f"pred_{m}" for m in MODELS], weights), 6)
 
 
+_GRID21 = "(SELECT CAST(row_number() OVER (ORDER BY a, c) - 1 AS INTEGER) AS i, a / 5e0 AS w1, c / 5e0 AS w2, (5 - a - c) / 5e0 AS w3 " \
+    "FROM (SELECT unnest(range(0, 6)) AS a), (SELECT unnest(range(0, 6)) AS c) WHERE a + c <= 5)"
+_BLENDS21 = f"b AS (SELECT i, w1, w2, w3, building_id, total_price AS y, w1 * pred_1 + w2 * pred_2 + w3 * pred_3 AS o FROM preds, {_GRID21})"
+
+
+@query(
+    "score_weight_grid_gini",
+    with_preds(
+        """SELECT i AS weight_id, w1, w2, w3, round(g / p, 6) AS gini FROM (
+          SELECT i, w1, w2, w3, ((sum(y * (n - r + 1)) / sum(y)) - (any_value(n) + 1) / 2e0) / any_value(n) AS g FROM (
+            SELECT *, row_number() OVER (PARTITION BY i ORDER BY o DESC, building_id) AS r, count(*) OVER (PARTITION BY i) AS n FROM b)
+          GROUP BY i, w1, w2, w3),
+        (SELECT ((sum(y * (n - r + 1)) / sum(y)) - (any_value(n) + 1) / 2e0) / any_value(n) AS p FROM (
+            SELECT total_price AS y, row_number() OVER (ORDER BY total_price DESC, building_id) AS r, count(*) OVER () AS n FROM preds))""",
+        _BLENDS21,
+    ),
+)
+def q_score_weight_grid_gini(spark, sf_dir):
+    """Normalised Gini of 21 vectors in one range layout."""
+    df = predictions_wide(spark, sf_dir)
+    return rounded(M.score_weight_grid(df, PRICE, [f"pred_{m}" for m in MODELS], simplex_grid(3), metric="gini"), 6)
+
+
+@query(
+    "score_weight_grid_auc",
+    with_preds(
+        """SELECT i AS weight_id, w1, w2, w3, round(sum(pos * (below + neg / 2e0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 6) AS auc FROM (
+          SELECT *, sum(neg) OVER (PARTITION BY i ORDER BY o) - neg AS below FROM (
+            SELECT i, w1, w2, w3, o, sum(l) AS pos, sum(1 - l) AS neg
+            FROM (SELECT *, CASE WHEN y > 150000 THEN 1 ELSE 0 END AS l FROM b) GROUP BY i, w1, w2, w3, o))
+        GROUP BY i, w1, w2, w3""",
+        _BLENDS21,
+    ),
+)
+def q_score_weight_grid_auc(spark, sf_dir):
+    """AUC of 21 vectors against dear sales, in one range layout."""
+    df = predictions_wide(spark, sf_dir).withColumn("dear", (F.col(PRICE) > 150000).cast("int"))
+    return rounded(M.score_weight_grid(df, "dear", [f"pred_{m}" for m in MODELS], simplex_grid(3), metric="auc"), 6)
+
+
 def _metric_query(name: str, expression: str, digits: int = 6):
     sql = with_preds(f"SELECT model_id, round({expression}, {digits}) AS {name} FROM plong GROUP BY model_id")
 
