@@ -7,11 +7,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricelab.blend.candidates import blend_inputs, evaluate, second_moments
+from pricelab.blend.candidates import blend_inputs, candidate_sums, evaluate, fold_products, second_moments, summary
 from pricelab.blend.grid import GRID_METRICS, score_grid
 from pricelab.functions.rows import row_dot, row_mean
 from pricelab.models.jobs import fold_values
-from pricelab.operators.metrics import hit_score, score_weight_grid
+from pricelab.operators.metrics import score_weight_grid
 from pricelab.operators.tables import top_results
 
 # Fixed value: grid steps per unit of weight.
@@ -26,6 +26,12 @@ STEP_LENGTHS = (4.0, 2.0, 1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
 # Root mean square change of the log prediction in the first step of a start.
 FIRST_MOVE = 0.05
 
+# Points drawn as starts, starts followed, and the change of the log prediction below which two are one.
+DRAWN_STARTS, LIVE_STARTS, SAME_POINT = 4, 4, 1e-4
+
+# Polishing: changes of the log prediction from the first step to the last, and most passes.
+POLISH_FROM, POLISH_TO, POLISH_PASSES = 0.01, 1e-6, 60
+
 
 def simplex_grid(n: int, steps: int = GRID_STEPS) -> list[tuple[float, ...]]:
     """All weight vectors of n models that sum to 1 in units of 1/steps."""
@@ -113,14 +119,17 @@ class WeightSearch:
     """Multi-start minimisation of a loss over log-scale blend weights.
 
     The prediction is ``expm1(w . x)`` times the optional area, with x the log
-    predictions and a constant. One pass returns loss, slope and packed score
-    for all starts; a second tries several step lengths for all of them. Model
-    outputs are nearly collinear, so steps are measured by the mean products of
-    the inputs, taken once. The least-squares weights join the fixed and random
-    starts. The driver holds weight vectors and one matrix of their size.
+    predictions and a constant. One pass returns loss, slope and packed score of all
+    trial points of all starts. Weights that stand at a bound and are pushed against
+    it are frozen, and the quasi-Newton step is taken in the subspace of the others.
+    Model outputs are nearly collinear, so steps are measured by the mean products of
+    the inputs, taken once. Starts that meet are merged. Since some losses have kinks,
+    the best point is then polished along the principal axes of the free weights and
+    the weights themselves, all directions in one pass, until the step is negligible.
+    The driver holds weight vectors and one matrix of their size.
 
     ``select="score"`` returns the weights with the best packed score seen in
-    any evaluation, ``select="loss"`` those with the lowest mape seen.
+    any evaluation, ``select="loss"`` those with the lowest loss seen.
     """
 
     def __init__(
@@ -143,60 +152,118 @@ class WeightSearch:
         self.high = np.array([np.inf if b is None or b[1] is None else b[1] for b in (bounds or [None] * self.dim)])
 
     def starts(self) -> list[np.ndarray]:
+        """Every model alone, and points drawn evenly from the simplex of the models."""
         rng = np.random.default_rng(self.seed)
-        d = self.dim
-        fixed = [np.full(d, v) for v in (1.0 / d, 0.0, 0.1, 0.2, 0.5)]
-        drawn = [rng.standard_normal(d) + 1.0 / d for _ in range(3)]
-        return [self._clip(w) for w in fixed + drawn]
+        alone = np.eye(len(self.preds), self.dim)
+        drawn = np.zeros((DRAWN_STARTS, self.dim))
+        drawn[:, : len(self.preds)] = rng.dirichlet(np.ones(len(self.preds)), DRAWN_STARTS)
+        return [self._clip(w) for w in (*alone, *drawn)]
 
     def _clip(self, w: np.ndarray) -> np.ndarray:
         return np.clip(w, self.low, self.high)
 
-    def _evaluate(self, data: DataFrame, points: list[np.ndarray], slopes: bool) -> list[dict]:
-        return self._remember(evaluate(data, points, self.loss, log=True, slopes=slopes)) if points else []
-
     def fit(self, df: DataFrame) -> "WeightSearch":
         """Search on the rows of ``df``; its narrow inputs are kept for the passes."""
         data = blend_inputs(df, self.y_true, self.preds, self.area).persist()
+        steps = self.passes(*second_moments(data, self.dim))
+        asked = next(steps, None)
+        while asked is not None:
+            points, slopes = asked
+            asked = _answer(steps, evaluate(data, points, self.loss, log=True, slopes=slopes))
+        data.unpersist()
+        return self
+
+    def passes(self, metric: np.ndarray, target: np.ndarray) -> Iterator[tuple[list[np.ndarray], bool]]:
+        """The search as a generator: yields (points, slopes wanted), takes their evaluations."""
         self.seen_best: dict | None = None
-        self.metric, target = second_moments(data, self.dim)
-        self.metric = self.metric + np.eye(self.dim) * (1e-10 * np.trace(self.metric) / self.dim)
+        self.least: dict | None = None
+        self.metric = metric + np.eye(self.dim) * (1e-10 * np.trace(metric) / self.dim)
         self.inverse_metric = np.linalg.inv(self.metric)
-        fitted = self._clip(self.inverse_metric @ target)
-        points = self._evaluate(data, [fitted, *self.starts()], slopes=True)
-        live = [{**p, "h": self.inverse_metric, "new": True} for p in points if self._usable(p)]
+        first = self._remember((yield [self._clip(self.inverse_metric @ target), *self.starts()], True))
+        live = [{**p, "h": self.inverse_metric, "new": True} for p in first if self._usable(p)]
+        # The least-squares point and the best of the others.
+        live = live[:1] + sorted(live[1:], key=lambda p: p["loss"])[: LIVE_STARTS - 1]
         for _ in range(self.max_iter):
-            if not live:
-                break
             trials, owner = [], []
             for k, p in enumerate(live):
-                direction = -p["h"] @ p["grad"]
-                if direction @ p["grad"] >= 0:
-                    p["h"], p["new"] = self.inverse_metric, True
-                    direction = -p["h"] @ p["grad"]
-                if p["new"]:
-                    # First step of a start: move the log prediction by a few percent.
-                    size = np.sqrt(max(direction @ self.metric @ direction, 1e-300))
-                    direction = direction * (FIRST_MOVE / size)
+                direction = self._direction(p)
                 for step in STEP_LENGTHS:
                     trials.append(self._clip(p["w"] + step * direction))
                     owner.append(k)
-            tried = self._evaluate(data, trials, slopes=False)
-            moved = []
+            if not trials:
+                break
+            tried = self._remember((yield trials, True))
+            after = []
             for k, p in enumerate(live):
-                mine = [t for t, o in zip(tried, owner) if o == k and t["loss"] is not None and np.isfinite(t["loss"])]
+                mine = [t for t, o in zip(tried, owner) if o == k and self._usable(t)]
                 best = min(mine, key=lambda t: t["loss"], default=None)
                 if best is not None and best["loss"] < p["loss"] - self.tol * abs(p["loss"]) * 1e-2:
-                    moved.append((p, best["w"]))
+                    after.append(self._curved(p, best))
                 elif not p["new"]:
                     # The curvature estimate led nowhere: start it afresh from here.
-                    moved.append((p, p["w"]))
-            after = self._evaluate(data, [w for _, w in moved], slopes=True)
-            live = [self._curved(p, new) for (p, _), new in zip(moved, after) if self._usable(new)]
-        data.unpersist()
-        self.weights = [float(x) for x in self.seen_best["w"]]
-        self.score, self.mape = float(self.seen_best["score"]), float(self.seen_best["mape"])
-        return self
+                    after.append({**p, "h": self.inverse_metric, "new": True})
+            live = self._apart(after)
+        if self.least is not None:
+            yield from self._polish(self.least)
+        chosen = self.seen_best if self.select == "score" else self.least
+        if chosen is None:
+            raise ValueError("no start has a finite loss")
+        self.weights = [float(x) for x in chosen["w"]]
+        self.score, self.mape = float(chosen["score"]), float(chosen["mape"])
+
+    def _frozen(self, w: np.ndarray, grad: np.ndarray) -> np.ndarray:
+        """Weights at a bound that a step downhill would take beyond it."""
+        return ((w <= self.low) & (grad > 0)) | ((w >= self.high) & (grad < 0))
+
+    def _direction(self, p: dict) -> np.ndarray:
+        """Quasi-Newton step in the subspace of the weights that are free to move."""
+        free = ~self._frozen(p["w"], p["grad"])
+        out = np.zeros(self.dim)
+        if not free.any():
+            return out
+        for h, new in ((p["h"], p["new"]), (self.inverse_metric, True)):
+            out[free] = -np.linalg.solve(np.linalg.inv(h)[np.ix_(free, free)], p["grad"][free])
+            if out @ p["grad"] < 0:
+                break
+        if new:
+            # First step of a start: move the log prediction by a few percent.
+            p["h"], p["new"] = self.inverse_metric, True
+            out *= FIRST_MOVE / np.sqrt(max(out @ self.metric @ out, 1e-300))
+        return out
+
+    def _apart(self, live: list[dict]) -> list[dict]:
+        """The points without those that stand where a better one does."""
+        out: list[dict] = []
+        for p in sorted(live, key=lambda p: p["loss"]):
+            gaps = [p["w"] - q["w"] for q in out]
+            if all(np.sqrt(max(g @ self.metric @ g, 0.0)) > SAME_POINT for g in gaps):
+                out.append(p)
+        return out
+
+    def _polish(self, best: dict) -> Iterator[tuple[list[np.ndarray], bool]]:
+        """Pattern search from ``best``: all axes a pass, a quarter of the step when none helps."""
+        step, last = POLISH_FROM, None
+        for _ in range(POLISH_PASSES):
+            w = best["w"]
+            inside = np.flatnonzero((w > self.low) & (w < self.high))
+            axes = [np.eye(self.dim)[j] / np.sqrt(self.metric[j, j]) for j in range(self.dim)]
+            if len(inside):
+                values, vectors = np.linalg.eigh(self.metric[np.ix_(inside, inside)])
+                for value, vector in zip(values, vectors.T):
+                    axis = np.zeros(self.dim)
+                    axis[inside] = vector / np.sqrt(max(value, 1e-300))
+                    axes.append(axis)
+            points = [self._clip(w + sign * step * axis) for axis in axes for sign in (1.0, -1.0)]
+            if last is not None:
+                points += [self._clip(w + far * (w - last)) for far in (1.0, 3.0)]
+            found = [p for p in self._remember((yield points, False)) if p["loss"] is not None and np.isfinite(p["loss"])]
+            top = min(found, key=lambda p: p["loss"], default=best)
+            if top["loss"] < best["loss"] - 1e-9 * abs(best["loss"]):
+                last, best = w, top
+            else:
+                last, step = None, step / 4
+                if step < POLISH_TO:
+                    return
 
     @staticmethod
     def _usable(p: dict) -> bool:
@@ -216,14 +283,12 @@ class WeightSearch:
 
     def _remember(self, points: list[dict]) -> list[dict]:
         for p in points:
-            if p["score"] is None or p["mape"] is None or not np.isfinite(p["mape"]):
+            if p["score"] is None or p["mape"] is None or not np.isfinite(p["mape"]) or not np.isfinite(p["loss"]):
                 continue
-            best = self.seen_best
-            better = best is None or (
-                p["score"] > best["score"] if self.select == "score" else p["mape"] < best["mape"]
-            )
-            if better:
+            if self.seen_best is None or p["score"] > self.seen_best["score"]:
                 self.seen_best = p
+            if self.least is None or p["loss"] < self.least["loss"]:
+                self.least = p
         return points
 
     def log_prediction(self) -> Column:
@@ -242,19 +307,49 @@ def optimize_weights(df: DataFrame, y_true: str, preds: Sequence[str], **options
     return WeightSearch(preds, y_true, **options).fit(df)
 
 
+def _answer(steps: Iterator, found: list[dict]):
+    """The search's next question after these evaluations; None when it is done."""
+    try:
+        return steps.send(found)
+    except StopIteration:
+        return None
+
+
 def fold_weight_ensemble(
     df: DataFrame, y_true: str, preds: Sequence[str], fold: str = "fold", folds: Sequence[int] | None = None, **options: object
 ) -> tuple[list[WeightSearch], list[float], list[float], Column]:
     """Weights per fold, their held-out scores, the mean vector and the mean-of-folds prediction.
 
-    Each fold's weights come from the other folds' rows and are scored on its own.
+    Each fold's weights come from the other folds' rows and are scored on its own. The
+    searches of all folds go in step: one pass returns the sums of all their points per
+    fold, and a search's loss is that of all folds less its own.
     """
-    fits, scores = [], []
-    for f in fold_values(df, fold, folds):
-        search = WeightSearch(preds, y_true, **options).fit(df.where(F.col(fold) != f))
-        held = df.where(F.col(fold) == f)
-        scores.append(float(held.agg(hit_score(y_true, search.prediction())).first()[0]))
-        fits.append(search)
+    folds = [int(f) for f in fold_values(df, fold, folds)]
+    searches = {f: WeightSearch(preds, y_true, **options) for f in folds}
+    one = searches[folds[0]]
+    data = blend_inputs(df, y_true, preds, one.area, fold=fold).persist()
+    products = fold_products(data, one.dim, by_fold=True)
+    steps = {}
+    for f, search in searches.items():
+        others = [p for g, p in products.items() if g != f]
+        n, total = sum(p[0] for p in others), sum((p[1] for p in others), np.zeros((one.dim + 1, one.dim)))
+        steps[f] = search.passes(total[: one.dim] / max(n, 1), total[one.dim] / max(n, 1))
+    asked = {f: next(s) for f, s in steps.items()}
+    while asked:
+        points = [w for ps, _ in asked.values() for w in ps]
+        sums = candidate_sums(data, points, one.loss, True, any(slopes for _, slopes in asked.values()), by_fold=True)
+        begin, after = 0, {}
+        for f, (ps, _) in asked.items():
+            train = [sum(s for g in products if g != f and (s := sums.get((g, begin + k))) is not None) for k in range(len(ps))]
+            question = _answer(steps[f], [summary(w, t) for w, t in zip(ps, train)])
+            begin += len(ps)
+            if question is not None:
+                after[f] = question
+        asked = after
+    fits = [searches[f] for f in folds]
+    held = candidate_sums(data, [np.array(s.weights) for s in fits], one.loss, True, by_fold=True)
+    data.unpersist()
+    scores = [float(summary(np.array(s.weights), held[f, k])["score"]) for k, (f, s) in enumerate(zip(folds, fits))]
     mean = np.mean([s.weights for s in fits], axis=0)
     log_mean = row_mean([s.log_prediction() for s in fits])
     price = F.greatest(F.expm1(log_mean), F.lit(0.0))
