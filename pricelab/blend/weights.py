@@ -29,8 +29,8 @@ FIRST_MOVE = 0.05
 # Points drawn as starts, starts followed, and the change of the log prediction below which two are one.
 DRAWN_STARTS, LIVE_STARTS, SAME_POINT = 4, 4, 1e-4
 
-# Polishing: changes of the log prediction from the first step to the last, and most passes.
-POLISH_FROM, POLISH_TO, POLISH_PASSES = 0.01, 1e-6, 60
+# Polishing: changes of the log prediction tried along each axis, and most passes.
+POLISH_STEPS, POLISH_PASSES = (1e-2, 2.5e-3, 6e-4, 1.5e-4, 4e-5, 1e-5, 2e-6), 60
 
 
 def simplex_grid(n: int, steps: int = GRID_STEPS) -> list[tuple[float, ...]]:
@@ -125,7 +125,7 @@ class WeightSearch:
     Model outputs are nearly collinear, so steps are measured by the mean products of
     the inputs, taken once. Starts that meet are merged. Since some losses have kinks,
     the best point is then polished along the principal axes of the free weights and
-    the weights themselves, all directions in one pass, until the step is negligible.
+    the weights themselves, all directions and steps in one pass, until none helps.
     The driver holds weight vectors and one matrix of their size.
 
     ``select="score"`` returns the weights with the best packed score seen in
@@ -241,8 +241,8 @@ class WeightSearch:
         return out
 
     def _polish(self, best: dict) -> Iterator[tuple[list[np.ndarray], bool]]:
-        """Pattern search from ``best``: all axes a pass, a quarter of the step when none helps."""
-        step, last = POLISH_FROM, None
+        """Pattern search from ``best``, all axes and steps in a pass, until none helps."""
+        last = None
         for _ in range(POLISH_PASSES):
             w = best["w"]
             inside = np.flatnonzero((w > self.low) & (w < self.high))
@@ -253,17 +253,14 @@ class WeightSearch:
                     axis = np.zeros(self.dim)
                     axis[inside] = vector / np.sqrt(max(value, 1e-300))
                     axes.append(axis)
-            points = [self._clip(w + sign * step * axis) for axis in axes for sign in (1.0, -1.0)]
+            points = [self._clip(w + sign * step * axis) for axis in axes for step in POLISH_STEPS for sign in (1.0, -1.0)]
             if last is not None:
                 points += [self._clip(w + far * (w - last)) for far in (1.0, 3.0)]
             found = [p for p in self._remember((yield points, False)) if p["loss"] is not None and np.isfinite(p["loss"])]
             top = min(found, key=lambda p: p["loss"], default=best)
-            if top["loss"] < best["loss"] - 1e-9 * abs(best["loss"]):
-                last, best = w, top
-            else:
-                last, step = None, step / 4
-                if step < POLISH_TO:
-                    return
+            if top["loss"] >= best["loss"] - 1e-9 * abs(best["loss"]):
+                return
+            last, best = w, top
 
     @staticmethod
     def _usable(p: dict) -> bool:
