@@ -78,27 +78,41 @@ def random_search(
     floor: float | None = None,
     floor_on: str = "every",
     parallelism: int = 4,
+    keep_pruned: bool = False,
 ) -> DataFrame:
     """Score parameter sets fold by fold; a set below the floor drops out.
 
     ``floor_on`` tests the floor after every fold or after the first only. The
-    fold that failed is not recorded.
+    fold that failed is not recorded, unless ``keep_pruned`` asks for a row of every
+    set with all folds it reached and ``pruned_at``, the fold at which it dropped out
+    (null when it did not).
     """
     folds = fold_values(df, fold, folds, whole=False)
     alive = [dict(p) for p in params]
     runs: dict[int, tuple[dict, list[dict]]] = {}
+    pruned: dict[int, int] = {}
     for i, f in enumerate(folds):
         kept = []
         tasks = [partial(fold_scores, df, make(p), features_of(p), target, inverse, price, fold, f) for p in alive]
         for p, scored in zip(alive, run_all(tasks, parallelism)):
             tested = floor is not None and (floor_on == "every" or i == 0)
+            key = params.index(p)
             if tested and scored["score"] < floor:
+                if keep_pruned:
+                    pruned[key] = int(f)
+                    runs.setdefault(key, (p, []))[1].append(scored)
                 continue
             kept.append(p)
-            key = params.index(p)
             runs.setdefault(key, (p, []))[1].append(scored)
         alive = kept
-    return results_table(df.sparkSession, [runs[k] for k in sorted(runs)])
+    out = results_table(df.sparkSession, [runs[k] for k in sorted(runs)])
+    if not keep_pruned:
+        return out
+    dropped = [({k: str(v) for k, v in params[i].items()}, f) for i, f in pruned.items()]
+    text = lambda c: F.to_json(F.map_from_entries(F.array_sort(F.map_entries(c))))
+    at = df.sparkSession.createDataFrame(dropped, "params map<string,string>, pruned_at int").select(text("params").alias("__set"), "pruned_at")
+    marked = out.withColumn("__set", text("params")).join(F.broadcast(at), "__set", "left").drop("__set")
+    return marked.orderBy(F.col("pruned_at").isNotNull(), F.desc("score"))
 
 
 def grid_around(best: Sequence[dict], space: dict[str, Sequence]) -> list[dict]:

@@ -66,13 +66,16 @@ def join_predictions(
     """Inner join of many models' outputs on the id, from the long table.
 
     One grouped pivot (a single shuffle) in place of a join per model; ids
-    missing any model are dropped, as an inner join would.
+    missing any model are dropped, as an inner join would. Two rows of one model
+    and id are an error.
     """
+    twice = F.raise_error(F.concat(F.lit("several predictions of one model and "), F.lit(key)))
+    only = F.when(F.count(value) > 1, twice.cast("double")).otherwise(F.max(value))
     wide = (
         preds.where(F.col("model_id").isin(list(models)))
         .groupBy(key)
         .pivot("model_id", list(models))
-        .agg(F.max(value))
+        .agg(only)
         .withColumnsRenamed({str(m): f"{prefix}{m}" for m in models})
     )
     return wide.dropna(subset=[f"{prefix}{m}" for m in models])

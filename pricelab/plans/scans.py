@@ -100,13 +100,28 @@ def q_expand_id_ranges(spark, sf_dir):
     return expand_id_ranges(per_nation.select("c_nationkey", text.alias("ids")), "ids").select("c_nationkey", "id")
 
 
-@query("write_predictions")
+@query("write_predictions", with_preds("SELECT building_id, round(pred_1, 4) AS total_price FROM preds WHERE building_id % 5 <> 4"))
 def q_write_predictions(spark, sf_dir):
     path = _written_predictions(spark, sf_dir)
     cv = read_predictions(spark, path, [1], "cv").select("building_id", F.col("y_pred").alias("total_price"))
     out = scratch_path(spark, "submission")
     write_submission(cv, out)
-    return spark.read.schema("building_id bigint, total_price double").option("header", True).csv(out)
+    return rounded(spark.read.schema("building_id bigint, total_price double").option("header", True).csv(out), 4)
+
+
+@query(
+    "read_results",
+    with_preds(
+        f"""SELECT CAST(model_id AS VARCHAR) AS model_id, CAST({fold_sql()} AS INTEGER) AS fold, round(avg(abs(y_pred - y_true)), 4) AS mae,
+        TRUE AS in_history FROM plong GROUP BY 1, 2"""
+    ),
+)
+def q_read_results(spark, sf_dir):
+    """The nested results as they come back, one row per model and fold."""
+    back = q_write_results(spark, sf_dir)
+    rows = back.select(F.col("params")["model_id"].alias("model_id"), F.posexplode("fold_scores").alias("fold", "mae"), "histories")
+    in_history = F.get(F.get("histories", F.lit(0))["mae"], F.col("fold")) == F.col("mae")
+    return rounded(rows.select("model_id", "fold", "mae", in_history.alias("in_history")), 4, ["mae"])
 
 
 @query("write_results")
