@@ -6,10 +6,13 @@ at most the size of the sets' symmetric difference. Sizes are cut into bands; th
 texts of a band and those just above it that may still link with it share one
 sketch width. A pair of similarity ``num / den`` or more differs in at most D
 places there, so of D + 1 blocks of the sketch one is equal: texts meet in
-buckets keyed by band, block and block content. There are more blocks than D + 1,
-and each text keeps the D + 1 of its keys that fewest texts hold (empty blocks last):
-of the keys that two texts have in common the rarest is kept by both, so a passage
-that many texts share brings them together only if it fills most of their blocks.
+buckets keyed by band, block and block content. Empty blocks are no keys as long
+as D + 1 others are left. With ``rarest`` there are a quarter more blocks, and each
+text keeps the D + 1 of its keys that fewest texts hold (empty blocks last): of the
+keys that two texts have in common the rarest is kept by both, so a passage that
+many texts share brings them together only if it fills most of their blocks. That
+pays at low similarities, where a block holds few shingles; it also scatters the
+members of a large group of near copies over more pivots.
 
 Every text also keeps one whole sketch, whose width follows its size; the wider of
 two folds onto the narrower. A pair whose sizes or whose sketches' Hamming distance
@@ -65,6 +68,8 @@ BAND = 1.5
 PAIRS_PER_BATCH = 64
 #: Bits of a block of the sketch.
 BLOCK_BITS = 1 << 12
+#: With ``rarest``, one block more for so many of D + 1; the most common keys of a text make up for them.
+SPARE = 4
 #: Families of up to this many texts are paired by their sketches, larger ones by their differences to the pivot.
 FAMILY = 64
 
@@ -77,11 +82,11 @@ def band_edges(top: int) -> list[int]:
     return edges
 
 
-def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int, int, int]]:
+def join_bands(n: int, edges: list[int], num: int, den: int, spare: int = 0) -> list[tuple[int, int, int]]:
     """(band, D + 1, blocks) in which a set of size ``n`` takes part.
 
-    There are a quarter more blocks than D + 1, which are the most common ones of a text
-    and are left out, and as many as the smallest sets of the band are likely to leave empty.
+    There are a few more blocks than D + 1, one in ``spare`` more if that is more, and as
+    many as the smallest sets of the band are likely to leave empty.
     """
     own = int(np.searchsorted(edges, n, side="right")) - 1
     out = []
@@ -91,7 +96,7 @@ def join_bands(n: int, edges: list[int], num: int, den: int) -> list[tuple[int,
             break
         # |x ^ y| <= (|x| + |y|) (den - num) / (den + num), with |x| <= most and |y| <= most den / num.
         need = most * (den - num) // num + 1
-        out.append((band, need, need + max(3, need // 4) + int(1.8 * need * math.exp(-edges[band] / need))))
+        out.append((band, need, need + max(3, need // spare if spare else 0) + int(1.8 * need * math.exp(-edges[band] / need))))
     return out
 
 
@@ -128,7 +133,7 @@ _SKETCHED = (
 )
 
 
-def _sketcher(k: int, num: int, den: int, shards: int):
+def _sketcher(k: int, num: int, den: int, shards: int, spare: int):
     slots = _slots(num, den)
     # A holder of a key is a text of the chunk, its band in turn, and whether the block is empty, in 16 bits.
     most = (1 << 16) // (2 * slots)
@@ -158,7 +163,7 @@ def _sketcher(k: int, num: int, den: int, shards: int):
                 if len(grams):
                     if len(grams) >= edges[-2]:
                         edges = band_edges(2 * len(grams))
-                    for slot, (band, need, blocks) in enumerate(join_bands(len(grams), edges, num, den)):
+                    for slot, (band, need, blocks) in enumerate(join_bands(len(grams), edges, num, den, spare)):
                         # Of D + 1 blocks with a bit set one is equal; else the empty ones count too.
                         made, some = _blocks(grams, band, blocks)
                         if some.sum() >= need:
@@ -236,8 +241,8 @@ def _more(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint32, n), np.frombuffer(raw, np.uint16, n, 4 * n)
 
 
-def _paired(slots: int):
-    """(pivot, text) pairs of one chunk over the keys that each text keeps."""
+def _paired(slots: int, rarest: bool):
+    """(pivot, text) pairs of one chunk over the keys that each text keeps: all, or the rarest."""
 
     def run(sent: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         found = {s: row for s, *row in zip(answers["shard"], answers["places"], answers["pivots"], answers["holders"])}
@@ -268,7 +273,8 @@ def _paired(slots: int):
         line = who[order] >> 1
         begins = np.concatenate([[True], line[1:] != line[:-1]])
         rank = np.arange(len(line)) - np.maximum.accumulate(np.where(begins, np.arange(len(line)), 0))
-        order = order[rank < needs[line]]
+        if rarest:
+            order = order[rank < needs[line]]
         p, x = pivot[order], _uids(sent["chunk"].iloc[0], who[order], slots)
         pair = np.unique(np.stack([p, x], 1)[(count[order] > 1) & (p != x)], axis=0)
         return pd.DataFrame({"p": pair[:, 0], "x": pair[:, 1]})
@@ -408,7 +414,10 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     known = checked.join(to_x, "x", "left").withColumn("cx", F.coalesce("cx", "x"))
     # A family with one component left has nothing to find.
     split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b")
-    members = known.join(split.select("p"), "p").select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch")
+    to_p = labels.select(F.col("node").alias("p"), F.col("label").alias("cp"))
+    # Of two texts of different components one is outside the pivot's, and so a stray: only those ask.
+    members = known.join(split.select("p"), "p").join(to_p, "p", "left").withColumn("linked", F.col("cx") == F.coalesce("cp", "p"))
+    members = members.select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch")
     keyed = members.mapInArrow(
         _family_keys(num, den),
         "p long, x long, cx long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>, "
@@ -459,7 +468,7 @@ def _texts_of(rows: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", rarest: bool = True) -> DataFrame:
     """One row per document: uid, id, row1, row2, n_shingles and component_id (smallest id reachable)."""
     spark = docs.sparkSession
     ident, text = F.col(id_col).cast("long"), whole_text(text_col)
@@ -467,14 +476,14 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         ident.alias("id"), F.xxhash64(ident, text).alias("row1"), F.xxhash64(F.lit("row"), text, ident).alias("row2"), text.alias("text")
     )
     shards = shuffle_width(spark)
-    made = written(rows.mapInArrow(_sketcher(k, num, den, shards), _SKETCHED), "sketches")
+    made = written(rows.mapInArrow(_sketcher(k, num, den, shards, SPARE if rarest else 0), _SKETCHED), "sketches")
     docs_of = made.where("uid IS NOT NULL").select("uid", "id", "row1", "row2", "n", "set1", "set2", "sketch")
     sent = made.where("uid IS NULL").select("chunk", "shard", "keys", "firsts", "more")
     slots = _slots(num, den)
     answers = sent.where("shard >= 0").groupBy("shard").applyInPandas(
         _pivots(slots), "chunk long, shard int, places binary, pivots binary, holders binary"
     )
-    pairs = sent.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_paired(slots), "p long, x long").distinct()
+    pairs = sent.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_paired(slots, rarest), "p long, x long").distinct()
 
     sets = docs_of.where("n > 0").groupBy("n", "set1", "set2").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = written(
@@ -520,16 +529,17 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     )
 
 
-def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text",
+         rarest: bool = False) -> DataFrame:
     """One row per document: id, n_shingles, component_id. Texts link at similarity ``num / den`` or more."""
-    found = linked_rows(docs, k, num, den, id_col, text_col)
+    found = linked_rows(docs, k, num, den, id_col, text_col, rarest)
     return found.select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", rarest: bool = True) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps its smallest identifier; rows without words all stay."""
-    found = written(linked_rows(docs, k, num, den, id_col, text_col), "linked")
+    found = written(linked_rows(docs, k, num, den, id_col, text_col, rarest), "linked")
     goes = found.where("n_shingles > 0 AND NOT id <=> component_id").select("row1", "row2").distinct()
     ident, text = F.col(id_col).cast("long"), whole_text(text_col)
     keyed = docs.withColumns({"__row1": F.xxhash64(ident, text), "__row2": F.xxhash64(F.lit("row"), text, ident)})

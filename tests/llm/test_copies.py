@@ -116,11 +116,12 @@ def passage_rows(seed, texts=90):
 
 @pytest.mark.parametrize("family", [2, N.FAMILY])
 @pytest.mark.parametrize("make,k,num,seed", [(near_rows, 5, 80, 6), (passage_rows, 5, 80, 7)])
-def test_ngram_join_by_differences_and_by_sketches(make_docs, monkeypatch, family, make, k, num, seed):
+@pytest.mark.parametrize("rarest", [False, True])
+def test_ngram_join_by_differences_and_by_sketches(make_docs, monkeypatch, family, make, k, num, seed, rarest):
     monkeypatch.setattr(N, "FAMILY", family)
     rows = make(seed)
     want = brute_components([shingles(t, k) for _, t, _ in rows], [i for i, _, _ in rows], num, 100)
-    got = {r["doc_id"]: r["component_id"] for r in N.link(make_docs(rows), k, num, 100).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in N.link(make_docs(rows), k, num, 100, rarest=rarest).collect()}
     assert [got[i] for i, _, _ in rows] == want and len(set(want)) < len(rows)
 
 
