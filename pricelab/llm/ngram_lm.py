@@ -1,30 +1,37 @@
-"""Language-model scores from Elias-Fano n-gram tries, sharded by context.
-
-Documents are dealt to chunks by a hash. Each chunk sends every distinct word and
-every distinct bigram it holds, with its count in training documents, to a shard
-once; a word that fills the corpus is one request per chunk. A shard adds up the
-counts and builds a trie: a level of contexts, a level of monotone pointers and a
-level of successors, each an Elias-Fano sequence in mapped memory, with one byte
-of quantised log count per successor. A successor is stored relative to its
-context (place of the context times 2**32 plus 32 bits of the successor's hash),
-which makes the level monotone and lets a search stay within the context's range.
-Every distinct request is answered once, and the answers go back to the chunks,
-which score their documents. Nothing is broadcast and no model is ever whole in
-one place; contexts are salted by their successors, so a frequent one spreads.
-
-Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end,
-which is also the context of the first word. With counts from training documents,
-
-    P(w | v) = c(v, w) / (c(v) + BACK)                          if c(v, w) > 0
-             = BACK / (c(v) + BACK) * (c(w) + 1) / (N + V + 1)  otherwise
-
-which sums to at most 1 for exact counts. c(v, w) is rounded to its byte code, so a
-pair of a frequent context can come out a little over 1. Words are told apart by 64-bit hashes, successors of one
-context by 32 bits; a clash would add two counts.
+"""Language-model scores from Elias-Fano trigram tries, sharded by middle word.
+
+Documents are dealt to chunks by a hash. With u, v the two tokens before w, each
+chunk sends its distinct (v, u, w), nested as v, its u, their w, with counts in
+training documents, to the shard of v; a phrase that fills the corpus is one
+request per chunk. A shard adds up the counts, which hold c(v), c(u,v), c(v,w) and
+c(u,v,w) at once, and builds a trie in mapped memory: words v, monotone pointers to
+the words before (u) and after (w) each, and pointers from each (u, v) to its
+successors. A successor in the last level is its place among the successors of v,
+so it is searched relative to its context: first w below v, then that place below
+(u, v). Each level is an Elias-Fano sequence; one byte per entry holds a smoothed
+log probability and one per context its back-off weight, both rounded down:
+
+    P(w | u, v) = c(u,v,w) / (c(u,v) + BACK[1])                  if c(u,v,w) > 0
+                  BACK[1] / (c(u,v) + BACK[1]) * P(w | v)        otherwise
+    P(w | v)    = c(v,w) / (c(v) + BACK[0])                      if c(v,w) > 0
+                  BACK[0] / (c(v) + BACK[0]) * (c(w)+1) / (N+V+1)  otherwise
+
+so no probability is above 1 and those of one context sum to at most 1 (a byte ends
+at 10 ** -12.65). Every distinct request is looked up in the trie; the answers go
+back to the chunks, which score their documents. Nothing is broadcast but the
+hashes of HOT frequent words of a sample, and no model is ever whole in one place.
+The groups of these words are split: (v, u, .) by u, (v, w) by w, and by w too
+where u is frequent as well; each part then gets the whole count of its context.
+Which words are split never changes a result.
+
+Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. A
+begin, which is never scored, stands twice before the first. Words are told apart by
+63-bit hashes, neighbours of one word by 32 bits; a clash would add two counts.
 
 Null and empty texts consist of the end. Repeated rows are documents of their own.
 A null identifier counts as held out only if ``held_out`` says so. An empty table
-gives no rows; without training documents N and V are 0.
+gives no rows; without training documents N and V are 0. Names of other columns
+don't matter, since only the identifier, the text and ``held_out`` are read.
 """
 
 from __future__ import annotations
@@ -44,13 +51,18 @@ from pricelab.llm.words import BASE, mix, words_of
 ship(__name__)
 
 #: Bytes of text per chunk and per shard, on average.
-PART_BYTES = 16 << 20
-#: Weight of the unigram model, as a count.
-BACK = 32.0
-#: Steps of quantised log10 counts.
+PART_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
+#: Weight of the shorter context below one word and below two, as a count.
+BACK = (32.0, 4.0)
+#: Steps of quantised log10 probabilities.
 STEPS = 20
 END = np.uint64(0x5851F42D4C957F2D)
-SALTS = 16
+BEGIN = np.uint64(0x14057B7EF767814F)
+#: Words whose groups are split, the parts of each (a power of two), and the bytes of the sample that names them.
+HOT, SALTS, HOT_BYTES = 64, 64, 32 << 20
+# Groups of a shard: all of a word; one (u, v) of a frequent v; a part of a frequent (u, v); a part of the successors
+# of a frequent v, the first of which stands for the word.
+_WORD, _PAIR, _PAIR_PART, _FIRST_PART, _PART = range(5)
 
 
 def tokens_of(text: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,148 +80,291 @@ def tokens_of(text: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
+def numbered(high: np.ndarray, low: np.ndarray, low_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``high << low_bits | low`` in order, and the place of each pair among them."""
+    key = high.astype(np.uint64) << np.uint64(low_bits) | low.astype(np.uint64)
+    if not len(key):
+        return key, np.zeros(0, np.int64)
+    bits = (len(key) - 1).bit_length()
+    if int(key.max()).bit_length() + bits <= 64:
+        # Keys with their places behind them sort as plain numbers.
+        both = np.sort(key << np.uint64(bits) | np.arange(len(key), dtype=np.uint64))
+        order, key = (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    at = np.empty(len(key), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return key[new], at
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as byte planes, compressed; the first eight bytes are the plain size."""
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes() for a in arrays]
+    plain = np.array([len(a) for a in arrays], np.uint64).tobytes() + b"".join(planes)
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
+
+
+def unpack(data: bytes, *kinds) -> list[np.ndarray]:
+    plain = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    out, at = [], 8 * len(kinds)
+    for size, kind in zip(np.frombuffer(plain, np.uint64, len(kinds)).tolist(), kinds):
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(plain, np.uint8, size * wide, at).reshape(wide, size)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(-1))
+        at += size * wide
+    return out
+
+
+_REQUEST = (np.uint64, np.uint8, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32, np.uint32)
+_ANSWER = (np.int64, np.uint8, np.uint8, np.uint8, np.uint8)
+
+
 class Grams:
-    """Distinct words and bigrams of a chunk in shard order, and where each token finds them."""
-
-    def __init__(self, token: np.ndarray, first: np.ndarray, shards: int):
-        top = np.uint64(shards)
-        self.word, self.word_at = np.unique(token, return_inverse=True)
-        spread = ((mix(self.word) >> np.uint64(32)) * top) >> np.uint64(32)
-        order = np.argsort(spread, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.word, self.word_at, self.word_shard = self.word[order], place[self.word_at], spread[order]
-        before = np.empty(len(token), np.int64)
-        before[1:] = self.word_at[:-1]
-        # The end is the context of a text's first word.
-        before[first[:-1]] = self.word_at[first[1:] - 1]
-        self.before = before
-        pair = before.astype(np.uint64) << np.uint64(32) | self.word_at.astype(np.uint64)
-        kinds, at = np.unique(pair, return_inverse=True)
-        context = self.word[(kinds >> np.uint64(32)).astype(np.int64)]
-        follow = (mix(self.word[(kinds & np.uint64(0xFFFFFFFF)).astype(np.int64)] + np.uint64(BASE)) >> np.uint64(32)).astype(np.uint32)
-        salt = follow.astype(np.uint64) >> np.uint64(28)
-        shard = ((mix(context * np.uint64(SALTS) + salt) >> np.uint64(32)) * top) >> np.uint64(32)
-        order = np.lexsort((follow, context, shard))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.pair_at, self.context, self.follow, self.pair_shard = place[at], context[order], follow[order], shard[order]
-
-
-_ASKED = "chunk long, shard int, words binary, word_n binary, contexts binary, runs binary, follows binary, pair_n binary"
-
-
-def _asker(shards: int):
+    """Distinct groups, (group, u), (group, w) and (group, u, w) of a chunk in shard order, and where each token finds them.
+
+    Tokens behind a frequent word have a second entry in the part of its successors;
+    ``second`` is the entry that holds the bigram.
+    """
+
+    def __init__(self, token: np.ndarray, first: np.ndarray, hot: np.ndarray, shards: int, train: np.ndarray | None = None):
+        n, starts = len(token), first[:-1]
+        train = np.zeros(n, bool) if train is None else train
+        word, w = np.unique(token, return_inverse=True)
+        word, begin = np.append(word, BEGIN), len(word)
+        v, u = np.empty(n, np.int64), np.empty(n, np.int64)
+        v[1:], u[2:] = w[:-1], w[:-2]
+        v[starts] = u[starts] = begin
+        later = starts + 1
+        u[later[later < first[1:]]] = begin
+        follow = (mix(word + np.uint64(BASE)) >> np.uint64(32)).astype(np.uint32)
+        spread = np.isin(word, np.append(hot, BEGIN))
+        behind = np.flatnonzero(spread[v])
+        hu, hv, salt = u[behind], v[behind], (follow[w[behind]] & np.uint32(SALTS - 1)).astype(np.uint64)
+
+        def named(code: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
+            return mix(mix(code) + np.asarray(salt, np.uint64)) >> np.uint64(1)
+
+        def pair_code(v: np.ndarray, u: np.ndarray) -> np.ndarray:
+            return mix(word[v]) * np.uint64(BASE) + word[u]
+
+        both = spread[hu]
+        by_u = named(pair_code(hv, hu), np.where(both, salt + np.uint64(1), np.uint64(0)))
+        by_w = named(word[hv] ^ np.uint64(BASE), salt)
+        # Every part of a split context gets the whole count of the context.
+        salts = np.arange(SALTS, dtype=np.uint64)
+        pairs, pair_of = numbered(hv[both], hu[both], 32)
+        pair_n = np.bincount(pair_of, train[behind[both]], len(pairs))
+        words, word_of = np.unique(hv, return_inverse=True)
+        word_n = np.bincount(word_of, train[behind], len(words))
+        pv, pu = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        pair_parts = named(np.repeat(pair_code(pv, pu), SALTS), np.tile(salts + np.uint64(1), len(pairs)))
+        word_parts = named(np.repeat(word[words] ^ np.uint64(BASE), SALTS), np.tile(salts, len(words)))
+        groups, at = np.unique(np.concatenate([by_u, by_w, pair_parts, word_parts]), return_inverse=True)
+        kind, total = np.full(len(groups), _PAIR, np.uint8), np.zeros(len(groups), np.uint64)
+        a, b, c = len(behind), 2 * len(behind), 2 * len(behind) + len(pair_parts)
+        kind[at[b:c]], total[at[b:c]] = _PAIR_PART, np.repeat(pair_n, SALTS)
+        kind[at[c:]] = np.where(np.tile(salts, len(words)) == 0, _FIRST_PART, _PART)
+        total[at[c:]] = np.repeat(word_n, SALTS)
+
+        group = np.concatenate([v, len(word) + at[a:b]])
+        group[behind] = len(word) + at[:a]
+        value = np.concatenate([word >> np.uint64(1), groups])
+        used = np.bincount(group, minlength=len(value)) > 0
+        used[len(word):] = True
+        used = np.flatnonzero(used)
+        shard = ((mix(value[used]) >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+        order = np.lexsort((value[used], shard))
+        place = np.full(len(value), -1)
+        place[used[order]] = np.arange(len(used))
+        used = used[order]
+        self.group, self.shard = value[used], shard[order]
+        self.kind = np.concatenate([np.full(len(word), _WORD, np.uint8), kind])[used]
+        self.total = np.concatenate([np.zeros(len(word), np.uint64), total])[used]
+        # Where each token's own count is found: the first part of a frequent word; the end as often as the begin.
+        own = place[:len(word)].copy()
+        own[words] = place[len(word) + at[c::SALTS]]
+        own[np.searchsorted(word[:-1], END)] = own[begin]
+        self.word_at = own[w]
+
+        names, rank = np.unique(np.append(follow, np.uint32(0)), return_inverse=True)
+        bits = len(names).bit_length()
+        low = np.uint64((1 << bits) - 1)
+        self.group_at = place[group]
+        after = rank[np.concatenate([w, w[behind]])]
+        pair, self.pair_at = numbered(self.group_at, np.concatenate([rank[u], np.full(len(behind), rank[-1])]), bits)
+        three, self.three_at = numbered(self.pair_at, after, bits)
+        two, self.two_at = numbered(self.group_at, after, bits)
+        self.two_group = (two >> np.uint64(bits)).astype(np.int64)
+        self.pair_group, self.before = (pair >> np.uint64(bits)).astype(np.int64), names[(pair & low).astype(np.int64)]
+        self.three_pair, self.after = (three >> np.uint64(bits)).astype(np.int64), names[(three & low).astype(np.int64)]
+        self.three_n = np.bincount(self.three_at, np.concatenate([train, train[behind]]), len(three)).astype(np.uint32)
+        self.second = np.arange(n)
+        self.second[behind] = n + np.arange(len(behind))
+
+    def requests(self, shards: int):
+        """(shard, packed request) for every shard that this chunk asks."""
+        group = np.searchsorted(self.shard, np.arange(shards + 1, dtype=np.uint64))
+        pair = np.searchsorted(self.pair_group, group)
+        three = np.searchsorted(self.three_pair, pair)
+        before_n = np.bincount(self.pair_group, minlength=len(self.group)).astype(np.uint32)
+        after_n = np.bincount(self.three_pair, minlength=len(self.before)).astype(np.uint32)
+        for s in range(shards):
+            g, p, t = (slice(x[s], x[s + 1]) for x in (group, pair, three))
+            if g.start < g.stop:
+                yield s, pack(
+                    self.group[g], self.kind[g], self.total[g], before_n[g], self.before[p], after_n[p], self.after[t], self.three_n[t]
+                )
+
+
+_ASKED = "chunk long, shard int, request binary"
+_ASKED_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("request", pa.binary())])
+
+
+def _asker(hot: np.ndarray, shards: int):
     def ask(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
         token, first = tokens_of(table.column("text"))
         train = np.repeat(~table.column("held").to_numpy(), np.diff(first))
-        g = Grams(token, first, shards)
-        word_n = np.bincount(g.word_at, train, len(g.word)).astype(np.uint32)
-        pair_n = np.bincount(g.pair_at, train, len(g.follow)).astype(np.uint32)
-        rows = {c: [] for c in (x.split(" ")[0] for x in _ASKED.split(", "))}
-        steps = np.arange(shards + 1, dtype=np.uint64)
-        w, p = np.searchsorted(g.word_shard, steps), np.searchsorted(g.pair_shard, steps)
-        for s in range(shards):
-            a, b, c, d = w[s], w[s + 1], p[s], p[s + 1]
-            if a == b and c == d:
-                continue
-            new = np.flatnonzero(np.concatenate([[True], g.context[c + 1:d] != g.context[c:d - 1]])) if d > c else np.zeros(0, np.int64)
-            runs = np.diff(np.append(new, d - c)).astype(np.uint32)
-            for name, value in (
-                ("chunk", chunk), ("shard", s), ("words", g.word[a:b].tobytes()), ("word_n", word_n[a:b].tobytes()),
-                ("contexts", g.context[c:d][new].tobytes()), ("runs", runs.tobytes()),
-                ("follows", g.follow[c:d].tobytes()), ("pair_n", pair_n[c:d].tobytes()),
-            ):
-                rows[name].append(value)
-        return pa.table(rows, pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t]) for n, t in (x.split(" ") for x in _ASKED.split(", "))]))
+        asked = list(Grams(token, first, hot, shards, train).requests(shards))
+        return pa.table([[chunk] * len(asked), [s for s, _ in asked], [r for _, r in asked]], schema=_ASKED_ARROW)
 
     return ask
 
 
+def coded(p: np.ndarray) -> np.ndarray:
+    """One byte per probability, rounded down; 0 is kept for entries that don't exist."""
+    return (1 + np.minimum(254, np.ceil(-STEPS * np.log10(p)))).astype(np.uint8)
+
+
 class Trie:
-    """Contexts, pointers and successors in mapped files below ``folder``."""
-
-    def __init__(self, folder: str, context: np.ndarray, follow: np.ndarray, count: np.ndarray):
-        kinds, start = np.unique(context, return_index=True)
-        rank = np.searchsorted(kinds, context).astype(np.uint64)
-        codes = 1 + np.minimum(254, np.rint(STEPS * np.log10(np.maximum(count, 1)))).astype(np.uint8)
-        self.contexts = self._mapped(folder, "contexts", EliasFano.build(kinds >> np.uint64(1)))
-        self.pointers = self._mapped(folder, "pointers", EliasFano.build(np.append(start, len(context))))
-        self.follows = self._mapped(folder, "follows", EliasFano.build(rank << np.uint64(32) | follow.astype(np.uint64)))
-        np.save(f"{folder}/codes.npy", codes)
-        self.codes = np.load(f"{folder}/codes.npy", mmap_mode="r")
-
-    @staticmethod
-    def _mapped(folder: str, name: str, level: EliasFano) -> EliasFano:
-        for part, values in level.arrays().items():
-            np.save(f"{folder}/{name}-{part}.npy", values)
-            setattr(level, part, np.load(f"{folder}/{name}-{part}.npy", mmap_mode="r"))
+    """Words, the words before and after them, and successors of two words, in mapped files below ``folder``.
+
+    ``before`` holds (word's place, u), ``after`` (word's place, w) and ``successors``
+    (place in ``before``, place of w among the word's own in ``after``), all sorted.
+    """
+
+    def __init__(self, folder: str, words, word_back, before, before_back, after, after_code, successors, code):
+        self.folder, self.n = folder, len(words)
+        places = np.arange(len(words) + 1, dtype=np.uint64) << np.uint64(32)
+        self.words = self._level("words", words)
+        self.before, self.before_from = self._level("before", before), self._level("before-from", np.searchsorted(before, places))
+        self.after, self.after_from = self._level("after", after), self._level("after-from", np.searchsorted(after, places))
+        places = np.arange(len(before) + 1, dtype=np.uint64) << np.uint64(32)
+        self.successors, self.successors_from = self._level("successors", successors), self._level("successors-from", np.searchsorted(successors, places))
+        self.word_back, self.before_back = self._kept("word-back", word_back), self._kept("before-back", before_back)
+        self.after_code, self.code = self._kept("after-code", after_code), self._kept("code", code)
+
+    def _kept(self, name: str, values: np.ndarray) -> np.ndarray:
+        np.save(f"{self.folder}/{name}.npy", values)
+        return np.load(f"{self.folder}/{name}.npy", mmap_mode="r")
+
+    def _level(self, name: str, values: np.ndarray) -> EliasFano:
+        level = EliasFano.build(values)
+        for part, kept in level.arrays().items():
+            setattr(level, part, self._kept(f"{name}-{part}", kept))
         return level
 
-    def look_up(self, context: np.ndarray, follow: np.ndarray) -> np.ndarray:
-        """The code of each (context, successor), 0 where it was never seen; contexts come sorted."""
-        out = np.zeros(len(context), np.uint8)
-        if not len(context) or not len(self.codes):
-            return out
-        kinds, at = np.unique(context, return_inverse=True)
-        rank = self.contexts.rank_of(kinds >> np.uint64(1))
-        known = rank < self.contexts.size
-        known[known] = self.contexts.access(rank[known]) == kinds[known] >> np.uint64(1)
-        rank = np.where(known, rank, 0)
-        first, end = self.pointers.access(rank).astype(np.int64), self.pointers.access(rank + 1).astype(np.int64)
-        ask = np.flatnonzero(known[at])
-        key = rank[at[ask]].astype(np.uint64) << np.uint64(32) | follow[ask].astype(np.uint64)
-        place = self.follows.rank_of(key, first[at[ask]], end[at[ask]])
-        inside = place < end[at[ask]]
-        hit = inside.copy()
-        hit[inside] = self.follows.access(place[inside]) == key[inside]
-        out[ask[hit]] = self.codes[place[hit]]
-        return out
-
-
-_ANSWERED = "chunk long, shard int, counts binary, codes binary, n long, v long"
+    def word(self, value: np.ndarray) -> np.ndarray:
+        """Place of each word, -1 where it was never seen."""
+        if not self.n:
+            return np.full(len(value), -1)
+        place = self.words.rank_of(value)
+        known = place < self.n
+        known[known] = self.words.access(place[known]) == value[known]
+        return np.where(known, place, -1)
+
+    def below(self, level: EliasFano, pointers: EliasFano, context: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of ``value`` in its context's range of the level, -1 where it is not there, and the range's start."""
+        out, start = np.full(len(context), -1), np.zeros(len(context), np.int64)
+        ask = np.flatnonzero((context >= 0) & (value >= 0))
+        if not len(ask) or not level.size:
+            return out, start
+        at = context[ask]
+        first, end = pointers.access(at).astype(np.int64), pointers.access(at + 1).astype(np.int64)
+        key = at.astype(np.uint64) << np.uint64(32) | value[ask].astype(np.uint64)
+        place = level.rank_of(key, first, end)
+        inside = place < end
+        inside[inside] = level.access(place[inside]) == key[inside]
+        out[ask[inside]], start[ask] = place[inside], first
+        return out, start
+
+
+def _taken(codes: np.ndarray, place: np.ndarray, missing: int) -> np.ndarray:
+    out = np.full(len(place), missing, np.uint8)
+    out[place >= 0] = codes[place[place >= 0]]
+    return out
+
+
+_ANSWERED = "chunk long, shard int, answer binary, n long, v long"
+_ANSWERED_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("answer", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Counts and codes for one shard's requests, and a row of totals under a chunk of its own."""
-    rows = table.to_pylist()
-    shard = rows[0]["shard"]
-    words = [np.frombuffer(r["words"], np.uint64) for r in rows]
-    kinds, at = np.unique(np.concatenate(words), return_inverse=True)
-    total = np.bincount(at, np.concatenate([np.frombuffer(r["word_n"], np.uint32) for r in rows]), len(kinds)).astype(np.int64)
-    context = np.concatenate([np.repeat(np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["runs"], np.uint32)) for r in rows])
-    follow = np.concatenate([np.frombuffer(r["follows"], np.uint32) for r in rows])
-    count = np.concatenate([np.frombuffer(r["pair_n"], np.uint32) for r in rows])
-    order = np.lexsort((follow, context))
-    context, follow = context[order], follow[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (context[1:] != context[:-1]) | (follow[1:] != follow[:-1])
-    group = np.cumsum(new) - 1
-    pair_n = np.bincount(group, count[order], int(new.sum())).astype(np.int64)
-    context, follow, seen = context[new], follow[new], pair_n > 0
+    """Answers to one shard's requests, and a row of totals under a chunk of its own."""
+    chunk, shard = table.column("chunk").to_pylist(), table.column("shard")[0].as_py()
+    asked = [unpack(r.as_py(), *_REQUEST) for r in table.column("request")]
+    group, kind, given, before_n, before, after_n, after, three_n = (np.concatenate(x) for x in zip(*asked))
+    sizes = np.array([[len(r[0]), len(r[4]), len(r[6])] for r in asked])
+    del asked
+    words, group_at = np.unique(group, return_inverse=True)
+    kinds = np.zeros(len(words), np.uint8)
+    kinds[group_at] = kind
+    given = np.bincount(group_at, given, len(words)).astype(np.int64)
+    pair, pair_at = numbered(np.repeat(group_at, before_n), before, 32)
+    three, three_at = numbered(np.repeat(pair_at, after_n), after, 32)
+    n3 = np.bincount(three_at, three_n, len(three)).astype(np.int64)
+    del group, before, after, three_n
+    pair_group, three_pair = (pair >> np.uint64(32)).astype(np.int64), (three >> np.uint64(32)).astype(np.int64)
+    three_after = three & np.uint64(0xFFFFFFFF)
+    two, two_of = numbered(pair_group[three_pair], three_after, 32)
+    two_group = (two >> np.uint64(32)).astype(np.int64)
+    n2 = np.bincount(two_of, n3, len(two)).astype(np.int64)
+    pair_n = np.bincount(three_pair, n3, len(pair)).astype(np.int64)
+    word_n = np.where(kinds >= _PAIR_PART, given, np.bincount(pair_group, pair_n, len(words)).astype(np.int64))
+    pair_n = np.where(kinds[pair_group] == _PAIR_PART, given[pair_group], pair_n)
+
+    # The trie holds what training documents hold.
+    keep_word, keep_pair, keep_two, keep_three = word_n > 0, pair_n > 0, n2 > 0, n3 > 0
+    word_place, pair_place = np.cumsum(keep_word) - 1, np.cumsum(keep_pair) - 1
+    two_place, low = np.cumsum(keep_two) - 1, np.uint64(0xFFFFFFFF)
+
+    def below(places: np.ndarray, value: np.ndarray) -> np.ndarray:
+        return places.astype(np.uint64) << np.uint64(32) | value
+
+    kept_two = below(word_place[two_group[keep_two]], two[keep_two] & low)
+    two_from = np.searchsorted(kept_two, np.arange(int(keep_word.sum()) + 1, dtype=np.uint64) << np.uint64(32))
+    relative = two_place[two_of[keep_three]] - two_from[word_place[pair_group[three_pair[keep_three]]]]
     with tempfile.TemporaryDirectory(prefix="trie-") as folder:
-        code = Trie(folder, context[seen], follow[seen], pair_n[seen]).look_up(context, follow)
-    codes = np.empty(len(order), np.uint8)
-    codes[order] = code[group]
-    counts = total[at]
-    out = {"chunk": [-1 - shard], "shard": [shard], "counts": [None], "codes": [None], "n": [int(total.sum())], "v": [int((total > 0).sum())]}
-    w = p = 0
-    for r, own in zip(rows, words):
-        size = len(r["follows"]) // 4
-        for name, value in (
-            ("chunk", r["chunk"]), ("shard", shard), ("counts", counts[w:w + len(own)].tobytes()),
-            ("codes", codes[p:p + size].tobytes()), ("n", 0), ("v", 0),
-        ):
-            out[name].append(value)
-        w, p = w + len(own), p + size
-    return pa.table(out, pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t]) for n, t in (x.split(" ") for x in _ANSWERED.split(", "))]))
+        trie = Trie(
+            folder, words[keep_word], coded(BACK[0] / (word_n[keep_word] + BACK[0])),
+            below(word_place[pair_group[keep_pair]], pair[keep_pair] & low), coded(BACK[1] / (pair_n[keep_pair] + BACK[1])),
+            kept_two, coded(n2[keep_two] / (word_n[two_group[keep_two]] + BACK[0])),
+            below(pair_place[three_pair[keep_three]], relative.astype(np.uint64)),
+            coded(n3[keep_three] / (pair_n[three_pair[keep_three]] + BACK[1])),
+        )
+        word_at = trie.word(words)
+        pair_found, _ = trie.below(trie.before, trie.before_from, word_at[pair_group], (pair & low).astype(np.int64))
+        two_found, start = trie.below(trie.after, trie.after_from, word_at[two_group], (two & low).astype(np.int64))
+        place = np.where(two_found >= 0, two_found - start, -1)
+        found, _ = trie.below(trie.successors, trie.successors_from, pair_found[three_pair], place[two_of])
+        word_back, pair_back = _taken(trie.word_back, word_at, 1), _taken(trie.before_back, pair_found, 1)
+        two_code, code = _taken(trie.after_code, two_found, 0), _taken(trie.code, found, 0)
+    counted = (kinds == _WORD) | (kinds == _FIRST_PART)
+    out = [(-1 - shard, shard, None, int(word_n[counted].sum()), int((word_n[counted] > 0).sum()))]
+    ends = np.cumsum(sizes, axis=0)
+    for c, (g, p, t), (ge, pe, te) in zip(chunk, sizes.tolist(), ends.tolist()):
+        g, p, t = group_at[ge - g:ge], pair_at[pe - p:pe], three_at[te - t:te]
+        out.append((c, shard, pack(word_n[g], word_back[g], pair_back[p], two_code[np.unique(two_of[t])], code[t]), 0, 0))
+    return pa.table([list(x) for x in zip(*out)], schema=_ANSWERED_ARROW)
 
 
 _SCORED = "id long, held boolean, n_tokens long, n_known long, logs double, score double, backs long, n long, v long"
 
 
-def _scorer(shards: int):
+def _scorer(hot: np.ndarray, shards: int):
     schema = pa.schema([(n, {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[t]) for n, t in (x.split(" ") for x in _SCORED.split(", "))])
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -218,22 +373,23 @@ def _scorer(shards: int):
             empty = {c: [None] * n for c in schema.names}
             return pa.table({**empty, "n": answers.column("n"), "v": answers.column("v")}, schema)
         token, first = tokens_of(docs.column("text"))
-        g = Grams(token, first, shards)
-        got = answers.sort_by("shard")
-        counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.int64)
-        codes = np.frombuffer(b"".join(got.column("codes").to_pylist()), np.uint8)
-        c = counts[g.word_at]
-        code = codes[g.pair_at].astype(float)
-        log_c = np.log10(counts + 1.0)[g.word_at]
-        log_v = np.log10(counts + BACK)[g.before]
-        seen = code > 0
-        logs = np.where(seen, (code - 1) / STEPS, math.log10(BACK) + log_c) - log_v
+        g = Grams(token, first, hot, shards)
+        got = zip(*[unpack(a.as_py(), *_ANSWER) for a in answers.sort_by("shard").column("answer")])
+        count, word_back, pair_back, two, three = (np.concatenate(x) for x in got)
+        n = len(token)
+        c = count[g.word_at]
+        log_c = np.log10(c + 1.0)
+        three, two = three[g.three_at[:n]], two[g.two_at[g.second]]
+        word_back, pair_back = word_back[g.group_at[g.second]], pair_back[g.pair_at[:n]]
+        backs = (three == 0) & (two == 0)
+        steps = np.where(three > 0, three, pair_back - 1.0 + np.where(two > 0, two, word_back)) - 1.0
+        logs = np.where(backs, log_c, 0.0) - steps / STEPS
         at = first[:-1]
         return pa.table(
             {
                 "id": docs.column("id"), "held": docs.column("held"), "n_tokens": np.diff(first),
                 "n_known": np.add.reduceat((c > 0).astype(np.int64), at), "logs": np.add.reduceat(log_c, at),
-                "score": np.add.reduceat(logs, at), "backs": np.add.reduceat((~seen).astype(np.int64), at),
+                "score": np.add.reduceat(logs, at), "backs": np.add.reduceat(backs.astype(np.int64), at),
                 "n": pa.nulls(len(at), pa.int64()), "v": pa.nulls(len(at), pa.int64()),
             },
             schema,
@@ -242,6 +398,20 @@ def _scorer(shards: int):
     return score
 
 
+def _frequent(batches):
+    for part in chunks(batches, "text"):
+        word, n = np.unique(tokens_of(part.column("text"))[0], return_counts=True)
+        top = np.argsort(-n, kind="stable")[:4 * HOT]
+        yield pa.RecordBatch.from_arrays([pa.array(word[top].view(np.int64)), pa.array(n[top])], ["word", "n"])
+
+
+def hot_words(rows: DataFrame, size: int) -> np.ndarray:
+    """Hashes of the most frequent words of a sample; they decide which groups are split, and no result."""
+    sample = rows.select("text").sample(min(1.0, HOT_BYTES / max(size, 1)), seed=6)
+    top = sample.mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return np.array([r["word"] for r in top.orderBy(F.desc("n"), "word").limit(HOT).collect()], np.int64).view(np.uint64)
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -249,14 +419,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     """
     ident, text = F.col(id_col).cast("long"), whole_text(text_col)
     size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
-    parts = max(1, math.ceil(size / PART_BYTES))
+    parts, shards = max(1, math.ceil(size / PART_BYTES)), max(1, math.ceil(size / SHARD_BYTES))
     rows = docs.select(
         F.pmod(F.xxhash64(ident, text), F.lit(parts)).alias("chunk"), ident.alias("id"),
         F.coalesce(held_out, F.lit(False)).alias("held"), text.alias("text"),
-    ).repartition(max(parts, 1), "chunk")
-    asked = rows.groupBy("chunk").applyInArrow(_asker(parts), _ASKED)
+    )
+    hot = hot_words(rows, size)
+    rows = rows.repartition(parts, "chunk")
+    asked = rows.groupBy("chunk").applyInArrow(_asker(hot, shards), _ASKED)
     answers = asked.groupBy("shard").applyInArrow(_answer, _ANSWERED)
-    scored = written(rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scorer(parts), _SCORED), "scores")
+    scored = written(rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scorer(hot, shards), _SCORED), "scores")
     total = scored.where("n_tokens IS NULL").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = total["n"] or 0, total["v"] or 0
     back = F.lit(math.log10(n + v + 1))

@@ -69,34 +69,98 @@ def test_quality_rules(make_docs, odd_rows):
     assert Q.judge(make_docs([])).count() == 0
 
 
+def brute_scores(rows, held):
+    """Per row (n_tokens, n_known, train_tokens, base score, exact score) of the trigram model."""
+    one, pair, context = collections.Counter(), collections.Counter(), collections.Counter()
+    two, three = collections.Counter(), collections.Counter()
+    texts = [WORD.findall(low(t)) + ["\n"] for _, t, _ in rows]
+    for (i, _, _), w in zip(rows, texts):
+        if not held(i):
+            p = ["^", "^", *w]
+            one.update(w), pair.update(zip(p[1:], w)), three.update(zip(p, p[1:], w)), two.update(zip(p, p[1:-1])), context.update(p[1:-1])
+    total = sum(one.values())
+    unit = math.log10(total + len(one) + 1)
+    k2, k3 = ngram_lm.BACK
+    out = []
+    for w in texts:
+        p, model = ["^", "^", *w], 0.0
+        for a, b, c in zip(p, p[1:], w):
+            if three[a, b, c]:
+                model += math.log10(three[a, b, c] / (two[a, b] + k3))
+                continue
+            model += math.log10(k3 / (two[a, b] + k3))
+            model += math.log10(pair[b, c] / (context[b] + k2)) if pair[b, c] else math.log10(k2 / (context[b] + k2) * (one[c] + 1)) - unit
+        out.append((len(w), sum(one[x] > 0 for x in w), total, sum(math.log10(one[x] + 1) - unit for x in w), model))
+    return out
+
+
 def test_language_model_against_brute_force(make_docs, odd_rows, monkeypatch):
+    """Exact counts, scores within the quantisation and never above 0, whichever words are split."""
     monkeypatch.setattr(ngram_lm, "PART_BYTES", 40_000)
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 60_000)
     rng = random.Random(4)
     rows = odd_rows + [(50 + i, " ".join(f"t{int(rng.paretovariate(0.9)) % 60}" for _ in range(rng.randint(0, 90))), "s") for i in range(200)]
     held = F.coalesce(F.col("doc_id") % 7 == 2, F.lit(False))
-    got = ngram_lm.score(make_docs(rows).withColumn("chunk", F.lit(0)), held).collect()
-    one, two = collections.Counter(), collections.Counter()
-    for i, t, _ in rows:
-        if i is None or i % 7 != 2:
-            w = WORD.findall(low(t)) + ["\n"]
-            one.update(w), two.update(zip(["\n"] + w, w))
-    total, kinds = sum(one.values()), len(one)
-    unit = math.log10(total + kinds + 1)
     want = collections.defaultdict(list)
-    for i, t, _ in rows:
-        w = WORD.findall(low(t)) + ["\n"]
-        model = 0.0
-        for a, b in zip(["\n"] + w, w):
-            back = ngram_lm.BACK
-            model += math.log10(two[a, b] / (one[a] + back)) if two[a, b] else math.log10(back / (one[a] + back) * (one[b] + 1)) - unit
-        want[i].append((len(w), sum(one[x] > 0 for x in w), sum(math.log10(one[x] + 1) - unit for x in w), model))
-    assert len(got) == len(rows)
-    for r in got:
-        n, known, base, model = want[r["doc_id"]][0]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9, abs=1e-9)
-        assert abs(r["score"] - model) <= n * 0.5 / ngram_lm.STEPS + 1e-9
+    for (i, _, _), w in zip(rows, brute_scores(rows, lambda i: i is not None and i % 7 == 2)):
+        want[i].append(w)
+    seen = []
+    for hot in (64, 3, 0):
+        monkeypatch.setattr(ngram_lm, "HOT", hot)
+        docs = make_docs(rows)
+        for name in ("chunk", "held", "score"):
+            docs = docs.withColumn(name, F.lit(0))
+        got = ngram_lm.score(docs, held).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            n, known, total, base, model = want[r["doc_id"]][0]
+            assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
+            assert r["base_score"] == pytest.approx(base, rel=1e-9, abs=1e-9)
+            assert r["score"] <= min(0, model + 1e-9) and r["score"] >= model - 2 * n / ngram_lm.STEPS - 1e-9
+        seen.append(sorted((r["doc_id"] or -1, round(r["score"], 6)) for r in got))
+    assert seen[0] == seen[1] == seen[2]
     assert ngram_lm.score(make_docs([]), held).count() == 0
+    nothing = ngram_lm.score(make_docs(rows[:5]), F.lit(True)).collect()
+    assert [(r["train_tokens"], r["n_known"], r["score"]) for r in nothing] == [(0, 0, 0.0)] * 5
+
+
+def test_language_model_of_one_text_repeated(make_docs):
+    got = ngram_lm.score(make_docs([(i, "x y", "s") for i in range(1060)]), F.lit(False)).collect()
+    assert len(got) == 1060 and all(-0.6 < r["score"] <= 0 for r in got)
+
+
+def test_probabilities_of_a_context_sum_to_at_most_one():
+    """Quantised successors and the back-off of every context of one and of two words, split or whole."""
+    rng = random.Random(9)
+    text = pa.chunked_array([[" ".join(f"t{int(rng.paretovariate(0.7)) % 40}" for _ in range(300)) for _ in range(60)]])
+    token, first = ngram_lm.tokens_of(text)
+    hot = np.unique(token)[:5]
+    g = ngram_lm.Grams(token, first, hot, 3, np.ones(len(token), bool))
+    answers = {}
+    for shard, request in g.requests(3):
+        out = ngram_lm._answer(pa.table([[0], [shard], [request]], schema=ngram_lm._ASKED_ARROW))
+        answers[shard] = ngram_lm.unpack(out.column("answer")[1].as_py(), *ngram_lm._ANSWER)
+    _, word_back, pair_back, two, three = (np.concatenate(x) for x in zip(*(answers[s] for s in sorted(answers))))
+
+    def p(codes):
+        return 10 ** (-(codes.astype(float) - 1) / ngram_lm.STEPS)
+
+    assert (three > 0).all() and (two > 0).all()
+    n = len(token)
+    before = {}
+    places = np.append(token, ngram_lm.BEGIN)
+    starts = set(first[:-1].tolist())
+    for i in range(n):
+        v = n if i in starts else i - 1
+        u = n if i in starts or v in starts else i - 2
+        u, v, w = places[u], places[v], token[i]
+        before.setdefault((u, v), [{}, set()])[0][w] = p(three)[g.three_at[i]]
+        before[u, v][1].add(p(pair_back)[g.pair_at[i]])
+        k = g.second[i]
+        before.setdefault(v, [{}, set()])[0][w] = p(two)[g.two_at[k]]
+        before[v][1].add(p(word_back)[g.group_at[k]])
+    for successors, back in before.values():
+        assert len(back) == 1 and 0.8 < sum(successors.values()) + back.pop() <= 1
 
 
 def test_deobfuscation_restores_words(make_docs):
