@@ -18,11 +18,11 @@ log probability and one per context its back-off weight, both rounded down:
 
 so no probability is above 1 and those of one context sum to at most 1 (a byte ends
 at 10 ** -12.65). Every distinct request is looked up in the trie; the answers go
-back to the chunks, which score their documents. Nothing is broadcast but the
-hashes of HOT frequent words of a sample, and no model is ever whole in one place.
-The groups of these words are split: (v, u, .) by u, (v, w) by w, and by w too
-where u is frequent as well; each part then gets the whole count of its context.
-Which words are split never changes a result.
+back to the chunks, which score their documents. No model is ever whole in one
+place. Words and pairs that a sample finds more often than once in two shards (or
+in ``1 / RAREST`` tokens, so at most 2 * RAREST hashes travel with the tasks) are
+split: (v, u) by u, (v, w) by w, and a frequent (u, v) by w; each part then gets
+the whole count of its context. What is split never changes a result.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. A
 begin, which is never scored, stands twice before the first. Words are told apart by
@@ -51,15 +51,15 @@ from pricelab.llm.words import BASE, mix, words_of
 ship(__name__)
 
 #: Bytes of text per chunk and per shard, on average.
-PART_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
+PART_BYTES, SHARD_BYTES = 8 << 20, 8 << 20
 #: Weight of the shorter context below one word and below two, as a count.
 BACK = (32.0, 4.0)
 #: Steps of quantised log10 probabilities.
 STEPS = 20
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
-#: Words whose groups are split, the parts of each (a power of two), and the bytes of the sample that names them.
-HOT, SALTS, HOT_BYTES = 64, 64, 32 << 20
+#: Bytes of the sample that names the words and pairs to split, and the tokens of which one makes the rarest of them.
+HOT_BYTES, RAREST = 32 << 20, 1 << 16
 # Groups of a shard: all of a word; one (u, v) of a frequent v; a part of a frequent (u, v); a part of the successors
 # of a frequent v, the first of which stands for the word.
 _WORD, _PAIR, _PAIR_PART, _FIRST_PART, _PART = range(5)
@@ -122,52 +122,74 @@ _REQUEST = (np.uint64, np.uint8, np.uint64, np.uint32, np.uint32, np.uint32, np.
 _ANSWER = (np.int64, np.uint8, np.uint8, np.uint8, np.uint8)
 
 
+def contexts(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words with BEGIN at the end, and each token's place among them, that of the one before, and before that."""
+    word, w = np.unique(token, return_inverse=True)
+    v, u = np.empty(len(token), np.int64), np.empty(len(token), np.int64)
+    v[1:], u[2:] = w[:-1], w[:-2]
+    starts, later = first[:-1], first[:-1] + 1
+    v[starts] = u[starts] = len(word)
+    u[later[later < first[1:]]] = len(word)
+    return np.append(word, BEGIN), w, v, u
+
+
+def pair_code(v: np.ndarray, u: np.ndarray) -> np.ndarray:
+    return mix(v) * np.uint64(BASE) + u
+
+
+def group_code(code: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
+    return mix(mix(code) + np.asarray(salt, np.uint64)) >> np.uint64(1)
+
+
+def parts_of(code: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Parts (a power of two) of the contexts that are split, 0 for the others."""
+    codes, parts = hot
+    if not len(codes):
+        return np.zeros(len(code), np.int64)
+    at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+    return np.where(codes[at] == code, parts[at], 0)
+
+
 class Grams:
     """Distinct groups, (group, u), (group, w) and (group, u, w) of a chunk in shard order, and where each token finds them.
 
     Tokens behind a frequent word have a second entry in the part of its successors;
-    ``second`` is the entry that holds the bigram.
+    ``second`` is the entry that holds the bigram. ``hot`` has the codes of split words
+    and pairs in order, and their numbers of parts.
     """
 
-    def __init__(self, token: np.ndarray, first: np.ndarray, hot: np.ndarray, shards: int, train: np.ndarray | None = None):
-        n, starts = len(token), first[:-1]
+    def __init__(self, token: np.ndarray, first: np.ndarray, hot: tuple[np.ndarray, np.ndarray], shards: int, train: np.ndarray | None = None):
+        n = len(token)
         train = np.zeros(n, bool) if train is None else train
-        word, w = np.unique(token, return_inverse=True)
-        word, begin = np.append(word, BEGIN), len(word)
-        v, u = np.empty(n, np.int64), np.empty(n, np.int64)
-        v[1:], u[2:] = w[:-1], w[:-2]
-        v[starts] = u[starts] = begin
-        later = starts + 1
-        u[later[later < first[1:]]] = begin
+        word, w, v, u = contexts(token, first)
+        begin = len(word) - 1
         follow = (mix(word + np.uint64(BASE)) >> np.uint64(32)).astype(np.uint32)
-        spread = np.isin(word, np.append(hot, BEGIN))
-        behind = np.flatnonzero(spread[v])
-        hu, hv, salt = u[behind], v[behind], (follow[w[behind]] & np.uint32(SALTS - 1)).astype(np.uint64)
-
-        def named(code: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
-            return mix(mix(code) + np.asarray(salt, np.uint64)) >> np.uint64(1)
-
-        def pair_code(v: np.ndarray, u: np.ndarray) -> np.ndarray:
-            return mix(word[v]) * np.uint64(BASE) + word[u]
-
-        both = spread[hu]
-        by_u = named(pair_code(hv, hu), np.where(both, salt + np.uint64(1), np.uint64(0)))
-        by_w = named(word[hv] ^ np.uint64(BASE), salt)
+        word_parts = parts_of(word, hot)
+        behind = np.flatnonzero(word_parts[v])
+        hw, hv, after = w[behind], v[behind], follow[w[behind]].astype(np.int64)
+        pairs, pair_of = numbered(hv, u[behind], 32)
+        codes = pair_code(word[(pairs >> np.uint64(32)).astype(np.int64)], word[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+        pair_parts = parts_of(codes, hot)
+        # Group 0 of a pair is the whole pair; its parts count from 1.
+        split = pair_parts[pair_of]
+        by_u = group_code(codes[pair_of], np.where(split > 0, 1 + (after & np.maximum(split - 1, 0)), 0))
+        by_w = group_code(word[hv] ^ np.uint64(BASE), after & (word_parts[hv] - 1))
         # Every part of a split context gets the whole count of the context.
-        salts = np.arange(SALTS, dtype=np.uint64)
-        pairs, pair_of = numbered(hv[both], hu[both], 32)
-        pair_n = np.bincount(pair_of, train[behind[both]], len(pairs))
+        pair_n = np.bincount(pair_of, train[behind], len(pairs)).astype(np.uint64)
         words, word_of = np.unique(hv, return_inverse=True)
-        word_n = np.bincount(word_of, train[behind], len(words))
-        pv, pu = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        pair_parts = named(np.repeat(pair_code(pv, pu), SALTS), np.tile(salts + np.uint64(1), len(pairs)))
-        word_parts = named(np.repeat(word[words] ^ np.uint64(BASE), SALTS), np.tile(salts, len(words)))
-        groups, at = np.unique(np.concatenate([by_u, by_w, pair_parts, word_parts]), return_inverse=True)
+        word_n = np.bincount(word_of, train[behind], len(words)).astype(np.uint64)
+
+        def every(parts: np.ndarray) -> np.ndarray:
+            return np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+
+        pair_salt, word_salt = every(pair_parts), every(word_parts[words])
+        all_pairs = group_code(np.repeat(codes, pair_parts), pair_salt + 1)
+        all_words = group_code(np.repeat(word[words] ^ np.uint64(BASE), word_parts[words]), word_salt)
+        groups, at = np.unique(np.concatenate([by_u, by_w, all_pairs, all_words]), return_inverse=True)
         kind, total = np.full(len(groups), _PAIR, np.uint8), np.zeros(len(groups), np.uint64)
-        a, b, c = len(behind), 2 * len(behind), 2 * len(behind) + len(pair_parts)
-        kind[at[b:c]], total[at[b:c]] = _PAIR_PART, np.repeat(pair_n, SALTS)
-        kind[at[c:]] = np.where(np.tile(salts, len(words)) == 0, _FIRST_PART, _PART)
-        total[at[c:]] = np.repeat(word_n, SALTS)
+        a, b, c = len(behind), 2 * len(behind), 2 * len(behind) + len(all_pairs)
+        kind[at[b:c]], total[at[b:c]] = _PAIR_PART, np.repeat(pair_n, pair_parts)
+        kind[at[c:]], total[at[c:]] = np.where(word_salt == 0, _FIRST_PART, _PART), np.repeat(word_n, word_parts[words])
 
         group = np.concatenate([v, len(word) + at[a:b]])
         group[behind] = len(word) + at[:a]
@@ -183,9 +205,9 @@ class Grams:
         self.group, self.shard = value[used], shard[order]
         self.kind = np.concatenate([np.full(len(word), _WORD, np.uint8), kind])[used]
         self.total = np.concatenate([np.zeros(len(word), np.uint64), total])[used]
-        # Where each token's own count is found: the first part of a frequent word; the end as often as the begin.
+        # Where each token's own count is found: the first part of a split word; the end as often as the begin.
         own = place[:len(word)].copy()
-        own[words] = place[len(word) + at[c::SALTS]]
+        own[words] = place[len(word) + at[c:][word_salt == 0]]
         own[np.searchsorted(word[:-1], END)] = own[begin]
         self.word_at = own[w]
 
@@ -193,11 +215,13 @@ class Grams:
         bits = len(names).bit_length()
         low = np.uint64((1 << bits) - 1)
         self.group_at = place[group]
-        after = rank[np.concatenate([w, w[behind]])]
-        pair, self.pair_at = numbered(self.group_at, np.concatenate([rank[u], np.full(len(behind), rank[-1])]), bits)
-        three, self.three_at = numbered(self.pair_at, after, bits)
-        two, self.two_at = numbered(self.group_at, after, bits)
-        self.two_group = (two >> np.uint64(bits)).astype(np.int64)
+        # The group of a split word's pair names its u already.
+        earlier = np.concatenate([rank[u], np.full(len(behind), rank[-1])])
+        earlier[behind] = rank[-1]
+        later = rank[np.concatenate([w, hw])]
+        pair, self.pair_at = numbered(self.group_at, earlier, bits)
+        three, self.three_at = numbered(self.pair_at, later, bits)
+        two, self.two_at = numbered(self.group_at, later, bits)
         self.pair_group, self.before = (pair >> np.uint64(bits)).astype(np.int64), names[(pair & low).astype(np.int64)]
         self.three_pair, self.after = (three >> np.uint64(bits)).astype(np.int64), names[(three & low).astype(np.int64)]
         self.three_n = np.bincount(self.three_at, np.concatenate([train, train[behind]]), len(three)).astype(np.uint32)
@@ -223,7 +247,7 @@ _ASKED = "chunk long, shard int, request binary"
 _ASKED_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("request", pa.binary())])
 
 
-def _asker(hot: np.ndarray, shards: int):
+def _asker(hot: tuple[np.ndarray, np.ndarray], shards: int):
     def ask(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
         token, first = tokens_of(table.column("text"))
@@ -364,7 +388,7 @@ def _answer(table: pa.Table) -> pa.Table:
 _SCORED = "id long, held boolean, n_tokens long, n_known long, logs double, score double, backs long, n long, v long"
 
 
-def _scorer(hot: np.ndarray, shards: int):
+def _scorer(hot: tuple[np.ndarray, np.ndarray], shards: int):
     schema = pa.schema([(n, {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[t]) for n, t in (x.split(" ") for x in _SCORED.split(", "))])
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -398,18 +422,35 @@ def _scorer(hot: np.ndarray, shards: int):
     return score
 
 
-def _frequent(batches):
-    for part in chunks(batches, "text"):
-        word, n = np.unique(tokens_of(part.column("text"))[0], return_counts=True)
-        top = np.argsort(-n, kind="stable")[:4 * HOT]
-        yield pa.RecordBatch.from_arrays([pa.array(word[top].view(np.int64)), pa.array(n[top])], ["word", "n"])
+def _counter(share: float):
+    def count(batches):
+        for part in chunks(batches, "text"):
+            word, w, v, u = contexts(*tokens_of(part.column("text")))
+            one, pair = np.bincount(v, minlength=len(word)), numbered(v, u, 32)
+            two = np.bincount(pair[1], minlength=len(pair[0]))
+            codes = pair_code(word[(pair[0] >> np.uint64(32)).astype(np.int64)], word[(pair[0] & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+            for code, n in ((word, one), (codes, two)):
+                often = n > share / 2 * len(w)
+                yield pa.RecordBatch.from_arrays([pa.array(code[often].view(np.int64)), pa.array(n[often])], ["code", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([len(w)])], ["code", "n"])
+
+    return count
 
 
-def hot_words(rows: DataFrame, size: int) -> np.ndarray:
-    """Hashes of the most frequent words of a sample; they decide which groups are split, and no result."""
+def hot_contexts(rows: DataFrame, size: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of frequent words and pairs of a sample, in order, and how many parts each is split into.
+
+    They decide where counts are added up, and no result.
+    """
+    share = max(1 / (2 * shards), 1 / RAREST)
     sample = rows.select("text").sample(min(1.0, HOT_BYTES / max(size, 1)), seed=6)
-    top = sample.mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return np.array([r["word"] for r in top.orderBy(F.desc("n"), "word").limit(HOT).collect()], np.int64).view(np.uint64)
+    counted = sample.mapInArrow(_counter(share), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    found = {r["code"]: r["n"] for r in counted.orderBy(F.desc("n")).limit(2 * RAREST).collect()}
+    total = found.pop(None, 0)
+    often = {c: 1 << math.ceil(math.log2(max(1, 2 * shards * n / total))) for c, n in found.items() if n > share * total}
+    codes = np.array(list(often), np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    return codes[order], np.array(list(often.values()), np.int64)[order]
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -424,7 +465,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         F.pmod(F.xxhash64(ident, text), F.lit(parts)).alias("chunk"), ident.alias("id"),
         F.coalesce(held_out, F.lit(False)).alias("held"), text.alias("text"),
     )
-    hot = hot_words(rows, size)
+    hot = hot_contexts(rows, size, shards)
     rows = rows.repartition(parts, "chunk")
     asked = rows.groupBy("chunk").applyInArrow(_asker(hot, shards), _ASKED)
     answers = asked.groupBy("shard").applyInArrow(_answer, _ANSWERED)

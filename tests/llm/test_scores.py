@@ -105,8 +105,8 @@ def test_language_model_against_brute_force(make_docs, odd_rows, monkeypatch):
     for (i, _, _), w in zip(rows, brute_scores(rows, lambda i: i is not None and i % 7 == 2)):
         want[i].append(w)
     seen = []
-    for hot in (64, 3, 0):
-        monkeypatch.setattr(ngram_lm, "HOT", hot)
+    for rarest in (1 << 16, 30, 1):
+        monkeypatch.setattr(ngram_lm, "RAREST", rarest)
         docs = make_docs(rows)
         for name in ("chunk", "held", "score"):
             docs = docs.withColumn(name, F.lit(0))
@@ -134,7 +134,9 @@ def test_probabilities_of_a_context_sum_to_at_most_one():
     rng = random.Random(9)
     text = pa.chunked_array([[" ".join(f"t{int(rng.paretovariate(0.7)) % 40}" for _ in range(300)) for _ in range(60)]])
     token, first = ngram_lm.tokens_of(text)
-    hot = np.unique(token)[:5]
+    word, w, v, u = ngram_lm.contexts(token, first)
+    codes = np.unique(np.concatenate([word[:5], word[-1:], ngram_lm.pair_code(word[v[:90]], word[u[:90]])]))
+    hot = codes, 1 << (np.arange(len(codes)) % 4)
     g = ngram_lm.Grams(token, first, hot, 3, np.ones(len(token), bool))
     answers = {}
     for shard, request in g.requests(3):
