@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -326,13 +327,9 @@ _ANSWERED = "chunk long, shard int, answer binary, n long, v long"
 _ANSWERED_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("answer", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Answers to one shard's requests, and a row of totals under a chunk of its own."""
-    chunk, shard = table.column("chunk").to_pylist(), table.column("shard")[0].as_py()
-    asked = [unpack(r.as_py(), *_REQUEST) for r in table.column("request")]
+def looked_up(asked: list[list[np.ndarray]]) -> SimpleNamespace:
+    """Counts of a shard's words and the codes of all its distinct requests, with the places of the requests among them."""
     group, kind, given, before_n, before, after_n, after, three_n = (np.concatenate(x) for x in zip(*asked))
-    sizes = np.array([[len(r[0]), len(r[4]), len(r[6])] for r in asked])
-    del asked
     words, group_at = np.unique(group, return_inverse=True)
     kinds = np.zeros(len(words), np.uint8)
     kinds[group_at] = kind
@@ -376,12 +373,31 @@ def _answer(table: pa.Table) -> pa.Table:
         found, _ = trie.below(trie.successors, trie.successors_from, pair_found[three_pair], place[two_of])
         word_back, pair_back = _taken(trie.word_back, word_at, 1), _taken(trie.before_back, pair_found, 1)
         two_code, code = _taken(trie.after_code, two_found, 0), _taken(trie.code, found, 0)
-    counted = (kinds == _WORD) | (kinds == _FIRST_PART)
-    out = [(-1 - shard, shard, None, int(word_n[counted].sum()), int((word_n[counted] > 0).sum()))]
+    return SimpleNamespace(
+        kinds=kinds, group_at=group_at, pair_at=pair_at, three_at=three_at, two_of=two_of, three_pair=three_pair, two_group=two_group,
+        word_n=word_n, word_back=word_back, pair_back=pair_back, two_code=two_code, code=code,
+    )
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """Answers to one shard's requests, and a row of totals under a chunk of its own."""
+    chunk, shard = table.column("chunk").to_pylist(), table.column("shard")[0].as_py()
+    asked = [unpack(r.as_py(), *_REQUEST) for r in table.column("request")]
+    sizes = np.array([[len(r[0]), len(r[4]), len(r[6])] for r in asked])
+    found = looked_up(asked)
+    del asked
+    counted = (found.kinds == _WORD) | (found.kinds == _FIRST_PART)
+    out = [(-1 - shard, shard, None, int(found.word_n[counted].sum()), int((found.word_n[counted] > 0).sum()))]
+    # Only what was never seen behind two words backs off: other weights and bigrams are not read and travel as one value.
+    unseen = found.code == 0
+    pair_back = np.where(np.bincount(found.three_pair[unseen], minlength=len(found.pair_back)) > 0, found.pair_back, np.uint8(1))
+    backed = np.bincount(found.two_of[unseen], minlength=len(found.two_code)) > 0
+    two_code = np.where(backed | (found.kinds[found.two_group] >= _FIRST_PART), found.two_code, np.uint8(0))
     ends = np.cumsum(sizes, axis=0)
     for c, (g, p, t), (ge, pe, te) in zip(chunk, sizes.tolist(), ends.tolist()):
-        g, p, t = group_at[ge - g:ge], pair_at[pe - p:pe], three_at[te - t:te]
-        out.append((c, shard, pack(word_n[g], word_back[g], pair_back[p], two_code[np.unique(two_of[t])], code[t]), 0, 0))
+        g, p, t = found.group_at[ge - g:ge], found.pair_at[pe - p:pe], found.three_at[te - t:te]
+        two = np.unique(found.two_of[t])
+        out.append((c, shard, pack(found.word_n[g], found.word_back[g], pair_back[p], two_code[two], found.code[t]), 0, 0))
     return pa.table([list(x) for x in zip(*out)], schema=_ANSWERED_ARROW)
 
 

@@ -140,8 +140,8 @@ def test_probabilities_of_a_context_sum_to_at_most_one():
     g = ngram_lm.Grams(token, first, hot, 3, np.ones(len(token), bool))
     answers = {}
     for shard, request in g.requests(3):
-        out = ngram_lm._answer(pa.table([[0], [shard], [request]], schema=ngram_lm._ASKED_ARROW))
-        answers[shard] = ngram_lm.unpack(out.column("answer")[1].as_py(), *ngram_lm._ANSWER)
+        r = ngram_lm.looked_up([ngram_lm.unpack(request, *ngram_lm._REQUEST)])
+        answers[shard] = r.group_at, r.word_back[r.group_at], r.pair_back[r.pair_at], r.two_code, r.code[r.three_at]
     _, word_back, pair_back, two, three = (np.concatenate(x) for x in zip(*(answers[s] for s in sorted(answers))))
 
     def p(codes):
