@@ -13,7 +13,6 @@ from pricelab.models.jobs import FEATURES, assemble, fit_on, fold_values, run_al
 from pricelab.models.nodes import round_scores, split_importance, trees_of
 from pricelab.operators import metrics as M
 from pricelab.operators.ranks import global_rank
-from pricelab.session import materialize
 
 
 def with_donors(df: DataFrame, cols: Sequence[str], key: str, seed: int) -> DataFrame:
@@ -37,18 +36,37 @@ def permutation_importance(
     fold: str = "fold",
     folds: Sequence[int] | None = None,
     seed: int = 42,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Rows (feat, fold, score): held-out score after shuffling each feature, and unshuffled (``none``)."""
-    rows = []
-    for f in fold_values(df, fold, folds, whole=False):
+    """Rows (feat, fold, score): held-out score after shuffling each feature, and unshuffled (``none``).
+
+    One job per fold scores all variants; the folds run side by side.
+    """
+
+    def scores(f: int) -> list[tuple]:
         train, val = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
         model = fit_on(make(), assemble(train, features), assemble(val, features))
-        donors = materialize(with_donors(val, features, key, seed + f))
-        for name in ["none", *features]:
-            shuffled = donors if name == "none" else donors.withColumn(name, F.col(f"__d_{name}"))
-            scored = model.transform(assemble(shuffled, features))
-            rows.append((name, int(f), float(scored.agg(M.hit_score(price, inverse)).first()[0])))
-    return df.sparkSession.createDataFrame(rows, "feat string, fold int, score double")
+        donors = shuffled_variants(with_donors(val, features, key, seed + f), features)
+        scored = model.transform(assemble(donors, features)).groupBy("feat").agg(M.hit_score(price, inverse).alias("score"))
+        return [(r["feat"], int(f), float(r["score"])) for r in scored.collect()]
+
+    found = run_all([partial(scores, f) for f in fold_values(df, fold, folds, whole=False)], parallelism)
+    return df.sparkSession.createDataFrame([r for rows in found for r in rows], "feat string, fold int, score double")
+
+
+def shuffled_variants(donors: DataFrame, features: Sequence[str], name: str = "feat") -> DataFrame:
+    """Every row once as it is (``none``) and once per feature with that feature's donor value.
+
+    The variants are made inside the scan; only the model's scores of a batch are
+    ever held, and sums per variant leave a task.
+    """
+    kept = [c for c in donors.columns if c not in features and not c.startswith("__d_")]
+    types = {c: donors.schema[c].dataType for c in features}
+    variants = [
+        F.struct(F.lit(v).alias(name), *[F.col(f"__d_{c}" if c == v else c).cast(types[c]).alias(c) for c in features])
+        for v in ["none", *features]
+    ]
+    return donors.select(*kept, F.inline(F.array(*variants)))
 
 
 def tree_importance(model: Model, features: Sequence[str], df: DataFrame) -> DataFrame:

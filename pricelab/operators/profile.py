@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricelab.operators.comoments import pair_moments
 from pricelab.operators.quantiles import exact_median, exact_quantiles
 
 # Aggregate expressions per pass, so that very wide frames stay plannable.
@@ -182,20 +182,14 @@ def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs (a, b, corr), each over the rows where both are known."""
-    pairs = list(combinations(cols, 2))
-    out = None
-    for i in range(0, len(pairs), EXPRESSIONS_PER_PASS):
-        structs = [
-            F.struct(
-                F.lit(a).alias("a"), F.lit(b).alias("b"),
-                F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"),
-            )
-            for a, b in pairs[i : i + EXPRESSIONS_PER_PASS]
-        ]
-        part = df.agg(F.array(*structs).alias("rows")).select(F.inline("rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """All pairs (a, b, corr), each over the rows where both are known, in one scan for any number of columns.
+
+    Null without two rows or without spread; NaN if a value of the pair is not finite.
+    """
+    names = F.array(*[F.lit(c) for c in cols])
+    spread = F.sqrt(F.col("m2_a")) * F.sqrt(F.col("m2_b"))
+    corr = F.when(F.col("bad") > 0, F.lit(float("nan"))).when((F.col("n") > 1) & (spread > 0), F.col("c") / spread)
+    return pair_moments(df, cols).select(F.get(names, F.col("a")).alias("a"), F.get(names, F.col("b")).alias("b"), corr.alias("corr"))
 
 
 def above_median(df: DataFrame, target: str, name: str = "event") -> DataFrame:

@@ -110,6 +110,14 @@ def test_permutation_importance_ranks_the_driver(spark, sales):
     rows = I.permutation_importance(sales, trees, ["x", "z"], inverse(), folds=[0]).collect()
     score = {r["feat"]: r["score"] for r in rows}
     assert score["x"] < score["z"] <= score["none"] + 200
+    one_by_one = {}
+    ready = [J.assemble(part, ["x", "z"]) for part in (sales.where("fold <> 0"), sales.where("fold = 0"))]
+    model = J.fit_on(trees(), *ready)
+    moved = I.with_donors(sales.where("fold = 0"), ["x", "z"], "building_id", 42)
+    for feat in ("none", "x", "z"):
+        variant = moved if feat == "none" else moved.withColumn(feat, F.col(f"__d_{feat}"))
+        one_by_one[feat] = model.transform(J.assemble(variant, ["x", "z"])).agg(M.hit_score("total_price", inverse())).first()[0]
+    assert score == pytest.approx(one_by_one, rel=1e-12)
     donors = I.with_donors(sales, ["x"], "building_id", 1)
     assert donors.count() == 1500
     assert sorted(r[0] for r in donors.select("__d_x").collect()) == sorted(r[0] for r in sales.select("x").collect())

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,26 @@ def test_log_lines_with_several_records_and_lists(spark):
     got = parse_search_log(df).orderBy("score").collect()
     assert [r["score"] for r in got] == [7.5, 12.5]
     assert all(r["fold_lists"] == [[12.0, 13.0], [0.1, 0.2]] and r["params"]["rate"] == "-0.5" for r in got)
+
+
+def test_corr_matrix_of_parts_gaps_and_constants(spark):
+    """Against numpy over the rows where both are known; large offsets, uneven parts, constants and non-finite values."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 4))
+    x[:, 1] = 1e9 + x[:, 0] * 2 + rng.normal(size=500)
+    x[:, 3] = np.sort(x[:, 3]) + 1e6
+    gaps = rng.random(x.shape) < 0.2
+    rows = [tuple(None if g else float(v) for v, g in zip(r, m)) + (0.1, None, float("nan") if i == 7 else 1.0 * i) for i, (r, m) in enumerate(zip(x, gaps))]
+    cols = ["p", "q", "r", "s", "fixed", "never", "odd"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(7)
+    got = {(r["a"], r["b"]): r["corr"] for r in P.corr_matrix(df, cols).collect()}
+    assert len(got) == 21
+    for i in range(4):
+        for j in range(i + 1, 4):
+            both = ~gaps[:, i] & ~gaps[:, j]
+            assert got[cols[i], cols[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-7)
+    assert all(got[c, "fixed"] is None and got[c, "never"] is None for c in "pqrs") and got["fixed", "never"] is None
+    seen = [c for i, c in enumerate("pqrs") if not gaps[7, i]]
+    assert all(math.isnan(got[c, "odd"]) == (c in seen) for c in "pqrs")
+    empty = P.corr_matrix(df.where("p > 1e12"), cols).collect()
+    assert len(empty) == 21 and all(r["corr"] is None for r in empty)
