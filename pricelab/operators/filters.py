@@ -100,6 +100,8 @@ def keep_scored_features(scores: DataFrame, base: str = "none", slack: float = 0
     that fall short on average but beat the base in at least one fold.
     """
     b = scores.where(F.col("feat") == base).select(F.col("avg").alias("b_avg"), F.col("folds").alias("b_folds")).first()
+    if b is None:
+        raise ValueError(f"no score of {base!r} to compare with")
     folds = F.array(*[F.lit(float(v)) for v in b["b_folds"]])
     better = F.exists(F.arrays_zip(F.col("folds").alias("f"), folds.alias("b")), lambda z: z["f"] > z["b"])
     return (

@@ -292,8 +292,10 @@ def residual_sign_share(df: DataFrame, kept: str, errors: Sequence[str]) -> Data
 
 def importance_diff(scores: DataFrame, base: str = "none") -> DataFrame:
     """Mean shuffle score less the unshuffled score; a positive value marks a useless feature."""
-    b = scores.where(F.col("feat") == base).first()["avg"]
-    return scores.select("feat", "avg", (F.col("avg") - F.lit(b)).alias("diff")).orderBy(F.desc("diff"), "feat")
+    b = scores.where(F.col("feat") == base).first()
+    if b is None:
+        raise ValueError(f"no score of {base!r} to compare with")
+    return scores.select("feat", "avg", (F.col("avg") - F.lit(b["avg"])).alias("diff")).orderBy(F.desc("diff"), "feat")
 
 
 def best_iteration(history: DataFrame, by: Sequence[str], iteration: str, metric: str) -> DataFrame:

@@ -212,3 +212,10 @@ def test_corr_matrix_of_parts_gaps_and_constants(spark):
     assert all(math.isnan(got[c, "odd"]) == (c in seen) for c in "pqrs")
     empty = P.corr_matrix(df.where("p > 1e12"), cols).collect()
     assert len(empty) == 21 and all(r["corr"] is None for r in empty)
+
+
+def test_importances_without_a_base_row(spark):
+    scores = spark.createDataFrame([("x", 1.0, [1.0])], "feat string, avg double, folds array<double>")
+    for compare in (P.importance_diff, FI.keep_scored_features):
+        with pytest.raises(ValueError, match="no score of 'none'"):
+            compare(scores)
