@@ -220,8 +220,8 @@ def mixture(docs: DataFrame, weights: Sequence[float], share: float, cap: float
     Rows of one identifier, text and source are interchangeable: one of them is repeated for all.
     """
     taken = mix(docs, weights, share, cap, seed, id_col, text_col, source_col)
-    times = taken.groupBy(F.col("deal").alias("__taken"), F.col(source_col).cast("string").alias("__of")).agg(F.sum("times").cast("int").alias("__times"))
-    keyed = docs.withColumn("__deal", _deal(seed, id_col, text_col)).withColumn("__source", F.col(source_col).cast("string"))
-    keyed = keyed.dropDuplicates(["__deal", "__source"])
-    rows = keyed.join(times.where("__times > 0"), (F.col("__deal") == F.col("__taken")) & F.col("__source").eqNullSafe(F.col("__of")))
+    # One key for row and source: the texts move once, for the join and for what repeats.
+    row = lambda deal: F.xxhash64(deal, F.col(source_col).isNull(), F.col(source_col).cast("string"))
+    times = taken.groupBy(row(F.col("deal")).alias("__row")).agg(F.sum("times").cast("int").alias("__times")).where("__times > 0")
+    rows = docs.withColumn("__row", row(_deal(seed, id_col, text_col))).join(times, "__row").dropDuplicates(["__row"])
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)

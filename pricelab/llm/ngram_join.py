@@ -37,7 +37,8 @@ verified in turn. So no link between different texts is lost at any bucket size.
 
 Equal sets (told by size and 128 bits of hash) are linked to one representative
 and verified once. Bucket keys travel as packed arrays: a task sends each distinct
-key of a chunk once, whatever number of texts holds it, and gets the pivots back.
+key of a chunk once, whatever number of texts holds it, and gets back the pivots of
+those keys that more than one text holds.
 
 Null and empty texts and texts without words have an empty set and link with
 nothing. Repeated rows and rows of one identifier are texts of their own. A null
@@ -179,7 +180,8 @@ def _sketcher(k: int, num: int, den: int, shards: int, spare: int):
             order = np.lexsort((doc, short, shard))
             shard, short, doc = shard[order], short[order], doc[order]
             cut = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-            rows = {"chunk": [chunk], "shard": [-1], "keys": [needs.tobytes()], "firsts": [b""], "more": [b""]}
+            totals = np.bincount(doc, minlength=len(sets) * slots * 2).astype(np.int32)
+            rows = {"chunk": [chunk], "shard": [-1], "keys": [needs.tobytes()], "firsts": [totals.tobytes()], "more": [b""]}
             for s in range(shards):
                 a, b = cut[s], cut[s + 1]
                 if a == b:
@@ -204,7 +206,7 @@ def _schema() -> pa.Schema:
 
 
 def _pivots(slots: int):
-    """For one shard: per chunk the places of keys that other chunks hold too, their pivots and numbers of holders."""
+    """For one shard: per chunk the holders of keys that more than one text holds, with key, pivot and number of holders."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(x, np.uint32) for x in pdf["keys"]]
@@ -214,18 +216,21 @@ def _pivots(slots: int):
         held = np.concatenate([1 + np.bincount(_more(m)[0], minlength=n) for m, n in zip(pdf["more"], sizes)])
         order = np.lexsort((uid, key))
         sorted_keys = key[order]
-        new = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
-        start = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        many = np.diff(np.append(start, len(key))) > 1
-        pivot, holders, shared = np.empty(len(key), np.int64), np.empty(len(key), np.int64), np.empty(len(key), bool)
-        pivot[order], shared[order], holders[order] = uid[order][start][group], many[group], np.add.reduceat(held[order], start)[group]
-        out = {"chunk": [], "shard": [], "places": [], "pivots": [], "holders": []}
-        for c, s, a, n in zip(pdf["chunk"], pdf["shard"], np.cumsum(sizes) - sizes, sizes):
-            hit = np.flatnonzero(shared[a:a + n])
-            if len(hit):
-                out["chunk"].append(c), out["shard"].append(s), out["places"].append(hit.astype(np.uint32).tobytes())
-                out["pivots"].append(pivot[a:a + n][hit].tobytes()), out["holders"].append(holders[a:a + n][hit].tobytes())
+        start = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
+        group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+        pivot, holders = np.empty(len(key), np.int64), np.empty(len(key), np.int64)
+        pivot[order], holders[order] = uid[order][start][group], np.add.reduceat(held[order], start)[group]
+        out = {"chunk": [], "shard": [], "who": [], "keys": [], "pivots": [], "holders": []}
+        begins = np.cumsum(sizes) - sizes
+        for c, s, own, a, firsts, more in zip(pdf["chunk"], pdf["shard"], keys, begins, pdf["firsts"], pdf["more"]):
+            shared = holders[a:a + len(own)] > 1
+            place, further = _more(more)
+            first, again = np.flatnonzero(shared), shared[place]
+            if len(first):
+                at = np.concatenate([first, place[again]])
+                who = np.concatenate([np.frombuffer(firsts, np.uint16)[first], further[again]])
+                out["chunk"].append(c), out["shard"].append(s), out["who"].append(who.tobytes()), out["keys"].append(own[at].tobytes())
+                out["pivots"].append(pivot[a + at].tobytes()), out["holders"].append(holders[a + at].astype(np.uint32).tobytes())
         return pd.DataFrame(out)
 
     return run
@@ -244,39 +249,29 @@ def _more(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _paired(slots: int, rarest: bool):
     """(pivot, text) pairs of one chunk over the keys that each text keeps: all, or the rarest."""
 
-    def run(sent: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        found = {s: row for s, *row in zip(answers["shard"], answers["places"], answers["pivots"], answers["holders"])}
-        needs = np.zeros(0, np.int32)
-        who, pivot, count, key = [], [], [], []
-        for chunk, shard, keys, firsts, more in zip(sent["chunk"], sent["shard"], sent["keys"], sent["firsts"], sent["more"]):
-            if shard < 0:
-                needs = np.frombuffer(keys, np.int32)
-                continue
-            first, own = np.frombuffer(firsts, np.uint16), np.frombuffer(keys, np.uint32)
-            place, further = _more(more)
-            pivots, held = _uids(chunk, first, slots), 1 + np.bincount(place, minlength=len(first))
-            if shard in found:
-                places, theirs, holders = found[shard]
-                at = np.frombuffer(places, np.uint32)
-                pivots[at], held[at] = np.frombuffer(theirs, np.int64), np.frombuffer(holders, np.int64)
-            whole = (np.uint64(shard) << np.uint64(32)) + own.astype(np.uint64)
-            who += [first, further]
-            pivot += [pivots, pivots[place]]
-            count += [held, held[place]]
-            key += [whole, whole[place]]
-        if not who:
+    def run(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(answers):
             return pd.DataFrame({"p": np.zeros(0, np.int64), "x": np.zeros(0, np.int64)})
-        who, pivot, count, key = (np.concatenate(a) for a in (who, pivot, count, key))
-        # The rarest keys of each text and band first, empty blocks last; equal counts by key, alike in every task.
-        order = np.lexsort((key, count, who))
-        order = order[np.argsort(who[order] >> 1, kind="stable")]
-        line = who[order] >> 1
-        begins = np.concatenate([[True], line[1:] != line[:-1]])
-        rank = np.arange(len(line)) - np.maximum.accumulate(np.where(begins, np.arange(len(line)), 0))
+        needs, totals = np.frombuffer(own["keys"].iloc[0], np.int32), np.frombuffer(own["firsts"].iloc[0], np.int32)
+        who = np.concatenate([np.frombuffer(w, np.uint16) for w in answers["who"]])
+        pivot = np.concatenate([np.frombuffer(p, np.int64) for p in answers["pivots"]])
+        count = np.concatenate([np.frombuffer(n, np.uint32) for n in answers["holders"]])
+        key = np.concatenate(
+            [(np.uint64(s) << np.uint64(32)) + np.frombuffer(k, np.uint32).astype(np.uint64) for s, k in zip(answers["shard"], answers["keys"])]
+        )
         if rarest:
-            order = order[rank < needs[line]]
-        p, x = pivot[order], _uids(sent["chunk"].iloc[0], who[order], slots)
-        pair = np.unique(np.stack([p, x], 1)[(count[order] > 1) & (p != x)], axis=0)
+            # The rarest keys of each text and band first, empty blocks last; equal counts by key, alike in every task.
+            order = np.lexsort((key, count, who))
+            who, pivot = who[order], pivot[order]
+            line = np.arange(len(who))
+            rank = line - np.maximum.accumulate(np.where(np.concatenate([[True], who[1:] != who[:-1]]), line, 0))
+            # Keys that no other text holds come before those of this kind, and blocks with a bit before empty ones.
+            front = totals - np.bincount(who, minlength=len(totals))
+            front[1::2] += totals[::2]
+            kept = front[who] + rank < needs[who >> 1]
+            who, pivot = who[kept], pivot[kept]
+        x = _uids(own["chunk"].iloc[0], who, slots)
+        pair = np.unique(np.stack([pivot, x], 1)[pivot != x], axis=0)
         return pd.DataFrame({"p": pair[:, 0], "x": pair[:, 1]})
 
     return run
@@ -463,7 +458,7 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
 def _texts_of(rows: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     """``uid`` and text of every text in ``pairs`` (p, x)."""
     wanted = pairs.select(F.col("p").alias("uid")).unionAll(pairs.select(F.col("x").alias("uid"))).distinct()
-    wanted = reps.join(wanted, "uid", "left_semi").select("uid", "row1", "row2")
+    wanted = written(reps.join(wanted, "uid", "left_semi").select("uid", "row1", "row2"), "wanted")
     return rows.select("row1", "row2", "text").join(wanted, ["row1", "row2"]).select("uid", "text").dropDuplicates(["uid"])
 
 
@@ -481,9 +476,10 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     sent = made.where("uid IS NULL").select("chunk", "shard", "keys", "firsts", "more")
     slots = _slots(num, den)
     answers = sent.where("shard >= 0").groupBy("shard").applyInPandas(
-        _pivots(slots), "chunk long, shard int, places binary, pivots binary, holders binary"
+        _pivots(slots), "chunk long, shard int, who binary, keys binary, pivots binary, holders binary"
     )
-    pairs = sent.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_paired(slots, rarest), "p long, x long").distinct()
+    needs = sent.where("shard = -1").select("chunk", "keys", "firsts")
+    pairs = needs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_paired(slots, rarest), "p long, x long").distinct()
 
     sets = docs_of.where("n > 0").groupBy("n", "set1", "set2").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = written(
@@ -540,7 +536,8 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
                 text_col: str = "text", rarest: bool = True) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps its smallest identifier; rows without words all stay."""
     found = written(linked_rows(docs, k, num, den, id_col, text_col, rarest), "linked")
-    goes = found.where("n_shingles > 0 AND NOT id <=> component_id").select("row1", "row2").distinct()
+    # Written, so that Spark knows its size before it plans how the texts meet it.
+    goes = written(found.where("n_shingles > 0 AND NOT id <=> component_id").select("row1", "row2").distinct(), "gone")
     ident, text = F.col(id_col).cast("long"), whole_text(text_col)
     keyed = docs.withColumns({"__row1": F.xxhash64(ident, text), "__row2": F.xxhash64(F.lit("row"), text, ident)})
     out = keyed.join(goes, (F.col("__row1") == F.col("row1")) & (F.col("__row2") == F.col("row2")), "left_anti")
