@@ -9,7 +9,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.functions.keys import seeded_text
-from pricelab.models.jobs import FEATURES, assemble, fit_on, fold_values, run_all
+from pricelab.models.jobs import FEATURES, assemble, fit_fold, fit_layout, fit_on, fold_values, in_parts, run_all
 from pricelab.models.nodes import round_scores, split_importance, trees_of
 from pricelab.operators import metrics as M
 from pricelab.operators.ranks import global_rank
@@ -36,21 +36,24 @@ def permutation_importance(
     fold: str = "fold",
     folds: Sequence[int] | None = None,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Rows (feat, fold, score): held-out score after shuffling each feature, and unshuffled (``none``).
 
-    One job per fold scores all variants; the folds run side by side.
+    One job per fold scores all variants; on small tables the folds run side by side.
     """
+    folds = fold_values(df, fold, folds, whole=False)
+    parts, fits = fit_layout(df)
+    few = in_parts(assemble(df, features), parts)
 
     def scores(f: int) -> list[tuple]:
-        train, val = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
-        model = fit_on(make(), assemble(train, features), assemble(val, features))
-        donors = shuffled_variants(with_donors(val, features, key, seed + f), features)
+        held = F.col(fold) == f
+        model = fit_fold(make(), few, held)
+        donors = shuffled_variants(with_donors(df.where(held), features, key, seed + f), features)
         scored = model.transform(assemble(donors, features)).groupBy("feat").agg(M.hit_score(price, inverse).alias("score"))
         return [(r["feat"], int(f), float(r["score"])) for r in scored.collect()]
 
-    found = run_all([partial(scores, f) for f in fold_values(df, fold, folds, whole=False)], parallelism)
+    found = run_all([partial(scores, f) for f in folds], parallelism or fits)
     return df.sparkSession.createDataFrame([r for rows in found for r in rows], "feat string, fold int, score double")
 
 

@@ -14,7 +14,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pricelab.encoders.stages import FeatureSteps
 from pricelab.functions.rows import row_dot, row_mean, row_vote
@@ -37,6 +37,12 @@ REFIT_GROWTH = 1.2
 # Trees have no missing branch in Spark; gaps take a value outside the usual range.
 GAP_VALUE = -1.0
 
+# A tree fit is some hundred short passes: tasks of fewer rows cost more to start than to run.
+ROWS_PER_FIT_TASK = 500_000
+
+# Fits that run at a time on small tables. Each holds its binned rows, so large ones run alone.
+MOST_FITS = 8
+
 # Penalties tried by the linear stack.
 STACK_ALPHAS = (
     0, 0.00001, 0.00002, 0.00005, 0.00008, 0.0001, 0.0002, 0.0005, 0.0008, 0.001, 0.002, 0.005, 0.008, 0.01, 0.02,
@@ -83,6 +89,23 @@ def run_all(tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
         return [f.result() for f in [pool.submit(in_session(t)) for t in tasks]]
 
 
+def fit_layout(df: DataFrame) -> tuple[int | None, int]:
+    """At most how many parts the tree fits on ``df`` need, and how many of its fits to run at a time.
+
+    Few parts and many fits keep the cores busy on a small table; on a large one a
+    single fit does, and more at a time would only push each other's rows to disk.
+    A table that one task could pass keeps its layout.
+    """
+    parts = max(1, -(-df.count() // ROWS_PER_FIT_TASK))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return None if parts == 1 else parts, max(1, min(MOST_FITS, -(-2 * cores // parts)))
+
+
+def in_parts(df: DataFrame, parts: int | None) -> DataFrame:
+    """``df`` in at most ``parts`` parts, or as it lies."""
+    return df if parts is None else df.coalesce(parts)
+
+
 def uses_validation(est: Estimator) -> bool:
     return est.hasParam("validationIndicatorCol") and est.isSet("validationIndicatorCol")
 
@@ -104,14 +127,21 @@ class CrossResult:
         return [best_iteration(m) for m in self.models]
 
 
-def fit_on(est: Estimator, train: DataFrame, val: DataFrame | None = None) -> Model:
-    """Fit on train rows; the validation rows only stop the rounds."""
+def fit_on(est: Estimator, train: DataFrame, val: DataFrame | None = None, parts: int | None = None) -> Model:
+    """Fit on train rows, in at most ``parts`` parts; the validation rows only stop the rounds."""
     if val is not None and uses_validation(est):
         rows = train.withColumn(IS_VAL, F.lit(False)).unionByName(val.withColumn(IS_VAL, F.lit(True)))
-        return est.fit(rows)
+        return est.fit(in_parts(rows, parts))
     if uses_validation(est):
-        return _without_validation(est).fit(train)
-    return est.fit(train)
+        return _without_validation(est).fit(in_parts(train, parts))
+    return est.fit(in_parts(train, parts))
+
+
+def fit_fold(est: Estimator, ready: DataFrame, held: Column) -> Model:
+    """:func:`fit_on` for two halves of one frame: a flag tells them apart, so both are one scan."""
+    if uses_validation(est):
+        return est.fit(ready.withColumn(IS_VAL, held))
+    return est.fit(ready.where(~held))
 
 
 def _without_validation(est: Estimator) -> Estimator:
@@ -154,16 +184,18 @@ def cross_predict(
     folds: Sequence[int] | None = None,
     test: DataFrame | None = None,
     steps: Callable[[], FeatureSteps] | None = None,
-    parallelism: int = 2,
+    parallelism: int | None = None,
 ) -> CrossResult:
     """Fit on all folds but one, predict that one and the test set.
 
     Feature steps are fitted per fold on its train rows only; a rare value that
     the test set holds too is kept. Give a frame that
     is cheap to read again (a written table): each fold scans it once. Folds are
-    those of the data unless listed.
+    those of the data unless listed. ``parallelism`` follows from the rows unless given.
     """
     folds = fold_values(df, fold, folds)
+    parts, fits = fit_layout(df)
+    few = in_parts(assemble(df, features), parts) if steps is None else None
 
     def one_fold(f: int) -> tuple[DataFrame, DataFrame | None, Model]:
         train, val, other = df.where(F.col(fold) != f), df.where(F.col(fold) == f), test
@@ -175,13 +207,16 @@ def cross_predict(
             other = None if test is None else fitted.transform(test)
             cols = fitted.features()
         val = assemble(val, cols)
-        model = fit_on(make(), assemble(train, cols), val)
+        if steps is None:
+            model = fit_fold(make(), few, F.col(fold) == f)
+        else:
+            model = fit_on(make(), assemble(train, cols), val, parts)
         raw = None
         if other is not None:
             raw = model.transform(assemble(other, cols)).select(key, F.col("y_raw").alias(f"target_{f}"))
         return model.transform(val).drop(FEATURES), raw, model
 
-    done = run_all([partial(one_fold, f) for f in folds], parallelism)
+    done = run_all([partial(one_fold, f) for f in folds], parallelism or fits)
     out_test = None
     if test is not None:
         # All folds predict the same ids: one grouped pass in place of a join per fold.
@@ -223,7 +258,7 @@ def segment_models(
     fold: str = "fold",
     folds: Sequence[int] | None = None,
     duplicate: bool = False,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     steps: Callable[[], FeatureSteps] | None = None,
     test: DataFrame | None = None,
 ) -> DataFrame:
@@ -236,29 +271,33 @@ def segment_models(
     """
     folds = fold_values(df, fold, folds, whole=False)
     check_segments(df, segment, segments)
+    parts, fits = fit_layout(df)
     ready = assemble(df, features) if steps is None else None
 
     def halves(f: int) -> tuple[DataFrame, DataFrame]:
-        if steps is None:
-            return ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
         train, val = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
         fitted = steps().fit(train, test)
         train, val = stored(fitted.transform(train, is_train=True)), stored(fitted.transform(val))
         return assemble(train, fitted.features()), assemble(val, fitted.features())
 
-    parts = dict(zip(folds, run_all([partial(halves, f) for f in folds], parallelism)))
+    split = {}
+    if steps is not None:
+        split = dict(zip(folds, run_all([partial(halves, f) for f in folds], parallelism or fits)))
 
     def one(f: int, s: object) -> DataFrame:
-        train, val = parts[f]
-        mine = F.col(segment) == F.lit(s)
-        if duplicate:
-            rows = train.withColumn(WEIGHT, F.when(mine, F.lit(2.0)).otherwise(F.lit(1.0)))
+        mine, held = F.col(segment) == F.lit(s), F.col(fold) == f
+        twice = F.when(mine & ~held, F.lit(2.0)).otherwise(F.lit(1.0)) if duplicate else F.lit(1.0)
+        trained = (mine | ~held) if duplicate else mine
+        if steps is None:
+            target_rows = ready.where(mine & held).withColumn(WEIGHT, F.lit(1.0))
+            model = fit_fold(make(), in_parts(ready.where(trained).withColumn(WEIGHT, twice), parts), held)
         else:
-            rows = train.where(mine).withColumn(WEIGHT, F.lit(1.0))
-        target_rows = val.where(mine).withColumn(WEIGHT, F.lit(1.0))
-        return fit_on(make(), rows, target_rows).transform(target_rows).drop(FEATURES, WEIGHT)
+            train, val = split[f]
+            target_rows = val.where(mine).withColumn(WEIGHT, F.lit(1.0))
+            model = fit_on(make(), train.where(trained).withColumn(WEIGHT, twice), target_rows, parts)
+        return model.transform(target_rows).drop(FEATURES, WEIGHT)
 
-    return union_rows(*run_all([partial(one, f, s) for f in folds for s in segments], parallelism))
+    return union_rows(*run_all([partial(one, f, s) for f in folds for s in segments], parallelism or fits))
 
 
 def group_classifier(
