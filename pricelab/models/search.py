@@ -9,10 +9,10 @@ from itertools import product
 
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricelab.models.jobs import FEATURES, assemble, best_iteration, fit_on, fold_values, run_all
+from pricelab.models.jobs import FEATURES, assemble, best_iteration, fit_fold, fit_layout, fold_values, in_parts, run_all
 from pricelab.operators import metrics as M
 
 # The metrics kept per fold of a search.
@@ -25,13 +25,13 @@ RESULT_SCHEMA = (
 
 
 def fold_scores(
-    df: DataFrame, est: Estimator, features: Sequence[str], target: str, inverse: Column, price: str, fold: str, f: int
+    df: DataFrame, est: Estimator, features: Sequence[str], target: str, inverse: Column, price: str, fold: str, f: int,
+    parts: int | None = None,
 ) -> dict:
-    """Fit on the other folds and score the held-out one in a single aggregate."""
-    ready = assemble(df, features)
-    val = ready.where(F.col(fold) == f)
-    model = fit_on(est, ready.where(F.col(fold) != f), val)
-    row = model.transform(val).agg(
+    """Fit on the other folds and score the held-out one in a single aggregate; the fit takes at most ``parts`` parts."""
+    ready, held = assemble(df, features), F.col(fold) == f
+    model = fit_fold(est, in_parts(ready, parts), held)
+    row = model.transform(ready.where(held)).agg(
         M.hit_score(price, inverse).alias("score"), M.mse(target, "y_raw").alias("mse"),
         M.mae(target, "y_raw").alias("mae"), M.mape(target, "y_raw").alias("mape"),
     ).first()
@@ -77,24 +77,32 @@ def random_search(
     folds: Sequence[int] | None = None,
     floor: float | None = None,
     floor_on: str = "every",
-    parallelism: int = 4,
+    parallelism: int | None = None,
     keep_pruned: bool = False,
+    done: Sequence[tuple[dict, int, dict]] = (),
 ) -> DataFrame:
     """Score parameter sets fold by fold; a set below the floor drops out.
 
     ``floor_on`` tests the floor after every fold or after the first only. The
     fold that failed is not recorded, unless ``keep_pruned`` asks for a row of every
     set with all folds it reached and ``pruned_at``, the fold at which it dropped out
-    (null when it did not).
+    (null when it did not). ``done`` names scores that the caller already has from
+    :func:`fold_scores`, as (set, fold, scores): those are not fitted again.
     """
     folds = fold_values(df, fold, folds, whole=False)
+    parts, fits = fit_layout(df)
+
+    def scores(p: dict, f: int) -> dict:
+        had = [found for q, g, found in done if q == p and g == f]
+        return had[0] if had else fold_scores(df, make(p), features_of(p), target, inverse, price, fold, f, parts)
+
     alive = [dict(p) for p in params]
     runs: dict[int, tuple[dict, list[dict]]] = {}
     pruned: dict[int, int] = {}
     for i, f in enumerate(folds):
         kept = []
-        tasks = [partial(fold_scores, df, make(p), features_of(p), target, inverse, price, fold, f) for p in alive]
-        for p, scored in zip(alive, run_all(tasks, parallelism)):
+        tasks = [partial(scores, p, f) for p in alive]
+        for p, scored in zip(alive, run_all(tasks, parallelism or fits)):
             tested = floor is not None and (floor_on == "every" or i == 0)
             key = params.index(p)
             if tested and scored["score"] < floor:
@@ -136,19 +144,29 @@ def full_grid(space: dict[str, Sequence]) -> list[dict]:
 
 def param_grid(
     df: DataFrame, est: Estimator, space: dict[str, Sequence], features: Sequence[str], target: str, folds: int | None = None,
-    fold: str = "fold", parallelism: int = 2, top: int = 3,
+    fold: str = "fold", parallelism: int | None = None, top: int = 3,
 ) -> DataFrame:
-    """Grid over the Cartesian product, then a finer grid around the top sets: rows (search_round, params, rmse)."""
-    folds = len(fold_values(df, fold)) if folds is None else folds
-    ready = assemble(df, features)
+    """Grid over the Cartesian product, then a finer grid around the top sets: rows (search_round, params, rmse).
+
+    The fits of all sets and folds of a round run in one queue; nothing is refitted on all rows.
+    """
+    found = fold_values(df, fold)
+    if folds is not None and found != list(range(folds)):
+        raise ValueError(f"{fold} must hold 0 to {folds - 1}, found {found}")
+    parts, fits = fit_layout(df)
+    ready = assemble(df, features).select(FEATURES, target, fold)
+    few = in_parts(ready, parts)
     evaluator = RegressionEvaluator(labelCol=target, predictionCol="y_raw", metricName="rmse")
 
+    def rmse(params: dict, f: int) -> float:
+        held = F.col(fold) == f
+        model = fit_fold(est.copy({est.getParam(k): v for k, v in params.items()}), few, held)
+        return evaluator.evaluate(model.transform(ready.where(held)))
+
     def run(grid: Sequence[dict]) -> list[tuple[dict, float]]:
-        maps = [{est.getParam(k): v for k, v in p.items()} for p in grid]
-        cv = CrossValidator(
-            estimator=est, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol=fold, parallelism=parallelism
-        )
-        return list(zip(grid, cv.fit(ready.select(FEATURES, target, fold)).avgMetrics))
+        scores = run_all([partial(rmse, p, f) for p in grid for f in found], parallelism or fits)
+        rows = [scores[i : i + len(found)] for i in range(0, len(scores), len(found))]
+        return [(p, sum(row) / len(row)) for p, row in zip(grid, rows)]
 
     first_maps = ParamGridBuilder()
     for k, values in space.items():
@@ -176,28 +194,30 @@ def grid_around_numeric(best: Sequence[dict]) -> list[dict]:
 def step_removal(
     df: DataFrame, make: Callable[[], Estimator], ranked: Sequence[str], features: Sequence[str], counts: Sequence[int],
     target: str, inverse: Column, price: str = "total_price", fold: str = "fold", folds: Sequence[int] | None = None,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Score after dropping the n least useful features, for each n."""
     folds = fold_values(df, fold, folds, whole=False)
-    runs = []
-    for n in counts:
-        gone = set(ranked[:n])
-        left = [c for c in features if c not in gone]
-        tasks = [partial(fold_scores, df, make(), left, target, inverse, price, fold, f) for f in folds]
-        runs.append(({"n_feats_rm": n}, run_all(tasks, parallelism)))
+    sets = [({"n_feats_rm": n}, [c for c in features if c not in set(ranked[:n])]) for n in counts]
+    return _feature_sets(df, make, sets, target, inverse, price, fold, folds, parallelism)
+
+
+def _feature_sets(df, make, sets, target, inverse, price, fold, folds, parallelism) -> DataFrame:
+    """Results of named feature lists; the fits of all lists and folds run in one queue."""
+    parts, fits = fit_layout(df)
+    tasks = [
+        partial(fold_scores, df, make(), cols, target, inverse, price, fold, f, parts) for _, cols in sets for f in folds
+    ]
+    scored = run_all(tasks, parallelism or fits)
+    runs = [(name, scored[i * len(folds) : (i + 1) * len(folds)]) for i, (name, _) in enumerate(sets)]
     return results_table(df.sparkSession, runs)
 
 
 def single_addition(
     df: DataFrame, make: Callable[[], Estimator], base: Sequence[str], extra: Sequence[str], target: str, inverse: Column,
-    price: str = "total_price", fold: str = "fold", folds: Sequence[int] | None = None, parallelism: int = 4,
+    price: str = "total_price", fold: str = "fold", folds: Sequence[int] | None = None, parallelism: int | None = None,
 ) -> DataFrame:
     """Score of the base features plus one more at a time (``none`` is the base itself)."""
     folds = fold_values(df, fold, folds, whole=False)
-    runs = []
-    for name in ["none", *extra]:
-        cols = list(base) if name == "none" else [*base, name]
-        tasks = [partial(fold_scores, df, make(), cols, target, inverse, price, fold, f) for f in folds]
-        runs.append(({"added": name}, run_all(tasks, parallelism)))
-    return results_table(df.sparkSession, runs)
+    sets = [({"added": "none"}, list(base)), *[({"added": name}, [*base, name]) for name in extra]]
+    return _feature_sets(df, make, sets, target, inverse, price, fold, folds, parallelism)

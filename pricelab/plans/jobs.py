@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import functions as F
 
@@ -187,7 +187,7 @@ def q_stack_boosted(spark, sf_dir):
 def q_param_grid(spark, sf_dir):
     est = _trees(early_stop=False)
     space = {"maxDepth": [3, 4, 5], "stepSize": [0.1, 0.2]}
-    return S.param_grid(_frame(spark, sf_dir), est, space, FEATURES, TARGET, folds=len(FOLDS), parallelism=4)
+    return S.param_grid(_frame(spark, sf_dir), est, space, FEATURES, TARGET, folds=len(FOLDS))
 
 
 @query("random_search")
@@ -200,9 +200,11 @@ def q_random_search(spark, sf_dir):
     features_of = lambda p: [c for c in FEATURES if c not in ranked[: p["n_feats_rm"]]]
     df = _frame(spark, sf_dir)
     # A set must come near the known one's mean score.
-    known_scores = [S.fold_scores(df, make(known), features_of(known), TARGET, _inverse(), PRICE, "fold", f)["score"] for f in FOLDS]
-    floor = FLOOR_SHARE * sum(known_scores) / len(known_scores)
-    return S.random_search(df, make, params, features_of, TARGET, _inverse(), folds=FOLDS, floor=floor, keep_pruned=True)
+    parts, fits = J.fit_layout(df)
+    tasks = [partial(S.fold_scores, df, make(known), features_of(known), TARGET, _inverse(), PRICE, "fold", f, parts) for f in FOLDS]
+    done = [(known, f, scored) for f, scored in zip(FOLDS, J.run_all(tasks, fits))]
+    floor = FLOOR_SHARE * sum(scored["score"] for _, _, scored in done) / len(done)
+    return S.random_search(df, make, params, features_of, TARGET, _inverse(), folds=FOLDS, floor=floor, keep_pruned=True, done=done)
 
 
 @query("iteration_curve")

@@ -97,6 +97,63 @@ def test_search_prunes_below_the_floor(spark, sales):
     assert len(out.first()["scores"]) == 2
 
 
+def test_fits_share_one_queue_and_nothing_is_fitted_twice(spark, sales, monkeypatch):
+    queues, fitted = [], []
+    run, fit = J.run_all, S.fit_fold
+    monkeypatch.setattr(S, "run_all", lambda tasks, n: queues.append(len(tasks)) or run(tasks, n))
+    monkeypatch.setattr(S, "fit_fold", lambda est, *a: fitted.append(est) or fit(est, *a))
+    S.step_removal(sales, lambda: trees(1), ["z", "x"], ["x", "z", "building_area"], [0, 1, 2], "lp", inverse())
+    S.single_addition(sales, lambda: trees(1), ["x"], ["z"], "lp", inverse())
+    assert queues == [9, 6]
+    fitted.clear()
+    out = S.param_grid(sales, trees(2, early_stop=False), {"maxDepth": [1, 2]}, ["x"], "lp", top=1)
+    sets = out.count()
+    assert len(fitted) == 3 * sets and out.where("search_round = 2").count() == sets - 2
+    with pytest.raises(ValueError, match="must hold 0 to 3"):
+        S.param_grid(sales, trees(1, early_stop=False), {"maxDepth": [1]}, ["x"], "lp", folds=4)
+    fitted.clear()
+    known = {"feature": "x"}
+    done = [(known, f, S.fold_scores(sales, trees(1), ["x"], "lp", inverse(), "total_price", "fold", f)) for f in range(3)]
+    S.random_search(sales, lambda p: trees(1), [known, {"feature": "z"}], lambda p: [p["feature"]], "lp", inverse(), done=done)
+    assert len(fitted) == 6
+
+
+def test_grid_scores_are_those_of_a_cross_validator(spark, sales):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    est = trees(2, early_stop=False)
+    rows = S.param_grid(sales, est, {"maxDepth": [1, 2]}, ["x", "z"], "lp", top=1).where("search_round = 1").collect()
+    cv = CrossValidator(
+        estimator=est, estimatorParamMaps=[{est.maxDepth: d} for d in (1, 2)], numFolds=3, foldCol="fold",
+        evaluator=RegressionEvaluator(labelCol="lp", predictionCol="y_raw"),
+    ).fit(J.assemble(sales, ["x", "z"]).select(J.FEATURES, "lp", "fold"))
+    assert [r["rmse"] for r in rows] == pytest.approx(list(cv.avgMetrics), rel=1e-9)
+
+
+def test_a_fold_is_one_scan_and_large_tables_take_fewer_fits(spark, sales, monkeypatch):
+    ready, held = J.assemble(sales, ["x", "z"]), F.col("fold") == 1
+    two = J.fit_on(trees(), ready.where(~held), ready.where(held))
+    one = J.fit_fold(trees(), ready, held)
+    body = lambda m: m.toDebugString.split("\n", 1)[1]
+    assert body(one) == body(two)
+    cores = spark.sparkContext.defaultParallelism
+    assert J.fit_layout(sales) == (None, min(J.MOST_FITS, 2 * cores))
+    monkeypatch.setattr(J, "ROWS_PER_FIT_TASK", 500)
+    assert J.fit_layout(sales)[0] == 3 and J.in_parts(sales, 3).rdd.getNumPartitions() <= 3
+    monkeypatch.setattr(J, "ROWS_PER_FIT_TASK", 1)
+    assert J.fit_layout(sales) == (1500, 1)
+
+
+def test_sweep_does_not_cache_its_frame(spark, sales, monkeypatch):
+    from pricelab.encoders.geometry import GeoCluster
+
+    levels, fit = [], GeoCluster._fit_one
+    monkeypatch.setattr(GeoCluster, "_fit_one", lambda self, p, k, s: levels.append(p.storageLevel.useMemory) or fit(self, p, k, s))
+    costs = {r["k"]: r["inertia"] for r in GeoCluster(seeds=[1]).sweep(sales, range(2, 5), ("x", "z")).collect()}
+    assert levels == [False] * 3 and costs[2] > costs[3] > costs[4]
+
+
 def test_drawn_parameters_are_unique():
     space = {"a": [1, 2, 3], "b": [4, 5]}
     drawn = S.draw_params(space, 10, seed=3, seeds=[{"a": 1, "b": 4}])
