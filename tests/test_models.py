@@ -145,6 +145,19 @@ def test_a_fold_is_one_scan_and_large_tables_take_fewer_fits(spark, sales, monke
     assert J.fit_layout(sales) == (1500, 1)
 
 
+def test_side_by_side_tasks_keep_their_own_local_properties(spark):
+    from threading import Barrier
+
+    gate, sc = Barrier(4), spark.sparkContext
+
+    def one(i):
+        sc.setLocalProperty("pricelab.task", str(i))
+        gate.wait(30)
+        return sc.getLocalProperty("pricelab.task")
+
+    assert J.run_all([lambda i=i: one(i) for i in range(4)], 4) == ["0", "1", "2", "3"]
+
+
 def test_sweep_does_not_cache_its_frame(spark, sales, monkeypatch):
     from pricelab.encoders.geometry import GeoCluster
 
