@@ -73,6 +73,8 @@ BLOCK_BITS = 1 << 12
 SPARE = 4
 #: Families of up to this many texts are paired by their sketches, larger ones by their differences to the pivot.
 FAMILY = 64
+#: Bits of the filter that keeps texts off a list from moving; the broadcast has a 64th as many rows at most, however long the list.
+FILTER_BITS = 26
 
 
 def band_edges(top: int) -> list[int]:
@@ -455,11 +457,26 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     )
 
 
+def maybe_listed(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """``rows`` with ``maybe``: false only for rows whose ``row1`` no row of ``listed`` has.
+
+    One bit per hash stands for a row of the list, so ``rows`` do not move. A list too long
+    for its bits lets more rows by and never loses one.
+    """
+    place = F.shiftrightunsigned("row1", 64 - FILTER_BITS)
+    word, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+    bits = listed.select(word.alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("__bit"))
+    bits = bits.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    met = rows.withColumn("__word", word).join(F.broadcast(bits), "__word", "left")
+    return met.withColumn("maybe", F.coalesce(F.bit_get("__bits", bit) == 1, F.lit(False))).drop("__word", "__bits")
+
+
 def _texts_of(rows: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     """``uid`` and text of every text in ``pairs`` (p, x)."""
     wanted = pairs.select(F.col("p").alias("uid")).unionAll(pairs.select(F.col("x").alias("uid"))).distinct()
     wanted = written(reps.join(wanted, "uid", "left_semi").select("uid", "row1", "row2"), "wanted")
-    return rows.select("row1", "row2", "text").join(wanted, ["row1", "row2"]).select("uid", "text").dropDuplicates(["uid"])
+    near = maybe_listed(rows.select("row1", "row2", "text"), wanted).where("maybe")
+    return near.join(wanted, ["row1", "row2"]).select("uid", "text").dropDuplicates(["uid"])
 
 
 def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -539,8 +556,11 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     # Written, so that Spark knows its size before it plans how the texts meet it.
     goes = written(found.where("n_shingles > 0 AND NOT id <=> component_id").select("row1", "row2").distinct(), "gone")
     ident, text = F.col(id_col).cast("long"), whole_text(text_col)
-    keyed = docs.withColumns({"__row1": F.xxhash64(ident, text), "__row2": F.xxhash64(F.lit("row"), text, ident)})
-    out = keyed.join(goes, (F.col("__row1") == F.col("row1")) & (F.col("__row2") == F.col("row2")), "left_anti")
+    packed = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64(ident, text).alias("row1"), F.xxhash64(F.lit("row"), text, ident).alias("row2"))
+    # Only rows that may go meet the list; the others stay where they are.
+    packed = maybe_listed(packed, goes)
+    packed = packed.where("NOT maybe").unionByName(packed.where("maybe").join(goes, ["row1", "row2"], "left_anti"))
+    out = packed.select("doc.*", F.col("row1").alias("__row1"), F.col("row2").alias("__row2"))
     twins = found.where("n_shingles > 0").groupBy("row1", "row2").count().where("count > 1")
     if not twins.isEmpty():
         # Only repeated rows need the second shuffle; rows without words are no group.

@@ -236,3 +236,17 @@ def test_line_dedup_of_equal_neighbours(make_docs):
     rows = [(1, "x y\nx y\nx y", "a"), (2, "a\nx y\nx y\nx y\nb", "a"), (3, "p q\nr s\np q\nr s", "a")]
     got = {r["doc_id"]: r["text"] for r in L.dedup_lines(make_docs(rows)).collect()}
     assert got == {1: "x y\nx y\nx y", 2: "a\nb", 3: "p q\nr s\n"}
+
+
+def test_only_texts_that_may_be_listed_move(make_docs, odd_rows, monkeypatch):
+    rows = make_docs([(i, f"text {i}", "s") for i in range(2000)]).select("doc_id", "text", F.xxhash64("doc_id").alias("row1"))
+    listed = rows.where("doc_id % 100 = 0 OR doc_id > 1990").select("row1")
+    flagged = {r["doc_id"]: r["maybe"] for r in N.maybe_listed(rows, listed).collect()}
+    assert len(flagged) == 2000 and all(flagged[i] for i in flagged if i % 100 == 0 or i > 1990) and sum(flagged.values()) < 40
+    assert N.maybe_listed(rows, listed.where("false")).where("maybe").count() == 0
+    # A filter that is full lets every row by and changes no result.
+    monkeypatch.setattr(N, "FILTER_BITS", 6)
+    docs = make_docs(odd_rows + [(i + 100, t, s) for i, t, s in near_rows(6)])
+    got = N.one_of_each(docs, 3, 90, 100).orderBy("doc_id", "text").collect()
+    monkeypatch.undo()
+    assert got == N.one_of_each(docs, 3, 90, 100).orderBy("doc_id", "text").collect() and len(got) < docs.count()
