@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricelab.functions.errors import abs_percent_error, is_hit, smooth_hit
 from pricelab.functions.rows import row_dot
 from pricelab.functions.targets import col
-from pricelab.operators.ranks import global_rank, layout_counts, layout_partition, offsets, ordered_layout, per_partition_literal
+from pricelab.operators.ranks import global_rank, layout_counts, layout_partition, layout_position, offsets, ordered_layout, per_partition_literal, range_order
 
 # Fixed values of the packed score: hit rate is rounded to 4 places and scaled.
 HIT_DECIMALS = 4
@@ -159,11 +161,22 @@ def ranked_grid(
     sums are those of the whole layout less the ones at its first row.
     """
     table = F.array(*[F.array(*[F.lit(float(x)) for x in w]) for w in weights])
-    inputs = F.array(*[F.log1p(F.col(p)) if log else F.col(p).cast("double") for p in preds])
+    values = [F.log1p(F.col(p)) if log else F.col(p).cast("double") for p in preds]
+    inputs = F.array(*values)
     dot = lambda w: F.aggregate(F.zip_with(w, inputs, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     price = (lambda w: clipped(F.expm1(dot(w)))) if log else dot
-    rows = df.select(F.col(key).alias("key"), F.col(y_true).cast("double").alias("y"), F.posexplode(F.transform(table, price)).alias("c", "o"))
-    scored = _keyed_auc(rows) if metric == "auc" else _keyed_gini(rows)
+    if len(weights) <= CANDIDATES_PER_PASS:
+        # Few vectors are plain expressions, which are compiled; a list of any length is one expression per value.
+        plain = [reduce(add, [F.lit(float(a)) * values[k] for k, a in enumerate(w)], F.lit(0.0)) for w in weights]
+        blends = F.array(*[clipped(F.expm1(x)) if log else x for x in plain])
+    else:
+        blends = F.transform(table, price)
+    truth = F.col(y_true).cast("double")
+    if metric == "gini":
+        # The perfect order is one more vector, number -1, ordered by the truth.
+        blends = F.concat(F.array(truth), blends)
+    rows = df.select(F.col(key).alias("key"), truth.alias("y"), F.posexplode(blends).alias("c", "o"))
+    scored = _keyed_auc(rows) if metric == "auc" else _keyed_gini(rows.withColumn("c", F.col("c") - 1))
     vector = F.get(table, F.col("c"))
     return scored.select(F.col("c").alias("weight_id"), *[F.get(vector, F.lit(k)).alias(f"w{k + 1}") for k in range(len(weights[0]))], metric)
 
@@ -181,14 +194,35 @@ def _keyed_auc(rows: DataFrame) -> DataFrame:
 
 
 def _keyed_gini(rows: DataFrame) -> DataFrame:
-    # The perfect order is one more vector, ordered by the truth.
-    perfect = rows.where("c = 0").select("key", "y", F.lit(-1).alias("c"), F.col("y").alias("o"))
-    ranked = global_rank(rows.unionByName(perfect), ["c", F.desc("o"), "key"], "r")
-    n, total = F.count(F.lit(1)), F.sum("y")
-    cumulative = n * total - (F.sum(F.col("y") * F.col("r")) - total * F.min("r"))
-    ginis = ranked.groupBy("c").agg(((F.try_divide(cumulative, total) - (n + 1) / F.lit(2.0)) / n).alias("g"))
-    best = ginis.where("c = -1").select(F.col("g").alias("best"))
-    return ginis.where("c >= 0").join(F.broadcast(best)).select("c", F.try_divide("g", "best").alias("gini"))
+    """One layout, read once: a range part gives per vector its rows, its sum and its sum of y times the place.
+
+    The rank of a row is its place in the part, less the first of its vector there,
+    plus the vector's rows in earlier parts. Only these sums leave the sort.
+    """
+    laid = range_order(rows, [_coarse_place(), "c", F.desc("o"), "key"])
+    place = layout_position()
+    parts = laid.groupBy("c", layout_partition().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * place).alias("sp"), F.min(place).alias("first")
+    )
+    earlier = F.sum("n").over(Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("shift", F.coalesce(earlier, F.lit(0)) - F.col("first"))
+    n, total = F.sum("n"), F.sum("s")
+    cumulative = n * total - F.sum(F.col("sp") + F.col("s") * F.col("shift"))
+    ginis = parts.groupBy("c").agg(((F.try_divide(cumulative, total) - (n + 1) / F.lit(2.0)) / n).alias("g"))
+    best = F.max(F.when(F.col("c") == -1, F.col("g"))).over(Window.partitionBy())
+    return ginis.withColumn("gini", F.try_divide(F.col("g"), best)).where("c >= 0").select("c", "gini")
+
+
+def _coarse_place() -> Column:
+    """A long that never contradicts the order (c, o descending): a sort compares it without reading the rows.
+
+    The vector stands above 44 bits that hold ``o`` in sixteenths, cut at both ends
+    (a NaN at the upper one); unknown values come after the lower end.
+    """
+    edge = 1 << 42
+    cut = F.floor(F.greatest(F.least(F.col("o"), F.lit(edge / 16)), F.lit(-edge / 16)) * 16)
+    sixteenths = F.when(F.col("o").isNull(), F.lit(-edge - 1)).otherwise(cut)
+    return F.col("c").cast("long") * F.lit(1 << 44) - sixteenths
 
 
 def score_weight_grid(

@@ -29,10 +29,14 @@ _SMALL_INPUT = 20_000
 
 def ordered_layout(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by ``order``, tag each row's place, write once."""
+    return materialize(range_order(df, order, partitions))
+
+
+def range_order(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None) -> DataFrame:
+    """The unwritten layout, for a single aggregation: places hold within one evaluation only."""
     keys = [col(c) for c in order]
     n = partitions or shuffle_width(df.sparkSession)
-    laid = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return materialize(laid.withColumn(_POS, F.monotonically_increasing_id()))
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn(_POS, F.monotonically_increasing_id())
 
 
 def layout_partition() -> Column:

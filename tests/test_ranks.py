@@ -198,3 +198,30 @@ def test_lookup_join_beyond_the_broadcast_bound(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert out.columns == ["id", "k", "code"]
     assert small == large and len(large) == 2000
+
+
+def test_gini_of_a_grid_is_that_of_each_blend_and_writes_no_rows(spark):
+    import os
+    import random
+
+    from pricelab.operators.metrics import CANDIDATES_PER_PASS, score_weight_grid
+    from pricelab.session import shared_dir
+
+    rng = random.Random(5)
+    odd = [None, 0.0, -0.0, -3.5, 1e15, -1e15, float("nan"), float("inf"), 0.01, 0.02, 7.0]
+    for values in (odd, [rng.random() for _ in range(20)], [1000 * rng.random() for _ in range(300)]):
+        data = [(i, rng.choice([1.0, 2.5, 40.0, rng.random(), None]), rng.choice(values), rng.choice(values[1:])) for i in range(300)]
+        df = spark.createDataFrame(data, "building_id long, y double, a double, b double").repartition(3).checkpoint()
+        weights = [(1.0, 0.0), (0.0, 1.0), (0.25, 0.75)]
+        folder = shared_dir(spark).removeprefix("file:")
+        before = set(os.listdir(folder))
+        got = {r["weight_id"]: r["gini"] for r in score_weight_grid(df, "y", ["a", "b"], weights, "gini").collect()}
+        assert set(os.listdir(folder)) <= before
+        # A longer list takes the other form of the same expressions.
+        long = score_weight_grid(df, "y", ["a", "b"], weights * CANDIDATES_PER_PASS, "gini").where("weight_id < 3").collect()
+        assert len(got) == 3
+        for k, (u, v) in enumerate(weights):
+            one = df.selectExpr("building_id", "y", f"0e0 + {u}e0 * a + {v}e0 * b AS p")
+            want = gini_normalized(one, "y", "p", "building_id").first()["gini"]
+            assert got[k] == pytest.approx(want, rel=1e-9, nan_ok=True)
+            assert [r["gini"] for r in long if r["weight_id"] == k] == [pytest.approx(want, rel=1e-9, nan_ok=True)]
