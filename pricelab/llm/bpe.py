@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,9 +31,9 @@ from pricelab.llm.frames import chunks, once_per_worker, ship, whole_text
 ship(__name__)
 
 #: Pieces whose encoding a task remembers in each of two generations; the older one is dropped when the younger is full.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
 #: Token pairs whose compatibility is remembered.
-CACHE_PAIRS = 300_000
+CACHE_PAIRS = 100_000
 #: Longest piece, in bytes, that is remembered.
 CACHE_BYTES = 64
 
@@ -165,9 +166,14 @@ def _new_encoder(path: str, pattern: str):
     return ids
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with an array of token ids. ``ranks_path`` must exist on every executor."""
-    keep = [c for c in docs.columns if c != ids_col]
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``docs`` with an array of token ids. ``ranks_path`` must exist on every executor.
+
+    Only the columns ``keep``, all of them by default, travel with the text and come back.
+    """
+    keep = [c for c in (docs.columns if keep is None else keep) if c != ids_col]
 
     def run(batches):
         ids = _encoder(ranks_path, pattern)

@@ -242,3 +242,12 @@ def test_few_distinct_words_at_any_length(spark, make_docs, n):
     rules = [r for r in Q.RULES if r.name == "few_distinct"]
     got = {r["doc_id"]: r for r in Q.judge(make_docs([(1, few, "a"), (2, prose, "a")]), rules).collect()}
     assert got[1]["rejected_by"] in ("base", "few_distinct") and not got[1]["kept"] and got[2]["rejected_by"] != "few_distinct"
+
+
+def test_bpe_sends_back_the_columns_asked_for(make_docs, odd_rows, ranks):
+    path, pattern = ranks
+    docs = make_docs(odd_rows)
+    coded = bpe.encode(docs, path, pattern, keep=["doc_id", "lang"])
+    whole = bpe.encode(docs, path, pattern)
+    assert coded.columns == ["doc_id", "lang", "ids"] and whole.columns == [*docs.columns, "ids"]
+    assert sorted(map(str, coded.collect())) == sorted(map(str, whole.select("doc_id", "lang", "ids").collect()))
