@@ -20,6 +20,7 @@ gives no rows. Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import zlib
@@ -39,25 +40,38 @@ HELD_WORDS = 400_000
 #: Groups of dimensions, and how many of them a signature covers: all but the two that an edit may touch.
 GROUPS, SIGNED = 4, 2
 _PAIRS = tuple(combinations(range(GROUPS), SIGNED))
+_KEPT_BITS = (1 << 63) - 1
 #: Words of one Arrow batch of signatures.
 BATCH_WORDS = 2_000
 
 
 def damaged_run(doc_id: str, run: str, one_in: int) -> str:
     """The run, less one character when ``one_in`` divides the checksum of document and run."""
-    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    return _less_one(run, zlib.crc32(f"{doc_id}:{run}".encode()), one_in)
+
+
+def _less_one(run: str, h: int, one_in: int) -> str:
     if h % one_in:
         return run
     at = h % len(run)
     return run[:at] + run[at + 1:]
 
 
+def run_finder(least_chars: int):
+    """A function of UTF-8 bytes to their lower-cased runs and how often each occurs.
+
+    A deletion only shortens, so runs of fewer than ``least_chars`` characters give no
+    words and are not told apart. Bytes are lower-cased as ASCII, which leaves others alone.
+    """
+    find = re.compile(f"[a-zÀ-ÿ]{{{max(1, least_chars)},}}").findall
+    return lambda raw: Counter(find(raw.lower().decode()))
+
+
 def word_counts(docs: DataFrame, one_in: int = 97, least_chars: int = 5, least_count: int = 3) -> DataFrame:
     """``word`` and its count ``n`` over all documents (doc_id, text), after the dealt deletions."""
-    capitals = {c: c + 32 for c in range(65, 91)}
 
     def run(batches):
-        find = re.compile("[A-Za-zÀ-ÿ]+").findall
+        runs_of = run_finder(least_chars)
         held: Counter[str] = Counter()
 
         def flush():
@@ -68,11 +82,10 @@ def word_counts(docs: DataFrame, one_in: int = 97, least_chars: int = 5, least_c
 
         for part in chunks(batches, "text"):
             for doc, text in zip(part.column("doc").to_pylist(), part.column("text")):
-                runs: Counter[str] = Counter()
-                for found, n in Counter(find(text.as_py())).items():
-                    runs[found.translate(capitals)] += n
-                for found, n in runs.items():
-                    word = damaged_run(doc, found, one_in)
+                # The checksum goes on from that of the document, which all its runs have in common.
+                seed = zlib.crc32(f"{doc}:".encode())
+                for found, n in runs_of(text.as_buffer().to_pybytes()).items():
+                    word = _less_one(found, zlib.crc32(found.encode(), seed), one_in)
                     if len(word) >= least_chars:
                         held[word] += n
                 if len(held) >= HELD_WORDS:
@@ -85,13 +98,33 @@ def word_counts(docs: DataFrame, one_in: int = 97, least_chars: int = 5, least_c
     return counts.where(F.col("n") >= least_count)
 
 
+@functools.cache
 def _group(letter: str, occurrence: int) -> int:
     """The group of a dimension, from the low bits of a multiplicative hash."""
     return ((ord(letter) * 31 + occurrence) * 0x9E3779B1 >> 13) % GROUPS
 
 
+def _grouped(letters: str) -> list[str]:
+    """The letters of each group in order, each occurrence by its own dimension."""
+    groups, last, occurrence = [""] * GROUPS, "", 0
+    for letter in sorted(letters):
+        occurrence = occurrence + 1 if letter == last else 0
+        last = letter
+        groups[_group(letter, occurrence)] += letter
+    return groups
+
+
+def _hash(key: str) -> int:
+    return int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little")
+
+
+@functools.lru_cache(maxsize=50_000)
+def _group_hash(group: int, letters: str) -> int:
+    return _hash(f"{group}\n{letters}")
+
+
 def signatures(word: str, least_chars: int = 5) -> set[int]:
-    """64-bit PartEnum signatures; two words that are one edit apart share at least one."""
+    """63-bit PartEnum signatures, each a sum of the hashes of its parts; two words that are one edit apart share at least one."""
     out = set()
     for shorter in (len(word), len(word) - 1):
         if shorter < least_chars:
@@ -101,14 +134,10 @@ def signatures(word: str, least_chars: int = 5) -> set[int]:
             ("<", word[:half], word[half:]),
             (">", word[half - shorter:], word[:len(word) - (shorter - half)]),
         ):
-            groups: list[list[str]] = [[] for _ in range(GROUPS)]
-            for letter, times in sorted(Counter(rest).items()):
-                for occurrence in range(times):
-                    groups[_group(letter, occurrence)].append(letter)
-            signed = ["".join(g) for g in groups]
+            begin = _hash(f"{shorter}{side}{kept}")
+            signed = [_group_hash(i, letters) for i, letters in enumerate(_grouped(rest))]
             for chosen in _PAIRS:
-                key = "\n".join([f"{shorter}{side}{chosen}", kept, *(signed[i] for i in chosen)])
-                out.add(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))
+                out.add(sum([signed[i] for i in chosen], begin) & _KEPT_BITS)
     return out
 
 

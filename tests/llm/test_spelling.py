@@ -57,6 +57,24 @@ def test_signatures_miss_no_pair():
             assert edit_one(word, other) and S.signatures(word) & S.signatures(other), (word, other)
 
 
+def test_runs_too_short_for_words_are_not_told_apart():
+    text = "Abcd ABCDÉ abcdé l'ÉTÉ×étÉÉé abcde-ABCDE"
+    assert S.run_finder(5)(text.encode()) == {"abcdÉ": 1, "abcdé": 1, "ÉtÉ×étÉÉé": 1, "abcde": 2}
+    assert S.run_finder(1)(text.encode())["abcd"] == 1
+
+
+def test_the_checksum_of_a_run_goes_on_from_its_document(spark, make_docs):
+    runs = ["abcdef", "Été", "ÉTÉÉÉÀ", "wörter", "x" * 300]
+    docs = [(d, " ".join(r for r in runs for _ in range(3)), "a") for d in (0, -7, 12345678901, None)]
+    got = {r["word"]: r["n"] for r in S.word_counts(make_docs(docs), 3, 3, 1).collect()}
+    want = collections.Counter()
+    for d, _, _ in docs:
+        for r in runs:
+            low = re.sub("[A-Z]", lambda m: m[0].lower(), r)
+            want[S.damaged_run("" if d is None else str(d), low, 3)] += 3
+    assert got == {w: n for w, n in want.items() if len(w) >= 3} and len(got) > len(runs)
+
+
 def _text(rnd, n):
     words = ["".join(rnd.choices("abé", k=rnd.randrange(4, 8))) for _ in range(n)]
     return " ".join(rnd.choices(words, k=6 * n))
