@@ -30,9 +30,13 @@ Differences to the pivot are sets too, and
 blocks, some of D + 1 of these blocks is the same in dy. If not, dx is small:
 ``|dx|`` is above the bound, so x and y share at least ``(|dx| + |dy| - D) / 2``
 = m elements of their differences, and with all differences to a pivot in one
-order (shingles that the pivot lacks first), one of the first ``|dx| - m + 1``
-elements of dx is among the first ``|dy| - m + 1`` of dy. Joins on these keys
-find every such y; pairs whose sketches are too far apart drop out, the others are
+order (those first on which the pivot and the text nearest to it agree), one of the
+first ``|dx| - m + 1`` elements of dx is among the first ``|dy| - m + 1`` of dy. A
+stray with ``|x| - a + 1`` shingles that the pivot lacks or more, a the least number
+in common with y, needs neither: in the order of shingles that the pivot lacks, then
+others, the first one in common is among the first ``|x| - a + 1`` of x and
+``|y| - a + 1`` of y. Joins on these keys find every such y; pairs whose sketches are
+too far apart drop out, the others are
 verified in turn. So no link between different texts is lost at any bucket size.
 
 Equal sets (told by size and 128 bits of hash) are linked to one representative
@@ -404,6 +408,21 @@ def _family_keys(num: int, den: int):
     return run
 
 
+def _rare_first(members: DataFrame) -> DataFrame:
+    """``delta`` in an order that each family shares, and ``new``, its shingles that the pivot lacks, in that order.
+
+    The text nearest to the pivot stands for what the family has in common: shingles on
+    which it and the pivot agree, and x does not, are x's own and come first.
+    """
+    new = "cast((dn + nx - np) DIV 2 AS int)"
+    parts = members.withColumn("fresh", F.expr(f"slice(delta, 1, {new})")).withColumn("lacks", F.expr(f"slice(delta, 1 + {new}, dn)"))
+    nearest = parts.groupBy("p").agg(F.min_by(F.struct("fresh", "lacks"), F.struct("dn", "x")).alias("q"))
+    parts = parts.join(nearest, "p")
+    own = [F.array_except("fresh", "q.fresh"), F.array_except("lacks", "q.lacks")]
+    rest = [F.array_intersect("fresh", "q.fresh"), F.array_intersect("lacks", "q.lacks")]
+    return parts.withColumn("delta", F.concat(*own, *rest)).withColumn("new", F.concat(own[0], rest[0])).drop("fresh", "lacks", "q")
+
+
 def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of a stray and another text of the pivot's family that agree on enough of their
     differences and that the links so far (``labels``) do not join already."""
@@ -414,11 +433,11 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     to_p = labels.select(F.col("node").alias("p"), F.col("label").alias("cp"))
     # Of two texts of different components one is outside the pivot's, and so a stray: only those ask.
     members = known.join(split.select("p"), "p").join(to_p, "p", "left").withColumn("linked", F.col("cx") == F.coalesce("cp", "p"))
-    members = members.select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch")
+    members = _rare_first(members).select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch", "new")
     keyed = members.mapInArrow(
         _family_keys(num, den),
         "p long, x long, cx long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>, "
-        "index array<long>, probe array<long>",
+        "new array<long>, index array<long>, probe array<long>",
     )
     with small_batches(checked.sparkSession, PAIRS_PER_BATCH):
         members = written(keyed, "families")
@@ -432,11 +451,24 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     )
     x_side = ["p", "x", "cx", "nx", F.col("dn").alias("dx"), F.col("sketch").alias("sx")]
     y_side = ["p", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("nx").alias("ny"), F.col("dn").alias("dy"), F.col("sketch").alias("sy")]
-    wide = members.where("probe IS NOT NULL").select(*x_side, F.explode("probe").alias("gram"))
-    blocks = members.select(*y_side, F.explode("index").alias("gram"))
+    # If x has more shingles that the pivot lacks than shingles that y may lack, the first one
+    # in common with y, in the order of ``new``, is early in both.
+    early = f"cast(nx * {den - num} DIV {den} + 1 AS int)"
+    members = members.withColumn("own", F.expr(f"NOT linked AND size(new) >= {early}"))
+    own = members.where("own")
+    asked = own.select(*x_side, F.posexplode(F.expr(f"slice(new, 1, {early})")).alias("pos", "gram"))
+    heads = members.join(own.select("p").distinct(), "p", "left_semi").select(
+        *y_side, F.posexplode(F.expr(f"slice(new, 1, {early})")).alias("at", "gram")
+    )
+    by_new = asked.join(heads, ["p", "gram"]).where(
+        F.expr(f"(nx - pos) * {den + num} >= {num} * (nx + ny) AND (ny - at) * {den + num} >= {num} * (nx + ny) AND {fits}")
+    )
+
+    wide = members.where("probe IS NOT NULL AND NOT own").select(*x_side, F.explode("probe").alias("gram"))
+    blocks = members.join(wide.select("p").distinct(), "p", "left_semi").select(*y_side, F.explode("index").alias("gram"))
     by_block = wide.join(blocks, ["p", "gram"]).where(F.expr(fits))
 
-    small = members.where("NOT linked AND probe IS NULL")
+    small = members.where("NOT linked AND probe IS NULL AND NOT own")
     head = f"least(dn, (dn + {bound.format('nx + np')}) DIV 2 + 2)"
     probes = small.select(*x_side, F.posexplode(F.expr(f"slice(delta, 1, cast({head} AS int))")).alias("pos", "gram"))
     # y differs from p by the stray's difference and the bound at most.
@@ -449,7 +481,7 @@ def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) ->
     by_gram = probes.join(index, ["p", "gram"]).where(
         F.expr(f"pos <= floor((dx - dy + {limit}) / 2) AND at <= floor((dy - dx + {limit}) / 2) AND {fits}")
     )
-    met = by_block.select("x", "y", "nx", "ny").unionAll(by_gram.select("x", "y", "nx", "ny"))
+    met = by_new.select("x", "y", "nx", "ny").unionAll(by_block.select("x", "y", "nx", "ny")).unionAll(by_gram.select("x", "y", "nx", "ny"))
     turned = F.col("x") > F.col("y")
     return met.select(
         F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x"),

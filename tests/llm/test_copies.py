@@ -125,6 +125,56 @@ def test_ngram_join_by_differences_and_by_sketches(make_docs, monkeypatch, famil
     assert [got[i] for i, _, _ in rows] == want and len(set(want)) < len(rows)
 
 
+def family_of(seed, pivot_edits, members=40, size=120):
+    """Sets around one template as rows of ``verify``, all held against one pivot, and the sets by text."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    some = lambda n: rng.integers(0, 2**64, int(n), dtype=np.uint64)
+    edited = lambda a, n: np.unique(np.concatenate([rng.permutation(a)[int(n):], some(n + rng.integers(0, 3))]))
+    template = some(size)
+    pivot, sets = edited(template, pivot_edits), {}
+    for x in range(1, members, 2):
+        sets[x] = edited(template, rng.integers(2, size // 2))
+        sets[x + 1] = edited(sets[x], rng.integers(1, size // 6))
+    rows = []
+    for x, b in sets.items():
+        delta = np.concatenate([np.setdiff1d(b, pivot), np.setdiff1d(pivot, b)])
+        linked = len(delta) * 180 <= 20 * (len(pivot) + len(b))
+        sketch = N.parity_words(delta, 8 + 8 * len(pivot) * 20 // (64 * 180))
+        rows.append((0, x, len(pivot), len(b), linked, len(delta), delta.view(np.int64).tolist(), sketch.tolist()))
+    return rows, {x: set(b.tolist()) for x, b in sets.items()}
+
+
+CHECKED = "p long, x long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>"
+
+
+@pytest.mark.parametrize("pivot_edits", [4, 40])
+def test_no_linked_strays_of_a_family_are_lost(spark, pivot_edits):
+    rows, sets = family_of(pivot_edits, pivot_edits)
+    checked = spark.createDataFrame(rows, CHECKED)
+    near = {r[1] for r in rows if r[4]}
+    labels = spark.createDataFrame([(x, 0) for x in {0, *near}], "node long, label long")
+    got = {(r["p"], r["x"]) for r in N._family_pairs(checked, labels, 80, 100).collect()}
+    linked = lambda a, b: len(a & b) * 100 >= 80 * len(a | b)
+    want = {(x, y) for x in sets for y in sets if x < y and not {x, y} <= near and linked(sets[x], sets[y])}
+    assert want <= got and len(want) > 5
+
+
+def test_what_a_family_shares_comes_last(spark):
+    rows, _ = family_of(5, 40)
+    shared, before = [0, 0], [0, 0]
+    for r in N._rare_first(spark.createDataFrame(rows, CHECKED)).collect():
+        new = r["dn"] + r["nx"] - r["np"] >> 1
+        old = next(x[6] for x in rows if x[1] == r["x"])
+        assert sorted(r["new"]) == sorted(old[:new]) and sorted(r["delta"]) == sorted(old)
+        for at, head in ((shared, r["new"][:15]), (before, old[:min(new, 15)])):
+            held = [sum(g in x[6] for x in rows) for g in head]
+            at[0] += sum(n > len(rows) // 2 for n in held)
+            at[1] += len(held)
+    assert shared[1] == before[1] and shared[0] * 2 < before[0]
+
+
 def test_sketches_bound_the_difference():
     import numpy as np
 
