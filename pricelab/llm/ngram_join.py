@@ -19,25 +19,27 @@ two folds onto the narrower. A pair whose sizes or whose sketches' Hamming dista
 rule out the similarity is dropped before any text is read.
 
 Buckets are not expanded into pairs. The smallest text of a bucket is its pivot, and
-the texts that meet a pivot are its family. Each text is held against its pivots.
-Two texts near a pivot are linked through it, and a family whose texts all are in one
-component is done. In what is left of a family of up to ``FAMILY`` texts, those of
-different components are paired, filtered by sketches and verified. Larger families
-are verified with each text's difference to the pivot. A text that is not linked with
-a pivot (a stray) may still link with another text y of that pivot's family.
-Differences to the pivot are sets too, and
-``|x ^ y| = |dx ^ dy|`` is at most D. If the sketch of dx has bits in more than D
-blocks, some of D + 1 of these blocks is the same in dy. If not, dx is small:
-``|dx|`` is above the bound, so x and y share at least ``(|dx| + |dy| - D) / 2``
-= m elements of their differences, and with all differences to a pivot in one
-order (those first on which the pivot and the text nearest to it agree), one of the
-first ``|dx| - m + 1`` elements of dx is among the first ``|dy| - m + 1`` of dy. A
-stray with ``|x| - a + 1`` shingles that the pivot lacks or more, a the least number
-in common with y, needs neither: in the order of shingles that the pivot lacks, then
-others, the first one in common is among the first ``|x| - a + 1`` of x and
-``|y| - a + 1`` of y. Joins on these keys find every such y; pairs whose sketches are
-too far apart drop out, the others are
-verified in turn. So no link between different texts is lost at any bucket size.
+the texts that meet a pivot are its family; two texts that meet alone are dropped if
+their sizes rule out a link. Pairs of a text and a pivot that their sizes and sketches
+let by are verified. In what is left of a family of up to ``FAMILY`` texts, those of
+different components are paired, filtered by sketches and verified.
+
+A larger family whose pivot is in a still larger one becomes part of it. Its texts are
+held against one pivot, as sets of differences, and these against the family's centre:
+the pivot changed by what most of a few members differ in. With dx = x ^ c for the
+centre c, ``|x ^ y| = |dx ^ dy|``, so x and y are linked if and only if ``|dx & dy|`` is at
+least ``(sx + sy) / (2 (den + num))``, where the slack sx is
+``(den + num) |dx| - (den - num) |x|``. Texts whose slacks add up to 0 or less are linked
+at once, and all of these with the text q of least slack. A text outside q's
+component (a stray) has ``sx + sq > 0``, so it shares an element of its differences with
+every text it links with. With the elements of a family in one order, the first
+one in common is among the first ``|dx| - m + 1`` of dx and ``|dy| - m + 1`` of dy, m being
+the bound above. The order is from the rarest to the most common; elements of one text
+alone are counted and never looked up. A stray is first verified with the text of least
+slack among those that share an element, which joins tight groups of strays; then
+joins on the early elements find all other texts of another component that it may link
+with, and these are verified in turn. So no link between different texts is lost at
+any bucket size.
 
 Equal sets (told by size and 128 bits of hash) are linked to one representative
 and verified once. Bucket keys travel as packed arrays: a task sends each distinct
@@ -57,7 +59,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelab.llm.components import components
@@ -253,11 +255,11 @@ def _more(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _paired(slots: int, rarest: bool):
-    """(pivot, text) pairs of one chunk over the keys that each text keeps: all, or the rarest."""
+    """(pivot, text) pairs of one chunk over the keys that each text keeps: all, or the rarest; ``alone`` if no third text holds one."""
 
     def run(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(answers):
-            return pd.DataFrame({"p": np.zeros(0, np.int64), "x": np.zeros(0, np.int64)})
+            return pd.DataFrame({"p": np.zeros(0, np.int64), "x": np.zeros(0, np.int64), "alone": np.zeros(0, bool)})
         needs, totals = np.frombuffer(own["keys"].iloc[0], np.int32), np.frombuffer(own["firsts"].iloc[0], np.int32)
         who = np.concatenate([np.frombuffer(w, np.uint16) for w in answers["who"]])
         pivot = np.concatenate([np.frombuffer(p, np.int64) for p in answers["pivots"]])
@@ -268,17 +270,19 @@ def _paired(slots: int, rarest: bool):
         if rarest:
             # The rarest keys of each text and band first, empty blocks last; equal counts by key, alike in every task.
             order = np.lexsort((key, count, who))
-            who, pivot = who[order], pivot[order]
+            who, pivot, count = who[order], pivot[order], count[order]
             line = np.arange(len(who))
             rank = line - np.maximum.accumulate(np.where(np.concatenate([[True], who[1:] != who[:-1]]), line, 0))
             # Keys that no other text holds come before those of this kind, and blocks with a bit before empty ones.
             front = totals - np.bincount(who, minlength=len(totals))
             front[1::2] += totals[::2]
             kept = front[who] + rank < needs[who >> 1]
-            who, pivot = who[kept], pivot[kept]
+            who, pivot, count = who[kept], pivot[kept], count[kept]
         x = _uids(own["chunk"].iloc[0], who, slots)
-        pair = np.unique(np.stack([pivot, x], 1)[pivot != x], axis=0)
-        return pd.DataFrame({"p": pair[:, 0], "x": pair[:, 1]})
+        other = pivot != x
+        pair, at = np.unique(np.stack([pivot, x], 1)[other], axis=0, return_inverse=True)
+        crowd = np.bincount(at.ravel(), count[other] > 2, len(pair)) > 0
+        return pd.DataFrame({"p": pair[:, 0], "x": pair[:, 1], "alone": ~crowd})
 
     return run
 
@@ -338,32 +342,27 @@ def _verifier(k: int, num: int, den: int, deltas: bool):
                 sets_p = []
                 for at in range(0, len(first), 64):  # pivots may be long and many
                     sets_p += shingle_sets(words_of(part.column("tp").take(pa.array(first[at:at + 64]))), k)
-                rows = {"p": p, "x": x, "np": [], "nx": [], "linked": [], "dn": [], "delta": [], "sketch": []}
+                rows = {"p": p, "x": x, "np": [], "nx": [], "linked": [], "delta": []}
                 for a, b in zip((sets_p[i] for i in back), sets_x):
                     only_b, only_a = np.setdiff1d(b, a, assume_unique=True), np.setdiff1d(a, b, assume_unique=True)
-                    dn = len(only_a) + len(only_b)
-                    rows["np"].append(len(a)), rows["nx"].append(len(b)), rows["dn"].append(dn)
-                    rows["linked"].append(dn * (den + num) <= (den - num) * (len(a) + len(b)))
-                    delta = np.concatenate([only_b, only_a])
-                    rows["delta"].append(delta.view(np.int64) if deltas else None)
-                    # One width per pivot, four bits or more for each difference that a link allows.
-                    width = 8 + 8 * len(a) * (den - num) // (64 * (den + num))
-                    rows["sketch"].append(parity_words(delta, width) if deltas else None)
+                    rows["np"].append(len(a)), rows["nx"].append(len(b))
+                    rows["linked"].append((len(only_a) + len(only_b)) * (den + num) <= (den - num) * (len(a) + len(b)))
+                    rows["delta"].append(np.concatenate([only_b, only_a]).view(np.int64) if deltas else None)
                 yield pa.RecordBatch.from_pydict(
                     rows,
                     pa.schema([("p", pa.int64()), ("x", pa.int64()), ("np", pa.int32()), ("nx", pa.int32()),
-                               ("linked", pa.bool_()), ("dn", pa.int32()), ("delta", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]),
+                               ("linked", pa.bool_()), ("delta", pa.list_(pa.int64()))]),
                 )
 
     return run
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, deltas: bool) -> DataFrame:
-    """The pairs (p, x) with sizes, link and, if asked for, the difference of x to p, new shingles first."""
+    """The pairs (p, x) with sizes, link and, if asked for, the difference of x to p."""
     left = texts.select(F.col("uid").alias("p"), F.col("text").alias("tp"))
     right = texts.select(F.col("uid").alias("x"), F.col("text").alias("tx"))
     both = pairs.join(right, "x").join(left, "p").select("p", "x", "tp", "tx")
-    return both.mapInArrow(_verifier(k, num, den, deltas), "p long, x long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>")
+    return both.mapInArrow(_verifier(k, num, den, deltas), "p long, x long, np int, nx int, linked boolean, delta array<long>")
 
 
 def _small_family_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -376,38 +375,6 @@ def _small_family_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return met.select(F.col("x").alias("p"), F.col("y").alias("x"), F.col("nx").alias("np"), F.col("ny").alias("nx"))
 
 
-def _family_keys(num: int, den: int):
-    """Adds the block keys of each difference (``index``) and those that it is looked up by (``probe``).
-
-    Linked x and y agree on all but D of the 2 D + 2 blocks here. If more than D
-    blocks of dx have a bit set, one of any D + 1 of these is the same in dy. A
-    difference too small for that has no ``probe`` and is looked up by its shingles.
-    """
-
-    def run(batches):
-        edges = band_edges(1 << 20)
-        for batch in batches:
-            index, probe = [], []
-            for delta, n, linked in zip(batch.column("delta"), batch.column("nx").to_pylist(), batch.column("linked").to_pylist()):
-                grams = np.sort(delta.values.to_numpy().view(np.uint64))
-                if n >= edges[-2]:
-                    edges = band_edges(2 * n)
-                keys, asked = [], []
-                for band, need, _ in join_bands(n, edges, num, den):
-                    made = block_keys(grams, band, 2 * need, True)
-                    keys.append(made)
-                    if asked is not None:
-                        asked = asked + [made[:need]] if len(made) >= need else None
-                index.append(np.concatenate(keys).view(np.int64))
-                probe.append(None if linked or asked is None else np.concatenate(asked).view(np.int64))
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(index, longs), pa.array(probe, longs)], [*batch.schema.names, "index", "probe"]
-            )
-
-    return run
-
-
 def _rare_first(members: DataFrame) -> DataFrame:
     """``delta`` in an order that each family shares, and ``new``, its shingles that the pivot lacks, in that order.
 
@@ -423,70 +390,126 @@ def _rare_first(members: DataFrame) -> DataFrame:
     return parts.withColumn("delta", F.concat(*own, *rest)).withColumn("new", F.concat(own[0], rest[0])).drop("fresh", "lacks", "q")
 
 
-def _family_pairs(checked: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of a stray and another text of the pivot's family that agree on enough of their
-    differences and that the links so far (``labels``) do not join already."""
+def _large_families(pairs: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pivots of more than ``FAMILY`` texts, and the members (p, x) of their families.
+
+    Of two pivots that meet, the one of the smaller family takes it to the other's: texts of
+    one group are held against one text, whatever number of pivots brought them together.
+    """
+    hubs = written(pairs.groupBy("p").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > FAMILY), "hubs")
+    own = hubs.select(F.col("p").alias("x"), F.col("members").alias("own"))
+    both = pairs.where(f"least(np, nx) * {den} >= greatest(np, nx) * {num}").join(own, "x").join(hubs, "p")
+    # The larger family first, then the smaller pivot: no two pivots are each above the other.
+    ends = both.selectExpr("struct(members AS size, -p AS at) AS a", "struct(own AS size, -x AS at) AS b")
+    up = ends.groupBy(F.least("a", "b").alias("low")).agg(F.max(F.greatest("a", "b")).alias("high"))
+    roots = components(up.selectExpr("-low.at AS u", "-high.at AS v")).withColumnRenamed("node", "p")
+    met = pairs.join(hubs, "p", "left_semi").select("p", "x").unionAll(hubs.select("p", F.col("p").alias("x")))
+    moved = met.join(roots, "p", "left").select(F.coalesce("label", "p").alias("p"), "x")
+    return hubs, moved.where("p <> x").distinct()
+
+
+def _centre(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The differences that most of some members of a family share."""
+    gram, held = np.unique(np.concatenate(pdf["delta"].to_list()), return_counts=True)
+    return pd.DataFrame({"p": pdf["p"].iloc[:1], "centre": [gram[2 * held > len(pdf)]]})
+
+
+def _centred(checked: DataFrame) -> DataFrame:
+    """``checked`` with differences to the family's centre in place of its pivot.
+
+    The centre is the pivot with what some ``FAMILY`` of the members, dealt by hash, mostly
+    differ in. Which they are decides how short differences are, and no link.
+    """
+    every = checked.groupBy("p").agg(F.expr(f"count(1) DIV {FAMILY} + 1").alias("every"))
+    some = checked.join(every, "p").where("pmod(xxhash64(x), every) = 0").select("p", "delta")
+    centres = some.groupBy("p").applyInPandas(_centre, "p long, centre array<long>")
+    both = checked.join(centres, "p", "left").withColumn("centre", F.coalesce("centre", F.expr("cast(array() AS array<bigint>)")))
+    return both.withColumn("delta", F.concat(F.array_except("delta", "centre"), F.array_except("centre", "delta"))).drop("centre")
+
+
+def _slack(num: int, den: int) -> F.Column:
+    """Texts of a family whose slacks add up to 0 or less are linked, however their differences meet."""
+    return F.expr(f"{den + num}L * size(delta) - {den - num}L * nx")
+
+
+def _nearest(members: DataFrame) -> DataFrame:
+    """The text of least slack of each family."""
+    return members.groupBy("p").agg(F.min_by("x", F.struct("slack", "x")).alias("q"), F.min("slack").alias("least"))
+
+
+def _surely_linked(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (p, x) of each family's nearest text that the slacks alone tell."""
+    members = members.select("p", "x", _slack(num, den).alias("slack"))
+    return members.join(_nearest(members), "p").where("slack + least <= 0 AND x <> q").select(F.col("q").alias("p"), "x")
+
+
+def _split(members: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """The families with more than one component: each text with its component ``cx``, and whether it is a
+    stray, that is, outside the component of the family's nearest text."""
+    members = members.select("p", "x", "nx", _slack(num, den).alias("slack"), F.size("delta").alias("dx"), "delta")
     to_x = labels.select(F.col("node").alias("x"), F.col("label").alias("cx"))
-    known = checked.join(to_x, "x", "left").withColumn("cx", F.coalesce("cx", "x"))
-    # A family with one component left has nothing to find.
-    split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b")
-    to_p = labels.select(F.col("node").alias("p"), F.col("label").alias("cp"))
-    # Of two texts of different components one is outside the pivot's, and so a stray: only those ask.
-    members = known.join(split.select("p"), "p").join(to_p, "p", "left").withColumn("linked", F.col("cx") == F.coalesce("cp", "p"))
-    members = _rare_first(members).select("p", "x", "cx", "np", "nx", "linked", "dn", "delta", "sketch", "new")
-    keyed = members.mapInArrow(
-        _family_keys(num, den),
-        "p long, x long, cx long, np int, nx int, linked boolean, dn int, delta array<long>, sketch array<long>, "
-        "new array<long>, index array<long>, probe array<long>",
-    )
-    with small_batches(checked.sparkSession, PAIRS_PER_BATCH):
-        members = written(keyed, "families")
-    bound = f"({den - num} * ({{}}) DIV {den + num})"
-    limit = bound.format("nx + ny")
-    # Eight words of a sketch alone bound the distance from below too, and are compiled.
-    head_bits = " + ".join(f"bit_count(sx[{i}] ^ sy[{i}])" for i in range(8))
-    fits = (
-        f"cx <> cy AND least(nx, ny) * {den} >= greatest(nx, ny) * {num} AND abs(dx - dy) <= {limit} AND {head_bits} <= {limit} "
-        f"AND (size(sx) = 8 OR aggregate(zip_with(sx, sy, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b) <= {limit})"
-    )
-    x_side = ["p", "x", "cx", "nx", F.col("dn").alias("dx"), F.col("sketch").alias("sx")]
-    y_side = ["p", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("nx").alias("ny"), F.col("dn").alias("dy"), F.col("sketch").alias("sy")]
-    # If x has more shingles that the pivot lacks than shingles that y may lack, the first one
-    # in common with y, in the order of ``new``, is early in both.
-    early = f"cast(nx * {den - num} DIV {den} + 1 AS int)"
-    members = members.withColumn("own", F.expr(f"NOT linked AND size(new) >= {early}"))
-    own = members.where("own")
-    asked = own.select(*x_side, F.posexplode(F.expr(f"slice(new, 1, {early})")).alias("pos", "gram"))
-    heads = members.join(own.select("p").distinct(), "p", "left_semi").select(
-        *y_side, F.posexplode(F.expr(f"slice(new, 1, {early})")).alias("at", "gram")
-    )
-    by_new = asked.join(heads, ["p", "gram"]).where(
-        F.expr(f"(nx - pos) * {den + num} >= {num} * (nx + ny) AND (ny - at) * {den + num} >= {num} * (nx + ny) AND {fits}")
-    )
+    to_q = labels.select(F.col("node").alias("q"), F.col("label").alias("cq"))
+    nearest = _nearest(members).join(to_q, "q", "left").select("p", "least", F.coalesce("cq", "q").alias("cq"))
+    known = members.join(to_x, "x", "left").withColumn("cx", F.coalesce("cx", "x")).join(nearest, "p")
+    known = known.withColumn("stray", F.expr("cx <> cq"))
+    return known.join(known.where("stray").groupBy("p").agg(F.min("slack").alias("least_stray")), "p")
 
-    wide = members.where("probe IS NOT NULL AND NOT own").select(*x_side, F.explode("probe").alias("gram"))
-    blocks = members.join(wide.select("p").distinct(), "p", "left_semi").select(*y_side, F.explode("index").alias("gram"))
-    by_block = wide.join(blocks, ["p", "gram"]).where(F.expr(fits))
-
-    small = members.where("NOT linked AND probe IS NULL AND NOT own")
-    head = f"least(dn, (dn + {bound.format('nx + np')}) DIV 2 + 2)"
-    probes = small.select(*x_side, F.posexplode(F.expr(f"slice(delta, 1, cast({head} AS int))")).alias("pos", "gram"))
-    # y differs from p by the stray's difference and the bound at most.
-    most = small.groupBy("p").agg(F.max(F.expr(f"dn + {bound.format('nx + nx * ' + str(den) + ' DIV ' + str(num) + ' + 1')}")).alias("most"))
-    # A stray differs from p by more than the bound, so dx >= r (nx + np) limits the places of y that can matter.
-    half = f"least(dn, (dn + {bound.format('greatest(0, nx - np)')}) DIV 2 + 2)"
-    index = members.join(most, "p").where("dn <= most").select(
-        *y_side, F.posexplode(F.expr(f"slice(delta, 1, cast({half} AS int))")).alias("at", "gram")
-    )
-    by_gram = probes.join(index, ["p", "gram"]).where(
-        F.expr(f"pos <= floor((dx - dy + {limit}) / 2) AND at <= floor((dy - dx + {limit}) / 2) AND {fits}")
-    )
-    met = by_new.select("x", "y", "nx", "ny").unionAll(by_block.select("x", "y", "nx", "ny")).unionAll(by_gram.select("x", "y", "nx", "ny"))
-    turned = F.col("x") > F.col("y")
-    return met.select(
-        F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x"),
-        F.when(turned, F.col("ny")).otherwise(F.col("nx")).alias("np"), F.when(turned, F.col("nx")).otherwise(F.col("ny")).alias("nx"),
-    )
+
+#: What a lookup knows of its text.
+_SIDE = ["x", "cx", "nx", "slack", "dx", "at", "stray"]
+
+
+def _lookups(split: DataFrame, num: int, den: int) -> DataFrame:
+    """One row for each element of a difference by which a stray and another text of its family can meet.
+
+    Elements that no other member has are only counted; the place ``at`` of the others is
+    that in the order from the rarest of the family to the most common.
+    """
+    # Elements in common with any text that counts: a stray with the nearest text at least, the others with a stray.
+    common = F.expr(f"greatest(1, ceil((slack + if(stray, least, least_stray)) / {2 * (den + num)}))").alias("common")
+    each = split.select("p", "x", "cx", "nx", "slack", "dx", "stray", common, "delta").where("dx >= common")
+    rows = written(each.withColumn("gram", F.explode("delta")).drop("delta"), "elements")
+    held = rows.groupBy("p", "gram").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    own = Window.partitionBy("p", "x")
+    place = F.row_number().over(own.orderBy("held", "gram")) - F.count(F.lit(1)).over(own) + F.col("dx")
+    placed = rows.join(held, ["p", "gram"]).withColumn("at", place)
+    return written(placed.where("at <= dx - common + 1").select("p", "gram", *_SIDE), "lookups")
+
+
+def _met(strays: DataFrame, others: DataFrame, on: list[str], where: str, num: int, den: int) -> DataFrame:
+    """Pairs (p, x, np, nx) of a stray and another text of different components whose sizes let them link."""
+    other = others.withColumnsRenamed({c: f"{c}_y" for c in _SIDE})
+    sized = f"least(nx, nx_y) * {den} >= greatest(nx, nx_y) * {num}"
+    met = strays.join(other, on).where(f"cx <> cx_y AND {sized} AND {where}")
+    return met.selectExpr("least(x, x_y) AS p", "greatest(x, x_y) AS x", "if(x < x_y, nx, nx_y) AS np", "if(x < x_y, nx_y, nx) AS nx")
+
+
+def _early(num: int, den: int) -> str:
+    """Of two texts, the first element in common is early enough in both."""
+    common = f"ceil((slack + slack_y) / {2 * (den + num)})"
+    return f"at <= dx - {common} + 1 AND at_y <= dx_y - {common} + 1"
+
+
+def _head_pairs(lookups: DataFrame, num: int, den: int) -> DataFrame:
+    """Each stray with the text of least slack that shares one of its elements."""
+    heads = lookups.groupBy("p", "gram").agg(F.min_by(F.struct(*_SIDE), F.struct("slack", "x")).alias("head")).select("p", "gram", "head.*")
+    return _met(lookups.where("stray"), heads, ["p", "gram"], _early(num, den), num, den)
+
+
+def _family_pairs(members: DataFrame, labels: DataFrame, num: int, den: int, lookups: DataFrame | None = None) -> DataFrame:
+    """Pairs of a stray and another text of its family that agree on enough of their
+    differences and that the links so far (``labels``) do not join already. ``lookups``
+    may be those of earlier labels, which join less."""
+    split = _split(members, labels, num, den)
+    lookups = _lookups(split, num, den) if lookups is None else lookups
+    now = labels.select(F.col("node").alias("x"), F.col("label").alias("now"))
+    lookups = lookups.join(now, "x", "left").withColumn("cx", F.coalesce("now", "x")).drop("now")
+    # Two strays meet once.
+    once = "(NOT stray_y OR x < x_y)"
+    by_gram = _met(lookups.where("stray"), lookups, ["p", "gram"], f"{once} AND {_early(num, den)}", num, den)
+    # Nothing is left here once the labels hold the links of ``_surely_linked``.
+    sure = split.where("slack + least <= 0").withColumn("at", F.lit(0)).select("p", *_SIDE)
+    return by_gram.unionByName(_met(sure.where("stray"), sure, ["p"], f"{once} AND slack + slack_y <= 0", num, den))
 
 
 def maybe_listed(rows: DataFrame, listed: DataFrame) -> DataFrame:
@@ -528,7 +551,7 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         _pivots(slots), "chunk long, shard int, who binary, keys binary, pivots binary, holders binary"
     )
     needs = sent.where("shard = -1").select("chunk", "keys", "firsts")
-    pairs = needs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_paired(slots, rarest), "p long, x long").distinct()
+    pairs = needs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_paired(slots, rarest), "p long, x long, alone boolean")
 
     sets = docs_of.where("n > 0").groupBy("n", "set1", "set2").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = written(
@@ -539,33 +562,43 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     )
     to_p = reps.select(F.col("uid").alias("p"), F.col("rep").alias("rp"), F.col("n").alias("np"))
     to_x = reps.select(F.col("uid").alias("x"), F.col("rep").alias("rx"), F.col("n").alias("nx"))
-    pairs = pairs.join(to_p, "p").join(to_x, "x").where("rp <> rx").select(F.col("rp").alias("p"), F.col("rx").alias("x"), "np", "nx")
+    # Two texts that meet alone are no family: if their sizes rule out a link, nothing is left to find.
+    meet = f"rp <> rx AND (NOT alone OR least(np, nx) * {den} >= greatest(np, nx) * {num})"
+    pairs = pairs.join(to_p, "p").join(to_x, "x").where(meet).select(F.col("rp").alias("p"), F.col("rx").alias("x"), "np", "nx")
     pairs = written(pairs.distinct(), "pairs")
     discard(made)
     fit = written(by_sketch(pairs, reps, num, den), "fit")
-    hubs = written(pairs.groupBy("p").count().where(F.col("count") > FAMILY).select("p"), "hubs")
-    small, large = pairs.join(hubs, "p", "left_anti"), pairs.join(hubs, "p", "left_semi").select("p", "x")
-    fit_small = fit.join(hubs, "p", "left_anti")
-    texts = written(_texts_of(rows, reps, fit_small.unionAll(large)), "texts")
+    hubs, large = _large_families(pairs, num, den)
+    small, large = pairs.join(hubs, "p", "left_anti"), written(large, "large")
+    texts = written(_texts_of(rows, reps, fit.unionAll(large)), "texts")
     with small_batches(spark, PAIRS_PER_BATCH):
-        near = written(verify(fit_small, texts, k, num, den, False).where("linked").select("p", "x"), "near")
+        near = written(verify(fit, texts, k, num, den, False).where("linked").select("p", "x"), "near")
         checked = written(verify(large, texts, k, num, den, True), "checked")
-    discard(texts, fit)
+    discard(texts, fit, large)
+    members = written(_centred(checked), "members")
     same = reps.where("rep <> uid").select(F.col("rep").alias("u"), F.col("uid").alias("v"))
-    linked = near.unionAll(checked.where("linked").select("p", "x"))
+    linked = near.unionAll(checked.where("linked").select("p", "x")).unionAll(_surely_linked(members, num, den))
     labels = components(linked.select(F.col("p").alias("u"), F.col("x").alias("v")).unionAll(same))
-    candidates = _small_family_pairs(small, labels).unionByName(_family_pairs(checked, labels, num, den))
-    candidates = written(by_sketch(candidates.distinct(), reps, num, den), "candidates")
-    if not candidates.isEmpty():
-        texts = written(_texts_of(rows, reps, candidates), "texts")
-        with small_batches(spark, PAIRS_PER_BATCH):
-            more = written(verify(candidates, texts, k, num, den, False).where("linked").select("p", "x"), "found")
-        discard(texts)
-        # The components so far stand for their edges.
-        so_far = labels.where("node <> label").select(F.col("label").alias("u"), F.col("node").alias("v"))
-        labels = components(so_far.unionAll(more.select(F.col("p").alias("u"), F.col("x").alias("v"))))
-        discard(more)
-    discard(pairs, hubs, near, checked, candidates)
+
+    def joined(candidates: DataFrame, labels: DataFrame) -> DataFrame:
+        """``labels`` with the links among ``candidates``."""
+        candidates = written(by_sketch(candidates.distinct(), reps, num, den), "candidates")
+        if not candidates.isEmpty():
+            texts = written(_texts_of(rows, reps, candidates), "texts")
+            with small_batches(spark, PAIRS_PER_BATCH):
+                more = written(verify(candidates, texts, k, num, den, False).where("linked").select("p", "x"), "found")
+            # The components so far stand for their edges.
+            so_far = labels.where("node <> label").select(F.col("label").alias("u"), F.col("node").alias("v"))
+            labels = components(so_far.unionAll(more.select(F.col("p").alias("u"), F.col("x").alias("v"))))
+            discard(texts, more)
+        discard(candidates)
+        return labels
+
+    lookups = _lookups(_split(members, labels, num, den), num, den)
+    labels = joined(_small_family_pairs(small, labels).unionByName(_head_pairs(lookups, num, den)), labels)
+    # What the heads join needs no pairs; the others are told apart one by one.
+    labels = joined(_family_pairs(members, labels, num, den, lookups), labels)
+    discard(pairs, hubs, near, checked, members, lookups)
     labels = labels.withColumnRenamed("node", "uid")
     named = reps.join(labels, "uid", "left").withColumnRenamed("label", "group")
     smallest = labels.join(reps.select("uid", "id"), "uid").groupBy(F.col("label").alias("group")).agg(F.min("id").alias("least_id"))

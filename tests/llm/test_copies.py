@@ -175,6 +175,64 @@ def test_what_a_family_shares_comes_last(spark):
     assert shared[1] == before[1] and shared[0] * 2 < before[0]
 
 
+def by_template(seed, members=200, size=120, edits=(0, 60)):
+    """Rows of ``verify`` for one template's copies with edits of their own, against a pivot far from it, and the sets."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    template = rng.integers(0, 2**64, size, dtype=np.uint64)
+    edited = lambda n: np.unique(np.concatenate([rng.permutation(template)[n:], rng.integers(0, 2**64, n, dtype=np.uint64)]))
+    pivot, sets = edited(40), {x: edited(int(rng.integers(*edits))) for x in range(1, members)}
+    rows = []
+    for x, b in sets.items():
+        delta = np.concatenate([np.setdiff1d(b, pivot), np.setdiff1d(pivot, b)])
+        rows.append((0, x, len(pivot), len(b), len(delta) * 180 <= 20 * (len(pivot) + len(b)), delta.view(np.int64).tolist()))
+    return rows, {x: set(b.tolist()) for x, b in sets.items()}
+
+
+def test_a_family_is_held_against_its_centre(spark):
+    rows, sets = by_template(8)
+    checked = spark.createDataFrame(rows, "p long, x long, np int, nx int, linked boolean, delta array<long>")
+    members = N._centred(checked)
+    ids = sorted(sets)
+    want = brute_components([sets[x] for x in ids], ids, 80, 100)
+    found = [(r["p"], r["x"]) for r in N._surely_linked(members, 80, 100).collect()]
+    assert all(len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]) for a, b in found) and len(found) > 30
+    labels = C.components(spark.createDataFrame(found, "u long, v long"))
+    rest = {(r["p"], r["x"]) for r in N._family_pairs(members, labels, 80, 100).collect()}
+    # No list of all pairs of the group; before, nearly each of its links came out.
+    assert len(rest) < len(ids)
+    linked = [(a, b) for a, b in rest if len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b])]
+    got = dict(C.components(spark.createDataFrame(found + linked, "u long, v long")).collect())
+    assert [got.get(x, x) for x in ids] == want
+
+
+def test_families_of_one_group_are_one(spark):
+    rows = [(1, x, 100, 100) for x in range(2, 200)] + [(2, x, 100, 100) for x in range(3, 300)] + [(500, x, 50, 60) for x in range(501, 600)]
+    rows += [(2, 500, 100, 50), (700, 701, 9, 9)]
+    hubs, met = N._large_families(spark.createDataFrame(rows, "p long, x long, np int, nx int"), 80, 100)
+    assert {r["p"] for r in hubs.collect()} == {1, 2, 500}
+    got = sorted((r["p"], r["x"]) for r in met.collect())
+    assert got == sorted({(1, x) for x in range(2, 300)} | {(1, 500)} | {(500, x) for x in range(501, 600)})
+
+
+@pytest.mark.parametrize("rarest", [False, True])
+def test_large_group_of_edited_copies(make_docs, monkeypatch, rarest):
+    monkeypatch.setattr(N, "FAMILY", 8)
+    rng = random.Random(11)
+    rows = []
+    for base in range(3):
+        words = [f"b{base if i % 3 else 0}w{i}" for i in range(150)]
+        for c in range(60):
+            w = list(words)
+            for _ in range(rng.randint(0, 14)):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(w[: rng.randint(110, 150)]), "s"))
+    want = brute_components([shingles(t, 5) for _, t, _ in rows], [i for i, _, _ in rows], 80, 100)
+    got = {r["doc_id"]: r["component_id"] for r in N.link(make_docs(rows), 5, 80, 100, rarest=rarest).collect()}
+    assert [got[i] for i, _, _ in rows] == want and 10 < len(set(want)) < len(rows)
+
+
 def test_sketches_bound_the_difference():
     import numpy as np
 
