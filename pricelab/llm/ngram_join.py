@@ -365,14 +365,67 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, delta
     return both.mapInArrow(_verifier(k, num, den, deltas), "p long, x long, np int, nx int, linked boolean, delta array<long>")
 
 
-def _small_family_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of one small family that the links so far (``labels``) do not join, as pairs; at most ``FAMILY`` for each text."""
+def _told_apart(num: int, den: int):
+    """The pairs of one family's texts of different components whose sizes and sketches let them link; rows come sorted by family."""
+
+    def family(rows: pa.Table) -> list[tuple[np.ndarray, ...]]:
+        x, n, c = (rows.column(name).to_numpy() for name in ("x", "nx", "cx"))
+        i, j = np.triu_indices(len(x), 1)
+        a, b = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
+        may = (c[i] != c[j]) & (x[i] != x[j]) & (a * den >= b * num)
+        i, j = i[may], j[may]
+        sketches = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows.column("sketch")] if len(i) else []
+        width = np.array([len(v) for v in sketches], np.int64)
+        out = []
+        for w in np.unique(np.minimum(width[i], width[j])) if len(i) else ():
+            # The wider of two folds onto the narrower.
+            wide = np.flatnonzero(width >= w)
+            place = np.zeros(len(x), np.int64)
+            place[wide] = np.arange(len(wide))
+            folded = np.stack([np.bitwise_xor.reduce(sketches[k].reshape(-1, w), axis=0) for k in wide])
+            here = np.flatnonzero(np.minimum(width[i], width[j]) == w)
+            step = max(1, (1 << 20) // int(w))
+            for at in range(0, len(here), step):
+                k = here[at:at + step]
+                apart = np.bitwise_count(folded[place[i[k]]] ^ folded[place[j[k]]]).sum(axis=1, dtype=np.int64)
+                k = k[apart * (den + num) <= (den - num) * (n[i[k]].astype(np.int64) + n[j[k]])]
+                first = x[i[k]] < x[j[k]]
+                p, q = np.where(first, i[k], j[k]), np.where(first, j[k], i[k])
+                out.append((x[p], x[q]))
+        return out
+
+    def run(batches):
+        schema = pa.schema([("p", pa.int64()), ("x", pa.int64())])
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            p = held.column("p").to_numpy()
+            if not len(p):
+                continue
+            cut = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+            for a, b in zip(cut[:-1], cut[1:]):
+                for found in family(held.slice(a, b - a)):
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], schema=schema)
+            held = held.slice(cut[-1])  # the last family may go on
+        if held is not None and held.num_rows:
+            for found in family(held):
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], schema=schema)
+
+    return run
+
+
+def _small_family_pairs(pairs: DataFrame, labels: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (p, x) of texts of one small family that the links so far (``labels``) do not join and that may link.
+
+    A family's texts come together with their sketches, one row for each text, and only
+    pairs that sizes and sketches let by leave the task.
+    """
     known = pairs.join(labels.select(F.col("node").alias("x"), F.col("label").alias("cx")), "x", "left").withColumn("cx", F.coalesce("cx", "x"))
     split = known.groupBy("p").agg(F.min("cx").alias("a"), F.max("cx").alias("b")).where("a <> b").select("p")
-    known = known.join(split, "p", "left_semi")
-    other = known.select("p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("cx").alias("cy"))
-    met = known.join(other, "p").where("x < y AND cx <> cy")
-    return met.select(F.col("x").alias("p"), F.col("y").alias("x"), F.col("nx").alias("np"), F.col("ny").alias("nx"))
+    known = known.join(split, "p", "left_semi").join(reps.select(F.col("uid").alias("x"), "sketch"), "x")
+    rows = known.select("p", "x", "nx", "cx", "sketch").repartition("p").sortWithinPartitions("p")
+    return rows.mapInArrow(_told_apart(num, den), "p long, x long")
 
 
 def _rare_first(members: DataFrame) -> DataFrame:
@@ -581,8 +634,8 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     labels = components(linked.select(F.col("p").alias("u"), F.col("x").alias("v")).unionAll(same))
 
     def joined(candidates: DataFrame, labels: DataFrame) -> DataFrame:
-        """``labels`` with the links among ``candidates``."""
-        candidates = written(by_sketch(candidates.distinct(), reps, num, den), "candidates")
+        """``labels`` with the links among ``candidates``, pairs that sizes and sketches let by."""
+        candidates = written(candidates.distinct(), "candidates")
         if not candidates.isEmpty():
             texts = written(_texts_of(rows, reps, candidates), "texts")
             with small_batches(spark, PAIRS_PER_BATCH):
@@ -596,9 +649,10 @@ def linked_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
         return labels
 
     lookups = _lookups(_split(members, labels, num, den), num, den)
-    labels = joined(_small_family_pairs(small, labels).unionByName(_head_pairs(lookups, num, den)), labels)
+    heads = by_sketch(_head_pairs(lookups, num, den).distinct(), reps, num, den)
+    labels = joined(_small_family_pairs(small, labels, reps, num, den).unionByName(heads), labels)
     # What the heads join needs no pairs; the others are told apart one by one.
-    labels = joined(_family_pairs(members, labels, num, den, lookups), labels)
+    labels = joined(by_sketch(_family_pairs(members, labels, num, den, lookups).distinct(), reps, num, den), labels)
     discard(pairs, hubs, near, checked, members, lookups)
     labels = labels.withColumnRenamed("node", "uid")
     named = reps.join(labels, "uid", "left").withColumnRenamed("label", "group")

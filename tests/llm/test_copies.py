@@ -4,10 +4,12 @@ import random
 import re
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pricelab.llm import components as C, exact_dedup as E, line_dedup as L, ngram_join as N
+from pricelab.llm.frames import small_batches
 
 
 def shingles(text, k):
@@ -245,6 +247,37 @@ def test_sketches_bound_the_difference():
     assert N.sketch_distance(*strangers) > 300
 
 
+def test_a_small_family_is_paired_where_its_texts_meet(spark):
+    """One row for each text moves, whatever number of pairs its family has; families go on over batches."""
+    rng = np.random.default_rng(5)
+    sets, rows = {}, []
+    for p in range(12):
+        base = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+        for i in range(30):
+            x = p * 100 + i + 1
+            sets[x] = np.unique(np.concatenate([base[: rng.integers(120, 500)], rng.integers(0, 1 << 63, 9).astype(np.uint64)]))
+            rows.append((p * 100, x, 500, len(sets[x])))
+    pairs = spark.createDataFrame(rows, "p long, x long, np int, nx int")
+    labels = spark.createDataFrame([(x, x - x % 3) for x in sets if x % 3 and x % 100 < 20 and x - x % 3 in sets], "node long, label long")
+    label = {r["node"]: r["label"] for r in labels.collect()}
+    reps = spark.createDataFrame([(x, bytearray(N.whole_sketch(s))) for x, s in sets.items()], "uid long, sketch binary")
+    want = set()
+    for p in range(12):
+        own = [x for x in sets if x // 100 == p]
+        for x in own:
+            for y in own:
+                a, b = len(sets[x]), len(sets[y])
+                if x < y and label.get(x, x) != label.get(y, y) and min(a, b) * 100 >= max(a, b) * 80:
+                    if N.sketch_distance(N.whole_sketch(sets[x]), N.whole_sketch(sets[y])) * 180 <= 20 * (a + b):
+                        want.add((x, y))
+    with small_batches(spark, 7):
+        found = N._small_family_pairs(pairs, labels, reps, 80, 100)
+        got = [(r["p"], r["x"]) for r in found.collect()]
+    assert len({len(N.whole_sketch(s)) for s in sets.values()}) > 1 and len(want) > 100
+    assert len(got) == len(set(got)) and set(got) == want
+    assert found.columns == ["p", "x"]
+
+
 def test_ngram_join_odd_rows(make_docs, odd_rows):
     docs = make_docs(odd_rows).withColumn("uid", F.lit("x"))
     got = N.link(docs, 3, 90, 100).collect()
