@@ -9,7 +9,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelab.functions.keys import seeded_text
-from pricelab.models.jobs import FEATURES, assemble, fit_fold, fit_layout, fit_on, fold_values, in_parts, run_all
+from pricelab.models.boosted import held_out
+from pricelab.models.jobs import FEATURES, assemble, at_a_time, fit_fold, fit_layout, fit_other_folds, fit_rows, fold_values, in_parts, run_all
 from pricelab.models.nodes import round_scores, split_importance, trees_of
 from pricelab.operators import metrics as M
 from pricelab.operators.ranks import global_rank
@@ -48,13 +49,14 @@ def permutation_importance(
 
     def scores(f: int) -> list[tuple]:
         held = F.col(fold) == f
-        model = fit_fold(make(), few, held)
+        model = fit_fold(make(), few, held, rows, features, partial(held_out, f))
         donors = shuffled_variants(with_donors(df.where(held), features, key, seed + f), features)
         scored = model.transform(assemble(donors, features)).groupBy("feat").agg(M.hit_score(price, inverse).alias("score"))
         return [(r["feat"], int(f), float(r["score"])) for r in scored.collect()]
 
-    found = run_all([partial(scores, f) for f in folds], parallelism or fits)
-    return df.sparkSession.createDataFrame([r for rows in found for r in rows], "feat string, fold int, score double")
+    with fit_rows(df, make(), features, fold=F.col(fold)) as rows:
+        found = run_all([partial(scores, f) for f in folds], parallelism or at_a_time(rows, fits))
+    return df.sparkSession.createDataFrame([r for part in found for r in part], "feat string, fold int, score double")
 
 
 def shuffled_variants(donors: DataFrame, features: Sequence[str], name: str = "feat") -> DataFrame:
@@ -81,14 +83,15 @@ def iteration_curve(
     df: DataFrame, make: Callable[[], Estimator], features: Sequence[str], fold: str = "fold", folds: Sequence[int] | None = None
 ) -> DataFrame:
     """Squared error after each round, train and validation, per fold: rows (fold, iteration, train_mse, val_mse)."""
-    rows = []
-    for f in fold_values(df, fold, folds, whole=False):
-        ready = assemble(df, features)
-        train, val = ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
-        model = fit_on(make(), train)
-        curves = [model.evaluateEachIteration(d, "squared") for d in (train, val)]
-        rows += [(int(f), i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(*curves))]
-    return df.sparkSession.createDataFrame(rows, "fold int, iteration int, train_mse double, val_mse double")
+    found, ready = [], assemble(df, features)
+    folds = fold_values(df, fold, folds, whole=False)
+    with fit_rows(df, make(), features, fold=F.col(fold)) as rows:
+        for f in folds:
+            train, val = ready.where(F.col(fold) != f), ready.where(F.col(fold) == f)
+            model = fit_other_folds(make(), ready, fold, f, rows, features)
+            curves = [model.evaluateEachIteration(d, "squared") for d in (train, val)]
+            found += [(int(f), i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(*curves))]
+    return df.sparkSession.createDataFrame(found, "fold int, iteration int, train_mse double, val_mse double")
 
 
 def price_curve(
@@ -102,7 +105,8 @@ def price_curve(
     """
     folds = fold_values(df, fold, folds, whole=False)
     ready = assemble(df, features)
-    models = run_all([partial(fit_on, make(), ready.where(F.col(fold) != f)) for f in folds], parallelism)
+    with fit_rows(df, make(), features, fold=F.col(fold)) as rows:
+        models = run_all([partial(fit_other_folds, make(), ready, fold, f, rows, features) for f in folds], at_a_time(rows, parallelism))
     trees = {int(f): trees_of(m, df) for f, m in zip(folds, models)}
     return round_scores(ready, trees, target, price, area, log, fold, FEATURES)
 

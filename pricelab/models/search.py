@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import random
 from collections.abc import Callable, Sequence
 from functools import partial
@@ -12,7 +13,8 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricelab.models.jobs import FEATURES, assemble, best_iteration, fit_fold, fit_layout, fold_values, in_parts, run_all
+from pricelab.models.boosted import held_out
+from pricelab.models.jobs import FEATURES, FitRows, assemble, at_a_time, best_iteration, fit_fold, fit_layout, fit_rows, fold_values, in_parts, run_all
 from pricelab.operators import metrics as M
 
 # The metrics kept per fold of a search.
@@ -26,11 +28,11 @@ RESULT_SCHEMA = (
 
 def fold_scores(
     df: DataFrame, est: Estimator, features: Sequence[str], target: str, inverse: Column, price: str, fold: str, f: int,
-    parts: int | None = None,
+    parts: int | None = None, rows: FitRows | None = None,
 ) -> dict:
-    """Fit on the other folds and score the held-out one in a single aggregate; the fit takes at most ``parts`` parts."""
+    """Fit on the other folds and score the held-out one in a single aggregate; the fit takes at most ``parts`` parts, or ``rows``."""
     ready, held = assemble(df, features), F.col(fold) == f
-    model = fit_fold(est, in_parts(ready, parts), held)
+    model = fit_fold(est, in_parts(ready, parts), held, rows, features, partial(held_out, f))
     row = model.transform(ready.where(held)).agg(
         M.hit_score(price, inverse).alias("score"), M.mse(target, "y_raw").alias("mse"),
         M.mae(target, "y_raw").alias("mae"), M.mape(target, "y_raw").alias("mape"),
@@ -80,6 +82,7 @@ def random_search(
     parallelism: int | None = None,
     keep_pruned: bool = False,
     done: Sequence[tuple[dict, int, dict]] = (),
+    rows: FitRows | None = None,
 ) -> DataFrame:
     """Score parameter sets fold by fold; a set below the floor drops out.
 
@@ -87,22 +90,33 @@ def random_search(
     fold that failed is not recorded, unless ``keep_pruned`` asks for a row of every
     set with all folds it reached and ``pruned_at``, the fold at which it dropped out
     (null when it did not). ``done`` names scores that the caller already has from
-    :func:`fold_scores`, as (set, fold, scores): those are not fitted again.
+    :func:`fold_scores`, as (set, fold, scores): those are not fitted again. ``rows``
+    is ``df`` as :func:`fit_rows` gives it; it is read here if it is not given.
     """
     folds = fold_values(df, fold, folds, whole=False)
     parts, fits = fit_layout(df)
 
     def scores(p: dict, f: int) -> dict:
         had = [found for q, g, found in done if q == p and g == f]
-        return had[0] if had else fold_scores(df, make(p), features_of(p), target, inverse, price, fold, f, parts)
+        return had[0] if had else fold_scores(df, make(p), features_of(p), target, inverse, price, fold, f, parts, rows)
 
+    with contextlib.nullcontext(rows) if rows is not None or not params else _rows(df, make(params[0]), map(features_of, params), fold) as rows:
+        return _searched(df, params, folds, scores, floor, floor_on, parallelism or at_a_time(rows, fits), keep_pruned)
+
+
+def _rows(df, est, feature_sets, fold):
+    """``df`` read once for fits on any of some sets of features."""
+    return fit_rows(df, est, [c for cols in feature_sets for c in cols], fold=F.col(fold))
+
+
+def _searched(df, params, folds, scores, floor, floor_on, fits, keep_pruned) -> DataFrame:
     alive = [dict(p) for p in params]
     runs: dict[int, tuple[dict, list[dict]]] = {}
     pruned: dict[int, int] = {}
     for i, f in enumerate(folds):
         kept = []
         tasks = [partial(scores, p, f) for p in alive]
-        for p, scored in zip(alive, run_all(tasks, parallelism or fits)):
+        for p, scored in zip(alive, run_all(tasks, fits)):
             tested = floor is not None and (floor_on == "every" or i == 0)
             key = params.index(p)
             if tested and scored["score"] < floor:
@@ -160,24 +174,25 @@ def param_grid(
 
     def rmse(params: dict, f: int) -> float:
         held = F.col(fold) == f
-        model = fit_fold(est.copy({est.getParam(k): v for k, v in params.items()}), few, held)
+        model = fit_fold(est.copy({est.getParam(k): v for k, v in params.items()}), few, held, rows, features, partial(held_out, f))
         return evaluator.evaluate(model.transform(ready.where(held)))
 
     def run(grid: Sequence[dict]) -> list[tuple[dict, float]]:
-        scores = run_all([partial(rmse, p, f) for p in grid for f in found], parallelism or fits)
-        rows = [scores[i : i + len(found)] for i in range(0, len(scores), len(found))]
-        return [(p, sum(row) / len(row)) for p, row in zip(grid, rows)]
+        scores = run_all([partial(rmse, p, f) for p in grid for f in found], parallelism or at_a_time(rows, fits))
+        by_set = [scores[i : i + len(found)] for i in range(0, len(scores), len(found))]
+        return [(p, sum(of) / len(of)) for p, of in zip(grid, by_set)]
 
     first_maps = ParamGridBuilder()
     for k, values in space.items():
         first_maps = first_maps.addGrid(est.getParam(k), list(values))
-    first = run([{p.name: v for p, v in m.items()} for m in first_maps.build()])
-    best = [p for p, _ in sorted(first, key=lambda r: r[1])[:top]]
-    tried = [p for p, _ in first]
-    finer = [p for p in grid_around_numeric(best) if p not in tried]
-    second = run(finer) if finer else []
-    rows = [(i, {k: str(v) for k, v in p.items()}, float(s)) for i, part in ((1, first), (2, second)) for p, s in part]
-    return df.sparkSession.createDataFrame(rows, "search_round int, params map<string,string>, rmse double")
+    with fit_rows(df, est, features, fold=F.col(fold)) as rows:
+        first = run([{p.name: v for p, v in m.items()} for m in first_maps.build()])
+        best = [p for p, _ in sorted(first, key=lambda r: r[1])[:top]]
+        tried = [p for p, _ in first]
+        finer = [p for p in grid_around_numeric(best) if p not in tried]
+        second = run(finer) if finer else []
+    table = [(i, {k: str(v) for k, v in p.items()}, float(s)) for i, part in ((1, first), (2, second)) for p, s in part]
+    return df.sparkSession.createDataFrame(table, "search_round int, params map<string,string>, rmse double")
 
 
 def grid_around_numeric(best: Sequence[dict]) -> list[dict]:
@@ -205,10 +220,11 @@ def step_removal(
 def _feature_sets(df, make, sets, target, inverse, price, fold, folds, parallelism) -> DataFrame:
     """Results of named feature lists; the fits of all lists and folds run in one queue."""
     parts, fits = fit_layout(df)
-    tasks = [
-        partial(fold_scores, df, make(), cols, target, inverse, price, fold, f, parts) for _, cols in sets for f in folds
-    ]
-    scored = run_all(tasks, parallelism or fits)
+    with _rows(df, make(), [cols for _, cols in sets], fold) as rows:
+        tasks = [
+            partial(fold_scores, df, make(), cols, target, inverse, price, fold, f, parts, rows) for _, cols in sets for f in folds
+        ]
+        scored = run_all(tasks, parallelism or at_a_time(rows, fits))
     runs = [(name, scored[i * len(folds) : (i + 1) * len(folds)]) for i, (name, _) in enumerate(sets)]
     return results_table(df.sparkSession, runs)
 

@@ -201,10 +201,13 @@ def q_random_search(spark, sf_dir):
     df = _frame(spark, sf_dir)
     # A set must come near the known one's mean score.
     parts, fits = J.fit_layout(df)
-    tasks = [partial(S.fold_scores, df, make(known), features_of(known), TARGET, _inverse(), PRICE, "fold", f, parts) for f in FOLDS]
-    done = [(known, f, scored) for f, scored in zip(FOLDS, J.run_all(tasks, fits))]
-    floor = FLOOR_SHARE * sum(scored["score"] for _, _, scored in done) / len(done)
-    return S.random_search(df, make, params, features_of, TARGET, _inverse(), folds=FOLDS, floor=floor, keep_pruned=True, done=done)
+    with J.fit_rows(df, make(known), FEATURES, fold=F.col("fold")) as rows:
+        tasks = [partial(S.fold_scores, df, make(known), features_of(known), TARGET, _inverse(), PRICE, "fold", f, parts, rows) for f in FOLDS]
+        done = [(known, f, scored) for f, scored in zip(FOLDS, J.run_all(tasks, J.at_a_time(rows, fits)))]
+        floor = FLOOR_SHARE * sum(scored["score"] for _, _, scored in done) / len(done)
+        return S.random_search(
+            df, make, params, features_of, TARGET, _inverse(), folds=FOLDS, floor=floor, keep_pruned=True, done=done, rows=rows
+        )
 
 
 @query("iteration_curve")
@@ -227,9 +230,11 @@ def q_iteration_curve_last(spark, sf_dir):
     make = lambda: _trees(rounds, early_stop=False)
     curve = I.price_curve(df, make, FEATURES, TARGET, PRICE, AREA, folds=FOLDS).where(F.col("iteration") == rounds)
     ready = J.assemble(df, FEATURES)
+    with J.fit_rows(df, make(), FEATURES, fold=F.col("fold")) as rows:
+        models = J.run_all([partial(J.fit_other_folds, make(), ready, "fold", f, rows, FEATURES) for f in FOLDS], J.at_a_time(rows, 1))
     scored = []
-    for f in FOLDS:
-        priced = J.fit_on(make(), ready.where(F.col("fold") != f)).transform(ready).withColumn("y_pred", F.expm1("y_raw") * F.col(AREA))
+    for f, model in zip(FOLDS, models):
+        priced = model.transform(ready).withColumn("y_pred", F.expm1("y_raw") * F.col(AREA))
         part = F.when(F.col("fold") == f, "val").otherwise("train")
         scored.append(
             priced.groupBy(part.alias("part")).agg(
