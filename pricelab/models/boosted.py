@@ -5,9 +5,9 @@ Spark's learner walks every row through JVM objects for each level of each tree,
 and its residual. Rows lie in blocks of arrays, and a level is one pass that sums weight
 and residual per node and bin; the driver picks the splits of the level from these sums.
 Trees, weights, stopping and node statistics are those of ``GBTRegressor`` with the same
-parameters, and the result is its model class. Split candidates are the same too where
-Spark looks at all rows for them (up to 10,000); beyond that both look at a seeded
-sample, twice as large here.
+parameters, and the result is its model class. Split candidates are the same too on up to
+``ROWS_PER_READER`` rows: Spark looks at all of 10,000 rows, and its own code draws the sample
+of more. On larger tables both look at a seeded sample, twice as large here.
 
 On up to ``ROWS_IN_ONE_TASK`` rows one task grows all trees of a fit, with some 16 bytes of
 a row in memory, and fits run side by side. A larger table lies in partitions that are kept
@@ -48,12 +48,14 @@ ROWS_PER_PART = 4_000_000
 # Rows of a block: its codes and residuals stay in a core's cache.
 BLOCK = 1 << 15
 
-# Rows that split candidates are taken from; Spark takes 10,000.
+# Rows that split candidates are taken from on large tables.
 SPLIT_ROWS = 20_000
 
-# A code holds the bins of two features, five bits each.
+# Rows that Spark looks at for them; of fewer it takes all.
+SPARK_SPLIT_ROWS = 10_000
+
+# A code holds the bins of two features, five bits each (six if rounding gives one bin more than asked for).
 BITS = 5
-CELLS = 1 << 2 * BITS
 
 # Child nodes of less impurity are leaves, as in Spark.
 EPSILON = 2.220446049250313e-16
@@ -109,7 +111,23 @@ def fit(est: Estimator, df: DataFrame) -> Model:
     if est.isSet("weightCol"):
         keys["w"] = F.col(value("weightCol")).cast("double")
     with Rows(df, vector_to_array(value("featuresCol")), value("labelCol"), keys) as rows:
-        return rows.fit(est, None, _flagged)
+        return rows.fit(est, None, _flagged, df)
+
+
+def spark_cuts(est: GBTRegressor, df: DataFrame) -> list[np.ndarray]:
+    """The split candidates that ``est.fit(df)`` draws."""
+    jvm = df.sparkSession.sparkContext._jvm
+    one = lambda package, name: getattr(getattr(package, f"{name}$"), "MODULE$")
+    tree = jvm.org.apache.spark.ml.tree.impl
+    if est.isSet("validationIndicatorCol"):
+        df = df.where(~F.col(est.getOrDefault("validationIndicatorCol")))
+    java = est._to_java()
+    none, regression = one(jvm.scala.collection.immutable, "Map").empty(), one(jvm.org.apache.spark.mllib.tree.configuration, "Algo").Regression()
+    strategy, reader = java.getOldBoostingStrategy(none, regression).treeStrategy(), one(jvm.org.apache.spark.ml.util, "DatasetUtils")
+    instances = reader.extractInstances(java, df._jdf, getattr(reader, "extractInstances$default$3")())
+    known = one(tree, "DecisionTreeMetadata").buildMetadata(instances, strategy, 1, est.getOrDefault("featureSubsetStrategy"))
+    found = one(tree, "RandomForest").findSplits(instances, known, est.getOrDefault("seed"))
+    return [np.array([s.threshold() for s in splits], float) for splits in found]
 
 
 def _flagged(keys: dict[str, np.ndarray]) -> tuple:
@@ -181,11 +199,12 @@ class Rows:
     def __exit__(self, *_) -> None:
         self.kept.unpersist()
 
-    def fit(self, est: GBTRegressor, columns: list[int] | None, role: Callable) -> Model:
-        """The model of ``est`` on the features at ``columns`` (all, if None)."""
+    def fit(self, est: GBTRegressor, columns: list[int] | None, role: Callable, frame: DataFrame) -> Model:
+        """The model of ``est`` on the features at ``columns`` (all, if None), that is ``est.fit(frame)``."""
         p = params_of(est)
         if self.parts == 1:
-            made = self.kept.mapPartitions(partial(_whole, p, columns, role)).collect()
+            cuts = spark_cuts(est, frame) if self.n > SPARK_SPLIT_ROWS else None
+            made = self.kept.mapPartitions(partial(_whole, p, columns, role, cuts)).collect()
             if not made:
                 raise ValueError("no rows to train on")
             width, trees = made[0]
@@ -277,28 +296,34 @@ def thresholds(x: np.ndarray, w: np.ndarray, bins: int) -> list[np.ndarray]:
 
 def _blocks(used: Iterable[tuple], cuts: list[np.ndarray]) -> Iterator[Block]:
     """Blocks (held out, codes, residuals, weights or None for ones, None); a code is the bins of a pair of columns."""
+    bits = bits_of([len(c) for c in cuts])
     for val, x, y, w in used:
         codes = np.zeros(((len(cuts) + 1) // 2, len(y)), np.uint16)
         for f, cut in enumerate(cuts):
-            codes[f // 2] |= np.searchsorted(cut, x[f]).astype(np.uint16) << np.uint16(BITS * (f % 2))
+            codes[f // 2] |= np.searchsorted(cut, x[f]).astype(np.uint16) << np.uint16(bits * (f % 2))
         yield val, codes, y.copy(), w, None
 
 
+def bits_of(splits: Iterable[int]) -> int:
+    """Bits of a bin where features have so many splits."""
+    return max(BITS, *(int(n).bit_length() for n in splits)) if splits else BITS
+
+
 # Passes over blocks.
 
 
-def _walked(codes: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def _walked(codes: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], bits: int) -> np.ndarray:
     """The place of each row in the level below ``levels``, (feature, bin) of each node; below a leaf rows stay left."""
     pairs, n = codes.shape
     node, flat, line = np.zeros(n, np.int64), codes.ravel(), np.arange(n)
     for feature, cut in levels:
-        begin, shift = (feature >> 1) * n, (feature & 1) * BITS
+        begin, shift = (feature >> 1) * n, (feature & 1) * bits
         if len(feature) == 1:
             code = codes[feature[0] >> 1]
-            node = (((code >> np.uint16(shift[0])) & np.uint16((1 << BITS) - 1)) > cut[0]).astype(np.int64)
+            node = (((code >> np.uint16(shift[0])) & np.uint16((1 << bits) - 1)) > cut[0]).astype(np.int64)
             continue
         code = flat.take(begin.take(node) + line)
-        bin_of = (code >> shift.astype(np.uint16).take(node)) & np.uint16((1 << BITS) - 1)
+        bin_of = (code >> shift.astype(np.uint16).take(node)) & np.uint16((1 << bits) - 1)
         node = 2 * node + (bin_of > cut.astype(np.uint16).take(node))
     return node
 
@@ -314,30 +339,32 @@ def _node_sums(node: np.ndarray, r: np.ndarray, w: np.ndarray | None, nodes: int
 def _level(levels: list, splits: list[int], blocks: Iterable[Block]) -> tuple[np.ndarray, np.ndarray, tuple | None]:
     """Sums per node and bin of the level below ``levels``, sums per node, and those that the blocks carry."""
     nodes, pairs = 1 << len(levels), (len(splits) + 1) // 2
-    cells = np.zeros((2, pairs, nodes * CELLS))
+    bits = bits_of(splits)
+    size = 1 << 2 * bits
+    cells = np.zeros((2, pairs, nodes * size))
     sums, carried = np.zeros((4, nodes)), None
     for val, codes, r, w, more in blocks:
         if more is not None:
             carried = more if carried is None else tuple(a + b for a, b in zip(carried, more))
         if val:
             continue
-        node = _walked(codes, levels)
+        node = _walked(codes, levels, bits)
         sums += _node_sums(node, r, w, nodes)
-        wr, base = r if w is None else w * r, node * CELLS
+        wr, base = r if w is None else w * r, node * size
         for i in range(pairs):
             cell = base + codes[i]
-            cells[0, i] += np.bincount(cell, w, nodes * CELLS)
-            cells[1, i] += np.bincount(cell, wr, nodes * CELLS)
-    grid = cells.reshape(2, pairs, nodes, 1 << BITS, 1 << BITS)
+            cells[0, i] += np.bincount(cell, w, nodes * size)
+            cells[1, i] += np.bincount(cell, wr, nodes * size)
+    grid = cells.reshape(2, pairs, nodes, 1 << bits, 1 << bits)
     # The lower bits are the first feature of a pair.
     both = np.stack([grid.sum(axis=3), grid.sum(axis=4)], axis=2)
-    return both.reshape(2, 2 * pairs, nodes, 1 << BITS)[:, : len(splits)], sums, carried
+    return both.reshape(2, 2 * pairs, nodes, 1 << bits)[:, : len(splits)], sums, carried
 
 
-def _updated(levels: list, values: np.ndarray, block: Block) -> Block:
+def _updated(levels: list, values: np.ndarray, bits: int, block: Block) -> Block:
     """The block after a tree; it carries the sums per leaf before it, and the held-out error and weight after it."""
     val, codes, r, w, _ = block
-    node = _walked(codes, levels)
+    node = _walked(codes, levels, bits)
     leaves = np.zeros((4, len(values))) if val else _node_sums(node, r, w, len(values))
     r = r - values.take(node)
     error = np.zeros(2)
@@ -378,12 +405,12 @@ def _best_splits(cells: np.ndarray, sums: np.ndarray, splits: list[int], p: Para
     w, s = sums[1][None, :, None], sums[2][None, :, None]
     right_w, right_s = w - left_w, s - left_s
     least = max(p.min_rows, 1e-9)  # weights of rows that count are above this
-    may = (left_w >= least) & (right_w >= least) & (np.arange(1 << BITS) < np.array(splits)[:, None, None])
+    may = (left_w >= least) & (right_w >= least) & (np.arange(cells.shape[3]) < np.array(splits)[:, None, None])
     with np.errstate(all="ignore"):
         gain = (left_s * left_s / left_w + right_s * right_s / right_w - s * s / w) / w
     gain = np.where(may & (gain >= p.min_gain), gain, -1.0).transpose(1, 0, 2).reshape(len(sums[0]), -1)
     at = gain.argmax(axis=1)
-    return gain[np.arange(len(at)), at], at >> BITS, at & ((1 << BITS) - 1)
+    return gain[np.arange(len(at)), at], at // cells.shape[3], at % cells.shape[3]
 
 
 def _grown(p: Params, cuts: list[np.ndarray], level: Callable, update: Callable) -> list[tuple[Node, float]]:
@@ -424,7 +451,7 @@ def _grown(p: Params, cuts: list[np.ndarray], level: Callable, update: Callable)
             live = live & (gain > 0) & ~(pure & (depth > 0))
             gains.append(np.where(live, gain, -1.0))
             # Rows of a leaf stay left: no bin is above the last.
-            levels.append((np.where(live, feature, 0), np.where(live, cut, 1 << BITS)))
+            levels.append((np.where(live, feature, 0), np.where(live, cut, 1 << bits_of(splits))))
             if not live.any():
                 break
             live = np.repeat(live, 2)
@@ -468,23 +495,25 @@ def _tree(levels: list, stats: list, gains: list, cuts: list, scale: float, weig
     return node(0, 0), weight
 
 
-def _whole(p: Params, columns: list[int] | None, role: Callable, rows: Iterable[tuple]) -> list[tuple]:
+def _whole(p: Params, columns: list[int] | None, role: Callable, cuts: list[np.ndarray] | None, rows: Iterable[tuple]) -> list[tuple]:
     """Number of features and all trees of one task's rows."""
     used = list(_used(rows, columns, role))
     if not used:
         return []
+    if cuts is not None:
+        return _rest(p, None, None, cuts, used)
     x, w, _, counts = _drawn(used, [p.seed % (1 << 63), 0])
     return _rest(p, None, None, _checked(x, w, counts, p), used)
 
 
 def _rest(p: Params, columns: list[int] | None, role: Callable | None, cuts: list[np.ndarray], rows: Iterable[tuple]) -> list[tuple]:
     """:func:`_whole` with known cuts, over rows or (without ``role``) over what a fit uses of them."""
+    splits = [len(c) for c in cuts]
     held = list(_blocks(rows if role is None else _used(rows, columns, role), cuts))
 
     def update(levels: list, values: np.ndarray) -> None:
-        held[:] = [_updated(levels, values, b) for b in held]
+        held[:] = [_updated(levels, values, bits_of(splits), b) for b in held]
 
-    splits = [len(c) for c in cuts]
     return [(len(cuts), _grown(p, cuts, lambda levels: _level(levels, splits, held), update))]
 
 
@@ -524,7 +553,7 @@ def _spread(rows: Rows, p: Params, columns: list[int] | None, role: Callable) ->
 
     def update(levels: list, values: np.ndarray) -> None:
         state["before"] = state["now"]
-        state["now"] = state["now"].map(partial(_updated, levels, values)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        state["now"] = state["now"].map(partial(_updated, levels, values, bits_of(splits))).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
     try:
         return len(cuts), _grown(p, cuts, level, update)

@@ -151,11 +151,10 @@ def fit_fold(est: Estimator, ready: DataFrame, held: Column, rows: FitRows | Non
 
     With ``rows``, what was read for all fits on the frame serves this one too: its features ``cols``, in the part that ``role`` gives each row.
     """
+    frame = ready.withColumn(IS_VAL, held) if uses_validation(est) else ready.where(~held)
     if rows is not None and rows.can_fit(est, ready):
-        return rows.fit(est, cols, role)
-    if uses_validation(est):
-        return boosted.fit(est, ready.withColumn(IS_VAL, held))
-    return boosted.fit(est, ready.where(~held))
+        return rows.fit(est, cols, role, frame)
+    return boosted.fit(est, frame)
 
 
 def fit_other_folds(est: Estimator, ready: DataFrame, fold: str, f: int, rows: FitRows | None, cols: Sequence[str]) -> Model:
@@ -178,9 +177,9 @@ class FitRows:
             return False
         return not est.isSet("weightCol") or (self.weighted and est.getOrDefault("weightCol") == WEIGHT)
 
-    def fit(self, est: Estimator, cols: Sequence[str], role: Callable) -> Model:
+    def fit(self, est: Estimator, cols: Sequence[str], role: Callable, frame: DataFrame) -> Model:
         role = partial(boosted.trained, uses_validation(est), est.isSet("weightCol"), role)
-        return self.rows.fit(est, [self.features.index(c) for c in cols], role)
+        return self.rows.fit(est, [self.features.index(c) for c in cols], role, frame)
 
     def __enter__(self) -> FitRows:
         return self

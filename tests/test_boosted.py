@@ -1,5 +1,6 @@
 """The trees of ``models.boosted`` against Spark's learner."""
 
+import numpy as np
 import pytest
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
@@ -48,6 +49,21 @@ def test_trees_are_those_of_spark(spark, rows, monkeypatch, more, spread):
     assert list(got.featureImportances.toArray()) == pytest.approx(list(want.featureImportances.toArray()), abs=1e-6)
 
 
+def test_candidates_of_many_rows_are_those_of_spark(spark):
+    """Beyond 10,000 rows Spark draws a sample, whose steps may give one bin more than asked for."""
+    df = spark.range(12000).select(
+        F.col("id").alias("building_id"), (F.col("id") * 7919 % 10007 / 100).alias("x"), F.sqrt(F.col("id") * 31 % 977).alias("z"), (F.col("id") % 35 - 1.0).alias("g"),
+        (8 + F.sin(F.col("id") * 7919 % 10007 / 700) + F.cos(F.col("id") % 35)).alias("lp"), (F.col("id") % 4 == 1).alias(J.IS_VAL),
+    )
+    ready = stored(J.assemble(df, COLS))
+    assert gap(trees(3).fit(ready), B.fit(trees(3), ready), ready) < 1e-9
+    x = np.repeat(np.arange(40.0), 3)[:, None]
+    cuts = B.thresholds(x, np.ones(120), 33)
+    block = next(B._blocks([(False, x.T, np.arange(120.0), None)], [np.arange(32) + 0.5]))
+    cells, sums, _ = B._level([], [32], [block])
+    assert len(cuts[0]) >= 32 and cells.shape[-1] == 64 and cells[0].sum() == sums[0, 0] == 120
+
+
 def test_a_search_reads_its_table_once(spark, rows, monkeypatch):
     """All fits of a sweep, segments and grids share one reading, and none is Spark's."""
     made, read = [], B.Rows.__init__
